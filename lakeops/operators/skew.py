@@ -1,0 +1,41 @@
+"""Equi-joins that stay even when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 0.01
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys holding more than ``share`` of all rows: at most ``1/share`` of them.
+
+    The count is pre-aggregated in every task, so a hot key costs one partial
+    row per task.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg((F.count(F.lit(1)) * F.lit(share)).alias("_limit"))
+    return counts.where(F.col("_n") > total.scalar()).drop("_n")
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", *,
+                salts: int = 32, share: float = HOT_SHARE) -> DataFrame:
+    """Join where rows of hot keys of ``big`` are spread over ``salts`` tasks.
+
+    Only the rows of ``small`` with a hot key are repeated. ``how`` is one that
+    never emits unmatched rows of ``small``: inner, left, left_semi, left_anti.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join cannot do {how}")
+    on = list(on)
+    hot = F.broadcast(hot_keys(big, on, share).withColumn("_hot", F.lit(True)))
+    # A hash of the row, not a counter: a retried task must send each row to the same place.
+    hashable = [F.col(f.name) for f in big.schema if not f.dataType.simpleString().startswith("map")]
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+    left = big.join(hot, on, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
