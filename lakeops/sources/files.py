@@ -75,9 +75,31 @@ def filename_timestamp(df: DataFrame, *, date_part: int, time_part: int, name: s
     return df.select("*", F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias(name))
 
 
+def _windows_1252() -> tuple[str, str]:
+    """Characters in which windows-1252 differs from ISO-8859-1: as read, and as meant."""
+    read, meant = "", ""
+    for code in range(0x80, 0xA0):
+        try:
+            char = bytes([code]).decode("cp1252")
+        except UnicodeDecodeError:
+            continue
+        read, meant = read + chr(code), meant + char
+    return read, meant
+
+
 def scan_csv_header_glob(spark: SparkSession, glob, *, schema=None, encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
-    """Header CSV over a path pattern; without a schema all columns are strings."""
-    return spark.read.csv(glob, header=True, schema=schema, encoding=encoding, sep=sep)
+    """Header CSV over a path pattern; without a schema all columns are strings.
+
+    Spark reads no windows-1252, so such files are read as ISO-8859-1 and the
+    characters in which the two differ are replaced.
+    """
+    windows = encoding.lower() in ("windows-1252", "cp1252")
+    df = spark.read.csv(glob, header=True, schema=schema, encoding="ISO-8859-1" if windows else encoding, sep=sep)
+    if not windows:
+        return df
+    read, meant = _windows_1252()
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.translate(F.col(c), read, meant) for c in texts})
 
 
 def scan_csv_infer(spark: SparkSession, glob, *, sep: str = "|", header: bool = True) -> DataFrame:

@@ -60,9 +60,9 @@ def _replace_partitions(df: DataFrame, dest: str, keys: Sequence[str]) -> None:
 def _drop_partitions(spark: SparkSession, dest: str, key: str, values: Sequence) -> None:
     """Remove whole partition folders of a table."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
     for v in values:
-        folder = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-        path = jvm.org.apache.hadoop.fs.Path(f"{dest}/{key}={folder}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{dest}/{name(key, None if v is None else str(v))}")
         path.getFileSystem(conf).delete(path, True)
 
 
@@ -72,13 +72,23 @@ def _partition_values(spark: SparkSession, dest: str, schema, key: str, keep: Co
     return [r[0] for r in table.where(keep).select(key).distinct().collect()]
 
 
+def _values(df: DataFrame, key: str) -> list:
+    """Distinct partition values: as many as the table has folders."""
+    return [r[0] for r in df.select(key).distinct().collect()]
+
+
 def replace_recent_partitions(df: DataFrame, dest: str, *, key: str, cutoff, keep_from=None) -> DataFrame:
-    """Drop partitions with ``key >= cutoff``, add ``df``, and return rows from ``keep_from`` on."""
+    """Drop partitions with ``key >= cutoff``, add ``df``, and return rows from ``keep_from`` on.
+
+    New partitions replace old ones in one commit; then old ones without a
+    successor go. Running it again gives the same table.
+    """
     spark = df.sparkSession
     fresh = materialise(df, name="recent")
     stale = _partition_values(spark, dest, df.schema, key, F.col(key) >= F.lit(cutoff))
-    _drop_partitions(spark, dest, key, stale)
-    fresh.write.mode("append").partitionBy(key).parquet(dest)
+    _replace_partitions(fresh, dest, [key])
+    brought = set(_values(fresh, key))
+    _drop_partitions(spark, dest, key, [v for v in stale if v not in brought])
     table = _back(df, dest, "parquet").select(*df.columns)
     return table if keep_from is None else table.where(F.col(key) >= F.lit(keep_from))
 
@@ -105,14 +115,15 @@ def delete_where_from(spark: SparkSession, dest: str, *, key: str, where: str) -
     """Delete from a table partitioned by ``key``, rewriting only the partitions that lose rows."""
     table = spark.read.parquet(dest)
     schema = table.schema
-    touched = [r[0] for r in table.where(F.expr(where)).select(key).distinct().collect()]
+    touched = _values(table.where(F.expr(where)), key)
     if touched:
         hit = F.col(key).isin([v for v in touched if v is not None])
         if None in touched:
-            hit = hit | F.col(key).isNull()
+            hit = F.coalesce(hit, F.lit(False)) | F.col(key).isNull()
         kept = materialise(delete_where(table.where(hit), where=where), name="kept")
-        _drop_partitions(spark, dest, key, touched)
-        kept.write.mode("append").partitionBy(key).parquet(dest)
+        _replace_partitions(kept, dest, [key])
+        left = set(_values(kept, key))
+        _drop_partitions(spark, dest, key, [v for v in touched if v not in left])
     return spark.read.schema(schema).parquet(dest).select(*schema.names)
 
 
