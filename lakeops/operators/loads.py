@@ -25,7 +25,7 @@ def _stamp(as_of: str) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def _one_per_key(src: DataFrame, keys: Sequence[str], order_col: str | None) -> DataFrame:
+def one_per_key(src: DataFrame, keys: Sequence[str], order_col: str | None) -> DataFrame:
     """The newest source row per key; all other columns break ties."""
     return dedupe_by(src, keys, [order_col] if order_col else [], descending=True)
 
@@ -42,7 +42,7 @@ def scd1_upsert(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str], update_c
 
     With ``order_col``, a source row older than its target row changes nothing.
     """
-    fresh = _one_per_key(src.select(*dict.fromkeys([*keys, *update_cols, *([order_col] if order_col else [])])), keys, order_col)
+    fresh = one_per_key(src.select(*dict.fromkeys([*keys, *update_cols, *([order_col] if order_col else [])])), keys, order_col)
     s = fresh.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in fresh.columns if c not in keys], F.lit(True).alias("_new"))
     t = tgt.withColumn("_old", F.lit(True))
     j = t.join(s, list(keys), "full")
@@ -91,7 +91,7 @@ def scd2_upsert(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str], cols: Se
         raise ValueError(f"unknown end_mode {end_mode}")
     yes, no = active
     now = _stamp(as_of)
-    incoming = _one_per_key(src, keys, order_col)
+    incoming = one_per_key(src, keys, order_col)
     is_active = F.col(FLAG) == yes
     marks = incoming.select(*keys, *([F.col(order_col).alias("_s_order")] if order_col else []), F.lit(True).alias("_hit"))
     joined = tgt.join(marks, list(keys), "left")
@@ -151,7 +151,7 @@ def scd1_folder(src: DataFrame, path: str, *, keys: Sequence[str], as_of: str, p
     spark = src.sparkSession
     cols = [c for c in src.columns if c not in keys]
     if not _exists(spark, path):
-        first = _one_per_key(src, keys, order_col).withColumns({
+        first = one_per_key(src, keys, order_col).withColumns({
             CREATED: _stamp(as_of), UPDATED: F.lit(None).cast("timestamp_ntz")})
         writer = first.write.partitionBy(*partition_keys) if partition_keys else first.write
         writer.parquet(path)
@@ -179,7 +179,7 @@ def scd2_folder(src: DataFrame, path: str, *, keys: Sequence[str], compare: Sequ
     run = "closed_run"
     cols = [c for c in src.columns if c not in keys]
     if not _exists(spark, path):
-        first = new_dimension(_one_per_key(src, keys, order_col), as_of=as_of).withColumn(FLAG, F.lit(active[0]))
+        first = new_dimension(one_per_key(src, keys, order_col), as_of=as_of).withColumn(FLAG, F.lit(active[0]))
         first.withColumn(run, F.lit("open")).write.partitionBy(FLAG, run).parquet(path)
     else:
         columns = spark.read.parquet(path).drop(run).columns
@@ -196,7 +196,7 @@ def scd2_folder(src: DataFrame, path: str, *, keys: Sequence[str], compare: Sequ
 def merge_count(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str], cols: Sequence[str], kind: str = "scd1") -> DataFrame:
     """How many rows a merge would insert, update or close, and leave as they are."""
     t = tgt.where(F.col(FLAG) == "Y") if kind == "scd2" else tgt
-    s = _one_per_key(src.select(*keys, *cols), keys, None).select(*keys, F.struct(*cols).alias("_s"), F.lit(True).alias("_new"))
+    s = one_per_key(src.select(*keys, *cols), keys, None).select(*keys, F.struct(*cols).alias("_s"), F.lit(True).alias("_new"))
     j = t.select(*keys, F.struct(*cols).alias("_t"), F.lit(True).alias("_old")).join(s, list(keys), "full")
     action = (F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "keep")
               .when(F.col("_s").eqNullSafe(F.col("_t")), "keep").otherwise("update"))
@@ -205,7 +205,7 @@ def merge_count(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str], cols: Se
 
 def merge_update_only(tgt: DataFrame, src: DataFrame, *, on: Sequence[str], set_cols: Sequence[str], where: str | None = None) -> DataFrame:
     """Set columns on match (and ``where``), insert nothing."""
-    s = _one_per_key(src.select(*on, *set_cols), on, None).select(
+    s = one_per_key(src.select(*on, *set_cols), on, None).select(
         *on, *[F.col(c).alias(f"_s_{c}") for c in set_cols], F.lit(True).alias("_hit"))
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & (F.coalesce(F.expr(where), F.lit(False)) if where else F.lit(True))
     j = tgt.join(s, list(on), "left")
@@ -214,14 +214,14 @@ def merge_update_only(tgt: DataFrame, src: DataFrame, *, on: Sequence[str], set_
 
 def merge_upsert_column(tgt: DataFrame, src: DataFrame, *, keys: Sequence[str], col: str) -> DataFrame:
     """Set one column on match; insert the keys and that column otherwise."""
-    s = _one_per_key(src.select(*keys, col), keys, None).select(*keys, F.col(col).alias("_s"), F.lit(True).alias("_new"))
+    s = one_per_key(src.select(*keys, col), keys, None).select(*keys, F.col(col).alias("_s"), F.lit(True).alias("_new"))
     j = tgt.join(s, list(keys), "full")
     return j.select(*[F.when(F.col("_new"), F.col("_s")).otherwise(F.col(c)).alias(c) if c == col else F.col(c) for c in tgt.columns])
 
 
 def upsert_by_keys(src: DataFrame, tgt: DataFrame, *, keys: Sequence[str]) -> DataFrame:
     """Source rows replace target rows of the same key; the rest stays."""
-    fresh = _one_per_key(src, keys, None)
+    fresh = one_per_key(src, keys, None)
     return tgt.join(fresh.select(*keys), list(keys), "left_anti").select(*tgt.columns).unionByName(fresh.select(*tgt.columns))
 
 

@@ -95,13 +95,25 @@ def rule_complex(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
 
 
 def validate_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Differences to an expected schema as rows: missing, extra or other type."""
+    """Differences to an expected schema as rows: missing, extra or other type.
+
+    ``affected_rows`` counts the rows that a difference touches: all rows for
+    a missing column, rows with a value for an extra one, and rows whose value
+    does not convert for another type. One pass counts all of them.
+    """
     have = {f.name: f.dataType.simpleString() for f in df.schema}
     want = {f.name: f.dataType.simpleString() for f in expected}
-    diffs = [(n, "missing", w, None) for n, w in want.items() if n not in have]
-    diffs += [(n, "extra", None, h) for n, h in have.items() if n not in want]
-    diffs += [(n, "type", w, have[n]) for n, w in want.items() if n in have and have[n] != w]
-    return df.sparkSession.createDataFrame(diffs, "column string, difference string, expected string, found string")
+    diffs = [(n, "missing", w, None, F.lit(True)) for n, w in want.items() if n not in have]
+    diffs += [(n, "extra", None, h, F.col(n).isNotNull()) for n, h in have.items() if n not in want]
+    diffs += [(n, "type", w, have[n], F.col(n).isNotNull() & F.col(n).cast("string").try_cast(w).isNull())
+              for n, w in want.items() if n in have and have[n] != w]
+    if not diffs:
+        return df.sparkSession.createDataFrame([], "column string, difference string, expected string, found string, affected_rows bigint")
+    counts = df.agg(*[F.count(F.when(touched, 1)).alias(f"_d{i}") for i, (*_, touched) in enumerate(diffs)])
+    rows = F.array(*[F.struct(
+        F.lit(n).alias("column"), F.lit(kind).alias("difference"), F.lit(w).cast("string").alias("expected"),
+        F.lit(h).cast("string").alias("found"), F.col(f"_d{i}").alias("affected_rows")) for i, (n, kind, w, h, _) in enumerate(diffs)])
+    return counts.select(F.explode(rows).alias("_r")).select("_r.*")
 
 
 def _check(r: Mapping) -> Column:

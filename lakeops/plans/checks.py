@@ -83,9 +83,11 @@ def _(t: Tables):
 
 
 @query("validate_schema", """
-select r.* from (values ('c_phone', 'missing', 'string', null), ('c_acctbal', 'extra', null, 'double'), ('c_nationkey', 'type', 'bigint', 'int')) r("column", difference, expected, found) where (select count(*) from customer) > 0""")
+select 'c_phone' as "column", 'missing' as difference, 'string' as expected, cast(null as varchar) as found, count(*) as affected_rows from customer
+union all select 'c_acctbal', 'extra', null, 'double', count(c_acctbal) from customer union all select 'c_nationkey', 'type', 'bigint', 'int', cast(0 as bigint) from region where r_regionkey = 0
+union all select 'c_name', 'type', 'int', 'string', sum(case when try_cast(c_name as int) is null then 1 else 0 end)::bigint from customer""")
 def _(t: Tables):
-    return Q.validate_schema(t.customer, T.StructType.fromDDL("c_custkey bigint, c_name string, c_nationkey bigint, c_mktsegment string, c_phone string"))
+    return Q.validate_schema(t.customer, T.StructType.fromDDL("c_custkey bigint, c_name int, c_nationkey bigint, c_mktsegment string, c_phone string"))
 
 
 @query("dq_row_rules", f"with {CHECKS_SQL} select * from checked")
