@@ -175,21 +175,27 @@ def propagate_parent_keys(df: DataFrame, *, record_type: str, levels: Sequence[L
     rows = to_blocks(df, keys, [position_col])
     inside = Window.partitionBy(BLOCK, *keys).orderBy(*sort_keys([position_col])).rowsBetween(Window.unboundedPreceding, 0)
     plain = set((carried or {}).keys())
-    local = rows
+    depth: dict[str, int] = {}
     for lv in levels:
+        depth[lv.name] = depth[lv.parent] + 1 if lv.parent else 0
+
+    def opened(lv: Level) -> Column:
         if lv.name in plain:
             own = F.col(lv.parts[0])
         else:
             own = F.concat_ws("", *([F.col(record_type)] if lv.parent else []), *lv.parts)
         if lv.parent is None:
-            opened = F.struct(F.lit(None).cast("string").alias("lacks"), own.alias("text"))
-        else:
-            up = F.col(f"_l_{lv.parent}")
-            opened = F.struct(
-                F.when(up.isNull(), F.lit(lv.parent)).otherwise(up["lacks"]).alias("lacks"),
-                F.concat(F.coalesce(up["text"], F.lit("")), own).alias("text"))
-        local = local.withColumn(f"_o_{lv.name}", F.when(F.col(record_type) == lv.record, opened))
-        local = local.withColumn(f"_l_{lv.name}", F.last(f"_o_{lv.name}", ignorenulls=True).over(inside))
+            return F.struct(F.lit(None).cast("string").alias("lacks"), own.alias("text"))
+        up = F.col(f"_l_{lv.parent}")
+        return F.struct(F.when(up.isNull(), F.lit(lv.parent)).otherwise(up["lacks"]).alias("lacks"),
+                        F.concat(F.coalesce(up["text"], F.lit("")), own).alias("text"))
+
+    # Levels of one depth do not need each other, so one window pass serves all of them.
+    local = rows
+    for d in range(max(depth.values()) + 1):
+        same = [lv for lv in levels if depth[lv.name] == d]
+        local = local.select("*", *[F.when(F.col(record_type) == lv.record, opened(lv)).alias(f"_o_{lv.name}") for lv in same])
+        local = local.select("*", *[F.last(f"_o_{lv.name}", ignorenulls=True).over(inside).alias(f"_l_{lv.name}") for lv in same])
 
     ends = [F.max_by(f"_o_{lv.name}", F.when(F.col(f"_o_{lv.name}").isNotNull(), F.col(position_col))).alias(f"_e_{lv.name}")
             for lv in levels]

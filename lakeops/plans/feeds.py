@@ -1 +1,275 @@
-"""placeholder"""
+"""End-to-end feeds: files in, conformed tables out."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakeops.operators import aggs as A
+from lakeops.operators import clean as C
+from lakeops.operators import control as L
+from lakeops.operators import nested as N
+from lakeops.operators import sets as S
+from lakeops.operators.windows import Level, propagate_parent_keys
+from lakeops.plans.files import FEED, framed, named_feed, write_xml
+from lakeops.plans.relational import money
+from lakeops.plans.streams import ENTITIES, ENV_SQL, envelopes
+from lakeops.registry import Tables, query
+from lakeops.session import fresh_path
+from lakeops.sources import files as R
+from lakeops.sources import sinks as O
+from lakeops.streaming import changes as X
+
+# ---- point-of-sale file: one layout, many record types
+
+WIDTH = 29
+POS_SCHEMA = R.text_schema(["Attribute0", "recordtype", *[f"Attribute{i}" for i in range(1, WIDTH + 1)]])
+
+# Which record opens which key, and from which attributes.
+POS_LEVELS = [
+    Level("TRANSACTIONID", "H", ("Attribute1", "Attribute4", "Attribute6", "Attribute5")),
+    Level("TRANSACTIONLINEITEMID", "L", ("Attribute1",), "TRANSACTIONID"),
+    Level("TRANSLINEADJUSTMENTID", "LD", ("Attribute1",), "TRANSACTIONLINEITEMID"),
+    Level("TRANADJUSTMENTID", "HD", ("Attribute6",), "TRANSACTIONID"),
+    Level("PAYMENTID", "TR", ("Attribute1",), "TRANSACTIONID"),
+]
+POS_DATE = {"TRANSACTIONDATE": ("H", "Attribute2")}
+
+# The fields of the record types used here, from Attribute1 on.
+POS_LAYOUTS = {
+    "H": "RETAILSTOREID BUSINESSDAYDATE TRANSTYPECODE WORKSTATIONID TRANSNUMBER BEGINTIMESTAMP ENDDATETIMESTAMP OPERATORQUAL OPERATORID TRANSCURRENCY",
+    "L": "RETAILNUMBER RETAILTYPECODE RETAILREASONCODE ITEMIDQUALIFIER ITEMID RETAILQUANTITY SALESUOM SALESAMOUNT NORMALSALESAMOUNT ENTRYMETHODCODE",
+    "55": "ORGPRICE",
+    "LD": "DISCNUMBER DISCTYPECODE DISCREASONCODE REDUCTIONAMOUNT DISCOUNTID BONUSBUYID",
+    "HD": "DISCNUMBER DISCTYPECODE DISCREASONCODE REDUCTIONAMOUNT DISCOUNTID BONUSBUYID",
+    "34": "REWARDAMNT",
+    "TR": "TENDERNUMBER TENDERTYPECODE TENDERAMOUNT TENDERID ACCOUNTNUMBER",
+    "13": "NEGTNDRFLG",
+    "LC": "LOYNUMBER CUSTCARDNUMBER LOYPROGRAMID LOYPNTSAWARDED ELIGIBLEAMOUNT",
+    "38": "COUNTCRDUS LREASNCODE",
+    "41": "PROMOID PRDESC",
+    "64": "PROMOID PRDESC",
+    "39": "CPONBARCOD CPONAMT",
+}
+
+
+def read_pos(spark, path: str) -> DataFrame:
+    """Records of point-of-sale files with the keys of the records above them, stored by record type.
+
+    Each record type becomes one partition, so a model table reads its own records only.
+    """
+    raw = R.with_position(R.scan_delimited(spark, path, schema=POS_SCHEMA)).drop("Attribute0")
+    keyed = propagate_parent_keys(raw, record_type="recordtype", levels=POS_LEVELS, file_col=R.FILE, position_col=R.POSITION, carried=POS_DATE)
+    target = fresh_path(spark, "pos")
+    keyed.drop(R.FILE, R.POSITION).write.partitionBy("recordtype").parquet(target)
+    schema = keyed.drop(R.FILE, R.POSITION).schema
+    return spark.read.schema(schema).parquet(target)
+
+
+def record(pos: DataFrame, kind: str, keys: Sequence[str], layouts: Mapping[str, str] = POS_LAYOUTS) -> DataFrame:
+    """One record type with its field names and the chosen keys."""
+    fields = layouts[kind].split()
+    return pos.where(F.col("recordtype") == kind).select(*keys, *[F.col(f"Attribute{i}").alias(f) for i, f in enumerate(fields, 1)])
+
+
+def pos_tables(pos: DataFrame) -> dict[str, DataFrame]:
+    """Model tables, each from a main record and the records that extend it."""
+    tid, lid, aid, did, pid, day = "TRANSACTIONID", "TRANSACTIONLINEITEMID", "TRANADJUSTMENTID", "TRANSLINEADJUSTMENTID", "PAYMENTID", "TRANSACTIONDATE"
+    rec = lambda k, *keys: record(pos, k, keys)
+    lines = rec("L", tid, lid, day).join(rec("55", lid), lid, "left")
+    promo = S.union_distinct_rows(rec("41", tid, day).where("PROMOID is not null"), rec("64", tid, day).where("PROMOID is not null"))
+    return {
+        "Transaction": rec("H", tid),
+        "TransactionLineItem": lines,
+        "TransactionLineItemAdjustment": rec("LD", tid, lid, did, day),
+        "TransactionAdjustment": rec("HD", tid, aid, day).join(rec("34", aid), aid, "left"),
+        "TransactionLoyaltyAccount": rec("LC", tid, day).join(rec("38", tid), tid, "left"),
+        "TransactionPromotion": promo,
+        "TransactionPayment": rec("TR", tid, pid, day).select(tid, pid, day).distinct(),
+        "Payment": rec("TR", pid).join(rec("13", pid), pid, "left"),
+        "TransactionCoupon": rec("39", tid, day),
+    }
+
+
+LINES1_SQL = "lines as (select * exclude (r) from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) as r from lineitem) where r = 1)"
+
+
+def write_pos(t: Tables) -> str:
+    """Orders and their lines as point-of-sale files: whole transactions in order, each file led by an orphan line."""
+    o = t.orders.select("*", F.date_format("o_orderdate", "yyyyMMdd").alias("d"))
+    rest = [c for c in t.lineitem.columns if c not in ("l_orderkey", "l_linenumber")]
+    li = A.dedupe_by(t.lineitem, ["l_orderkey", "l_linenumber"], rest)
+    k = F.col("o_orderkey").alias("ok")
+
+    def rows(df, seq, kind, *fields):
+        text = F.concat_ws("|", F.lit(""), F.lit(kind), *[F.coalesce(f.cast("string"), F.lit("")) if not isinstance(f, str) else F.lit(f) for f in fields])
+        return df.select(k if "o_orderkey" in df.columns else F.col("l_orderkey").alias("ok"), seq.alias("seq"), text.alias("value"))
+
+    at = lambda n: F.lit(n).cast("bigint")
+    line = F.col("l_linenumber").cast("bigint") * 10
+    price, disc = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
+    cust = F.col("o_custkey")
+    parts = [
+        rows(o, at(0), "H", cust, F.col("d"), F.col("o_orderstatus"), "1", F.col("o_orderkey"), F.concat("d", F.lit("0900")), F.concat("d", F.lit("0905")), "", "", "GBP"),
+        rows(o.where(cust % 3 == 0), at(1), "LC", "1", F.concat(F.lit("card"), cust.cast("string")), "P", cust % 100, ""),
+        rows(o.where(cust % 6 == 0), at(2), "38", "2", "R1"),
+        rows(li, line + 10, "L", F.col("l_linenumber"), F.col("l_linestatus"), F.col("l_returnflag"), "SKU", F.col("l_partkey"), money("l_quantity"), "EA", price, price, "S"),
+        rows(li.where("l_quantity > 40"), line + 11, "55", price),
+        rows(li.where("l_discount > 0.05D"), line + 12, "LD", "1", "Z", "R", disc, "D1", "B1"),
+        rows(o.where("o_orderpriority = '1-URGENT'"), at(1000), "HD", "1", "Z", "R", "5.00", "D2", "B9"),
+        rows(o.where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'"), at(1001), "34", "7"),
+        rows(o.where("o_orderstatus = 'P'"), at(1002), "41", "P41", "spring"),
+        rows(o.where("o_orderstatus <> 'F'"), at(1003), "64", F.when(cust % 2 == 0, "P64"), "autumn"),
+        rows(o.where("o_orderpriority = '5-LOW'"), at(1004), "39", F.concat(F.lit("c"), cust.cast("string")), "1.50"),
+        rows(o, at(1005), "TR", "1", "CARD", money("o_totalprice"), "T1", ""),
+        rows(o.where("o_totalprice > 400000"), at(1006), "13", "Y"),
+    ]
+    path = fresh_path(t.spark, "pos_in")
+    ordered = S.union_all_rows(*parts).repartitionByRange(4, "ok").sortWithinPartitions("ok", "seq").select("value")
+    framed(ordered, "|L|99|orphan", None).write.text(path)
+    return path
+
+
+POS_SQL = f"""{LINES1_SQL}, h as (select o_orderkey as ok, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, strftime(o_orderdate, '%Y%m%d') as d, cast(o_custkey as varchar) || '1' || strftime(o_orderdate, '%Y%m%d') || '0900' || cast(o_orderkey as varchar) as tid from orders),
+l as (select h.*, lines.*, tid || 'L' || cast(l_linenumber as varchar) as lid from lines join h on l_orderkey = ok)"""
+
+
+@query("feed_pos_transactions", f"""
+with {POS_SQL}
+select 'Transaction' as model, tid as id, cast(null as varchar) as sub_id, cast(null as varchar) as day, o_orderstatus as code, cast(ok as varchar) as detail from h
+union all select 'TransactionLineItem', tid, lid, d, cast(l_partkey as varchar), case when l_quantity > 40 then cast(cast(l_extendedprice as decimal(18,2)) as varchar) end from l
+union all select 'TransactionLineItemAdjustment', tid, lid || 'LD1', d, 'D1', cast(cast(l_discount as decimal(4,2)) as varchar) from l where l_discount > 0.05
+union all select 'TransactionAdjustment', tid, tid || 'HDB9', d, 'D2', case when o_orderstatus = 'F' then '7' end from h where o_orderpriority = '1-URGENT'
+union all select 'TransactionLoyaltyAccount', tid, null, d, 'card' || cast(o_custkey as varchar), case when o_custkey % 6 = 0 then '2' end from h where o_custkey % 3 = 0
+union all select 'TransactionPromotion', tid, null, d, 'P41', 'spring' from h where o_orderstatus = 'P' union all select 'TransactionPromotion', tid, null, d, 'P64', 'autumn' from h where o_orderstatus <> 'F' and o_custkey % 2 = 0
+union all select 'TransactionPayment', tid, tid || 'TR1', d, null, null from h union all select 'Payment', null, tid || 'TR1', null, cast(cast(o_totalprice as decimal(18,2)) as varchar), case when o_totalprice > 400000 then 'Y' end from h
+union all select 'TransactionCoupon', tid, null, d, 'c' || cast(o_custkey as varchar), '1.50' from h where o_orderpriority = '5-LOW' union all select 'orphans', null, null, null, '4', null from region where r_regionkey = 0""")
+def feed_pos_transactions(t: Tables):
+    """Point-of-sale files to model tables; lines above the first header keep null keys."""
+    pos = read_pos(t.spark, write_pos(t))
+    tables = pos_tables(pos)
+    shown = {
+        "Transaction": ("TRANSACTIONID", None, None, "TRANSTYPECODE", "TRANSNUMBER"),
+        "TransactionLineItem": ("TRANSACTIONID", "TRANSACTIONLINEITEMID", "TRANSACTIONDATE", "ITEMID", "ORGPRICE"),
+        "TransactionLineItemAdjustment": ("TRANSACTIONID", "TRANSLINEADJUSTMENTID", "TRANSACTIONDATE", "DISCOUNTID", "REDUCTIONAMOUNT"),
+        "TransactionAdjustment": ("TRANSACTIONID", "TRANADJUSTMENTID", "TRANSACTIONDATE", "DISCOUNTID", "REWARDAMNT"),
+        "TransactionLoyaltyAccount": ("TRANSACTIONID", None, "TRANSACTIONDATE", "CUSTCARDNUMBER", "COUNTCRDUS"),
+        "TransactionPromotion": ("TRANSACTIONID", None, "TRANSACTIONDATE", "PROMOID", "PRDESC"),
+        "TransactionPayment": ("TRANSACTIONID", "PAYMENTID", "TRANSACTIONDATE", None, None),
+        "Payment": (None, "PAYMENTID", None, "TENDERAMOUNT", "NEGTNDRFLG"),
+        "TransactionCoupon": ("TRANSACTIONID", None, "TRANSACTIONDATE", "CPONBARCOD", "CPONAMT"),
+    }
+    outs = []
+    for name, cols in shown.items():
+        df = tables[name]
+        if name == "TransactionLineItem":
+            orphans = df.where("TRANSACTIONID is null").agg(F.count(F.lit(1)).cast("string").alias("code"))
+            outs.append(orphans.select(F.lit("orphans").alias("model"), "code"))
+            df = df.where("TRANSACTIONID is not null")
+        outs.append(df.select(F.lit(name).alias("model"), *[(F.col(c) if c else F.lit(None).cast("string")).alias(n) for n, c in zip(("id", "sub_id", "day", "code", "detail"), cols)]))
+    return S.union_padded(*outs)
+
+
+# ---- XML feeds
+
+ORDER_MAP = [("o_orderkey", "OrderId"), ("id", "CustomerId"), ("status", "Status"), ("", "Currency"), ("priority", "Priority"), ("line", "Line"), ("part", "Product"), ("qty", "Quantity"), ("discount", "Discount")]
+
+
+@query("feed_orders_xml", """
+select shape, cast(o_orderkey as varchar) as OrderId, cast(o_custkey as varchar) as CustomerId, o_orderstatus as Status, cast(null as varchar) as Currency, o_orderpriority as Priority, line as Line, part as Product, qty as Quantity, cast(null as varchar) as Discount, 'web' as SourceSystem
+from (select 'many' as shape, o.*, cast(l_linenumber as varchar) as line, cast(l_partkey as varchar) as part, cast(cast(l_quantity as decimal(18,2)) as varchar) as qty from orders o left join lineitem on l_orderkey = o_orderkey
+ union all select 'one', o.*, '1', cast(o_custkey as varchar), '1.00' from orders o)""")
+def feed_orders_xml(t: Tables):
+    """Order XML to one conformed all-text table, whether a file holds one item per order or many."""
+    from lakeops.plans.cleaning import nested_orders
+    head = "o_orderkey string, customer struct<id: string, status: string>, meta struct<priority: string>, lines "
+    item = "struct<line: string, part: string, qty: string>"
+    many = nested_orders(t)
+    one = many.withColumn("lines", F.struct(F.lit("1").alias("line"), F.col("customer.id").alias("part"), F.lit("1.00").alias("qty")))
+    outs = []
+    for shape, df, kind in (("many", many, f"array<{item}>"), ("one", one, item)):
+        docs = R.scan_xml_rows(t.spark, write_xml(df, t, "mi_order", "mi_summary"), row_tag="mi_order", schema=head + kind)
+        flat = N.flatten_structs(N.struct_or_array(docs, "lines"), ["customer", "meta"])
+        table = C.constant_columns(C.conform_columns(N.explode_outer_rows(flat, "lines"), ORDER_MAP), {"SourceSystem": "web"})
+        out = O.write_run_folder(table, fresh_path(t.spark, "orders_xml"), run_date="20010801", run_time="101500")
+        outs.append(out.select(F.lit(shape).alias("shape"), "*"))
+    return S.union_all_rows(*outs)
+
+
+@query("feed_site_xml", """
+select cast(s_suppkey as varchar) as SiteId, s_name as Name, p.part as PPart_Code, p.qty as PPart_Qty, n_name as PNation_Name, cast(null as varchar) as PFax_Number from supplier left join nation on n_nationkey = s_nationkey and n_nationkey % 4 <> 1
+left join (select l_suppkey, cast(l_partkey as varchar) as part, cast(sum(cast(l_quantity as decimal(18,2))) as varchar) as qty from lineitem where l_quantity > 45 group by l_suppkey, l_partkey) p on p.l_suppkey = s_suppkey""")
+def feed_site_xml(t: Tables):
+    """Site XML with optional repeating groups, flattened with a prefix per group; absent groups give nulls."""
+    per = t.lineitem.where("l_quantity > 45").groupBy("l_suppkey", "l_partkey").agg(F.sum(money("l_quantity")).cast("decimal(28,2)").alias("qty"))
+    parts = N.array_from_rows(per, keys=["l_suppkey"], fields={"l_partkey": "Code", "qty": "Qty"}, name="Part")
+    sites = t.supplier.join(parts, F.col("l_suppkey") == F.col("s_suppkey"), "left").join(t.nation.where("n_nationkey % 4 <> 1"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    docs = sites.select(F.col("s_suppkey").alias("SiteId"), F.col("s_name").alias("Name"), F.struct("Part").alias("Parts"),
+                        F.when(F.col("n_name").isNotNull(), F.struct(F.col("n_name").alias("Name"))).alias("Nation"))
+    schema = "SiteId string, Name string, Parts struct<Part: array<struct<Code: string, Qty: string>>>, Nation struct<Name: string>"
+    read = R.scan_xml_rows(t.spark, write_xml(docs, t, "Site", "Sites"), row_tag="Site", schema=schema)
+    flat = N.flatten_optional_groups(read, [("Parts.Part", "PPart_"), ("Faxes.Fax", "PFax_"), ("Nation", "PNation_")])
+    wanted = ["SiteId", "Name", "PPart_Code", "PPart_Qty", "PNation_Name", "PFax_Number"]
+    return C.conform_columns(flat, [(c, c) for c in wanted])
+
+
+@query("feed_case_xml", """
+select cast(o_orderkey as varchar) as CaseNumber, o_orderstatus as Status, cast(case when o_orderkey % 3 = 0 then o_custkey else o_custkey + 1000000 end as varchar) as Contact_Number, o_orderpriority as Review_Date, cast(null as varchar) as Related_CaseNumber from orders""")
+def feed_case_xml(t: Tables):
+    """Case XML with a namespace prefix on every name, and a contact that is nested or flat."""
+    k = F.col("o_orderkey")
+    tag = lambda name, v: F.concat(F.lit(f"<hr:{name}>"), v.cast("string"), F.lit(f"</hr:{name}>"))
+    contact = F.when(k % 3 == 0, tag("Contact", tag("Number", F.col("o_custkey")))).otherwise(tag("Contact_Number", F.col("o_custkey") + 1000000))
+    row = F.concat(tag("CaseNumber", k), tag("Status", F.col("o_orderstatus")), tag("Review_Date", F.col("o_orderpriority")), contact)
+    path = fresh_path(t.spark, "cases")
+    framed(t.orders.select(tag("result", row).alias("value")), '<hr:results xmlns:hr="urn:cases">', "</hr:results>").write.text(path)
+    schema = "`hr:CaseNumber` string, `hr:Status` string, `hr:Review_Date` string, `hr:Contact` struct<`hr:Number`: string>, `hr:Contact_Number` string"
+    read = C.strip_name_prefix(R.scan_xml_rows(t.spark, path, row_tag="hr:result", schema=schema), "hr:")
+    inner = read.schema["Contact"].dataType
+    contact = F.when(F.col("Contact").isNotNull(), F.struct(*[F.col("Contact")[n].alias(n.removeprefix("hr:")) for n in inner.names]))
+    read = read.withColumn("Contact", contact)
+    picked = read.select("CaseNumber", "Status", "Review_Date", N.pick_nested_or_flat(read, "Contact", "Number"), N.pick_nested_or_flat(read, "Related", "CaseNumber"))
+    return C.cast_all_string(C.select_column_order(picked, ["CaseNumber", "Status", "Contact_Number", "Review_Date", "Related_CaseNumber"]))
+
+
+# ---- delimited, change-event and merge feeds
+
+@query("feed_delimited", """
+select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment, '202401' || lpad(cast(c_nationkey + 1 as varchar), 2, '0') as Source_Sent_Date, '1015' || lpad(cast(c_nationkey as varchar), 2, '0') as Source_Sent_Time, (select count(*) from customer) as rows_in_run from customer""")
+def feed_delimited(t: Tables):
+    """A delimited feed: files, lineage columns from their names, run folder, and counts of both sides."""
+    source = R.filename_columns(R.scan_delimited(t.spark, named_feed(t), schema=FEED), parts={3: "Source_Sent_Date", 4: "Source_Sent_Time"})
+    out = O.write_run_folder(source, fresh_path(t.spark, "delimited"), run_date="20010801", run_time="101500")
+    counts = L.feed_counts_row(source, out, names=("customers", "run"))
+    agreed = counts.where("source_count = destination_count").select("destination_count")
+    return out.withColumn("rows_in_run", agreed.scalar())
+
+
+@query("feed_change_events", f"""
+with {ENV_SQL} select event_type as entity, extraction_time, cast(sum(case when message_operation = 'DELETE' then 1 else 0 end) as bigint) as deletes, count(*) as unique_rows, count(distinct user_id) as users from env group by 1, 2""")
+def feed_change_events(t: Tables):
+    """Change events drained from files, one folder per entity and batch, then summed up."""
+    src, out = fresh_path(t.spark, "events_in"), fresh_path(t.spark, "events_out")
+    # Copies of a message stay in one file and so in one batch, where they are removed.
+    envelopes(t).repartition(4, "body").write.parquet(src)
+    entities = {k: v for k, v in ENTITIES.items() if k != "refund"}
+    sdf = X.stream_file_source(t.spark, src, schema="body binary", fmt="parquet", max_files=2)
+    X.stream_for_each_batch(sdf, X.land_entities(entities, out), checkpoint=fresh_path(t.spark, "events_state")).awaitTermination()
+    frames = []
+    for name, ddl in entities.items():
+        landed = t.spark.read.schema(ddl + ", message_operation string, message_sequence string, extraction_time string").parquet(f"{out}/{name}/batch=*")
+        frames.append(landed.select(F.lit(name).alias("entity"), "user_id", "message_operation", "extraction_time"))
+    rows = S.union_all_rows(*frames)
+    return A.agg_two_level(rows, ["entity", "extraction_time"], ["user_id"], inner_aggs=[F.sum(F.expr("if(message_operation = 'DELETE', 1, 0)")).alias("d"), F.count(F.lit(1)).alias("n")],
+                           outer_aggs=[F.sum("d").alias("deletes"), F.sum("n").alias("unique_rows"), F.count(F.lit(1)).alias("users")])
+
+
+@query("feed_merge", "select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, '\"' || o_orderpriority || '\", ok' as note from orders")
+def feed_merge(t: Tables):
+    """Many small files of one table merged into few quoted files."""
+    df = t.orders.select("o_orderkey", "o_orderstatus", F.concat(F.lit('"'), "o_orderpriority", F.lit('", ok')).alias("note"))
+    src = fresh_path(t.spark, "merge_in")
+    df.repartition(12, "o_orderkey").write.csv(src, header=True, sep="|", quoteAll=True)
+    return O.compact_small_files(t.spark, src, fresh_path(t.spark, "merged"), target_bytes=256 * 1024, schema=R.text_schema(["o_orderkey", "o_orderstatus", "note"]))
