@@ -91,24 +91,24 @@ PACK_COLS = ["p_name", "p_brand", "p_size"]
 
 
 @query("mart_dim_product_pack", "with " + scd2_sql(
-    "select p_partkey, p_name, p_brand, p_size from part where p_partkey % 6 <> 5",
-    "select p_partkey, case when p_partkey % 4 = 0 then p_name || ' XL' else p_name end as p_name, p_brand, case when p_partkey % 10 = 1 then null else p_size end as p_size from part where p_partkey % 8 <> 3",
+    "select p_partkey, p_name, p_brand, p_size from part where p_size < 45",
+    "select p_partkey, case when p_partkey % 4 = 0 then p_name || ' XL' else p_name end as p_name, p_brand, case when p_partkey % 10 = 1 then null else p_size end as p_size from part where p_size > 4",
     ["p_partkey"], PACK_COLS, "sk_pack") + " select * from dim")
 def mart_dim_product_pack(t: Tables):
     """Product packs: a delivery repeats products under older run times, and the newest row per product counts."""
-    p = t.part.select("p_partkey", *PACK_COLS)
+    p = t.part.select("p_partkey", *PACK_COLS)  # deliveries overlap, but neither has all products
     k = F.col("p_partkey")
-    second = p.where("p_partkey % 8 <> 3").withColumns({"p_name": F.when(k % 4 == 0, F.concat("p_name", F.lit(" XL"))).otherwise(F.col("p_name")),
+    second = p.where("p_size > 4").withColumns({"p_name": F.when(k % 4 == 0, F.concat("p_name", F.lit(" XL"))).otherwise(F.col("p_name")),
                                                        "p_size": F.when(k % 10 != 1, F.col("p_size"))})
     older = stamped(p.withColumn("p_name", F.lit("superseded")), "2001-07-01 00:00:00").join(second.select("p_partkey"), "p_partkey", "left_semi")
-    return load_scd2([(stamped(p.where("p_partkey % 6 <> 5"), RUN1), RUN1), (stamped(second, RUN2).unionByName(older), RUN2)],
+    return load_scd2([(stamped(p.where("p_size < 45"), RUN1), RUN1), (stamped(second, RUN2).unionByName(older), RUN2)],
                      keys=["p_partkey"], cols=PACK_COLS, sk="sk_pack")
 
 
 def price_list(t: Tables, average_below: int) -> DataFrame:
     """Unit price per part and pricing region: basic, else average, else a default, with its source."""
     regions = t.part.select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("region"))
-    basic = t.part.where("p_size <= 15 and p_partkey % 9 <> 0").select(
+    basic = t.part.where("p_size between 3 and 15").select(
         "p_partkey", (F.col("p_partkey") % 5).cast("int").alias("region"), F.col("p_retailprice").cast("decimal(28,10)").alias("unit_price"))
     no_basic = J.anti_join_not_in(t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_quantity", "l_extendedprice"), basic, "p_partkey")
     average = no_basic.where(F.col("l_quantity") < average_below).groupBy("p_partkey").agg(F.min(money("l_extendedprice")).cast("decimal(28,10)").alias("unit_price"))
@@ -124,10 +124,10 @@ def price_list(t: Tables, average_below: int) -> DataFrame:
 def _price_sql(below: int) -> str:
     return f"""select p.p_partkey, r_name as pricing_region, case when b.p_partkey is not null then b.unit_price when a.p_partkey is not null then a.unit_price else cast(0.01 as decimal(28,10)) end as unit_price,
   case when b.p_partkey is not null then 'Basic' when a.p_partkey is not null then 'Average' else 'Default' end as price_source
- from part p cross join region left join (select p_partkey, cast(p_partkey % 5 as int) as region, cast(p_retailprice as decimal(28,10)) as unit_price from part where p_size <= 15 and p_partkey % 9 <> 0) b on b.p_partkey = p.p_partkey and b.region = r_regionkey
+ from part p cross join region left join (select p_partkey, cast(p_partkey % 5 as int) as region, cast(p_retailprice as decimal(28,10)) as unit_price from part where p_size between 3 and 15) b on b.p_partkey = p.p_partkey and b.region = r_regionkey
  left join (select l_partkey as p_partkey, cast(min(cast(l_extendedprice as decimal(18,2))) as decimal(28,10)) as unit_price from lineitem where l_quantity < {below}
-   and l_partkey not in (select p_partkey from part where p_size <= 15 and p_partkey % 9 <> 0) group by 1) a on a.p_partkey = p.p_partkey
- where b.p_partkey is not null or p.p_partkey not in (select p_partkey from part where p_size <= 15 and p_partkey % 9 <> 0)"""
+   and l_partkey not in (select p_partkey from part where p_size between 3 and 15) group by 1) a on a.p_partkey = p.p_partkey
+ where b.p_partkey is not null or p.p_partkey not in (select p_partkey from part where p_size between 3 and 15)"""
 
 
 @query("mart_dim_price", "with " + scd2_sql(_price_sql(10), _price_sql(15), ["p_partkey", "pricing_region"], ["unit_price", "price_source"], "sk_price") + " select * from dim")
@@ -138,29 +138,29 @@ def mart_dim_price(t: Tables):
 
 
 @query("mart_dim_pack_size", "with " + scd2_sql(
-    "select s_suppkey, s_name, s_nationkey from supplier where s_suppkey % 5 <> 4", "select s_suppkey, s_name, case when s_suppkey % 3 = 0 then s_nationkey + 1 else s_nationkey end as s_nationkey from supplier",
+    "select s_suppkey, s_name, s_nationkey from supplier where s_acctbal >= 1000", "select s_suppkey, s_name, case when s_suppkey % 3 = 0 then s_nationkey + 1 else s_nationkey end as s_nationkey from supplier",
     ["s_suppkey"], ["s_name", "s_nationkey"], "sk_pack_size") + " select * from dim")
 def mart_dim_pack_size(t: Tables):
     """Incremental load with keys above the highest one, as SCD-2; rows from before the last load are ignored."""
-    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     second = s.withColumn("s_nationkey", F.when(F.col("s_suppkey") % 3 == 0, F.col("s_nationkey") + 1).otherwise(F.col("s_nationkey")))
     late = stamped(s.withColumn("s_name", F.lit("too late")), "2000-12-31 00:00:00")
-    return load_scd2([(stamped(s.where("s_suppkey % 5 <> 4"), RUN1), RUN1), (stamped(second, RUN2).unionByName(late), RUN2)],
+    return load_scd2([(stamped(s.where("s_acctbal >= 1000"), RUN1), RUN1), (stamped(second, RUN2).unionByName(late), RUN2)],
                      keys=["s_suppkey"], cols=["s_name", "s_nationkey"], sk="sk_pack_size")
 
 
 @query("mart_dim_reason", f"""
-with t as (select row_number() over (order by c_custkey) as sk_reason, c_custkey, c_name, c_mktsegment from customer where c_custkey % 4 <> 1),
-s as (select c_custkey, case when c_custkey % 6 = 0 then c_name || ' *' else c_name end as c_name, c_mktsegment from customer where c_custkey % 3 <> 2),
+with t as (select row_number() over (order by c_custkey) as sk_reason, c_custkey, c_name, c_mktsegment from customer where c_acctbal >= 1000),
+s as (select c_custkey, case when c_custkey % 6 = 0 then c_name || ' *' else c_name end as c_name, c_mktsegment from customer where c_acctbal < 8000),
 n as (select (select max(sk_reason) from t) + row_number() over (order by s.c_custkey) as sk_reason, s.* from s where c_custkey not in (select c_custkey from t))
 select t.sk_reason, t.c_custkey, coalesce(s.c_name, t.c_name) as c_name, t.c_mktsegment, timestamp '{RUN1}' as create_datetime, case when s.c_custkey is not null then timestamp '{RUN2}' end as update_datetime from t left join s on s.c_custkey = t.c_custkey
 union all select sk_reason, c_custkey, c_name, c_mktsegment, timestamp '{RUN2}', null from n""")
 def mart_dim_reason(t: Tables):
     """Incremental load as SCD-1: known reasons change in place, new ones get the next keys."""
-    c = stamped(t.customer.select("c_custkey", "c_name", "c_mktsegment"), RUN1)
-    dim = C.audit_columns(W.surrogate_key(c.where("c_custkey % 4 <> 1"), order=["c_custkey"], name="sk_reason"), as_of=RUN1)
+    c = stamped(t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal"), RUN1)
+    dim = C.audit_columns(W.surrogate_key(c.where("c_acctbal >= 1000").drop("c_acctbal"), order=["c_custkey"], name="sk_reason"), as_of=RUN1)
     dim = materialise(dim, name="dim_reason")
-    fresh = c.where("c_custkey % 3 <> 2").withColumns({
+    fresh = c.where("c_acctbal < 8000").withColumns({
         "c_name": F.when(F.col("c_custkey") % 6 == 0, F.concat("c_name", F.lit(" *"))).otherwise(F.col("c_name")), RUN_COL: F.lit(RUN2).cast("timestamp_ntz")})
     src = D.incremental_since(fresh.unionByName(c.withColumn("c_name", F.lit("too late"))), dim, ts=RUN_COL)
     known = src.join(dim.select("c_custkey", "sk_reason"), "c_custkey", "left")
@@ -172,17 +172,17 @@ def mart_dim_reason(t: Tables):
 
 SITE_COLS = ["s_name", "country", "region_no", "region_name", "company"]
 SITE_SQL = """select s_suppkey as site_code, s_name, n_name as country, coalesce(n_regionkey, -1) as region_no, coalesce(r_name, 'UNKNOWN') as region_name, coalesce(company, 'UNKNOWN') as company from supplier
- left join (select * from nation where n_nationkey % 6 <> 5) on n_nationkey = {} left join region on r_regionkey = n_regionkey left join (select distinct s_nationkey as k, 'Company ' || cast(s_nationkey % 4 as varchar) as company from supplier where s_nationkey % 7 <> 2) on k = s_nationkey"""
+ left join (select * from nation where n_nationkey < 20) on n_nationkey = {} left join region on r_regionkey = n_regionkey left join (select distinct s_nationkey as k, 'Company ' || cast(s_nationkey % 4 as varchar) as company from supplier where s_nationkey < 18) on k = s_nationkey"""
 
 
 @query("mart_dim_site", "with " + scd2_sql(SITE_SQL.format("s_nationkey"), SITE_SQL.format("(case when s_suppkey % 4 = 1 then 24 - s_nationkey else s_nationkey end)"), ["site_code"], SITE_COLS, "sk_store") + " select * from dim")
 def mart_dim_site(t: Tables):
     """Sites with their country, region and company, the company from a CSV look-up, as SCD-2 on the site code."""
     path = fresh_path(t.spark, "companies")
-    company = t.supplier.where("s_nationkey % 7 <> 2").select(F.col("s_nationkey").alias("k"), F.concat(F.lit("Company "), (F.col("s_nationkey") % 4).cast("string")).alias("company"))
+    company = t.supplier.where("s_nationkey < 18").select(F.col("s_nationkey").alias("k"), F.concat(F.lit("Company "), (F.col("s_nationkey") % 4).cast("string")).alias("company"))
     company.distinct().write.csv(path, header=True)
     lookup = R.scan_csv_header_glob(t.spark, f"{path}/*.csv", schema="k int, company string")
-    nations = t.nation.where("n_nationkey % 6 <> 5")
+    nations = t.nation.where("n_nationkey < 20")
 
     def sites(moved):
         s = t.supplier.withColumn("_n", moved)
@@ -204,12 +204,12 @@ def mart_dim_bridge(t: Tables):
 
 
 @query("mart_dim_prescribable", "with " + scd2_sql(
-    "select p_partkey as product_code, p_type as product_type, cast(p_retailprice as decimal(18,4)) as price from part", "select p_partkey as product_code, p_type as product_type, cast(p_retailprice * case when p_partkey % 5 = 0 then 2 else 1 end as decimal(18,4)) as price from part where p_partkey % 2 = 0",
+    "select p_partkey as product_code, p_type as product_type, cast(p_retailprice as decimal(18,4)) as price from part", "select p_partkey as product_code, p_type as product_type, cast(p_retailprice * case when p_partkey % 5 = 0 then 2 else 1 end as decimal(18,4)) as price from part where p_size <= 25",
     ["product_code"], ["product_type", "price"], "sk_product") + " select * from dim")
 def mart_dim_prescribable(t: Tables):
     """Prescribable products, incremental, as SCD-2."""
-    p = t.part.select(F.col("p_partkey").alias("product_code"), F.col("p_type").alias("product_type"), F.col("p_retailprice").cast("decimal(18,4)").alias("price"))
-    second = p.where("product_code % 2 = 0").withColumn("price", F.when(F.col("product_code") % 5 == 0, F.col("price") * 2).otherwise(F.col("price")).cast("decimal(18,4)"))
+    p = t.part.select(F.col("p_partkey").alias("product_code"), F.col("p_type").alias("product_type"), F.col("p_retailprice").cast("decimal(18,4)").alias("price"), "p_size")
+    second = p.where("p_size <= 25").withColumn("price", F.when(F.col("product_code") % 5 == 0, F.col("price") * 2).otherwise(F.col("price")).cast("decimal(18,4)"))
     return load_scd2([(stamped(p, RUN1), RUN1), (stamped(second, RUN2), RUN2)], keys=["product_code"], cols=["product_type", "price"], sk="sk_product")
 
 

@@ -113,8 +113,8 @@ def write_pos(t: Tables) -> str:
     cust = F.col("o_custkey")
     parts = [
         rows(o, at(0), "H", cust, F.col("d"), F.col("o_orderstatus"), "1", F.col("o_orderkey"), F.concat("d", F.lit("0900")), F.concat("d", F.lit("0905")), "", "", "GBP"),
-        rows(o.where(cust % 3 == 0), at(1), "LC", "1", F.concat(F.lit("card"), cust.cast("string")), "P", cust % 100, ""),
-        rows(o.where(cust % 6 == 0), at(2), "38", "2", "R1"),
+        rows(o.where("o_orderpriority in ('2-HIGH', '3-MEDIUM')"), at(1), "LC", "1", F.concat(F.lit("card"), cust.cast("string")), "P", cust % 100, ""),
+        rows(o.where("o_orderpriority = '2-HIGH'"), at(2), "38", "2", "R1"),
         rows(li, line + 10, "L", F.col("l_linenumber"), F.col("l_linestatus"), F.col("l_returnflag"), "SKU", F.col("l_partkey"), money("l_quantity"), "EA", price, price, "S"),
         rows(li.where("l_quantity > 40"), line + 11, "55", price),
         rows(li.where("l_discount > 0.05D"), line + 12, "LD", "1", "Z", "R", disc, "D1", "B1"),
@@ -142,7 +142,7 @@ select 'Transaction' as model, tid as id, cast(null as varchar) as sub_id, cast(
 union all select 'TransactionLineItem', tid, lid, d, cast(l_partkey as varchar), case when l_quantity > 40 then cast(cast(l_extendedprice as decimal(18,2)) as varchar) end from l
 union all select 'TransactionLineItemAdjustment', tid, lid || 'LD1', d, 'D1', cast(cast(l_discount as decimal(4,2)) as varchar) from l where l_discount > 0.05
 union all select 'TransactionAdjustment', tid, tid || 'HDB9', d, 'D2', case when o_orderstatus = 'F' then '7' end from h where o_orderpriority = '1-URGENT'
-union all select 'TransactionLoyaltyAccount', tid, null, d, 'card' || cast(o_custkey as varchar), case when o_custkey % 6 = 0 then '2' end from h where o_custkey % 3 = 0
+union all select 'TransactionLoyaltyAccount', tid, null, d, 'card' || cast(o_custkey as varchar), case when o_orderpriority = '2-HIGH' then '2' end from h where o_orderpriority in ('2-HIGH', '3-MEDIUM')
 union all select 'TransactionPromotion', tid, null, d, 'P41', 'spring' from h where o_orderstatus = 'P' union all select 'TransactionPromotion', tid, null, d, 'P64', 'autumn' from h where o_orderstatus <> 'F' and o_custkey % 2 = 0
 union all select 'TransactionPayment', tid, tid || 'TR1', d, null, null from h union all select 'Payment', null, tid || 'TR1', null, cast(cast(o_totalprice as decimal(18,2)) as varchar), case when o_totalprice > 400000 then 'Y' end from h
 union all select 'TransactionCoupon', tid, null, d, 'c' || cast(o_custkey as varchar), '1.50' from h where o_orderpriority = '5-LOW' union all select 'orphans', null, null, null, '4', null from region where r_regionkey = 0""")
@@ -190,7 +190,7 @@ def feed_orders_xml(t: Tables):
     one = many.withColumn("lines", F.struct(F.lit("1").alias("line"), F.col("customer.id").alias("part"), F.lit("1.00").alias("qty")))
     outs = []
     for shape, df, kind in (("many", many, f"array<{item}>"), ("one", one, item)):
-        docs = R.scan_xml_rows(t.spark, write_xml(df, t, "mi_order", "mi_summary"), row_tag="mi_order", schema=head + kind)
+        docs = R.scan_xml_rows(t.spark, write_xml(df, t, "web_order", "web_orders"), row_tag="web_order", schema=head + kind)
         flat = N.flatten_structs(N.struct_or_array(docs, "lines"), ["customer", "meta"])
         table = C.constant_columns(C.conform_columns(N.explode_outer_rows(flat, "lines"), ORDER_MAP), {"SourceSystem": "web"})
         out = O.write_run_folder(table, fresh_path(t.spark, "orders_xml"), run_date="20010801", run_time="101500")
@@ -199,13 +199,13 @@ def feed_orders_xml(t: Tables):
 
 
 @query("feed_site_xml", """
-select cast(s_suppkey as varchar) as SiteId, s_name as Name, p.part as PPart_Code, p.qty as PPart_Qty, n_name as PNation_Name, cast(null as varchar) as PFax_Number from supplier left join nation on n_nationkey = s_nationkey and n_nationkey % 4 <> 1
+select cast(s_suppkey as varchar) as SiteId, s_name as Name, p.part as PPart_Code, p.qty as PPart_Qty, n_name as PNation_Name, cast(null as varchar) as PFax_Number from supplier left join nation on n_nationkey = s_nationkey and n_nationkey >= 6
 left join (select l_suppkey, cast(l_partkey as varchar) as part, cast(sum(cast(l_quantity as decimal(18,2))) as varchar) as qty from lineitem where l_quantity > 45 group by l_suppkey, l_partkey) p on p.l_suppkey = s_suppkey""")
 def feed_site_xml(t: Tables):
     """Site XML with optional repeating groups, flattened with a prefix per group; absent groups give nulls."""
     per = t.lineitem.where("l_quantity > 45").groupBy("l_suppkey", "l_partkey").agg(F.sum(money("l_quantity")).cast("decimal(28,2)").alias("qty"))
     parts = N.array_from_rows(per, keys=["l_suppkey"], fields={"l_partkey": "Code", "qty": "Qty"}, name="Part")
-    sites = t.supplier.join(parts, F.col("l_suppkey") == F.col("s_suppkey"), "left").join(t.nation.where("n_nationkey % 4 <> 1"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    sites = t.supplier.join(parts, F.col("l_suppkey") == F.col("s_suppkey"), "left").join(t.nation.where("n_nationkey >= 6"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
     docs = sites.select(F.col("s_suppkey").alias("SiteId"), F.col("s_name").alias("Name"), F.struct("Part").alias("Parts"),
                         F.when(F.col("n_name").isNotNull(), F.struct(F.col("n_name").alias("Name"))).alias("Nation"))
     schema = "SiteId string, Name string, Parts struct<Part: array<struct<Code: string, Qty: string>>>, Nation struct<Name: string>"

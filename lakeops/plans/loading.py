@@ -27,9 +27,9 @@ DIM_SQL = f"""dim as (select c_custkey, c_name, c_nationkey, c_mktsegment, 'Y' a
 
 
 @query("incremental_since", """
-select o_orderkey, o_orderdate from orders where o_orderdate > (select max(o_orderdate) from orders where o_orderstatus = 'P' and o_custkey % 50 = 3)""")
+select o_orderkey, o_orderdate from orders where o_orderdate > (select max(o_orderdate) from orders where o_orderstatus = 'P' and o_orderdate < timestamp '1999-06-01')""")
 def _(t: Tables):
-    loaded = t.orders.where("o_orderstatus = 'P' and o_custkey % 50 = 3")
+    loaded = t.orders.where("o_orderstatus = 'P' and o_orderdate < timestamp_ntz '1999-06-01'")
     return D.incremental_since(t.orders.select("o_orderkey", "o_orderdate"), loaded, ts="o_orderdate")
 
 
@@ -146,14 +146,14 @@ def _(t: Tables):
 
 @query("scan_active_files_by_watermark", """
 with f as (select 'orders_' || o_custkey as file_name, max(o_orderdate) as modified_at from orders group by 1),
-w as (select 'orders_' || o_custkey as file_name, max(o_orderdate) as last_processed_at from orders where o_orderstatus = 'F' and o_custkey % 3 <> 0 group by 1)
+w as (select 'orders_' || o_custkey as file_name, max(o_orderdate) as last_processed_at from orders where o_orderstatus = 'F' and o_orderpriority <> '1-URGENT' group by 1)
 select f.file_name, modified_at, coalesce(last_processed_at, timestamp '1900-01-01') as last_processed_at from f left join w on f.file_name = w.file_name
 where modified_at > coalesce(last_processed_at, timestamp '1900-01-01')""")
 def _(t: Tables):
     from lakeops.sources.files import scan_active_files_by_watermark
     name = F.concat(F.lit("orders_"), F.col("o_custkey").cast("string")).alias("file_name")
     files = t.orders.groupBy(name).agg(F.max("o_orderdate").alias("modified_at"))
-    seen = t.orders.where("o_orderstatus = 'F' and o_custkey % 3 <> 0").groupBy(name).agg(F.max("o_orderdate").alias("last_processed_at"))
+    seen = t.orders.where("o_orderstatus = 'F' and o_orderpriority <> '1-URGENT'").groupBy(name).agg(F.max("o_orderdate").alias("last_processed_at"))
     marks = seen.withColumn("stage", F.lit("curate")).unionByName(files.select("file_name", F.col("modified_at").alias("last_processed_at"), F.lit("other").alias("stage")))
     return scan_active_files_by_watermark(files, marks, stage="curate")
 
@@ -223,7 +223,7 @@ def _(t: Tables):
     return L.next_extract_window(_restart_log(t), feed="Product", days=30)
 
 
-_STAGE = {"curate_stage": "true", "curate_standard": "o_custkey % 7 <> 0 or o_totalprice > 100000", "curate_store": "o_custkey % 7 <> 0", "curate_warehouse": "o_custkey % 7 <> 0 and o_custkey % 31 <> 4"}
+_STAGE = {"curate_stage": "true", "curate_standard": "o_totalprice < 495000", "curate_store": "o_totalprice < 485000", "curate_warehouse": "o_totalprice < 475000"}
 _COUNTS_SQL = "counts as (" + " union all ".join(f"select o_custkey, '{s}' as stage, count(*) as n from orders where {c} group by 1" for s, c in _STAGE.items()) + ")"
 
 

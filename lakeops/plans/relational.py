@@ -229,15 +229,15 @@ def _(t: Tables):
 
 
 CUSTOMER_V2_SQL = """v2 as (select c_custkey, c_name, case when c_custkey % 4 = 0 then c_nationkey + 1 when c_custkey % 10 = 3 then null else c_nationkey end as c_nationkey,
-  c_mktsegment from customer where c_custkey % 7 <> 5 union all select c_custkey + 10000000000, c_name || ' new', c_nationkey, c_mktsegment from customer where c_custkey % 9 = 0)"""
+  c_mktsegment from customer where c_acctbal >= 0 union all select c_custkey + 10000000000, c_name || ' new', c_nationkey, c_mktsegment from customer where c_acctbal > 9000)"""
 
 
 def customer_v2(t: Tables):
     """A second delivery of the customers: some moved, some without a nation, some gone, some new."""
-    c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
     moved = F.when(F.col("c_custkey") % 4 == 0, F.col("c_nationkey") + 1).when(F.col("c_custkey") % 10 == 3, F.lit(None)).otherwise(F.col("c_nationkey"))
-    kept = c.where("c_custkey % 7 <> 5").withColumn("c_nationkey", moved)
-    fresh = c.where("c_custkey % 9 = 0").withColumns({"c_custkey": F.col("c_custkey") + F.lit(10000000000), "c_name": F.concat("c_name", F.lit(" new"))})
+    kept = t.customer.where("c_acctbal >= 0").select(*cols).withColumn("c_nationkey", moved)
+    fresh = t.customer.where("c_acctbal > 9000").select(*cols).withColumns({"c_custkey": F.col("c_custkey") + F.lit(10000000000), "c_name": F.concat("c_name", F.lit(" new"))})
     return kept.unionByName(fresh)
 
 

@@ -233,14 +233,14 @@ def mart_performance_bands(t: Tables):
 def _main(t: Tables) -> DataFrame:
     """Product rows per period with their type: new, deleted or base."""
     out = A.agg_rolling_periods(sales(t), PERIODS, rank="week_rank", keys=["location", "l_partkey"], aggs={c: F.col(c) for c in ("tesp_ty", "tesp_ly", "units_ty", "units_ly")})
-    gone = t.part.where("p_partkey % 11 = 3").select(F.col("p_partkey").alias("l_partkey"), F.lit("Y").alias("gone"))
+    gone = t.part.where("p_size = 7").select(F.col("p_partkey").alias("l_partkey"), F.lit("Y").alias("gone"))
     out = out.join(gone, "l_partkey", "left").join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type"), "l_partkey")
     kind = C.case_rules([("tesp_ty > 0 and tesp_ly = 0", "NPD"), ("gone is not null", "Deletes")], "Base")
     return out.withColumns({"kind": kind, "discontinued": F.coalesce("gone", F.lit("N"))}).drop("gone")
 
 
 MAIN_SQL = f"""{SALES_SQL}, main as (select time_period, location, l_partkey, cast(sum(tesp_ty) as decimal(28,2)) as tesp_ty, cast(sum(tesp_ly) as decimal(28,2)) as tesp_ly, cast(sum(units_ty) as decimal(28,2)) as units_ty, cast(sum(units_ly) as decimal(28,2)) as units_ly from ranked join {PERIODS_SQL} on week_rank between lo and hi group by 1, 2, 3),
-typed as (select main.*, p_brand, p_type, case when tesp_ty > 0 and tesp_ly = 0 then 'NPD' when l_partkey % 11 = 3 then 'Deletes' else 'Base' end as kind, case when l_partkey % 11 = 3 then 'Y' else 'N' end as discontinued from main join part on p_partkey = l_partkey)"""
+typed as (select main.*, p_brand, p_type, case when tesp_ty > 0 and tesp_ly = 0 then 'NPD' when p_size = 7 then 'Deletes' else 'Base' end as kind, case when p_size = 7 then 'Y' else 'N' end as discontinued from main join part on p_partkey = l_partkey)"""
 
 
 @query("mart_performance_bridge", f"""

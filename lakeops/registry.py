@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,6 +18,7 @@ class Tables:
     """Attribute access to the Parquet tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        tune(spark)
         self.spark = spark
         self.folder = folder.rstrip("/")
 

@@ -11,15 +11,26 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
+# Set on any session the queries run in: a skewed join is split even where a later step then needs a shuffle.
+RUNTIME_SETTINGS = {
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 _local_roots: dict[str, str] = {}
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the runtime settings."""
+    for key, value in RUNTIME_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 def local_session(app: str = "lakeops", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benches on one machine."""
     builder = (
@@ -30,7 +41,7 @@ def local_session(app: str = "lakeops", cores: str = "*", shuffle_partitions: in
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **RUNTIME_SETTINGS}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -55,8 +66,19 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; no two calls return the same one."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in this application's part of it; no two calls return the same one."""
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def application_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_root(spark)}/lakeops-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once no result is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, *, path: str | None = None, name: str = "stage") -> DataFrame:
