@@ -125,20 +125,35 @@ def week_date_range(cal: DataFrame, fin_week: DataFrame, *, shift_days: int = 0,
                     F.date_add(F.max("date_value"), shift_days).alias("week_end"))
 
 
+def between_days(col: str | Column, first, last) -> Column:
+    """Rows from the start of the first day to the end of the last.
+
+    The column itself is compared, not a date made from it, so the predicate
+    reaches the scan and skips files and row groups.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return (c >= F.lit(first).cast("date")) & (c < F.date_add(F.lit(last).cast("date"), 1))
+
+
 def load_mode_filter(col: str | Column, *, mode: str, cal: DataFrame | None = None, as_of: str | None = None,
                      date_from: str | None = None, date_to: str | None = None, period: str = "fin_week",
                      shift_days: int = 0) -> Column:
-    """The date predicate of a load: ``I`` takes the last completed period, ``H`` the given dates."""
-    day = (F.col(col) if isinstance(col, str) else col).cast("date")
+    """The date predicate of a load: ``I`` takes the last completed period, ``H`` the given dates.
+
+    In mode ``I`` one row of the calendar, the period's two ends, is read here,
+    so that the predicate holds plain dates.
+    """
     if mode == "H":
-        return day.between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date"))
+        return between_days(col, date_from, date_to)
     if mode != "I":
         raise ValueError(f"load mode must be I or H, not {mode}")
     if period == "month":
-        span = previous_month(cal, as_of=as_of)
-        return day.between(span.select("month_start").scalar(), span.select("month_end").scalar())
-    span = week_date_range(cal, previous_fin_week(cal, as_of=as_of), shift_days=shift_days)
-    return day.between(span.select("week_start").scalar(), span.select("week_end").scalar())
+        span = previous_month(cal, as_of=as_of).select("month_start", "month_end").first()
+    else:
+        span = week_date_range(cal, previous_fin_week(cal, as_of=as_of), shift_days=shift_days).first()
+    if span is None or span[0] is None:
+        return F.lit(False)
+    return between_days(col, span[0], span[1])
 
 
 def week_anchor_calendar(cal: DataFrame, *, minus_one_years: tuple[int, ...] = ()) -> DataFrame:
