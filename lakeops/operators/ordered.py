@@ -44,10 +44,11 @@ def to_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descendi
     """Rows with the number of the consecutive block they fall in.
 
     Range boundaries come from a sample, so a second evaluation may cut
-    elsewhere: the blocks are written down once.
+    elsewhere. A caller computes what it needs inside the blocks in the same
+    job, stores the result with ``materialise``, and goes on from there.
     """
     ranged = df.repartitionByRange(*[F.col(k) for k in keys], *sort_keys(order, descending))
-    return materialise(ranged.withColumn(BLOCK, F.spark_partition_id()), name="blocks")
+    return ranged.withColumn(BLOCK, F.spark_partition_id())
 
 
 def crossing(per_block: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -107,9 +108,10 @@ def running(
             joiner = F.sum if o.kind == "count" else plain[o.kind]
             carries.append(joiner(t).over(before).alias(f"_car_{o.name}"))
 
-    per_block = crossing(blocks.groupBy(*keys, BLOCK).agg(*totals), keys)
+    stored = materialise(blocks.select("*", *local), name="blocks")
+    per_block = crossing(stored.groupBy(*keys, BLOCK).agg(*totals), keys)
     carry = per_block.select(*keys, BLOCK, *carries)
-    joined = add_carry(blocks.select("*", *local), carry, keys, [f"_car_{o.name}" for o in outputs])
+    joined = add_carry(stored, carry, keys, [f"_car_{o.name}" for o in outputs])
     result = []
     for o in outputs:
         at, car = F.col(f"_at_{o.name}"), F.col(f"_car_{o.name}")

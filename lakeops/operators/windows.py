@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.ordered import (
     BLOCK, KINDS, Running, add_carry, crossing, join_back, numbered, ranked, running, sort_keys, to_blocks,
 )
+from lakeops.session import materialise
 
 
 def window_apply(df: DataFrame, *, partition: Sequence[str], order: Sequence[str], func: str, name: str,
@@ -197,6 +198,7 @@ def propagate_parent_keys(df: DataFrame, *, record_type: str, levels: Sequence[L
         local = local.select("*", *[F.when(F.col(record_type) == lv.record, opened(lv)).alias(f"_o_{lv.name}") for lv in same])
         local = local.select("*", *[F.last(f"_o_{lv.name}", ignorenulls=True).over(inside).alias(f"_l_{lv.name}") for lv in same])
 
+    local = materialise(local, name="keyed")
     ends = [F.max_by(f"_o_{lv.name}", F.when(F.col(f"_o_{lv.name}").isNotNull(), F.col(position_col))).alias(f"_e_{lv.name}")
             for lv in levels]
     carry = crossing(local.groupBy(*keys, BLOCK).agg(*ends), keys)
