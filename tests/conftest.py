@@ -40,8 +40,11 @@ def duck(sf):
 
 
 @pytest.fixture
-def many_blocks(spark):
-    """Keep all shuffle partitions, so that small groups are cut into blocks too."""
+def many_blocks(spark, monkeypatch):
+    """Let no group fit in a task, and keep all shuffle partitions: small groups are cut into blocks too."""
+    from lakeops.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_GROUP_ROWS", 0)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

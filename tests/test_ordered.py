@@ -37,8 +37,10 @@ def brute(data, keyed=True, descending=False):
     return result
 
 
+@pytest.mark.parametrize("limit", [0, 100, 10_000])
 @pytest.mark.parametrize("keyed", [True, False])
-def test_running_matches_brute_force(spark, many_blocks, keyed):
+def test_running_matches_brute_force(spark, many_blocks, monkeypatch, keyed, limit):
+    monkeypatch.setattr(O, "MAX_GROUP_ROWS", limit)
     data = rows()
     df = spark.createDataFrame(data, "k string, t int, id int, v int").repartition(7)
     kinds = ["count", "sum", "min", "max", "last"]
@@ -65,7 +67,9 @@ def test_hot_group_is_cut_into_blocks(spark, many_blocks):
     assert max(sizes) < len(rows()) / 2
 
 
-def test_rank_and_dense_rank(spark, many_blocks):
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_rank_and_dense_rank(spark, many_blocks, monkeypatch, limit):
+    monkeypatch.setattr(O, "MAX_GROUP_ROWS", limit)
     data = [("a", x) for x in (5, 5, 3, 9, 9, 9, 1)] + [("b", 4), ("b", 4)]
     df = spark.createDataFrame(data, "k string, v int")
     out = O.ranked(O.ranked(df, keys=["k"], order=["v"], name="r"), keys=["k"], order=["v"], name="d", dense=True)
@@ -84,7 +88,9 @@ def test_empty_input(spark):
     assert W.fill_forward_global(df, "v", order=["t"]).count() == 0
 
 
-def test_parent_keys_across_blocks(spark, many_blocks):
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_parent_keys_across_blocks(spark, many_blocks, monkeypatch, limit):
+    monkeypatch.setattr(O, "MAX_GROUP_ROWS", limit)
     rng = random.Random(11)
     data, want = [], {}
     pos = 0
