@@ -258,7 +258,7 @@ def _half_up(num: str, scale: int) -> str:
 
 
 @query("format_kpi", f"""
-with v as (select o_orderkey, cast(o_totalprice as decimal(18,4)) as v, cast(cast(o_totalprice as decimal(18,4)) / 1000000 - 0.25 as decimal(18,4)) as s from
+with v as (select o_orderkey, cast(o_totalprice as decimal(18,4)) as v, cast(cast(o_totalprice as decimal(18,4)) * cast(0.000001 as decimal(7,6)) - cast(0.25 as decimal(3,2)) as decimal(18,4)) as s from
   (select o_orderkey, cast(o_totalprice as decimal(18,2)) as o_totalprice from orders)),
 w as (select o_orderkey, v, s, cast({_half_up('abs(s) * 100', 1)} as varchar) as pct, cast({_half_up('abs(s)', 2)} as varchar) as pnd from v)
 select o_orderkey, cast({_half_up('v * cast(0.000001 as decimal(7,6))', 2)} as varchar) || 'm' as millions, '£' || cast(cast(v as decimal(18,2)) as varchar) as pounds,
