@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from lakeops import registry
 from check_queries import compare
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 def test_every_query_has_sql():
