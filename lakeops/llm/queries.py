@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import mixing, quality_rules, secret_scan, sharding
-from lakeops.llm.common import Tables
+from lakeops.llm import language_id, mixing, near_dedup, quality_pu, quality_rules, secret_scan, sharding, token_files
+from lakeops.llm.common import Tables, crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """Path of an installed tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op1_secret_scan")
 def op1_secret_scan(t: Tables) -> DataFrame:
     """Spans of secrets in every document: counts and digest of the base kinds, and all spans."""
@@ -38,6 +45,13 @@ def op1_secret_scan(t: Tables) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"))
 
 
+@query("op4_quality_classifier")
+def op4_quality_classifier(t: Tables) -> DataFrame:
+    """Quality score of every document; labels of every fourth id, by crc32, are never read."""
+    model = quality_pu.train(t.documents, t.labels, crc_mod("doc_id", 4) != 2)
+    return quality_pu.scored(t.documents.select("doc_id", "text"), model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(t: Tables) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
@@ -45,12 +59,31 @@ def op5_quality_rules(t: Tables) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+@query("op6_near_dedup")
+def op6_near_dedup(t: Tables) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return near_dedup.near_duplicates(t.documents)
+
+
 @query("op7_shard_tree")
 def op7_shard_tree(t: Tables) -> DataFrame:
     """Every document's place in 40 shards, and its shard when there is one more."""
     return sharding.shard_documents(t.documents, 40)
 
 
+@query("op8_language_id")
+def op8_language_id(t: Tables) -> DataFrame:
+    """Language of every document; languages of every fourth id, by crc32, are never read."""
+    model = language_id.train(t.documents, crc_mod("doc_id", 4) != 2)
+    return language_id.identified(t.documents.select("doc_id", "text"), model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op9_token_files")
+def op9_token_files(t: Tables) -> DataFrame:
+    """The place and checksum of every document's ids in the written files."""
+    return token_files.read_documents(token_files.write_token_files(t.documents, vocabulary("word_bpe_49k.json")))
+
+
 @query("op10_source_mix")
 def op10_source_mix(t: Tables) -> DataFrame:
     """How many words of each document the mix takes."""
