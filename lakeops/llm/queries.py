@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import language_id, mixing, near_dedup, quality_pu, quality_rules, secret_scan, sharding, token_files
+from lakeops.llm import decontaminate, language_id, mixing, near_dedup, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity
 from lakeops.llm.common import Tables, crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,19 @@ def op1_secret_scan(t: Tables) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"))
 
 
+@query("op2_decontamination")
+def op2_decontamination(t: Tables) -> DataFrame:
+    """Every benchmark item found in every document, with its score and overlaps."""
+    return decontaminate.leaks(t.documents, t.benchmark)
+
+
+@query("op3_toxicity")
+def op3_toxicity(t: Tables) -> DataFrame:
+    """Toxicity score of every document; labels of every fifth id, by crc32, are never read."""
+    model = toxicity.train(t.documents, t.labels, crc_mod("doc_id", 5) != 0)
+    return toxicity.scored(t.documents.select("doc_id", "text"), model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query("op4_quality_classifier")
 def op4_quality_classifier(t: Tables) -> DataFrame:
     """Quality score of every document; labels of every fourth id, by crc32, are never read."""
