@@ -45,6 +45,16 @@ def _children(tree: Tree) -> dict[str, list[tuple[str, float]]]:
     return out
 
 
+def _draw(key: Column, path: Column):
+    """The draw of a child below ``path``, with its name."""
+
+    def drawn(child: Column) -> Column:
+        unit = (draw60(key, F.lit("|"), path, F.lit("/"), child["name"]).cast("double") + F.lit(0.5)) / F.lit(float(2**60))
+        return F.struct((-F.log(unit) / child["weight"]).alias("d"), child["name"].alias("name"))
+
+    return drawn
+
+
 def shard_of(key: Column, tree: Tree) -> Column:
     """The shard (int) of a text key. The tree is a literal, as large as the number of shards."""
     nodes = _children(tree)
@@ -52,13 +62,7 @@ def shard_of(key: Column, tree: Tree) -> Column:
     path = F.lit("")
     for paths in levels:
         kids = F.create_map(*[x for p in paths for x in (F.lit(p), F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(w)).alias("weight")) for n, w in nodes[p]]))])
-        here = path
-
-        def drawn(child: Column, here: Column = here) -> Column:
-            unit = (draw60(key, F.lit("|"), here, F.lit("/"), child["name"]).cast("double") + F.lit(0.5)) / F.lit(float(2**60))
-            return F.struct((-F.log(unit) / child["weight"]).alias("d"), child["name"].alias("name"))
-
-        path = F.concat(path, F.lit("/"), F.array_min(F.transform(F.element_at(kids, path), drawn))["name"])
+        path = F.concat(path, F.lit("/"), F.array_min(F.transform(F.element_at(kids, path), _draw(key, path)))["name"])
     return F.element_at(F.split(path, "/"), -1).cast("int")
 
 
