@@ -34,11 +34,11 @@ def join_full_coalesce_keys(left: DataFrame, right: DataFrame, keys: Sequence[st
     return left.join(right, list(keys), "full")
 
 
-def join_apply(left: DataFrame, right: DataFrame, *, on_sql: str, how: str, select_sql: Sequence[str] = ("*",),
-               repartition: tuple[str, str] | None = None) -> DataFrame:
-    """Join of a recipe: the sides are named ``l`` and ``r`` in the SQL texts."""
-    if repartition:
-        left, right = left.repartition(repartition[0]), right.repartition(repartition[1])
+def join_apply(left: DataFrame, right: DataFrame, *, on_sql: str, how: str, select_sql: Sequence[str] = ("*",)) -> DataFrame:
+    """Join of a recipe: the sides are named ``l`` and ``r`` in the SQL texts.
+
+    Spark shuffles the sides itself where the join needs it, and so can split a hot key.
+    """
     return left.alias("l").join(right.alias("r"), F.expr(on_sql), how).selectExpr(*select_sql)
 
 

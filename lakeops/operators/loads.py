@@ -6,6 +6,7 @@ the (smaller) source; its untouched rows pass through.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from lakeops.operators.aggs import dedupe_by
 from lakeops.operators.clean import OPEN_END, OPEN_START
 from lakeops.operators.joins import anti_left_join_null
 from lakeops.session import materialise
-from lakeops.sources.sinks import truncate_and_load
+from lakeops.sources.sinks import drop_partition_folders, replace_partitions, truncate_and_load
 
 FLAG, START, END = "scd_active_flag", "record_start_date", "record_end_date"
 CREATED, UPDATED = "create_datetime", "update_datetime"
@@ -145,8 +146,10 @@ def scd1_folder(src: DataFrame, path: str, *, keys: Sequence[str], as_of: str, p
                 order_col: str | None = None) -> DataFrame:
     """SCD-1 into a Parquet folder; the first load creates it.
 
-    With ``partition_keys`` only the partitions the source brings are read and
-    rewritten. The result is stored before its target is replaced.
+    With ``partition_keys`` the partitions that the source brings and those
+    that hold any of its keys now are read and rewritten, so a key that moves
+    leaves its old partition. Finding them reads keys and partition columns
+    only. The result is stored before its target is replaced.
     """
     spark = src.sparkSession
     cols = [c for c in src.columns if c not in keys]
@@ -158,22 +161,31 @@ def scd1_folder(src: DataFrame, path: str, *, keys: Sequence[str], as_of: str, p
         return spark.read.schema(first.schema).parquet(path)
     schema = spark.read.parquet(path).schema
     tgt = spark.read.schema(schema).parquet(path)
-    if partition_keys:
-        tgt = tgt.join(src.select(*partition_keys).distinct(), list(partition_keys), "left_semi")
+    parts = list(partition_keys)
+    if parts:
+        held = tgt.join(src.select(*[F.col(k).alias(f"_s_{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys], "left_semi").select(*parts)
+        touched = materialise(held.union(src.select(*parts)).distinct(), name="touched").select(*[F.col(k).alias(f"_t_{k}") for k in parts])
+        tgt = tgt.join(touched, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in parts], "left_semi")
     new = materialise(scd1_upsert(src, tgt, keys=keys, update_cols=cols, as_of=as_of, order_col=order_col), name="scd1")
     if partition_keys:
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_keys).parquet(path))
+        emptied = touched.join(new.select(*parts).distinct(), [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in parts], "left_anti").collect()
+        replace_partitions(new, path, parts)
+        drop_partition_folders(spark, path, parts, emptied)
         return spark.read.schema(schema).parquet(path)
     return truncate_and_load(new, path)
 
 
 def scd2_folder(src: DataFrame, path: str, *, keys: Sequence[str], compare: Sequence[str], as_of: str,
-                active: tuple[str, str] = ("Y", "N"), end_mode: str = "contiguous", order_col: str | None = None) -> DataFrame:
+                active: tuple[str, str] = ("Y", "N"), end_mode: str = "contiguous", order_col: str | None = None,
+                load_id: str | None = None) -> DataFrame:
     """SCD-2 into a Parquet folder; the first load creates it.
 
     The folder is partitioned by the active flag and by the run that closed a
     row. A load reads and rewrites the active partition only and adds one
     partition of closed rows, in one commit; older history is never touched.
+    ``load_id`` names that partition and must be new to the folder; by default
+    it is, also for two loads with one ``as_of``. A load that runs again finds
+    its rows unchanged and closes nothing.
     """
     spark = src.sparkSession
     run = "closed_run"
@@ -187,9 +199,9 @@ def scd2_folder(src: DataFrame, path: str, *, keys: Sequence[str], compare: Sequ
         incoming = scd2_changed_rows(src, current, cols=[*keys, *compare], active=active[0])
         merged = scd2_upsert(incoming, current, keys=keys, cols=cols, as_of=as_of, active=active, end_mode=end_mode,
                              order_col=order_col)
-        label = F.when(F.col(FLAG) == active[0], "open").otherwise("r" + "".join(ch for ch in as_of if ch.isdigit()))
+        label = F.when(F.col(FLAG) == active[0], "open").otherwise(load_id or "r" + "".join(ch for ch in as_of if ch.isdigit()) + "-" + uuid.uuid4().hex[:12])
         stored = materialise(merged.withColumn(run, label), name="scd2")
-        (stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FLAG, run).parquet(path))
+        replace_partitions(stored, path, [FLAG, run])
     return spark.read.parquet(path).drop(run)
 
 

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators.ordered import numbered
-
 
 def flatten_structs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace each struct by its fields."""
@@ -78,20 +76,11 @@ def pick_nested_or_flat(df: DataFrame, parent: str, field: str):
     return F.coalesce(*options, F.lit(None).cast("string")).alias(f"{parent}_{field}")
 
 
-def array_from_rows(df: DataFrame, *, keys: Sequence[str], fields: Mapping[str, str] | Sequence[str], name: str,
-                    at_most: int = 10_000) -> DataFrame:
+def array_from_rows(df: DataFrame, *, keys: Sequence[str], fields: Mapping[str, str] | Sequence[str], name: str) -> DataFrame:
     """One row per parent with the sorted array of its children.
 
-    The largest group is counted first. If a parent has more than ``at_most``
-    children, its children are numbered in blocks and it gets one row per
-    ``at_most`` of them, so no array outgrows a task and no child is lost.
+    The array is one value of one row, so a parent's children must fit in a task's memory by nature.
     """
     pairs = list(fields.items() if isinstance(fields, Mapping) else [(f, f) for f in fields])
     child = F.struct(*[F.col(s).alias(t) for s, t in pairs])
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    array = F.sort_array(F.collect_list(child)).alias(name)
-    if largest <= at_most:
-        return df.groupBy(*keys).agg(array)
-    placed = numbered(df, keys=keys, order=[s for s, _ in pairs], name="_nth")
-    chunk = F.floor((F.col("_nth") - 1) / at_most).alias("_chunk")
-    return placed.groupBy(*keys, chunk).agg(array).drop("_chunk")
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(child)).alias(name))

@@ -1,12 +1,14 @@
 """Running values over an order, without putting an unbounded group in one task.
 
 A plain window puts each partition-by group (or, without one, the whole table)
-in a single task. That is used only after a count has shown that the largest
-group is small enough. Otherwise rows are range-partitioned on group and order
-columns, so a large group is cut into consecutive blocks. Values are computed
-inside each block, and a carry from the earlier blocks is added. Only groups
-that cross a block boundary need a carry, and there are fewer of those than
-blocks, so the carry table has at most two rows per block.
+in a single task. Here rows are range-partitioned on group and order columns,
+whatever their number, so a large group is cut into consecutive blocks. Values
+are computed inside each block, and a carry from the earlier blocks is added.
+Only groups that cross a block boundary need a carry, and there are fewer of
+those than blocks, so the carry table has at most two rows per block.
+
+Block boundaries come from a sample and may differ between runs, so only types
+whose sums do not depend on the order of addition can be summed.
 """
 
 from __future__ import annotations
@@ -22,9 +24,6 @@ from lakeops.session import materialise
 BLOCK = "_block"
 KINDS = ("count", "sum", "min", "max", "last")
 
-# The largest group that one task may hold in a plain window.
-MAX_GROUP_ROWS = 500_000
-
 
 @dataclass(frozen=True)
 class Running:
@@ -44,12 +43,6 @@ def sort_keys(order: Sequence[str], descending: Sequence[str] = ()) -> list[Colu
     return [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_first() for c in order]
 
 
-def fits_in_task(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether no group has more than ``MAX_GROUP_ROWS`` rows: one pass over the key columns, combined in each task."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.agg(F.max("n")).first()[0] or 0) <= MAX_GROUP_ROWS
-
-
 def to_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: Sequence[str] = ()) -> DataFrame:
     """Rows with the number of the consecutive block they fall in.
 
@@ -100,11 +93,9 @@ def running(
     plain = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
     replaced = {o.name for o in outputs}
     staged = df.withColumns({f"_in_{o.name}": _col(o.value) if o.kind != "count" else F.lit(1) for o in outputs})
-    if fits_in_task(df, keys):
-        whole = Window.partitionBy(*keys).orderBy(*sort_keys(order, descending)).rowsBetween(Window.unboundedPreceding, 0)
-        values = [(F.last(f"_in_{o.name}", ignorenulls=True) if o.kind == "last" else plain[o.kind](f"_in_{o.name}")).over(whole).alias(o.name)
-                  for o in outputs]
-        return staged.select(*[F.col(c) for c in df.columns if c not in replaced], *values)
+    inexact = [o.name for o in outputs if o.kind == "sum" and staged.schema[f"_in_{o.name}"].dataType.typeName() in ("double", "float")]
+    if inexact:
+        raise ValueError(f"a running sum of floating numbers depends on the order of addition, cast to a decimal: {inexact}")
     blocks = to_blocks(staged, keys, order, descending)
 
     inside = Window.partitionBy(BLOCK, *keys).orderBy(*sort_keys(order, descending))
@@ -166,13 +157,9 @@ def ranked(df: DataFrame, *, keys: Sequence[str] = (), order: Sequence[str], nam
            descending: Sequence[str] = ()) -> DataFrame:
     """``rank`` or ``dense_rank`` per group.
 
-    For large groups, ties are folded to one row with a count before the
-    running step, and the rank is joined back.
+    Ties are folded to one row with a count before the running step, and the
+    rank is joined back.
     """
-    if fits_in_task(df, keys):
-        place = F.dense_rank() if dense else F.rank()
-        over = Window.partitionBy(*keys).orderBy(*sort_keys(order, descending))
-        return df.withColumn(name, place.over(over).cast("bigint"))
     folded = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_ties"))
     if dense:
         ranks = numbered(folded, keys=keys, order=order, name=name, descending=descending).drop("_ties")

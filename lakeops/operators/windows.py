@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordered import (
-    BLOCK, KINDS, Running, add_carry, crossing, fits_in_task, join_back, numbered, ranked, running, sort_keys, to_blocks,
+    BLOCK, KINDS, Running, add_carry, crossing, join_back, numbered, ranked, running, sort_keys, to_blocks,
 )
 from lakeops.session import materialise
 
@@ -167,15 +167,14 @@ def propagate_parent_keys(df: DataFrame, *, record_type: str, levels: Sequence[L
     ``{name: (record, column)}``, such as the business date of a header.
     Records before the first header of their file get null keys.
 
-    Files too large for one task are cut into blocks, and a block may start in
+    Files are cut into blocks, and a block may start in
     the middle of a transaction. There a key opened in the block is kept with
     the name of the ancestor it still lacks, and is completed by that
     ancestor's carry, so one pass over the file is enough.
     """
     levels = [*levels, *[Level(n, r, (c,)) for n, (r, c) in (carried or {}).items()]]
     keys = [file_col]
-    whole = fits_in_task(df, keys)
-    rows = df.withColumn(BLOCK, F.lit(0)) if whole else to_blocks(df, keys, [position_col])
+    rows = to_blocks(df, keys, [position_col])
     inside = Window.partitionBy(BLOCK, *keys).orderBy(*sort_keys([position_col])).rowsBetween(Window.unboundedPreceding, 0)
     plain = set((carried or {}).keys())
     depth: dict[str, int] = {}
@@ -200,10 +199,6 @@ def propagate_parent_keys(df: DataFrame, *, record_type: str, levels: Sequence[L
         local = local.select("*", *[F.when(F.col(record_type) == lv.record, opened(lv)).alias(f"_o_{lv.name}") for lv in same])
         local = local.select("*", *[F.last(f"_o_{lv.name}", ignorenulls=True).over(inside).alias(f"_l_{lv.name}") for lv in same])
 
-    if whole:
-        # A key that still lacks an ancestor has none: it stands above the first header.
-        return local.select(*df.columns, *[
-            F.when(F.col(f"_l_{lv.name}")["lacks"].isNull(), F.col(f"_l_{lv.name}")["text"]).alias(lv.name) for lv in levels])
     local = materialise(local, name="keyed")
     ends = [F.max_by(f"_o_{lv.name}", F.when(F.col(f"_o_{lv.name}").isNotNull(), F.col(position_col))).alias(f"_e_{lv.name}")
             for lv in levels]

@@ -127,7 +127,7 @@ def write_pos(t: Tables) -> str:
         rows(o.where("o_totalprice > 400000"), at(1006), "13", "Y"),
     ]
     path = fresh_path(t.spark, "pos_in")
-    ordered = S.union_all_rows(*parts).repartitionByRange(4, "ok").sortWithinPartitions("ok", "seq").select("value")
+    ordered = S.union_all_rows(*parts).repartitionByRange("ok").sortWithinPartitions("ok", "seq").select("value")
     framed(ordered, "|L|99|orphan", None).write.text(path)
     return path
 
@@ -271,5 +271,5 @@ def feed_merge(t: Tables):
     """Many small files of one table merged into few quoted files."""
     df = t.orders.select("o_orderkey", "o_orderstatus", F.concat(F.lit('"'), "o_orderpriority", F.lit('", ok')).alias("note"))
     src = fresh_path(t.spark, "merge_in")
-    df.repartition(12, "o_orderkey").write.csv(src, header=True, sep="|", quoteAll=True)
+    df.repartition("o_orderkey").write.csv(src, header=True, sep="|", quoteAll=True)
     return O.compact_small_files(t.spark, src, fresh_path(t.spark, "merged"), target_bytes=256 * 1024, schema=R.text_schema(["o_orderkey", "o_orderstatus", "note"]))

@@ -41,10 +41,10 @@ def framed(lines: DataFrame, head: str | None, tail: str | None) -> DataFrame:
     return lines.mapInPandas(frame, "value string")
 
 
-def write_feed(t: Tables, df: DataFrame, *, head: str | None, tail: str | None, files: int = 4) -> str:
+def write_feed(t: Tables, df: DataFrame, *, head: str | None, tail: str | None) -> str:
     """A feed of several text files with header and trailer lines."""
     path = fresh_path(t.spark, "feed")
-    framed(lines_of(df.repartition(files, df.columns[0])), head, tail).write.text(path)
+    framed(lines_of(df.repartition(df.columns[0])), head, tail).write.text(path)
     return path
 
 
@@ -127,7 +127,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = fresh_path(t.spark, "infer")
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"))
-    o.repartition(4, "o_orderkey").write.csv(path, header=True, sep="|")
+    o.repartition("o_orderkey").write.csv(path, header=True, sep="|")
     return R.scan_csv_infer(t.spark, f"{path}/part-*.csv")
 
 
@@ -194,18 +194,18 @@ def _(t: Tables):
 def _three_snapshots(t: Tables) -> str:
     base = fresh_path(t.spark, "snapshots")
     for i in (1, 2, 3):
-        part = t.customer.where(F.col("c_nationkey") < 8 * i).select("c_custkey", F.lit(i).alias("version"))
-        part.coalesce(1).write.parquet(f"{base}/v{i}")
+        part = t.customer.where((F.col("c_nationkey") < 8 * i) | F.lit(i == 3)).select("c_custkey", F.lit(i).alias("version"))
+        part.repartition("c_custkey").write.parquet(f"{base}/v{i}")
     return base
 
 
-@query("scan_latest_file", "select c_custkey, cast(3 as int) as version from customer where c_nationkey < 24")
+@query("scan_latest_file", "select c_custkey, cast(3 as int) as version from customer")
 def _(t: Tables):
     return R.scan_latest_file(t.spark, _three_snapshots(t), fmt="parquet", schema="c_custkey bigint, version int")
 
 
 @query("scan_latest_two_files", """
-select c_custkey, cast(3 as int) as version, cast(1 as int) as snapshot from customer where c_nationkey < 24 union all select c_custkey, cast(2 as int), cast(2 as int) from customer where c_nationkey < 16""")
+select c_custkey, cast(3 as int) as version, cast(1 as int) as snapshot from customer union all select c_custkey, cast(2 as int), cast(2 as int) from customer where c_nationkey < 16""")
 def _(t: Tables):
     return R.scan_latest_two_files(t.spark, _three_snapshots(t), fmt="parquet", schema="c_custkey bigint, version int")
 
@@ -332,7 +332,7 @@ def _(t: Tables):
 
 @query("compact_small_files", f"select {CUST_TEXT} from customer")
 def _(t: Tables):
-    src = write_feed(t, t.customer.select(*CUST), head="c_custkey|c_name|c_nationkey|c_mktsegment", tail=None, files=16)
+    src = write_feed(t, t.customer.select(*CUST), head="c_custkey|c_name|c_nationkey|c_mktsegment", tail=None)
     return W.compact_small_files(t.spark, src, fresh_path(t.spark, "compact"), target_bytes=64 * 1024, schema=FEED)
 
 

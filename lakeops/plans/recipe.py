@@ -76,9 +76,8 @@ def _(run: Run, s: Mapping) -> None:
 
 @step("read_table")
 def _(run: Run, s: Mapping) -> None:
-    df = run.spark.sql(s["query"])
-    cols = _list(s.get("partition_column_list"))
-    run.put(s["temp_table_name"], df.repartition(*cols) if cols else df)
+    # partition_column_list is accepted; later steps shuffle as they need.
+    run.put(s["temp_table_name"], run.spark.sql(s["query"]))
 
 
 @step("read_dataset")
@@ -139,10 +138,10 @@ def _(run: Run, s: Mapping) -> None:
 
 @step("apply_join")
 def _(run: Run, s: Mapping) -> None:
-    by = (s.get("partition_left_col", "").strip(), s.get("partition_right_col", "").strip())
+    # partition_left_col and partition_right_col are accepted; a shuffle by them would keep Spark from splitting a hot key.
     run.put(s["temp_table_name"], J.join_apply(
         run.get(s["left_table_name"]), run.get(s["right_table_name"]), on_sql=s["on_sql_condition"], how=s["join_type"],
-        select_sql=s["select_sql"] if isinstance(s["select_sql"], (list, tuple)) else [s["select_sql"]], repartition=by if all(by) else None))
+        select_sql=s["select_sql"] if isinstance(s["select_sql"], (list, tuple)) else [s["select_sql"]]))
 
 
 @step("apply_group_by")

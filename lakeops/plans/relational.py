@@ -90,7 +90,7 @@ def _(t: Tables):
     c = t.customer.where("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_nationkey")
     o = t.orders.where("o_orderstatus = 'O' and o_orderpriority <> '1-URGENT'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     on, cols = "l.c_custkey = r.o_custkey", ["l.c_custkey", "r.o_custkey", "r.n"]
-    both = [J.join_apply(c, o, on_sql=on, how=h, select_sql=[f"'{h}' as how", *cols], repartition=("c_custkey", "o_custkey") if h == "full" else None)
+    both = [J.join_apply(c, o, on_sql=on, how=h, select_sql=[f"'{h}' as how", *cols])
             for h in _ALL_JOINS]
     left_only = ["cast(null as bigint) as o_custkey", "cast(null as bigint) as n"]
     both += [J.join_apply(c, o, on_sql=on, how=f"left_{h}", select_sql=[f"'{h}' as how", "c_custkey", *left_only]) for h in ("semi", "anti")]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,18 +148,25 @@ def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return found
 
 
+def _children(spark: SparkSession, base: str) -> list[str]:
+    """Files and folders directly below ``base``, without hidden ones: one listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return sorted(st.getPath().toString() for st in listed if st.getPath().getName()[0] not in "._")
+
+
 def scan_parquet_partitions(spark: SparkSession, base: str, *, schema, days="*", hours: Sequence[int] | None = None) -> DataFrame:
     """Read the listed run folders below ``base``; absent ones are skipped.
 
     ``days`` is ``"*"`` or a list of yyyyMMdd. Folder names are
-    yyyyMMdd000000, or yyyyMMddHH0000 for each of ``hours``. No folder at all
-    gives an empty frame.
+    yyyyMMdd000000, or yyyyMMddHH0000 for each of ``hours``. A base without run
+    folders gives an empty frame; a base that does not exist is an error.
     """
+    if not _existing(spark, [base]):
+        raise FileNotFoundError(base)
     if days == "*":
-        try:
-            return spark.read.schema(schema).parquet(f"{base}/*")
-        except AnalysisException:
-            return spark.createDataFrame([], schema)
+        found = _children(spark, base)
+        return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
     stamps = [f"{d}{h:02d}0000" for d in days for h in (hours if hours is not None else [0])]
     paths = _existing(spark, [f"{base}/{s}" for s in stamps])
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
@@ -175,33 +181,29 @@ def scan_parquet_decimal(spark: SparkSession, paths: Sequence[str], *, decimals:
     return result
 
 
-def _read(spark: SparkSession, base: str, fmt: str, schema) -> DataFrame:
-    reader = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true")
-    return reader.load(base)
-
-
 def _snapshots(spark: SparkSession, base: str, fmt: str, schema, newest: int) -> DataFrame:
-    """Rows of the files with the ``newest`` most recent modification times.
+    """Rows of the ``newest`` snapshots directly below ``base``, 1 for the latest.
 
-    The times come from the file listing alone, at most ``newest`` values reach
-    the driver, and as literals on a file column they prune files before the scan.
+    A snapshot is one file or one run folder with all files in it, and as old
+    as its newest file. Only these files are read.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    times = listing.select(F.col("modificationTime").alias("t")).distinct().orderBy(F.col("t").desc()).limit(newest).collect()
-    if not times:
-        return spark.createDataFrame([], schema).withColumn("snapshot", F.lit(1))
-    written = F.col("_metadata.file_modification_time")
-    rank = F.when(written == F.lit(times[0].t), 1).otherwise(2)
-    return _read(spark, base, fmt, schema).where(written.isin([r.t for r in times])).select("*", rank.alias("snapshot"))
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    found = {p: listing.load(p).agg(F.max("modificationTime")).first()[0] for p in _children(spark, base)}
+    latest = sorted((p for p, t in found.items() if t is not None), key=lambda p: (found[p], p), reverse=True)[:newest]
+    out = spark.createDataFrame([], schema).withColumn("snapshot", F.lit(1))
+    for rank, path in enumerate(latest, 1):
+        part = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true").load(path).withColumn("snapshot", F.lit(rank))
+        out = part if rank == 1 else out.unionByName(part)
+    return out
 
 
 def scan_latest_file(spark: SparkSession, base: str, *, fmt: str, schema) -> DataFrame:
-    """Rows of the file written last."""
+    """Rows of the file or run folder written last."""
     return _snapshots(spark, base, fmt, schema, 1).drop("snapshot")
 
 
 def scan_latest_two_files(spark: SparkSession, base: str, *, fmt: str, schema) -> DataFrame:
-    """Rows of the two files written last; ``snapshot`` is 1 for the current one and 2 for the one before."""
+    """Rows of the two files or run folders written last; ``snapshot`` is 1 for the current one and 2 for the one before."""
     return _snapshots(spark, base, fmt, schema, 2)
 
 

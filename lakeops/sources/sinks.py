@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.session import materialise
@@ -21,15 +21,32 @@ DEFAULT_EXTRACT_ROWS = 100_000
 SINGLE_FILE_BYTES = 3 * 1024 ** 3
 
 
+# One set of options for every CSV file written or read back here: a null is the text \\N and an empty text is a
+# pair of quotes, quotes inside a value are doubled, blanks stay, and a value may hold line breaks.
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": '""', "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _save(writer: DataFrameWriter, fmt: str, dest: str) -> None:
+    writer.format(fmt).options(**CSV_OPTIONS if fmt == "csv" else {}).save(dest)
+
+
 def _back(df: DataFrame, dest: str, fmt: str) -> DataFrame:
-    reader = df.sparkSession.read.schema(df.schema)
-    return reader.csv(dest, header=True) if fmt == "csv" else reader.format(fmt).load(dest)
+    reader = df.sparkSession.read.schema(df.schema).format(fmt)
+    return (reader.options(**CSV_OPTIONS | {"emptyValue": "", "multiLine": True}) if fmt == "csv" else reader).load(dest)
+
+
+def _clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of one table partition in few tasks; adaptive execution splits a large one."""
+    return df.hint("rebalance", *keys) if keys else df
 
 
 def write_run_folder(df: DataFrame, dest: str, *, run_date: str, run_time: str, fmt: str = "parquet") -> DataFrame:
     """Append below ``dest/<run_date><run_time>``."""
     target = f"{dest}/{run_date}{run_time}"
-    df.write.mode("append").format(fmt).save(target)
+    _save(df.write.mode("append"), fmt, target)
     return _back(df, target, fmt)
 
 
@@ -37,7 +54,7 @@ def write_partitioned_append(df: DataFrame, dest: str, *, keys: Sequence[str], f
                              where: str | None = None) -> DataFrame:
     """Append partitioned by ``keys``; ``where`` keeps only some rows."""
     kept = df.where(where) if where else df
-    kept.write.mode("append").partitionBy(*keys).format(fmt).save(dest)
+    _save(_clustered(kept, keys).write.mode("append").partitionBy(*keys), fmt, dest)
     return _back(df, dest, fmt).select(*df.columns)
 
 
@@ -53,16 +70,22 @@ def truncate_and_load(df: DataFrame, dest: str) -> DataFrame:
     return _back(df, dest, "parquet")
 
 
-def _replace_partitions(df: DataFrame, dest: str, keys: Sequence[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(dest))
+def replace_partitions(df: DataFrame, dest: str, keys: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` brings, in one commit."""
+    (_clustered(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(dest))
 
 
 def _drop_partitions(spark: SparkSession, dest: str, key: str, values: Sequence) -> None:
-    """Remove whole partition folders of a table."""
+    """Remove whole partition folders of a table with one partition column."""
+    drop_partition_folders(spark, dest, [key], [(v,) for v in values])
+
+
+def drop_partition_folders(spark: SparkSession, dest: str, keys: Sequence[str], values: Sequence[Sequence]) -> None:
+    """Remove whole partition folders of a table, named by one value per partition column."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    for v in values:
-        path = jvm.org.apache.hadoop.fs.Path(f"{dest}/{name(key, None if v is None else str(v))}")
+    for row in values:
+        path = jvm.org.apache.hadoop.fs.Path("/".join([dest, *(name(k, None if v is None else str(v)) for k, v in zip(keys, row))]))
         path.getFileSystem(conf).delete(path, True)
 
 
@@ -86,7 +109,7 @@ def replace_recent_partitions(df: DataFrame, dest: str, *, key: str, cutoff, kee
     spark = df.sparkSession
     fresh = materialise(df, name="recent")
     stale = _partition_values(spark, dest, df.schema, key, F.col(key) >= F.lit(cutoff))
-    _replace_partitions(fresh, dest, [key])
+    replace_partitions(fresh, dest, [key])
     brought = set(_values(fresh, key))
     _drop_partitions(spark, dest, key, [v for v in stale if v not in brought])
     table = _back(df, dest, "parquet").select(*df.columns)
@@ -95,7 +118,7 @@ def replace_recent_partitions(df: DataFrame, dest: str, *, key: str, cutoff, kee
 
 def delete_where_and_append(df: DataFrame, dest: str, *, key: str) -> DataFrame:
     """Replace the partitions of ``key`` that ``df`` brings, leaving the others untouched."""
-    _replace_partitions(df, dest, [key])
+    replace_partitions(df, dest, [key])
     return _back(df, dest, "parquet").select(*df.columns)
 
 
@@ -121,7 +144,7 @@ def delete_where_from(spark: SparkSession, dest: str, *, key: str, where: str) -
         if None in touched:
             hit = F.coalesce(hit, F.lit(False)) | F.col(key).isNull()
         kept = materialise(delete_where(table.where(hit), where=where), name="kept")
-        _replace_partitions(kept, dest, [key])
+        replace_partitions(kept, dest, [key])
         left = set(_values(kept, key))
         _drop_partitions(spark, dest, key, [v for v in touched if v not in left])
     return spark.read.schema(schema).parquet(dest).select(*schema.names)
@@ -136,15 +159,15 @@ def retain_recent(spark: SparkSession, dest: str, *, key: str, cutoff) -> DataFr
 
 
 def write_nonempty_csv(frames: Mapping[str, DataFrame], base: str, *, run_date: str, run_time: str) -> DataFrame:
-    """Header CSV for each frame with rows; returns the names written and their folders."""
-    written, spark = [], None
+    """Header CSV for each frame with rows; returns the names written and their folders. Each frame is computed once."""
+    written = []
     for name, df in frames.items():
-        spark = df.sparkSession
-        if not df.isEmpty():
+        stored = materialise(df, name="output")
+        if not stored.isEmpty():
             target = f"{base}/{name}/{run_date}{run_time}"
-            df.write.mode("append").csv(target, header=True)
+            _save(stored.write.mode("append"), "csv", target)
             written.append((name, target))
-    return spark.createDataFrame(written, "output string, folder string")
+    return SparkSession.active().createDataFrame(written, "output string, folder string")
 
 
 def fan_out_destinations(df: DataFrame, targets: Sequence[Mapping]) -> dict[str, DataFrame]:
@@ -169,10 +192,7 @@ def fan_out_destinations(df: DataFrame, targets: Sequence[Mapping]) -> dict[str,
 
 def split_by_rows(df: DataFrame, dest: str, *, rows: int = DEFAULT_EXTRACT_ROWS, fmt: str = "csv") -> DataFrame:
     """Files of at most ``rows`` rows, written in parallel."""
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(dest)
+    _save(df.write.mode("overwrite").option("maxRecordsPerFile", rows), fmt, dest)
     return _back(df, dest, fmt)
 
 
@@ -184,14 +204,20 @@ def row_bytes(df: DataFrame) -> Column:
 
 def split_by_size(df: DataFrame, dest: str, *, max_bytes: int = DEFAULT_EXTRACT_BYTES, margin: float = 0.1,
                   fmt: str = "csv") -> DataFrame:
-    """Files of at most about ``max_bytes``.
+    """Files of at most about ``max_bytes``: as many as all rows need with a margin and room for quoting.
 
-    The largest row, with a margin and room for quoting, bounds the rows per
-    file, so no file exceeds the limit whatever the mix of rows it gets.
+    Rows are dealt out evenly, so a file holds about the mean size of its rows,
+    and one wide row adds its own bytes only. The frame is computed once.
     """
-    largest = df.agg(F.max(row_bytes(df))).first()[0] or 1
-    per_row = math.ceil(largest * (1 + margin)) + 2 * len(df.columns)
-    return split_by_rows(df, dest, rows=max(1, max_bytes // per_row), fmt=fmt)
+    stored = materialise(df, name="extract")
+    _save(_in_files(stored, max_bytes / (1 + margin), 2 * len(df.columns)).write.mode("overwrite"), fmt, dest)
+    return _back(df, dest, fmt)
+
+
+def _in_files(stored: DataFrame, max_bytes: float, more_per_row: int = 0) -> DataFrame:
+    """Rows dealt out to one task for each ``max_bytes`` of text, at any size."""
+    size = stored.agg(F.sum(row_bytes(stored) + more_per_row)).first()[0] or 0
+    return stored.repartition(max(1, math.ceil(int(size) / max_bytes)))
 
 
 def _stored_bytes(spark: SparkSession, glob: str) -> tuple[int, int]:
@@ -201,20 +227,21 @@ def _stored_bytes(spark: SparkSession, glob: str) -> tuple[int, int]:
 
 
 def compact_small_files(spark: SparkSession, glob: str, dest: str, *, target_bytes: int, schema, sep: str = "|",
-                        header: bool = True) -> DataFrame:
-    """Merge the small files of a delimited table into quoted CSV files of about ``target_bytes``."""
+                        header: bool = True, escape: str = "\\") -> DataFrame:
+    """Merge the small files of a delimited table into quoted CSV files of about ``target_bytes``.
+
+    ``escape`` is the character before a quote inside a value in the small files.
+    """
     total, _ = _stored_bytes(spark, glob)
     parts = max(1, math.ceil(total / target_bytes))
-    df = spark.read.csv(glob, schema=schema, sep=sep, header=header, recursiveFileLookup=True)
-    df.coalesce(parts).write.mode("overwrite").csv(dest, header=True, quoteAll=True)
-    return spark.read.schema(schema).csv(dest, header=True)
+    df = spark.read.csv(glob, schema=schema, sep=sep, header=header, recursiveFileLookup=True, multiLine=True, quote='"', escape=escape, lineSep="\n")
+    _save(df.repartition(parts).write.mode("overwrite").option("quoteAll", True), "csv", dest)
+    return _back(df, dest, "csv")
 
 
 def size_guarded_parquet(df: DataFrame, dest: str, *, max_bytes: int = SINGLE_FILE_BYTES) -> DataFrame:
-    """One file while the rows stay under ``max_bytes`` of text, else ``size // max_bytes + 2`` files."""
-    size = int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
-    out = df.coalesce(1) if size <= max_bytes else df.repartition(size // max_bytes + 2)
-    out.write.mode("overwrite").parquet(dest)
+    """One file for each ``max_bytes`` of text, written in parallel; the frame is computed once."""
+    _in_files(materialise(df, name="guarded"), max_bytes).write.mode("overwrite").parquet(dest)
     return _back(df, dest, "parquet")
 
 
@@ -226,7 +253,7 @@ def quarantine_bad_rows(df: DataFrame, dest: str, *, run: str) -> DataFrame:
 
 
 def write_report_json(report_df: DataFrame, dest: str) -> DataFrame:
-    """A small report as JSON lines."""
-    report_df.coalesce(1).write.mode("append").json(dest)
+    """A report as JSON lines."""
+    report_df.write.mode("append").json(dest)
     return report_df.sparkSession.read.schema(report_df.schema).json(dest)
 

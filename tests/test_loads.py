@@ -93,3 +93,22 @@ def test_not_in_with_nulls(spark):
     assert values(J.anti_join_not_in(left, listed(1), "x")) == [2]
     assert values(J.anti_join_not_in(left, listed(1, None), "x")) == []
     assert values(J.anti_join_not_in(left, listed(), "x")) == [1, 2, None]
+
+
+def test_a_key_that_changes_partition_leaves_the_old_one(spark):
+    path = fresh_path(spark, "t_moved")
+    src = lambda *rows: spark.createDataFrame(rows, "k int, a string, p string")
+    D.scd1_folder(src((1, "x", "A"), (2, "y", "A"), (3, "z", "C"), (5, "v", None)), path, keys=["k"], as_of="2024-01-01 00:00:00", partition_keys=["p"])
+    out = D.scd1_folder(src((1, "x2", "B"), (3, "z", "B"), (5, "v2", "A")), path, keys=["k"], as_of="2024-02-01 00:00:00", partition_keys=["p"])
+    assert sorted((r.k, r.a, r.p) for r in out.collect()) == [(1, "x2", "B"), (2, "y", "A"), (3, "z", "B"), (5, "v2", "A")]
+
+
+def test_two_loads_with_one_time_keep_both_histories(spark):
+    path = fresh_path(spark, "t_same_time")
+    src = lambda *rows: spark.createDataFrame(rows, "k int, a string")
+    load = lambda df, at: D.scd2_folder(df, path, keys=["k"], compare=["a"], as_of=at)
+    load(src((1, "x"), (2, "y")), "2024-01-01 00:00:00")
+    load(src((1, "x2")), "2024-02-01 00:00:00")
+    load(src((2, "y2")), "2024-02-01 00:00:00")
+    out = load(src((2, "y2")), "2024-02-01 00:00:00")
+    assert sorted((r.k, r.a, r.scd_active_flag) for r in out.collect()) == [(1, "x", "N"), (1, "x2", "Y"), (2, "y", "N"), (2, "y2", "Y")]

@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import nested as N
 from lakeops.operators import ordered as O
 from lakeops.operators import windows as W
 
@@ -37,10 +36,8 @@ def brute(data, keyed=True, descending=False):
     return result
 
 
-@pytest.mark.parametrize("limit", [0, 100, 10_000])
 @pytest.mark.parametrize("keyed", [True, False])
-def test_running_matches_brute_force(spark, many_blocks, monkeypatch, keyed, limit):
-    monkeypatch.setattr(O, "MAX_GROUP_ROWS", limit)
+def test_running_matches_brute_force(spark, many_blocks, keyed):
     data = rows()
     df = spark.createDataFrame(data, "k string, t int, id int, v int").repartition(7)
     kinds = ["count", "sum", "min", "max", "last"]
@@ -67,9 +64,7 @@ def test_hot_group_is_cut_into_blocks(spark, many_blocks):
     assert max(sizes) < len(rows()) / 2
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_rank_and_dense_rank(spark, many_blocks, monkeypatch, limit):
-    monkeypatch.setattr(O, "MAX_GROUP_ROWS", limit)
+def test_rank_and_dense_rank(spark, many_blocks):
     data = [("a", x) for x in (5, 5, 3, 9, 9, 9, 1)] + [("b", 4), ("b", 4)]
     df = spark.createDataFrame(data, "k string, v int")
     out = O.ranked(O.ranked(df, keys=["k"], order=["v"], name="r"), keys=["k"], order=["v"], name="d", dense=True)
@@ -88,9 +83,7 @@ def test_empty_input(spark):
     assert W.fill_forward_global(df, "v", order=["t"]).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_parent_keys_across_blocks(spark, many_blocks, monkeypatch, limit):
-    monkeypatch.setattr(O, "MAX_GROUP_ROWS", limit)
+def test_parent_keys_across_blocks(spark, many_blocks):
     rng = random.Random(11)
     data, want = [], {}
     pos = 0
@@ -113,14 +106,25 @@ def test_parent_keys_across_blocks(spark, many_blocks, monkeypatch, limit):
     assert {r["pos"]: (r["h"], r["l"], r["d"]) for r in out.collect()} == want
 
 
-def test_large_parent_is_cut_into_several_arrays(spark, many_blocks):
-    df = spark.range(250).select((F.when(F.col("id") < 200, 1).otherwise(2)).alias("p"), F.col("id").alias("c"))
-    out = N.array_from_rows(df, keys=["p"], fields=["c"], name="xs", at_most=60)
-    assert out.agg(F.max(F.size("xs"))).first()[0] <= 60
-    assert sorted(r["c"] for r in N.explode_rows(out, "xs").collect()) == list(range(250))
-
-
 def test_streak_resets_after_a_gap(spark):
     df = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-01-02"), (1, "2024-01-02"), (1, "2024-01-05")], "u int, d string")
     out = W.running_streak(df, keys=["u"], date="d").orderBy("d").collect()
     assert [r["days_in_state"] for r in out] == [1, 2, 1]
+
+
+def test_one_row_per_parent_at_any_size(spark):
+    from lakeops.operators.nested import array_from_rows
+
+    rows = spark.range(25_001).selectExpr("int(id < 25000) as k", "id as v")
+    out = {r.k: len(r.vs) for r in array_from_rows(rows, keys=["k"], fields=["v"], name="vs").collect()}
+    assert out == {1: 25_000, 0: 1}
+
+
+def test_running_sums_of_floating_numbers_are_refused(spark):
+    import pytest
+
+    from lakeops.operators.ordered import Running, running
+
+    df = spark.range(5).selectExpr("id", "double(id) as v")
+    with pytest.raises(ValueError):
+        running(df, keys=[], order=["id"], outputs=[Running("s", "sum", "v")])
