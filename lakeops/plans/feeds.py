@@ -52,6 +52,14 @@ POS_LAYOUTS = {
     "41": "PROMOID PRDESC",
     "64": "PROMOID PRDESC",
     "39": "CPONBARCOD CPONAMT",
+    "46": "GCRDNUM GCRDTRNID GCRD1SALFL GCRD2SALFL GCRDRETFLG GCRDADDFLG GCRDREMFLG GCRDAMTADJ GCRDPREVBL",
+    "86": "GCRDNUM GCRDTRNID GCRD1SALFL GCRD2SALFL GCRDRETFLG GCRDADDFLG GCRDREMFLG GCRDAMTADJ GCRDPREVBL",
+    "45": "CARDNUM ITMCODE TOPUPAMT NETWRKNAME NETWRKPRDT SWIPEKEYED VOIDFLAG RESPONCODE MOBPHNNUM",
+    "57": "CARDNUM ITMCODE TOPUPAMT NETWRKNAME NETWRKPRDT RESPONCODE",
+    "24": "TRANSNUMBER BUSINESSDAYDATE BEGINTIMESTAMP CREDITCLAIMNO BCLETTER CLAIMREASON INVNUMBER FOLIONO BATCHREF CONSFLAG REPCATG REPNO POLCYNO DDDANO DELVNO DELDATE CARTONRCD REFDOCID COMMENT ITMCOUNT ITEMID BASEUOM BASEQUANTITY UNITPRICE",
+    "25": "TRANSNUMBER BUSINESSDAYDATE BEGINTIMESTAMP CREDITCLAIMNO AUTHORISATION STOCKFL CLAIMREASON ITMCOUNT ITEMID BASEUOM BASEQUANTITY UNITPRICE",
+    "26": "TRANSNUMBER BUSINESSDAYDATE BEGINTIMESTAMP UODNO STATUS CREDITCLAIMNO UODQTY STOCKFL SPROUTE DISPLOC BCLETTER RECALNO AUTHORISATION RETMETHD CARRIER CLAIMREASON RESCAN DAMREAS RECSTORE ITEMID BASEUOM BASEQUANTITY UNITPRICE",
+    "28": "TRANSNUMBER BUSINESSDAYDATE BEGINTIMESTAMP UODNO STATUS CREDITCLAIMNO ITMCOUNT ITEMID BASEUOM BASEQUANTITY UNITPRICE",
 }
 
 
@@ -80,7 +88,17 @@ def pos_tables(pos: DataFrame) -> dict[str, DataFrame]:
     rec = lambda k, *keys: record(pos, k, keys)
     lines = rec("L", tid, lid, day).join(rec("55", lid), lid, "left")
     promo = S.union_distinct_rows(rec("41", tid, day).where("PROMOID is not null"), rec("64", tid, day).where("PROMOID is not null"))
+    header = rec("H", tid).select(tid, "ENDDATETIMESTAMP", "BUSINESSDAYDATE")
+    earned = rec("LC", tid, day).where("CUSTCARDNUMBER is not null").join(rec("38", tid), tid, "left").join(header, tid, "left")
+    cards = S.union_padded(rec("46", tid, lid), rec("86", tid)).where("GCRDNUM is not null").distinct().join(header, tid, "left")
+    moved = F.when(F.col("GCRDRETFLG").isNotNull(), "Funds Returned").when(F.col("GCRDADDFLG").isNotNull(), "Funds Added").when(F.col("GCRDREMFLG").isNotNull(), "Funds Removed")
+    top_ups = S.union_padded(rec("45", tid, lid, day), rec("57", tid, lid, day)).where("CARDNUM is not null").distinct()
+    claims = S.union_padded(*[rec(k, tid) for k in ("24", "25", "26", "28")]).where("CREDITCLAIMNO is not null and ITEMID is not null").distinct()
     return {
+        "LoyaltyAccountEarning": earned,
+        "GiftCardTransaction": cards.withColumn("GIFTCARDTYPE", moved),
+        "ETopupEVoucher": top_ups,
+        "TransactionCreditClaim": claims,
         "Transaction": rec("H", tid),
         "TransactionLineItem": lines,
         "TransactionLineItemAdjustment": rec("LD", tid, lid, did, day),
@@ -125,6 +143,14 @@ def write_pos(t: Tables) -> str:
         rows(o.where("o_orderpriority = '5-LOW'"), at(1004), "39", F.concat(F.lit("c"), cust.cast("string")), "1.50"),
         rows(o, at(1005), "TR", "1", "CARD", money("o_totalprice"), "T1", ""),
         rows(o.where("o_totalprice > 400000"), at(1006), "13", "Y"),
+        rows(li.where("l_quantity > 45"), line + 13, "46", F.concat(F.lit("g"), F.col("l_partkey").cast("string")), "1", "", "", F.when(F.col("l_returnflag") == "R", "Y"), F.when(F.col("l_returnflag") == "A", "Y"), "Y", price, "9.00"),
+        rows(li.where("l_quantity < 3"), line + 14, "45", F.concat(F.lit("t"), F.col("l_suppkey").cast("string")), "I", "10.00", "net", "prd", "S", "", "00", "077"),
+        rows(li.where("l_quantity = 5"), line + 15, "57", F.when(F.col("l_returnflag") != "N", F.concat(F.lit("v"), F.col("l_suppkey").cast("string"))), "I", "20.00", "net", "prd", "01"),
+        rows(o.where("o_orderstatus = 'P'"), at(1007), "86", F.concat(F.lit("g"), cust.cast("string")), "2", "", "", "", "", "", "3.00", "9.00"),
+        rows(o.where("o_orderpriority = '3-MEDIUM'"), at(1008), "24", F.col("o_orderkey"), F.col("d"), "", F.concat(F.lit("c"), cust.cast("string")), *[""] * 16, F.concat(F.lit("i"), cust.cast("string")), "EA", "1", money("o_totalprice")),
+        rows(o.where("o_orderpriority = '4-NOT SPECIFIED'"), at(1009), "25", F.col("o_orderkey"), F.col("d"), "", F.when(cust % 2 == 0, F.concat(F.lit("c"), cust.cast("string"))), *[""] * 4, F.concat(F.lit("j"), cust.cast("string")), "EA", "2", "1.25"),
+        rows(o.where("o_orderpriority = '5-LOW'"), at(1010), "26", F.col("o_orderkey"), F.col("d"), "", "u", "s", F.concat(F.lit("c"), cust.cast("string")), *[""] * 13, F.when(cust % 3 != 0, F.concat(F.lit("k"), cust.cast("string"))), "EA", "3", "2.50"),
+        rows(o.where("o_orderpriority = '1-URGENT'"), at(1011), "28", F.col("o_orderkey"), F.col("d"), "", "u", "s", F.concat(F.lit("c"), cust.cast("string")), "", F.concat(F.lit("m"), cust.cast("string")), "EA", "4", "3.75"),
     ]
     path = fresh_path(t.spark, "pos_in")
     ordered = S.union_all_rows(*parts).repartitionByRange("ok").sortWithinPartitions("ok", "seq").select("value")
@@ -145,7 +171,14 @@ union all select 'TransactionAdjustment', tid, tid || 'HDB9', d, 'D2', case when
 union all select 'TransactionLoyaltyAccount', tid, null, d, 'card' || cast(o_custkey as varchar), case when o_orderpriority = '2-HIGH' then '2' end from h where o_orderpriority in ('2-HIGH', '3-MEDIUM')
 union all select 'TransactionPromotion', tid, null, d, 'P41', 'spring' from h where o_orderstatus = 'P' union all select 'TransactionPromotion', tid, null, d, 'P64', 'autumn' from h where o_orderstatus <> 'F' and o_custkey % 2 = 0
 union all select 'TransactionPayment', tid, tid || 'TR1', d, null, null from h union all select 'Payment', null, tid || 'TR1', null, cast(cast(o_totalprice as decimal(18,2)) as varchar), case when o_totalprice > 400000 then 'Y' end from h
-union all select 'TransactionCoupon', tid, null, d, 'c' || cast(o_custkey as varchar), '1.50' from h where o_orderpriority = '5-LOW' union all select 'orphans', null, null, null, '4', null from region where r_regionkey = 0""")
+union all select 'TransactionCoupon', tid, null, d, 'c' || cast(o_custkey as varchar), '1.50' from h where o_orderpriority = '5-LOW'
+union all select 'LoyaltyAccountEarning', tid, case when o_orderpriority = '2-HIGH' then 'R1' end, d, 'card' || cast(o_custkey as varchar), d || '0905' from h where o_orderpriority in ('2-HIGH', '3-MEDIUM')
+union all select 'GiftCardTransaction', tid, lid, d, 'g' || cast(l_partkey as varchar), case l_returnflag when 'R' then 'Funds Returned' when 'A' then 'Funds Added' else 'Funds Removed' end from l where l_quantity > 45
+union all select 'GiftCardTransaction', tid, null, d, 'g' || cast(o_custkey as varchar), null from h where o_orderstatus = 'P'
+union all select 'ETopupEVoucher', tid, lid, d, 't' || cast(l_suppkey as varchar), '10.00' from l where l_quantity < 3 union all select 'ETopupEVoucher', tid, lid, d, 'v' || cast(l_suppkey as varchar), '20.00' from l where l_quantity = 5 and l_returnflag <> 'N'
+union all select 'TransactionCreditClaim', tid, 'c' || cast(o_custkey as varchar), d, k || cast(o_custkey as varchar), price from (select *, 'i' as k, cast(cast(o_totalprice as decimal(18,2)) as varchar) as price from h where o_orderpriority = '3-MEDIUM'
+ union all select *, 'j', '1.25' from h where o_orderpriority = '4-NOT SPECIFIED' and o_custkey % 2 = 0 union all select *, 'k', '2.50' from h where o_orderpriority = '5-LOW' and o_custkey % 3 <> 0 union all select *, 'm', '3.75' from h where o_orderpriority = '1-URGENT')
+union all select 'orphans', null, null, null, 'seen', null from region where r_regionkey = 0""")
 def feed_pos_transactions(t: Tables):
     """Point-of-sale files to model tables; lines above the first header keep null keys."""
     pos = read_pos(t.spark, write_pos(t))
@@ -160,12 +193,16 @@ def feed_pos_transactions(t: Tables):
         "TransactionPayment": ("TRANSACTIONID", "PAYMENTID", "TRANSACTIONDATE", None, None),
         "Payment": (None, "PAYMENTID", None, "TENDERAMOUNT", "NEGTNDRFLG"),
         "TransactionCoupon": ("TRANSACTIONID", None, "TRANSACTIONDATE", "CPONBARCOD", "CPONAMT"),
+        "LoyaltyAccountEarning": ("TRANSACTIONID", "LREASNCODE", "TRANSACTIONDATE", "CUSTCARDNUMBER", "ENDDATETIMESTAMP"),
+        "GiftCardTransaction": ("TRANSACTIONID", "TRANSACTIONLINEITEMID", "BUSINESSDAYDATE", "GCRDNUM", "GIFTCARDTYPE"),
+        "ETopupEVoucher": ("TRANSACTIONID", "TRANSACTIONLINEITEMID", "TRANSACTIONDATE", "CARDNUM", "TOPUPAMT"),
+        "TransactionCreditClaim": ("TRANSACTIONID", "CREDITCLAIMNO", "BUSINESSDAYDATE", "ITEMID", "UNITPRICE"),
     }
     outs = []
     for name, cols in shown.items():
         df = tables[name]
         if name == "TransactionLineItem":
-            orphans = df.where("TRANSACTIONID is null").agg(F.count(F.lit(1)).cast("string").alias("code"))
+            orphans = df.where("TRANSACTIONID is null").agg(F.when(F.count(F.lit(1)) > 0, "seen").otherwise("none").alias("code"))
             outs.append(orphans.select(F.lit("orphans").alias("model"), "code"))
             df = df.where("TRANSACTIONID is not null")
         outs.append(df.select(F.lit(name).alias("model"), *[(F.col(c) if c else F.lit(None).cast("string")).alias(n) for n, c in zip(("id", "sub_id", "day", "code", "detail"), cols)]))
