@@ -14,8 +14,9 @@
    too little are dropped; of the rest a class first tries its most alike hub.
 4. Pairs are confirmed on full sets. Links give components; then only pairs of
    classes that share a bucket but not yet a component are left. They are
-   compared by sketch in pairs of blocks of a bucket's members, and what agrees
-   is confirmed on full sets again, until nothing new links.
+   compared in pairs of blocks of a bucket's members, by sketch and then on full
+   sets, and only what joins two components comes out. No pair is written that
+   does not link.
 
 A link at similarity 0.75 is missed if no band agrees, (1 - 0.75**5)**48 or
 about 2 in a million, and much less above.
@@ -164,12 +165,20 @@ def _similar_size(x, y):
     return (F.least(x, y) * DENOMINATOR) >= (F.greatest(x, y) * NUMERATOR)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The pairs (``a``, ``b``) of classes whose full sets link.
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Elements that two sorted sets share."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
 
-    The texts of paired classes alone are read again, as one table of full
-    sets; each pair then meets its two sets.
-    """
+
+def _links(x: np.ndarray, y: np.ndarray) -> bool:
+    common = _common(x, y)
+    return DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common)
+
+
+def full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, *, id: str, text: str) -> DataFrame:
+    """(``c``, ``set``) of the wanted classes (``c``, distinct): their texts alone are read again."""
 
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
@@ -177,19 +186,20 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, *, id: str
             sets = shingle_sets(batch["text"].tolist(), hashes)
             yield pd.DataFrame({"c": [_class_of(s) for s in sets], "set": [s.tobytes() for s in sets]})
 
+    reps = classes.join(wanted, "c", "left_semi").select(F.col("rep").alias(id)).distinct()
+    texts = docs.select(id, F.col(text).alias("text")).join(reps, id, "left_semi").where("text is not null")
+    return materialise(texts.select("text").mapInPandas(to_sets, "c long, set binary").dropDuplicates(["c"]), name="dedup-sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The pairs (``a``, ``b``) of classes whose full sets link; each pair meets its two sets."""
+
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["set_a"], batch["set_b"]):
-                both = np.concatenate([np.frombuffer(x, U), np.frombuffer(y, U)])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(DENOMINATOR * common >= NUMERATOR * (len(both) - common))
+            keep = [_links(np.frombuffer(x, U), np.frombuffer(y, U)) for x, y in zip(batch["set_a"], batch["set_b"])]
             yield batch.loc[keep, ["a", "b"]]
 
-    wanted = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "c", "left_semi").select("c", F.col("rep").alias(id))
-    texts = docs.select(id, F.col(text).alias("text")).join(wanted.select(id).distinct(), id, "left_semi")
-    sets = materialise(texts.select("text").mapInPandas(to_sets, "c long, set binary").dropDuplicates(["c"]), name="dedup-sets")
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), classes, docs, id=id, text=text)
     met = pairs.select("a", "b").join(sets.withColumnsRenamed({"c": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"c": "b", "set": "set_b"}), "b")
     return materialise(met.select("a", "b", "set_a", "set_b").mapInPandas(linked, "a long, b long"), name="dedup-linked")
 
@@ -205,49 +215,68 @@ def _hub_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return materialise(best, name="dedup-hubs")
 
 
-def _remaining_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of classes that share a bucket, lie in different components, and agree enough.
+def _remaining_links(buckets: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, *, id: str, text: str) -> DataFrame:
+    """Links between classes that share a bucket but not yet a component.
 
     Members of a bucket fall into blocks by hash; each pair of blocks is one
-    group of about twice ``BLOCK_MEMBERS`` rows, compared as matrices. A
+    group of about twice ``BLOCK_MEMBERS`` rows that carry their full sets.
+    There a pair from different components is compared by size, sketch and
+    full set, in the first band that it shares only. A link joins its
+    components at once, so a group gives fewer links than it has members. A
     bucket within one component is left out.
     """
     members = buckets.join(labels.withColumnRenamed("a", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     still = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("key", "m")
-    blocks = F.ceil(F.col("m") / BLOCK_MEMBERS).cast("int")
-    members = members.drop("size").join(still, "key").withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("c", "key"), F.col("_blocks")).cast("int"))
+    members = materialise(members.drop("size").join(still, "key"), name="dedup-open")
+    sets = full_sets(members.select("c").distinct(), classes, docs, id=id, text=text)
+    carried = materialise(classes.select("c", "n", "sketch", "bands").join(sets, "c"), name="dedup-carried")
+    members = members.withColumn("_blocks", F.ceil(F.col("m") / BLOCK_MEMBERS).cast("int")).withColumn("_block", F.pmod(F.xxhash64("c", "key"), F.col("_blocks")).cast("int"))
     members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select("key", F.least("_block", "_other").alias("lo"), F.greatest("_block", "_other").alias("hi"), (F.col("_block") <= F.col("_other")).alias("first"), "c", "label")
-    members = members.join(classes.select("c", "n", "sketch"), "c")
+    members = members.join(carried, "c")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             group = (rows[["key", "lo", "hi"]] != rows[["key", "lo", "hi"]].shift()).any(axis=1).cumsum().to_numpy()
-            done = np.searchsorted(group, group[-1]) if len(group) else 0
-            rest = rows.iloc[done:]
-            yield pairs_of(rows.iloc[:done], group[:done])
-        if rest is not None and len(rest):
-            yield pairs_of(rest, np.zeros(len(rest)))
-
-    def pairs_of(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
-        found: set[tuple[int, int]] = set()
-        if len(rows):
-            sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, COORDS)
-            c, label, n, first = (rows[k].to_numpy() for k in ("c", "label", "n", "first"))
-            within = (rows["lo"] == rows["hi"]).to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            for s, e in zip(starts, np.append(starts[1:], len(rows))):
-                left = np.arange(s, e) if within[s] else np.arange(s, e)[first[s:e]]
-                right = left if within[s] else np.arange(s, e)[~first[s:e]]
-                for i in left:
-                    j = right[(label[right] != label[i]) & (100 * np.minimum(n[right], n[i]) >= NUMERATOR * np.maximum(n[right], n[i]))]
-                    j = j[(sketch[j] == sketch[i]).mean(axis=1) >= LEAST_AGREEMENT] if len(j) else j
-                    found.update((min(c[i], c[k]), max(c[i], c[k])) for k in j)
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
+            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(rows) else np.zeros(0, int)
+            for s, e in zip(starts[:-1], starts[1:]):
+                yield links_of(rows.iloc[s:e])
+            rest = rows.iloc[starts[-1] :] if len(starts) else None
+        if rest is not None:
+            yield links_of(rest)
+
+    def links_of(rows: pd.DataFrame) -> pd.DataFrame:
+        c, label, n, first, sets = (rows[k].to_numpy() for k in ("c", "label", "n", "first", "set"))
+        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, COORDS)
+        bands = np.stack(rows["bands"].to_numpy())
+        band = int((bands[0] == rows["key"].iloc[0]).argmax())
+        within = rows["lo"].iloc[0] == rows["hi"].iloc[0]
+        left = np.arange(len(rows)) if within else np.flatnonzero(first)
+        right = left if within else np.flatnonzero(~first)
+        found, parent = [], {x: x for x in label}
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for i in left:
+            j = right[(right > i) if within else slice(None)]
+            j = j[(label[j] != label[i]) & (DENOMINATOR * np.minimum(n[j], n[i]) >= NUMERATOR * np.maximum(n[j], n[i]))]
+            agree = (sketch[j] == sketch[i]).mean(axis=1) if len(j) else np.zeros(0)
+            j, agree = j[agree >= LEAST_AGREEMENT], agree[agree >= LEAST_AGREEMENT]
+            if len(j):
+                here = (bands[j] == bands[i]).argmax(axis=1) == band
+                j = j[here][np.argsort(-agree[here], kind="stable")]
+            for k in j:
+                if top(label[i]) != top(label[k]) and _links(np.frombuffer(sets[i], U), np.frombuffer(sets[k], U)):
+                    found.append((c[i], c[k]))
+                    parent[top(label[i])] = top(label[k])
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     grouped = members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return materialise(grouped.mapInPandas(compare, "a long, b long").distinct(), name="dedup-pairs")
+    return materialise(grouped.mapInPandas(compare, "a long, b long"), name="dedup-more")
 
 
 def components(links: DataFrame, name: str = "dedup-labels") -> DataFrame:
@@ -280,7 +309,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     buckets = materialise(postings.join(shared, "key"), name="dedup-buckets")
     links = confirmed(_hub_pairs(buckets, classes), docs, classes, id=id, text=text)
     labels = components(links)
-    more = confirmed(_remaining_pairs(buckets, classes, labels), docs, classes, id=id, text=text)
+    more = _remaining_links(buckets, classes, labels, docs, id=id, text=text)
     if not more.isEmpty():
         labels = components(links.union(more))
     joined = rows.select("id", "n", "c").join(labels.withColumnRenamed("a", "c"), "c", "left").select("id", "n", F.coalesce("label", "c").alias("label"))
