@@ -72,12 +72,13 @@ def _(t: Tables):
     return C.audit_columns(t.orders.select("o_orderkey"), as_of=AS_OF)
 
 
-_GAPS = "select c_custkey, o_orderstatus, o_orderkey, cast(o_totalprice as decimal(18,4)) as amount, cast(o_orderdate as date) as day from customer left join orders on c_custkey = o_custkey and o_totalprice > 300000 and o_orderpriority = '1-URGENT'"
+_GAPS = "select c_custkey, o_orderstatus, o_orderkey, cast(o_totalprice as decimal(18,4)) as amount, cast(o_orderdate as date) as day from customer left join orders on c_custkey = case when o_orderpriority = '1-URGENT' then -o_custkey - 1 else o_custkey end"
 
 
 def _gaps(t: Tables):
-    o = t.orders.where("o_totalprice > 300000 and o_orderpriority = '1-URGENT'").select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_orderkey", F.col("o_totalprice").cast("decimal(18,4)").alias("amount"), F.col("o_orderdate").cast("date").alias("day"))
+    # Renamed keys leave customers without orders.
+    o = t.orders.select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", -F.col("o_custkey") - 1).otherwise(F.col("o_custkey")).alias("c_custkey"), "o_orderstatus", "o_orderkey", F.col("o_totalprice").cast("decimal(18,4)").alias("amount"), F.col("o_orderdate").cast("date").alias("day"))
     return t.customer.select("c_custkey").join(o, "c_custkey", "left")
 
 

@@ -37,7 +37,7 @@ def load_scd2(deliveries: Sequence[tuple[DataFrame, str]], *, keys: Sequence[str
     first = D.one_per_key(first, keys, RUN_COL)
     dim = D.new_dimension(W.surrogate_key(first, order=list(keys), name=sk), as_of=run)
     for src, run in deliveries[1:]:
-        # The dimension is read several times below, and so is the changed set.
+        # The dimension is read several times below; numbering stores the changed set once.
         dim = materialise(dim, name="dimension")
         newest = D.one_per_key(D.incremental_since(src, dim, ts=RUN_COL), keys, RUN_COL)
         changed = D.scd2_changed_rows(newest, dim, cols=[*keys, *cols])
@@ -172,7 +172,7 @@ def mart_dim_reason(t: Tables):
 
 SITE_COLS = ["s_name", "country", "region_no", "region_name", "company"]
 SITE_SQL = """select s_suppkey as site_code, s_name, n_name as country, coalesce(n_regionkey, -1) as region_no, coalesce(r_name, 'UNKNOWN') as region_name, coalesce(company, 'UNKNOWN') as company from supplier
- left join (select * from nation where n_nationkey < 20) on n_nationkey = {} left join region on r_regionkey = n_regionkey left join (select distinct s_nationkey as k, 'Company ' || cast(s_nationkey % 4 as varchar) as company from supplier where s_nationkey < 18) on k = s_nationkey"""
+ left join (select * replace (case when n_nationkey < 20 then n_nationkey end as n_nationkey) from nation) on n_nationkey = {} left join region on r_regionkey = n_regionkey left join (select distinct s_nationkey as k, 'Company ' || cast(s_nationkey % 4 as varchar) as company from supplier where s_nationkey < 18) on k = s_nationkey"""
 
 
 @query("mart_dim_site", "with " + scd2_sql(SITE_SQL.format("s_nationkey"), SITE_SQL.format("(case when s_suppkey % 4 = 1 then 24 - s_nationkey else s_nationkey end)"), ["site_code"], SITE_COLS, "sk_store") + " select * from dim")
@@ -182,7 +182,7 @@ def mart_dim_site(t: Tables):
     company = t.supplier.where("s_nationkey < 18").select(F.col("s_nationkey").alias("k"), F.concat(F.lit("Company "), (F.col("s_nationkey") % 4).cast("string")).alias("company"))
     company.distinct().write.csv(path, header=True)
     lookup = R.scan_csv_header_glob(t.spark, f"{path}/*.csv", schema="k int, company string")
-    nations = t.nation.where("n_nationkey < 20")
+    nations = t.nation.withColumn("n_nationkey", F.when(F.col("n_nationkey") < 20, F.col("n_nationkey")))
 
     def sites(moved):
         s = t.supplier.withColumn("_n", moved)

@@ -236,13 +236,13 @@ def feed_orders_xml(t: Tables):
 
 
 @query("feed_site_xml", """
-select cast(s_suppkey as varchar) as SiteId, s_name as Name, p.part as PPart_Code, p.qty as PPart_Qty, n_name as PNation_Name, cast(null as varchar) as PFax_Number from supplier left join nation on n_nationkey = s_nationkey and n_nationkey >= 6
-left join (select l_suppkey, cast(l_partkey as varchar) as part, cast(sum(cast(l_quantity as decimal(18,2))) as varchar) as qty from lineitem where l_quantity > 45 group by l_suppkey, l_partkey) p on p.l_suppkey = s_suppkey""")
+select cast(s_suppkey as varchar) as SiteId, s_name as Name, p.part as PPart_Code, p.qty as PPart_Qty, n_name as PNation_Name, cast(null as varchar) as PFax_Number from supplier left join nation on case when n_nationkey >= 6 then n_nationkey end = s_nationkey
+left join (select case when l_suppkey % 9 <> 0 then l_suppkey end as l_suppkey, cast(l_partkey as varchar) as part, cast(sum(cast(l_quantity as decimal(18,2))) as varchar) as qty from lineitem group by l_suppkey, l_partkey) p on p.l_suppkey = s_suppkey""")
 def feed_site_xml(t: Tables):
     """Site XML with optional repeating groups, flattened with a prefix per group; absent groups give nulls."""
-    per = t.lineitem.where("l_quantity > 45").groupBy("l_suppkey", "l_partkey").agg(F.sum(money("l_quantity")).cast("decimal(28,2)").alias("qty"))
+    per = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.sum(money("l_quantity")).cast("decimal(28,2)").alias("qty"))
     parts = N.array_from_rows(per, keys=["l_suppkey"], fields={"l_partkey": "Code", "qty": "Qty"}, name="Part")
-    sites = t.supplier.join(parts, F.col("l_suppkey") == F.col("s_suppkey"), "left").join(t.nation.where("n_nationkey >= 6"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    sites = t.supplier.join(parts, F.when(F.col("l_suppkey") % 9 != 0, F.col("l_suppkey")) == F.col("s_suppkey"), "left").join(t.nation, F.when(F.col("n_nationkey") >= 6, F.col("n_nationkey")) == F.col("s_nationkey"), "left")
     docs = sites.select(F.col("s_suppkey").alias("SiteId"), F.col("s_name").alias("Name"), F.struct("Part").alias("Parts"),
                         F.when(F.col("n_name").isNotNull(), F.struct(F.col("n_name").alias("Name"))).alias("Nation"))
     schema = "SiteId string, Name string, Parts struct<Part: array<struct<Code: string, Qty: string>>>, Nation struct<Name: string>"

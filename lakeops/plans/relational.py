@@ -77,8 +77,8 @@ _ALL_JOINS = {"inner": "join", "left": "left join", "right": "right join", "full
 
 
 @query("join_apply", """
-with c as (select c_custkey, c_nationkey from customer where c_mktsegment <> 'BUILDING'),
-o as (select o_custkey, count(*) as n from orders where o_orderstatus = 'O' and o_orderpriority <> '1-URGENT' group by 1)
+with c as (select case when c_mktsegment = 'BUILDING' then -c_custkey - 1 else c_custkey end as c_custkey, c_nationkey from customer),
+o as (select case when o_orderpriority = '1-URGENT' then o_custkey + 1000000000 else o_custkey end as o_custkey, count(*) as n from orders group by 1)
 select 'inner' as how, c_custkey, o_custkey, n from c join o on c_custkey = o_custkey
 union all select 'left', c_custkey, o_custkey, n from c left join o on c_custkey = o_custkey
 union all select 'right', c_custkey, o_custkey, n from c right join o on c_custkey = o_custkey
@@ -87,8 +87,9 @@ union all select 'semi', c_custkey, null, null from c where c_custkey in (select
 union all select 'anti', c_custkey, null, null from c where c_custkey not in (select o_custkey from o)
 union all select 'cross', c_custkey, null, n from c, (select cast(sum(n) as bigint) as n from o)""")
 def _(t: Tables):
-    c = t.customer.where("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_nationkey")
-    o = t.orders.where("o_orderstatus = 'O' and o_orderpriority <> '1-URGENT'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    # Renamed keys make rows without a partner on both sides.
+    c = t.customer.selectExpr("case when c_mktsegment = 'BUILDING' then -c_custkey - 1 else c_custkey end as c_custkey", "c_nationkey")
+    o = t.orders.selectExpr("case when o_orderpriority = '1-URGENT' then o_custkey + 1000000000 else o_custkey end as o_custkey").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     on, cols = "l.c_custkey = r.o_custkey", ["l.c_custkey", "r.o_custkey", "r.n"]
     both = [J.join_apply(c, o, on_sql=on, how=h, select_sql=[f"'{h}' as how", *cols])
             for h in _ALL_JOINS]

@@ -139,14 +139,14 @@ def mart_bulk_buyers(t: Tables):
 
 
 @query("mart_switching", f"""
-with {ITEMS_SQL}, x as (select case when l_returnflag = 'R' then 'IE' else 'UK' end as country, year(l_shipdate) as run, p_type as grp, p_brand as brand1, 'Brand#' || cast(l_suppkey % 25 + 1 as varchar) as brand2, p_partkey from items join part on p_partkey = l_partkey where p_size > 5),
+with {ITEMS_SQL}, x as (select case when l_returnflag = 'R' then 'IE' else 'UK' end as country, year(l_shipdate) as run, p_type as grp, p_brand as brand1, 'Brand#' || cast(l_suppkey % 25 + 1 as varchar) as brand2, p_partkey from items join part on p_partkey = l_partkey),
 newest as (select country, max(run) as run from x where run not in (2001) group by 1), y as (select x.* from x semi join newest on x.country = newest.country and x.run = newest.run),
 c as (select country, cast(run as int) as run, grp, brand1, brand2, cast(count(*) as decimal(30,3)) as cann_percent, count(distinct p_partkey) as product_count from y group by all),
 k as (select *, grp || country as group_key, case when brand1 = brand2 then cann_percent else 0 end as rbp from c)
 select cast(dense_rank() over (order by group_key, country) as bigint) as group_sk, run, country, brand1, brand2, cann_percent, cast(rbp as decimal(30,3)) as rbp, cast(max(rbp) over (partition by brand1, run, grp, country) as decimal(30,3)) as proportion_of_rbp, product_count from k""")
 def mart_switching(t: Tables):
     """Switching shares between brands of the newest run per country, with a brand's own share on all its rows."""
-    parts = t.part.where("p_size > 5").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("grp"), F.col("p_brand").alias("brand1"))
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("grp"), F.col("p_brand").alias("brand1"))
     li = t.lineitem.select("l_partkey", "l_returnflag", F.year("l_shipdate").alias("run"), F.concat(F.lit("Brand#"), (F.col("l_suppkey") % 25 + 1).cast("string")).alias("brand2"))
     rows = li.join(parts, "l_partkey").withColumn("country", F.when(F.col("l_returnflag") == "R", "IE").otherwise("UK"))
     latest = J.join_latest_snapshot(rows, rows.where("run <> 2001").select("country", "run"), key=["country"], by="run")
@@ -263,8 +263,10 @@ def mart_performance(t: Tables):
     """Product performance per period: type, top brands, funding of its own channel, and share of its brand."""
     main = materialise(_main(t), name="performance")
     recent = t.lineitem.agg(F.date_sub(F.date_trunc("week", F.max("l_shipdate")).cast("date"), 700).alias("d")).scalar()
-    li = t.lineitem.where(F.date_trunc("week", "l_shipdate").cast("date") >= recent)
-    fund = lambda s: li.where(f"l_linestatus = '{s}'").groupBy("l_partkey").agg(F.sum(money("l_extendedprice")).cast("decimal(28,2)").alias("funding"))
+    # The bound is the start of a week, so the day itself can be compared with it, and the scan can skip files.
+    li = t.lineitem.where(F.col("l_shipdate") >= recent.cast(t.lineitem.schema["l_shipdate"].dataType))
+    funded = materialise(li.groupBy("l_linestatus", "l_partkey").agg(F.sum(money("l_extendedprice")).cast("decimal(28,2)").alias("funding")), name="funding")
+    fund = lambda s: funded.where(f"l_linestatus = '{s}'").drop("l_linestatus")
     out = W.top_n_others(main, partition=["time_period", "location"], name="p_brand", measure="tesp_ty", n=10, label="brand_with_others")
     out = J.join_branch_by_value(out, {"Stores": fund("O"), "Online": fund("F")}, on=["l_partkey"], channel="location")
     out = out.withColumn("funding", F.coalesce(F.when(F.col("kind") != "Deletes", F.col("funding")), F.lit(0).cast("decimal(28,2)")))

@@ -105,8 +105,10 @@ def land_entities(entities: dict[str, str], dest: str, *, body: str = "body", hi
 def cdc_latest_state(df: DataFrame, *, keys: Sequence[str], sequence: str, operation: str, delete: str = "DELETE") -> DataFrame:
     """The current row per key: the highest sequence wins, deleted keys vanish.
 
-    A maximum over row structs, combined before the shuffle.
+    On an equal sequence a delete wins, then the other columns decide. A
+    maximum over row structs, combined before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys and c not in (sequence, operation)]
-    last = df.groupBy(*keys).agg(F.max(F.struct(sequence, operation, *rest)).alias("_r"))
+    deleted = (F.upper(F.col(operation)) == delete).alias("_deleted")
+    last = df.groupBy(*keys).agg(F.max(F.struct(sequence, deleted, operation, *rest)).alias("_r"))
     return last.select(*keys, "_r.*").where(F.upper(F.col(operation)) != delete).select(*df.columns)
