@@ -17,10 +17,10 @@ Defined results
 
 from __future__ import annotations
 
-import collections
 import functools
 import itertools
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -40,6 +40,7 @@ BLOCK = 128
 PERCENTILE = 90
 FILE_IDS = 4_000_000
 CACHED_WORDS = 1 << 20
+TEXTS_AT_ONCE = 500
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,27 +126,38 @@ class TokenFile:
         return unpack(body, self.starts[a : b + 1] - self.starts[a])[first - a * BLOCK : last - a * BLOCK]
 
 
+class _Places(dict):
+    """Parts to their number; a new part gets the next one."""
+
+    def __missing__(self, part: str) -> int:
+        self[part] = place = len(self)
+        return place
+
+
 class Encoder:
-    """Texts to ids. Where a tokenizer treats the parts between ASCII white space alone, as it is asked to prove, each distinct part is encoded once and kept, up to ``CACHED_WORDS`` parts."""
+    """Texts to ids. Where a tokenizer treats the parts between ASCII white space alone, and a full stop or comma after a letter, as it is asked to prove, each distinct part is encoded once and kept, up to ``CACHED_WORDS`` parts."""
 
-    PROBES = ("a b", "Word\tword, two", "it's\n<x> 12", " lead and  gap ", "é ſ́ ñ\r\nz")
+    PROBES = ("a b", "Word\tword, two", "it's\n<x> 12", " lead and  gap ", "é ſ́ ñ\r\nz", "One, two. Three. a., b.c d,", "x.\ny, z.")
+    MARKS = re.compile(r"(?<=[A-Za-z])([.,]) ")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.place: dict[str, int] = {"": 0}
-        self.lens, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self._forget()
         self.by_part = all(self.whole([p])[0] == list(itertools.chain(*self.whole(self._parts(p)))) for p in self.PROBES)
 
+    def _forget(self) -> None:
+        self.place = _Places({"": 0})
+        self.lens, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _parts(text: str) -> list[str]:
+    def _parts(self, text: str) -> list[str]:
         for c in "\t\n\r\x0b\x0c":
             text = text.replace(c, " ")
-        return text.split(" ")
+        return self.MARKS.sub(r" \1 ", text).split(" ")
 
     def _encoded(self, parts: list[str], at_once: int = 2000) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each part, and all ids: many parts are encoded as one text and told apart by where each id's characters start."""
@@ -162,25 +174,21 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_part:
             return [np.array(x, np.uint32) for x in self.whole(texts)]
-        split = [self._parts(t) for t in texts]
-        place, lens, flat = self.place, self.lens, self.flat
-        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(split)) if p not in place]
-        if new:
-            more, ids = self._encoded(new)
-            lens, flat = np.concatenate([lens, more]), np.concatenate([flat, ids])
-            added = dict(zip(new, range(len(place), len(place) + len(new))))
-            if len(place) + len(new) <= CACHED_WORDS:
-                place.update(added)
-                self.lens, self.flat = lens, flat
-            else:
-                place = collections.ChainMap(added, place)
-        starts = np.cumsum(lens) - lens
+        if len(self.place) > CACHED_WORDS:
+            self._forget()
+        known, place = len(self.place), self.place
+        places = []
+        for text in texts:
+            parts = self._parts(text)
+            places.append(np.fromiter(map(place.__getitem__, parts), np.int64, len(parts)))
+        if len(place) > known:
+            more, ids = self._encoded(list(itertools.islice(reversed(place), len(place) - known))[::-1])
+            self.lens, self.flat = np.concatenate([self.lens, more]), np.concatenate([self.flat, ids])
+        starts = np.cumsum(self.lens) - self.lens
         out = []
-        for parts in split:
-            at = np.fromiter(map(place.__getitem__, parts), np.int64, len(parts))
-            n = lens[at]
-            total = int(n.sum())
-            out.append(flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(total)])
+        for at in places:
+            n = self.lens[at]
+            out.append(self.flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
         return out
 
 
@@ -215,7 +223,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, *, folder: str | None = N
             return pd.DataFrame({"path": [path], "n_docs": [len(held)], "n_ids": [size], "id": pd.array([name], "Int64"), "tie": [tie], "row": [row]})
 
         for batch in batches:
-            for name, tie, row, ids in zip(batch["id"].tolist(), batch["tie"], batch["row"], encode(batch["text"].tolist())):
+            texts = batch["text"].tolist()
+            # Few texts at once: the parts of all texts of a batch would be many small objects.
+            encoded = (ids for k in range(0, len(texts), TEXTS_AT_ONCE) for ids in encode(texts[k : k + TEXTS_AT_ONCE]))
+            for name, tie, row, ids in zip(batch["id"].tolist(), batch["tie"], batch["row"], encoded):
                 ids = np.append(ids, np.uint32(end_id)).astype(np.uint32)
                 if held and size + len(ids) > file_ids:
                     yield flush()
