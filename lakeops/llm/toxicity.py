@@ -71,32 +71,32 @@ def starts(n: int) -> np.ndarray:
 
 
 class Words:
-    """Inputs of distinct words: their row, and their n-grams' rows and weights. Word 0 is padding."""
+    """Inputs of distinct words: their row, and the rows and number of their n-grams. Word 0 is padding; so is the last row of n-grams."""
 
     def __init__(self):
         self.place: dict[bytes, int] = {}
-        self.rows, self.grams, self.weights = np.zeros(1, np.int64), np.zeros((1, GRAMS), np.int64), np.zeros((1, GRAMS), np.float32)
+        self.rows, self.grams, self.counts = np.zeros(1, np.uint16), np.full((1, GRAMS), GRAM_ROWS, np.uint16), np.ones(1, np.float32)
 
     def __len__(self) -> int:
         return len(self.rows)
 
     def add(self, new: list[bytes]) -> None:
-        rows, grams, weights = np.zeros(len(new), np.int64), np.zeros((len(new), GRAMS), np.int64), np.zeros((len(new), GRAMS), np.float32)
+        rows, grams, counts = np.zeros(len(new), np.uint16), np.full((len(new), GRAMS), GRAM_ROWS, np.uint16), np.ones(len(new), np.float32)
         for i, w in enumerate(new):
             self.place[w] = len(self.rows) + i
             g = gram_rows(w)
-            rows[i], grams[i, : len(g)], weights[i, : len(g)] = word_row(w), g, 1 / len(g)
-        self.rows, self.grams, self.weights = np.concatenate([self.rows, rows]), np.concatenate([self.grams, grams]), np.concatenate([self.weights, weights])
+            rows[i], grams[i, : len(g)], counts[i] = word_row(w), g, len(g)
+        self.rows, self.grams, self.counts = np.concatenate([self.rows, rows]), np.concatenate([self.grams, grams]), np.concatenate([self.counts, counts])
 
 
 def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(windows, 40) words of all windows of some texts, and the text of each."""
-    flat = np.concatenate([*ids, np.zeros(1, np.int64)])
+    flat = np.concatenate([*ids, np.zeros(1, np.int32)])
     ends = np.cumsum([len(x) for x in ids])
     first = [starts(len(x)) for x in ids]
     owner = np.repeat(np.arange(len(ids)), [len(x) for x in first])
     if not len(owner):
-        return np.zeros((0, WINDOW), np.int64), owner
+        return np.zeros((0, WINDOW), np.int32), owner
     at = np.concatenate(first) + (ends - [len(x) for x in ids])[owner]
     places = at[:, None] + np.arange(WINDOW)
     return np.where(places < ends[owner][:, None], flat[np.minimum(places, len(flat) - 1)], 0), owner
@@ -112,14 +112,16 @@ class Network:
     def new(cls, seed: int = 3) -> Network:
         rng = np.random.default_rng(seed)
         size = WORD_SIZE + GRAM_SIZE
-        shapes = {"word": (WORD_ROWS, WORD_SIZE), "gram": (GRAM_ROWS, GRAM_SIZE), "x": (size, 6 * HIDDEN), "xb": (6 * HIDDEN,), "u": (2, HIDDEN, 3 * HIDDEN), "attend": (2, HIDDEN), "out": (2, HIDDEN), "b": (1,)}
+        shapes = {"word": (WORD_ROWS, WORD_SIZE), "gram": (GRAM_ROWS + 1, GRAM_SIZE), "x": (size, 6 * HIDDEN), "xb": (6 * HIDDEN,), "u": (2, HIDDEN, 3 * HIDDEN), "attend": (2, HIDDEN), "out": (2, HIDDEN), "b": (1,)}
         spread = {"word": 0.05, "gram": 0.05, "x": 0.5, "u": 0.3, "attend": 0.3, "out": 0.5}
-        return cls({k: (rng.standard_normal(s) * spread.get(k, 0)).astype(np.float32) for k, s in shapes.items()})
+        weights = {k: (rng.standard_normal(s) * spread.get(k, 0)).astype(np.float32) for k, s in shapes.items()}
+        weights["gram"][GRAM_ROWS] = 0
+        return cls(weights)
 
     def inputs(self, words: Words, some: np.ndarray | slice = slice(None)) -> np.ndarray:
         """Vectors of words."""
         w = self.w
-        grams = (w["gram"][words.grams[some]] * words.weights[some][:, :, None]).sum(axis=1)
+        grams = w["gram"][words.grams[some]].sum(axis=1) / words.counts[some][:, None]
         return np.concatenate([w["word"][words.rows[some]], grams], axis=1)
 
     def table(self, words: Words, some: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -206,7 +208,8 @@ class Network:
         to_vectors = flat @ w["x"].T
         g["word"], g["gram"] = np.zeros_like(w["word"]), np.zeros_like(w["gram"])
         np.add.at(g["word"], words.rows[own], to_vectors[:, :WORD_SIZE])
-        np.add.at(g["gram"], words.grams[own], to_vectors[:, None, WORD_SIZE:] * words.weights[own][:, :, None])
+        np.add.at(g["gram"], words.grams[own], (to_vectors[:, WORD_SIZE:] / words.counts[own][:, None])[:, None, :])
+        g["gram"][GRAM_ROWS] = 0
         return g
 
 
@@ -223,16 +226,16 @@ class Model(NamedTuple):
 NO_WINDOW = -12.0
 
 
-def _log_odds(rows: np.ndarray, owner: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log odds of toxic against clean texts that hold each hashed row."""
-    pairs = np.unique(np.stack([owner, rows]), axis=1)
-    toxic = np.bincount(pairs[1], weights=label[pairs[0]], minlength=size)
-    clean = np.bincount(pairs[1], weights=1 - label[pairs[0]], minlength=size)
-    return (np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))).astype(np.float32)
+def _log_odds(texts: Iterator[np.ndarray], label: np.ndarray, size: int) -> np.ndarray:
+    """Smoothed log odds of toxic against clean texts that hold each row; one array of rows per text."""
+    seen = np.zeros((2, size))
+    for rows, y in zip(texts, label):
+        seen[int(y), np.unique(rows)] += 1
+    return (np.log((seen[1] + 0.5) / (label.sum() + 1)) - np.log((seen[0] + 0.5) / ((1 - label).sum() + 1))).astype(np.float32)
 
 
 def _all_logits(network: Network, words: Words, ids: np.ndarray) -> np.ndarray:
-    table = network.table(words)
+    table = np.concatenate([network.table(words, np.arange(k, min(k + AT_ONCE, len(words)))) for k in range(0, len(words), AT_ONCE)])
     return np.concatenate([network.logits(table, ids[k : k + AT_ONCE]) for k in range(0, len(ids), AT_ONCE)])
 
 
@@ -246,15 +249,16 @@ def fit(texts: list[str], label: np.ndarray, rounds: int = 3, epochs: int = 5, b
         return Model(None, 0.0, 0.0)
     rng, words, network = np.random.default_rng(5), Words(), Network.new()
     words.add(list(dict.fromkeys(w for s in split for w in s)))
-    ids, owner = windows([np.array([words.place[w] for w in s]) for s in split])
-    in_text = np.unique(np.stack([np.repeat(owner, WINDOW), ids.reshape(-1)]), axis=1)
-    in_text = in_text[:, in_text[1] > 0]
-    word_odds = _log_odds(words.rows[in_text[1]], in_text[0], label, WORD_ROWS)
-    gram_odds = _log_odds(words.grams[in_text[1]][words.weights[in_text[1]] > 0], np.repeat(in_text[0], (words.weights[in_text[1]] > 0).sum(axis=1)), label, GRAM_ROWS)
+    numbers = [np.array([words.place[w] for w in s], np.int32) for s in split]
+    ids, owner = windows(numbers)
+    del split
+    word_odds = _log_odds((words.rows[np.unique(x)] for x in numbers), label, WORD_ROWS)
+    gram_odds = _log_odds((words.grams[np.unique(x)].reshape(-1) for x in numbers), label, GRAM_ROWS + 1)
+    gram_odds[GRAM_ROWS] = 0
     network.w["word"][:, 0], network.w["gram"][:, 0] = word_odds / 4, gram_odds / 4
-    hint = word_odds[words.rows] / 2 + (gram_odds[words.grams] * words.weights).sum(axis=1)
+    hint = np.concatenate([word_odds[words.rows[k : k + AT_ONCE]] / 2 + gram_odds[words.grams[k : k + AT_ONCE]].sum(axis=1) / words.counts[k : k + AT_ONCE] for k in range(0, len(words), AT_ONCE)])
     hint[0] = -9
-    worst = np.sort(hint[ids], axis=1)[:, -3:].sum(axis=1)
+    worst = np.concatenate([np.sort(hint[ids[k : k + AT_ONCE]], axis=1)[:, -3:].sum(axis=1) for k in range(0, len(ids), AT_ONCE)])
     steps = Adam(network.w, 0.01)
     for _ in range(rounds):
         order = np.lexsort((-worst, owner))
@@ -285,7 +289,7 @@ def fit(texts: list[str], label: np.ndarray, rounds: int = 3, epochs: int = 5, b
     return Model(network, float(max(a[0], 0.05)), float(b[0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "toxic", toxic: int = 3000, clean: int = 3000, most_chars: int = 12_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "toxic", toxic: int = 2000, clean: int = 2500, most_chars: int = 12_000) -> Model:
     """Fit on labelled documents of the ``fold``."""
     known = labels.where(fold & F.col(label).isin(0, 1)).select(F.col(id), F.col(label).cast("int").alias("_toxic")).distinct()
     chosen = sampled(known.where("_toxic = 1"), toxic, id=id).union(sampled(known.where("_toxic = 0"), clean, id=id))
@@ -321,7 +325,7 @@ class Scorer:
             return np.full(len(texts), 0.5)
         split = [words_of(t) for t in texts]
         self._learn(split)
-        ids, owner = windows([np.fromiter(map(self.place.__getitem__, s), np.int64, len(s)) for s in split])
+        ids, owner = windows([np.fromiter(map(self.place.__getitem__, s), np.int32, len(s)) for s in split])
         worst = np.full(len(texts), NO_WINDOW)
         for k in range(0, len(ids), AT_ONCE):
             np.maximum.at(worst, owner[k : k + AT_ONCE], network.logits(self.table, ids[k : k + AT_ONCE]))
