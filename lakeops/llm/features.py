@@ -49,10 +49,9 @@ def style(raw: bytes) -> np.ndarray:
 
 def sampled(rows: DataFrame, bound: int, *, id: str = "doc_id", by: str | None = None) -> DataFrame:
     """About ``bound`` rows at most (of each value of ``by``), chosen by a draw from the id: the same rows in each run, without a sort."""
-    keys = [by] if by else []
     rows = rows.withColumn("_unit", draw60(key_text(id), F.lit("|sample")) / F.lit(float(2**60)))
-    sizes = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all")), name="sample-sizes")
-    joined = rows.join(sizes, by) if by else rows.crossJoin(F.broadcast(sizes))
+    sizes = materialise(rows.groupBy(*([by] if by else [])).agg(F.count(F.lit(1)).alias("_all")), name="sample-sizes")
+    joined = rows.join(sizes, by) if by else rows.withColumn("_all", sizes.select("_all").scalar())
     return joined.where(F.col("_unit") * F.col("_all") < bound).drop("_unit", "_all")
 
 

@@ -90,16 +90,21 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, epochs: int = 120, b
     return w["w"], float(w["b"][0])
 
 
-def fit(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
-    """Estimate the prior on one half of the rows from a fit on the other, then fit by PU risk on all."""
+def fit(x: np.ndarray, positives: int) -> Model:
+    """Estimate the prior on one half of the rows from a fit on the other, then fit by PU risk on all.
+
+    The first ``positives`` rows are trusted, the others unlabelled. ``x`` is normalised in place.
+    """
     width = HASHED + STATS
-    everything = np.concatenate([positives, unlabelled])
-    if not len(positives) or not len(unlabelled):
+    if not 0 < positives < len(x):
         return Model(np.zeros(width, np.float32), 0.0, np.zeros(width, np.float32), np.ones(width, np.float32), 0.5)
-    mean, scale = everything.mean(axis=0), everything.std(axis=0) + 1e-3
+    mean, scale = x.mean(axis=0), x.std(axis=0) + np.float32(1e-3)
     # Trigrams are many and each says little; they share the weight of the measures of style.
     scale[:HASHED] *= 60
-    p, u = (np.clip((x - mean) / scale, -6, 6) for x in (positives, unlabelled))
+    x -= mean
+    x /= scale
+    np.clip(x, -6, 6, out=x)
+    p, u = x[:positives], x[positives:]
     w, b = _fit(p[::2], u[::2], None, epochs=30)
     seen_p, seen_u = (p[1::2], u[1::2]) if len(p) > 1 and len(u) > 1 else (p, u)
     prior = estimated_prior(_sigmoid(seen_p @ w + b), _sigmoid(seen_u @ w + b))
@@ -107,7 +112,7 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(w, b, mean, scale, prior)
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "quality", positives: int = 4000, unlabelled: int = 8000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "quality", positives: int = 2500, unlabelled: int = 5000) -> Model:
     """Fit on documents of the ``fold``: those labelled 1, and text without a look at labels."""
 
     def to_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,10 +124,9 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id
     drawn = F.xxhash64(F.col(id)).alias("draw")
     a = labelled_texts(docs, trusted, "kind", drawn, id=id, text=text)
     b = sampled(docs.where(fold).select(id, text), unlabelled, id=id).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(0).alias("kind"), drawn)
-    rows = a.select("text", "kind", "draw").union(b).mapInPandas(to_rows, "kind int, draw long, x binary").toPandas().sort_values(["kind", "draw", "x"])
+    rows = a.select("text", "kind", "draw").union(b).mapInPandas(to_rows, "kind int, draw long, x binary").toPandas().sort_values(["kind", "draw", "x"], ascending=[False, True, True])
     x = np.frombuffer(b"".join(rows["x"]), np.float16).reshape(-1, HASHED + STATS).astype(np.float32)
-    kind = rows["kind"].to_numpy()
-    return fit(x[kind == 1], x[kind == 0])
+    return fit(x, int(rows["kind"].sum()))
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
