@@ -103,8 +103,8 @@ def metrics(docs: DataFrame, *, text: str = "text") -> DataFrame:
             "n_lines": F.size(lines).cast("long"),
             "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
             "n_stop_words": count(words, lambda w: F.lower(F.translate(w, ".,;:!?", "")).isin(*stop)),
-            "n_capital_words": count(words, lambda w: (F.length(w) > 1) & (F.upper(w) == w) & (F.lower(w) != w)),
-            "n_letter_words": count(words, lambda w: F.upper(w) != F.lower(w)),
+            "n_capital_words": count(words, lambda w: (F.length(w) > 1) & w.rlike(r"\p{Lu}") & ~w.rlike(r"\p{Ll}")),
+            "n_letter_words": count(words, lambda w: w.rlike(r"\p{L}")),
             "n_ellipsis_lines": count(lines, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")),
             "n_bullet_lines": count(lines, lambda x: F.ltrim(x).substr(1, 1).isin("-", "*", "•")),
         }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontaminate, language_id, mixing, near_dedup, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity
+from lakeops.llm import decontaminate, language_id, mixing, near_dedup, oracles, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity
 from lakeops.llm.common import Tables, crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query("op1_secret_scan")
+@query("op1_secret_scan", oracles.secrets())
 def op1_secret_scan(t: Tables) -> DataFrame:
     """Spans of secrets in every document: counts and digest of the base kinds, and all spans."""
     found = secret_scan.scan(t.documents)
@@ -65,14 +65,14 @@ def op4_quality_classifier(t: Tables) -> DataFrame:
     return quality_pu.scored(t.documents.select("doc_id", "text"), model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
-@query("op5_quality_rules")
+@query("op5_quality_rules", oracles.quality())
 def op5_quality_rules(t: Tables) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     judged = quality_rules.judge(t.documents.select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-@query("op6_near_dedup")
+@query("op6_near_dedup", oracles.near_duplicates())
 def op6_near_dedup(t: Tables) -> DataFrame:
     """The near-duplicate component of every document."""
     return near_dedup.near_duplicates(t.documents)
@@ -97,7 +97,7 @@ def op9_token_files(t: Tables) -> DataFrame:
     return token_files.read_documents(token_files.write_token_files(t.documents, vocabulary("word_bpe_49k.json")))
 
 
-@query("op10_source_mix")
+@query("op10_source_mix", oracles.mix())
 def op10_source_mix(t: Tables) -> DataFrame:
     """How many words of each document the mix takes."""
     return mixing.mix(t.documents.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
