@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions import exprs as E
 from lakeops.operators import aggs as A
 from lakeops.operators import clean as C
 from lakeops.operators import joins as J
@@ -244,28 +245,46 @@ def run_recipe(spark: SparkSession, steps: Sequence[Mapping], frames: Mapping[st
                filter_condition: str | None = None) -> dict[str, DataFrame]:
     """Run the steps in order and return all views plus ``run_summary`` (step, kind, rows).
 
-    An unknown step or a failing one raises; nothing is swallowed.
+    An unknown step or a failing one raises; nothing is swallowed. The view
+    names last as long as the recipe runs.
     """
     run = Run(spark, extra_filter=filter_condition or None)
-    for name, df in frames.items():
-        run.put(name, df)
-    for s in steps:
-        kind = s.get("card_type", "").lower()
-        if kind not in STEPS:
-            raise ValueError(f"unknown card_type {kind!r}")
-        STEPS[kind](run, {**s, "card_type": kind})
+    try:
+        for name, df in frames.items():
+            run.put(name, df)
+        for s in steps:
+            kind = s.get("card_type", "").lower()
+            if kind not in STEPS:
+                raise ValueError(f"unknown card_type {kind!r}")
+            STEPS[kind](run, {**s, "card_type": kind})
+    finally:
+        # The frames are resolved; their view names are free for the next recipe.
+        for name in run.frames:
+            spark.catalog.dropTempView(name)
     run.frames["run_summary"] = spark.createDataFrame(run.summary, "step string, kind string, row_count bigint")
     return run.frames
 
 
-def run_cleanse(df: DataFrame, config: Mapping) -> dict[str, DataFrame]:
+def read_source(spark: SparkSession, source: Mapping) -> DataFrame:
+    """The feed that a recipe names: ``{data_type, path or paths, schema?, options?}``."""
+    return R.scan_by_type(spark, source.get("paths") or source["path"], kind=source.get("data_type", "CSV"), schema=source.get("schema"), options=source.get("options"))
+
+
+def run_cleanse(df: DataFrame | None, config: Mapping, spark: SparkSession | None = None) -> dict[str, DataFrame]:
     """Cleanse one feed by a recipe and return its outputs.
 
-    In order: predefined, expression and complex rules, row checks, split and
-    quarantine, report, filters, constants and run stamp, derived columns,
-    renames and column order, custom functions, destinations. The checked
-    frame is stored once and feeds every count and every output.
+    In order: the reader (``data_source``, where no frame is given), predefined,
+    expression and complex rules, row checks, enforced tests, split and
+    quarantine, report, filters, row key, constants and run stamp, derived
+    columns, renames and column order, custom functions, destinations. The
+    checked frame is stored once and feeds every count and every output.
+
+    ``data_quality.enforced_tests`` are SQL conditions on the counts
+    (total_rows, good_rows, bad_rows). If one does not hold, the feed as it
+    was read goes to quarantine, and the result and the destinations stay empty.
     """
+    df = read_source(spark, config["data_source"]) if df is None else df
+    raw = df
     engine = config.get("rules_engine", {})
     df = Q.rule_predefined(df, engine.get("predefined", {}))
     df = Q.rule_expression(df, engine.get("expression", []))
@@ -278,11 +297,19 @@ def run_cleanse(df: DataFrame, config: Mapping) -> dict[str, DataFrame]:
     if checks["rules"]:
         outputs["report"] = Q.dq_rule_report(stored, checks["rules"])
         outputs["dimensions"] = Q.dq_dimensions(outputs["report"])
-    if config.get("quarantine_path"):
+    tests = config.get("data_quality", {}).get("enforced_tests", [])
+    failed = bool(tests) and not outputs["counts"].select(F.coalesce(F.expr(" and ".join(f"({x})" for x in tests)), F.lit(False))).first()[0]
+    if failed:
+        good = good.limit(0)
+        if config.get("quarantine_path"):
+            outputs["quarantined_feed"] = O.quarantine_bad_rows(raw, f"{config['quarantine_path']}/feed", run=str(config["run"]))
+    elif config.get("quarantine_path"):
         outputs["bad_rows"] = O.quarantine_bad_rows(bad, config["quarantine_path"], run=str(config["run"]))
     out = Q.drop_helper_columns(good)
     out = C.drop_empty_rows(out) if config.get("drop_empty", True) else out
     out = C.filter_predicates(out, config.get("filters", []))
+    key = config.get("generate_key")
+    out = E.row_identity(out, key["columns"], name=key["column_name"]) if key else out
     out = C.constant_columns(out, config.get("constants", {}))
     out = C.record_timestamp(out, run=config["run"]) if config.get("run") else out
     out = C.derived_case_columns(out, config.get("derived", []))
@@ -290,6 +317,6 @@ def run_cleanse(df: DataFrame, config: Mapping) -> dict[str, DataFrame]:
     out = C.select_column_order(out, config["columns"]) if config.get("columns") else out
     out = C.custom_rule_hook(out, config.get("custom", []))
     outputs["result"] = out
-    if config.get("data_destination"):
+    if config.get("data_destination") and not failed:
         outputs |= O.fan_out_destinations(out, config["data_destination"])
     return outputs

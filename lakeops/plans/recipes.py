@@ -72,6 +72,8 @@ def _stamp(df, *, value: str):
 @query("recipe_cleanse", f"""
 with {CHECKS_SQL}, f as (select *, {FINAL_SQL} as ok from checked)
 select 'row' as part, cast(o_orderkey as varchar) as a, status as b, case when price > 300000 then 'high' else 'low' end as c, custkey as n from f where ok = 1 and price < 450000
+union all select 'key', sha256(cast(o_orderkey as varchar) || chr(1) || status), null, null, null from f where ok = 1 and price < 450000
+union all select 'quarantined feed', cast(o_orderkey as varchar), status, null, custkey from raw
 union all select 'total', 'total', 'UK', 'b1', count(*) from f union all select 'total', 'bad', 'UK', 'b1', count(*) from f where ok = 0
 union all select 'by status', status, null, null, count(*) from f where ok = 1 and price < 450000 group by 2""")
 def recipe_cleanse(t: Tables):
@@ -81,14 +83,22 @@ def recipe_cleanse(t: Tables):
         "run": 20010801, "quarantine_path": f"{base}/bad",
         "rules_engine": {"predefined": {"trim": "status"}, "expression": [{"type": "regex", "columns": "day", "expression": r"\s+", "value": ""}]},
         "data_quality": {"row_based_rules": {"enforce": True, "rules": rules(t)}},
+        "data_source": {"data_type": "PARQUET", "path": f"{base}/in"}, "generate_key": {"column_name": "row_key", "columns": ["o_orderkey", "status"]},
         "filters": ["price < 450000"], "constants": {"country": "UK"},
         "derived": [("level", [("price > 300000", "high")], "low")], "rename": {"custkey": "customer"},
-        "columns": ["o_orderkey", "status", "day", "price", "customer", "country", "level", "record_timestamp"],
+        "columns": ["o_orderkey", "status", "day", "price", "customer", "country", "level", "record_timestamp", "row_key"],
         "custom": [(_stamp, {"value": "b1"})],
         "data_destination": [{"path": f"{base}/good", "keys": ["status"]}, {"path": f"{base}/counts", "query": "select status, count(*) as n from {source} group by status"}],
     }
-    out = run_cleanse(faulty(t), config)
+    faulty(t).write.parquet(f"{base}/in")
+    out = run_cleanse(None, config, t.spark)
+    # The same feed with a test that it fails goes to quarantine as a whole.
+    strict = config | {"data_quality": config["data_quality"] | {"enforced_tests": ["bad_rows = 0"]}, "data_destination": [], "quarantine_path": f"{base}/strict"}
+    stopped = run_cleanse(None, strict, t.spark)
+    feed = stopped["quarantined_feed"].unionByName(stopped["result"].select("o_orderkey", "status", F.col("customer").alias("custkey")), allowMissingColumns=True)
+    feed = feed.select(F.lit("quarantined feed").alias("part"), F.col("o_orderkey").cast("string").alias("a"), F.col("status").alias("b"), F.col("custkey").alias("n"))
+    keys = out[f"{base}/good"].select(F.lit("key").alias("part"), F.col("row_key").alias("a"))
     rows = out[f"{base}/good"].select(F.lit("row").alias("part"), F.col("o_orderkey").cast("string").alias("a"), F.col("status").alias("b"), F.col("level").alias("c"), F.col("customer").alias("n"))
     totals = out["counts"].unpivot([], ["total_rows", "bad_rows"], "a", "n").select(F.lit("total").alias("part"), F.regexp_replace("a", "_rows", "").alias("a"), F.lit("UK").alias("b"), F.lit("b1").alias("c"), "n")
     by = out[f"{base}/counts"].select(F.lit("by status").alias("part"), F.col("status").alias("a"), "n")
-    return S.union_padded(rows, totals, by)
+    return S.union_padded(rows, totals, by, keys, feed)

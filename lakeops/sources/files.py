@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.clean import normalise_column_names
+
 POSITION = "_position"
 FILE = "_file"
 
@@ -17,11 +19,15 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n.strip(), T.StringType()) for n in names])
 
 
-def scan_delimited(spark: SparkSession, paths, *, schema, sep: str = "|", encoding: str = "UTF-8",
-                   header: bool = False) -> DataFrame:
-    """Delimited text with a declared schema; short rows are padded with nulls."""
-    return spark.read.csv(paths, schema=schema, sep=sep, encoding=encoding, header=header, mode="PERMISSIVE",
-                          enforceSchema=True)
+def scan_delimited(spark: SparkSession, paths, *, schema, sep: str = "|", encoding: str = "UTF-8", header: bool = False,
+                   quote: str = '"', escape: str = "\\", trim: bool = False, validate_header: bool = False) -> DataFrame:
+    """Delimited text with a declared schema; short rows are padded with nulls.
+
+    ``trim`` drops blanks around values. With ``validate_header`` a file whose
+    header differs from the schema is an error instead of being read by position.
+    """
+    return spark.read.csv(paths, schema=schema, sep=sep, encoding=encoding, header=header, mode="PERMISSIVE", quote=quote, escape=escape,
+                          ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim, enforceSchema=not validate_header)
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -111,6 +117,27 @@ def scan_json_multiline(spark: SparkSession, paths, *, schema=None) -> DataFrame
     return spark.read.json(paths, schema=schema, multiLine=True)
 
 
+def scan_by_type(spark: SparkSession, paths, *, kind: str, schema=None, options: Mapping | None = None) -> DataFrame:
+    """Read a feed by the type that a recipe names: CSV, PARQUET, PARQUET_WITH_DECIMAL, JSON or XML.
+
+    ``options`` go to the reader of that type. Column names of Parquet feeds
+    are normalised; ``merge_schema`` unites the columns of all its files.
+    """
+    kind, options, paths = kind.upper(), dict(options or {}), [paths] if isinstance(paths, str) else list(paths)
+    if kind == "CSV":
+        return scan_delimited(spark, paths, schema=schema, **options)
+    if kind == "PARQUET":
+        df = spark.read.option("mergeSchema", str(options.get("merge_schema", False)).lower()).parquet(*paths)
+        return normalise_column_names(df)
+    if kind == "PARQUET_WITH_DECIMAL":
+        return scan_parquet_decimal(spark, paths, **options)
+    if kind == "JSON":
+        return scan_json_multiline(spark, paths, schema=schema)
+    if kind == "XML":
+        return scan_xml_rows(spark, paths, schema=schema, **options)
+    raise ValueError(f"unknown feed type {kind!r}")
+
+
 def parse_json_column(df: DataFrame, col: str, *, schema, corrupt_col: str | None = None) -> DataFrame:
     """Replace a JSON string or binary column by the columns of ``schema``.
 
