@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from re import _parser  # the only parser of expressions in the standard library
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -59,14 +60,7 @@ def trigram_query(pattern: str) -> Clauses:
     so far can end with exactly; where a part can vary too much, the trigrams of
     the strings before it are recorded and the set starts anew.
     """
-    clauses = _simplified(_walk(re.compile(pattern) and _parse(pattern)))
-    return clauses
-
-
-def _parse(pattern: str):
-    from re import _parser  # the only parser of expressions in the standard library
-
-    return _parser.parse(pattern)
+    return _simplified(_walk(_parser.parse(pattern)))
 
 
 def _grams(strings: set[str]) -> Clauses:

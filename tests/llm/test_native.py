@@ -56,6 +56,14 @@ def test_secrets_of_odd_texts(spark, docs_of, tmp_path):
     assert secret_scan.scan(docs_of([])).count() == 0
 
 
+def test_index_of_all_trigrams(spark, docs_of):
+    rows = [(i, t) for i, t in enumerate(TEXTS) if i != 6]
+    got = secret_scan.trigram_index(docs_of(rows)).groupBy("trigram").count().collect()
+    lower = [(t or "").lower() for _, t in rows]
+    want = [g for t in lower for g in {t[i : i + 3] for i in range(len(t) - 2)}]
+    assert {r.trigram: r["count"] for r in got} == {g: want.count(g) for g in set(want)}
+
+
 def test_trigram_queries_never_miss():
     assert secret_trigrams("abc(d|e)fg") == [{"abc", "bcd", "cdf", "dfg"}, {"abc", "bce", "cef", "efg"}]
     assert secret_trigrams("[0-9a-f]+") == [] and secret_trigrams("(abc|x)y") == []
