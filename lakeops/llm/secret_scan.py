@@ -139,7 +139,8 @@ def trigram_index(docs: DataFrame, *, id: str = "doc_id", text: str = "text", vo
     With a vocabulary, only its trigrams get postings: those of the rules that will be asked.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    pattern = "(?s)(?=(...))" if vocabulary is None else _one_of(vocabulary) if vocabulary else "(?!)()"
+    # A place in the middle of a character beyond 16 bits is no start.
+    pattern = r"(?s)(?=([^\x{D800}-\x{DFFF}]..))" if vocabulary is None else _one_of(vocabulary) if vocabulary else "(?!)()"
     grams = F.array_distinct(F.regexp_extract_all(F.lower(body), F.lit(pattern), F.lit(1)))
     return docs.select(_row_key(id, body).alias("key"), F.explode(grams).alias("trigram"))
 
