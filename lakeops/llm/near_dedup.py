@@ -324,7 +324,7 @@ def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> D
     Rows that repeat an id and its text are one document, so one of them stays.
     """
     found = near_duplicates(docs, id=id, text=text)
-    kept = materialise(found.where("kept and doc_id is not null" if id == "doc_id" else F.col("kept") & F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("_rows")), name="dedup-kept")
-    rows = docs.join(kept, id)
-    once, repeated = rows.where("_rows = 1"), rows.where("_rows > 1").dropDuplicates([id, text])
-    return once.unionByName(repeated).select(*docs.columns).unionByName(docs.where(F.col(id).isNull()))
+    kept = materialise(found.where(F.col("kept") & F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("_rows")), name="dedup-kept")
+    repeated = materialise(kept.where("_rows > 1").select(id), name="dedup-repeated")
+    once = docs.join(kept.where("_rows = 1").select(id), id, "left_semi")
+    return once.unionByName(docs.join(repeated, id, "left_semi").dropDuplicates([id, text])).unionByName(docs.where(F.col(id).isNull()))
