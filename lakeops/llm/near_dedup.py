@@ -238,41 +238,45 @@ def _remaining_links(buckets: DataFrame, classes: DataFrame, labels: DataFrame,
         rest = None
         for batch in batches:
             rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            group = (rows[["key", "lo", "hi"]] != rows[["key", "lo", "hi"]].shift()).any(axis=1).cumsum().to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(rows) else np.zeros(0, int)
-            for s, e in zip(starts[:-1], starts[1:]):
-                yield links_of(rows.iloc[s:e])
-            rest = rows.iloc[starts[-1] :] if len(starts) else None
+            if len(rows):
+                group = np.stack([rows[k].to_numpy() for k in ("key", "lo", "hi")])
+                starts = np.flatnonzero(np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(axis=0)]))
+                yield links_of(rows.iloc[: starts[-1]], starts)
+                rest = rows.iloc[starts[-1] :]
         if rest is not None:
-            yield links_of(rest)
-
-    def links_of(rows: pd.DataFrame) -> pd.DataFrame:
-        c, label, n, first, sets = (rows[k].to_numpy() for k in ("c", "label", "n", "first", "set"))
+            yield links_of(rest, np.array([0, len(rest)]))
+
+    def links_of(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        """Links of whole groups, which begin at ``starts`` (the last entry is the end)."""
+        if not len(rows):
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        key, same, c, label, n, first, sets = (rows[k].to_numpy() for k in ("key", "hi", "c", "label", "n", "first", "set"))
+        same = same == rows["lo"].to_numpy()
         sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, COORDS)
         bands = np.stack(rows["bands"].to_numpy())
-        band = int((bands[0] == rows["key"].iloc[0]).argmax())
-        within = rows["lo"].iloc[0] == rows["hi"].iloc[0]
-        left = np.arange(len(rows)) if within else np.flatnonzero(first)
-        right = left if within else np.flatnonzero(~first)
-        found, parent = [], {x: x for x in label}
-
-        def top(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        for i in left:
-            j = right[(right > i) if within else slice(None)]
-            j = j[(label[j] != label[i]) & (DENOMINATOR * np.minimum(n[j], n[i]) >= NUMERATOR * np.maximum(n[j], n[i]))]
-            agree = (sketch[j] == sketch[i]).mean(axis=1) if len(j) else np.zeros(0)
-            j, agree = j[agree >= LEAST_AGREEMENT], agree[agree >= LEAST_AGREEMENT]
-            if len(j):
-                here = (bands[j] == bands[i]).argmax(axis=1) == band
-                j = j[here][np.argsort(-agree[here], kind="stable")]
-            for k in j:
-                if top(label[i]) != top(label[k]) and _links(np.frombuffer(sets[i], U), np.frombuffer(sets[k], U)):
-                    found.append((c[i], c[k]))
-                    parent[top(label[i])] = top(label[k])
+        found: list[tuple[int, int]] = []
+        for s, e in zip(starts[:-1], starts[1:]):
+            if (label[s:e] == label[s]).all():
+                continue
+            members = np.arange(s, e)
+            left, right = (members, members) if same[s] else (members[first[s:e]], members[~first[s:e]])
+            parent, band = {x: x for x in label[s:e].tolist()}, int((bands[s] == key[s]).argmax())
+
+            def top(x: int, parent: dict = parent) -> int:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for i in left:
+                j = right[right > i] if same[s] else right
+                j = j[(label[j] != label[i]) & (DENOMINATOR * np.minimum(n[j], n[i]) >= NUMERATOR * np.maximum(n[j], n[i]))]
+                if len(j):
+                    agree = (sketch[j] == sketch[i]).mean(axis=1)
+                    here = (agree >= LEAST_AGREEMENT) & ((bands[j] == bands[i]).argmax(axis=1) == band)
+                    for k in j[here][np.argsort(-agree[here], kind="stable")]:
+                        if top(label[i]) != top(label[k]) and _links(np.frombuffer(sets[i], U), np.frombuffer(sets[k], U)):
+                            found.append((c[i], c[k]))
+                            parent[top(label[i])] = top(label[k])
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     grouped = members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
