@@ -13,7 +13,7 @@ their number.
 
 Each retrieved (text, item) is then verified on the words around the passages:
 the item's 5-word shingles, and those of its question and of its answer's words,
-must be found there. Without own columns the last sentence of an item is its
+must be found there, and one place where they are is enough. Without own columns the last sentence of an item is its
 answer, or its last quarter if it is one sentence.
 
 Test items are the small side. Their bytes are summed before any is fetched;
@@ -26,8 +26,8 @@ Defined results
   words are one shingle.
 - repeated items count as items of their own; repeated rows of texts give repeated rows.
 - document frequencies are those of the pieces in one part of the index.
-- a row is (id, item id, best score, overlaps, first word of the best passage); an
-  empty table on either side gives an empty result.
+- a row is (id, item id, best score, best overlaps, first word of the passage with the best
+  score), of the passages that pass verification; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -209,22 +209,24 @@ class Index:
         none = len(self.terms)
         ids = np.fromiter((self.terms.get(w, none) for w in words), np.int64, n)
         hopeful = self.bounds(ids) >= THRESHOLD - 1e-5
-        best: dict[int, tuple[float, int]] = {}
-        places: dict[int, list[int]] = defaultdict(list)
+        places: dict[int, dict[int, float]] = defaultdict(dict)  # of an item: first words of passages and their best scores
         for passage, group in zip(*(x.tolist() for x in np.nonzero(hopeful))):
             s = passage * STEP
             for piece, score in self.search(list(set(ids[s : s + PASSAGE].tolist())), group):
-                k = self.item_of[piece]
-                places[k].append(s)
-                if score > best.get(k, (0.0, 0))[0]:
-                    best[k] = (score, s)
+                found = places[self.item_of[piece]]
+                found[s] = max(score, found.get(s, 0.0))
         out = []
-        for k, (score, at) in best.items():
+        for k, found in places.items():
             item = self.items[k]
             around = max(PASSAGE, len(item.words))
-            shares = max(item.overlaps(words[max(0, s - around) : s + PASSAGE + around]) for s in places[k])
-            if shares[0] >= OVERLAP or min(shares[1:]) >= OVERLAP:
-                out.append((item.name, score, *shares, at))
+            passing = []
+            for s, score in found.items():
+                shares = item.overlaps(words[max(0, s - around) : s + PASSAGE + around])
+                if shares[0] >= OVERLAP or min(shares[1:]) >= OVERLAP:
+                    passing.append((score, -s, shares))
+            if passing:
+                score, at, _ = max(passing)
+                out.append((item.name, score, *max(shares for *_, shares in passing), -at))
         return out
 
 

@@ -230,6 +230,20 @@ def test_leaks_of_odd_rows(spark, docs_of):
     assert {r.doc_id for r in decontaminate.leaks(docs, split).collect()} == {1, None}
 
 
+def test_every_place_of_an_item_is_verified():
+    question, answer = [f"q{k}" for k in range(30)], [f"a{k}" for k in range(10)]
+    edited = ["x" if k in (10, 20) else w for k, w in enumerate(question)] + answer
+    mixed = question[:28] + ["y", "z"] + answer[::-1]
+    index = decontaminate.Index([decontaminate.Item(1, " ".join(question + answer), " ".join(question), " ".join(answer))])
+    pad = [f"p{k}" for k in range(300)]
+    found = lambda *parts: index.matches([w.encode() for part in parts for w in part])
+    (alone,) = found(pad, mixed, pad)
+    assert not found(pad, edited, pad)
+    for text in ((pad, edited, pad, mixed, pad), (pad, mixed, pad, edited, pad)):
+        (both,) = found(*text)
+        assert both[0] == 1 and both[2:5] == alone[2:5] and min(both[3:5]) >= decontaminate.OVERLAP > both[2]
+
+
 def test_index_in_parts_finds_the_same(spark, docs_of, monkeypatch):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
