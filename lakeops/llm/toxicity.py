@@ -1,7 +1,8 @@
 """Toxicity with a bidirectional gated recurrent network over words and characters.
 
 A word enters as a learned vector of its hash next to the mean of learned
-vectors of its character n-grams. Two gated recurrent layers read a window of
+vectors of its character n-grams. A word of over 12 bytes is read as several
+overlapping pieces, each a word of its own, that hold all its n-grams. Two gated recurrent layers read a window of
 40 words forwards and backwards; attention weighs their states and pools them
 into one score. Windows start every 30 words, so they overlap, and a text's score is
 that of its worst window, mapped to a probability.
@@ -16,6 +17,7 @@ table, so a step of the network is one product of the states.
 
 Defined results
 - words: ASCII letters in lower case, ASCII punctuation removed, separated by ASCII white space.
+  A word of over 12 bytes, with its ends marked, gives pieces of 14 bytes, a new one every 8.
 - a null text and one without words have no window and get the least score of the model.
 - all windows of the whole text are scored, the last one padded.
 - labels of rows in ``fold`` alone are read; repeated ids repeat their labels. Without labels of
@@ -41,15 +43,31 @@ HIDDEN = 8
 WORD_ROWS, WORD_SIZE = 1 << 13, 4
 GRAM_ROWS, GRAM_SIZE = 1 << 14, 6
 GRAM_LENGTHS = (3, 5, 7)
-GRAMS = 30
+#: Bytes of a piece with its marks, new bytes in each, and its n-grams at most. Pieces share 6 bytes, so each 7-gram is in one.
+PIECE, PIECE_STEP = 14, 8
+GRAMS = sum(PIECE - n + 1 for n in GRAM_LENGTHS)
 AT_ONCE = 4096
 KEPT_WORDS = 1 << 18
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
+def marked(word: bytes) -> bytes:
+    """A word with its ends marked; a piece of a long word as it is, which has a mark at an end of the word only."""
+    return word if len(word) > PIECE - 2 or word[-1:] == b"$" else b"^" + word + b"$"
+
+
+def pieces(word: bytes) -> list[bytes]:
+    """A word, or the overlapping pieces of a long one."""
+    if len(word) <= PIECE - 2:
+        return [word]
+    chars = b"^" + word + b"$"
+    return [chars[i : i + PIECE] for i in range(0, len(chars) - (PIECE - PIECE_STEP), PIECE_STEP)]
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().translate(None, _PUNCTUATION).split()
+    words = (text or "").encode().lower().translate(None, _PUNCTUATION).split()
+    return words if max(map(len, words), default=0) <= PIECE - 2 else [p for w in words for p in pieces(w)]
 
 
 def word_row(word: bytes) -> int:
@@ -57,12 +75,9 @@ def word_row(word: bytes) -> int:
 
 
 def gram_rows(word: bytes) -> list[int]:
-    """Rows of the character n-grams (3, 5 and 7 bytes) of a word with its ends marked; long words give evenly spread ones."""
-    chars = b"^" + word + b"$"
-    some = [chars[i : i + n] for n in GRAM_LENGTHS for i in range(max(n == 3, len(chars) - n + 1))]
-    if len(some) > GRAMS:
-        some = [some[i * len(some) // GRAMS] for i in range(GRAMS)]
-    return [zlib.crc32(g, 1) % GRAM_ROWS for g in some]
+    """Rows of all character n-grams (3, 5 and 7 bytes) of a word or piece with its ends marked."""
+    chars = marked(word)
+    return [zlib.crc32(chars[i : i + n], 1) % GRAM_ROWS for n in GRAM_LENGTHS for i in range(max(n == 3, len(chars) - n + 1))]
 
 
 def starts(n: int) -> np.ndarray:

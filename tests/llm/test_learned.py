@@ -341,6 +341,31 @@ def test_windows_cover_whole_texts():
         assert set(ids.reshape(-1)) - {0} == set(range(1, n + 1)) and len(owner) == len(toxicity.starts(n))
 
 
+def test_every_character_of_long_words_is_read():
+    rng = np.random.default_rng(4)
+    for n in (1, 11, 12, 13, 20, 21, 22, 45, 20_000):
+        word = bytes(rng.integers(97, 123, n).tolist())
+        chars = b"^" + word + b"$"
+        want = {zlib.crc32(chars[i : i + k], 1) % toxicity.GRAM_ROWS for k in (3, 5, 7) for i in range(max(k == 3, len(chars) - k + 1))}
+        read = toxicity.words_of(word.decode())
+        words = toxicity.Words()
+        words.add(read)
+        assert {g for p in read for g in toxicity.gram_rows(p)} == want
+        assert set(words.grams[1:].reshape(-1).tolist()) - {toxicity.GRAM_ROWS} == want
+
+
+def test_a_toxic_part_of_a_long_run_counts():
+    rng = np.random.default_rng(8)
+    plain, bad = (["".join(map(chr, rng.integers(a, b, 7))) for _ in range(40)] for a, b in ((97, 110), (110, 123)))
+    clean = lambda n: [plain[i] for i in rng.integers(0, 40, n)]
+    toxic = lambda: [bad[i] for i in rng.integers(0, 40, 12)]
+    texts = [" ".join(clean(60)) for _ in range(150)] + [" ".join(clean(30) + toxic() + clean(30)) for _ in range(150)]
+    score = toxicity.Scorer(toxicity.fit(texts, np.repeat([0, 1], 150)))
+    for gap in ("", ".", "-", "_", "\u00a0"):
+        low, high = score([gap.join(clean(2500)), gap.join(clean(1200) + toxic() + clean(1300))])
+        assert low < 0.5 < high
+
+
 def test_samples_are_bounded_and_stable(spark):
     rows = spark.range(5000).selectExpr("id as doc_id", "id % 2 as side")
     got = features.sampled(rows, 300)
