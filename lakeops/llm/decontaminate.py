@@ -18,14 +18,16 @@ answer, or its last quarter if it is one sentence.
 
 Test items are the small side. Their bytes are summed before any is fetched;
 beyond ``INDEX_BYTES`` they are indexed in several parts, each with its own pass
-over the texts, so that no task holds more.
+over the texts, so that no task holds more. Document frequencies and the mean
+length of pieces are then counted over all items first, so that each part scores
+as one index of all would.
 
 Defined results
 - words: lower-case A-Z, without ASCII punctuation, separated by ASCII white
   space. Null and empty texts and items match nothing. Items with fewer than 5
   words are one shingle.
 - repeated items count as items of their own; repeated rows of texts give repeated rows.
-- document frequencies are those of the pieces in one part of the index.
+- document frequencies and mean length are those of the pieces of all items.
 - a row is (id, item id, best score, best overlaps, first word of the passage with the best
   score), of the passages that pass verification; an empty table on either side gives an empty result.
 """
@@ -98,23 +100,30 @@ class Item:
         return share(self.shingles, there), share(self.question, there) if len(self.question) and len(next(iter(self.question))) == SHINGLE else share(self.shingles, there), share(self.answer, single)
 
 
+def pieces_of(words: list[bytes]) -> list[list[bytes]]:
+    """The overlapping pieces of an item."""
+    return [words[at : at + PIECE] for at in range(0, max(1, len(words) - PIECE // 2), PIECE // 2) if words]
+
+
 class Index:
     """BM25 postings of item pieces, for retrieval of all pieces above a threshold.
 
     Pieces are numbered by length and fall into ``GROUPS`` runs. ``most`` holds the
     largest weight of each term in each run, so that a run which no passage of a
-    text can reach costs one column of a matrix.
+    text can reach costs one column of a matrix. ``counted`` has the number of
+    pieces, of their words and of the pieces with each term where ``items`` are a part of all.
     """
 
-    def __init__(self, items: list[Item]):
+    def __init__(self, items: list[Item], counted: tuple[int, int, dict[bytes, int]] | None = None):
         self.items = items
-        pieces = [(k, item.words[at : at + PIECE]) for k, item in enumerate(items) for at in range(0, max(1, len(item.words) - PIECE // 2), PIECE // 2) if item.words]
+        pieces = [(k, piece) for k, item in enumerate(items) for piece in pieces_of(item.words)]
         pieces.sort(key=lambda x: (len(x[1]), x[0]))
         self.item_of = [k for k, _ in pieces]
-        mean = sum(len(w) for _, w in pieces) / max(1, len(pieces))
         counts = [Counter(w) for _, w in pieces]
         df = Counter(t for c in counts for t in c)
-        idf = {t: np.log(1 + (len(pieces) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        n_all, n_words, df_all = counted or (len(pieces), sum(len(w) for _, w in pieces), df)
+        mean = n_words / max(1, n_all)
+        idf = {t: np.log(1 + (n_all - df_all[t] + 0.5) / (df_all[t] + 0.5)) for t in df}
         self.terms: dict[bytes, int] = {t: i for i, t in enumerate(df)}
         self.most = np.zeros((len(df) + 1, GROUPS), np.float32)  # the last row is for words of no item
         postings: list[dict[int, list[tuple[int, float]]]] = [defaultdict(list) for _ in range(GROUPS)]
@@ -238,6 +247,19 @@ def _parts(items: DataFrame, id: str) -> list[DataFrame]:
     return [items] if n == 1 else [items.where(F.pmod(F.xxhash64(key_text(id), text), F.lit(n)) == k) for k in range(n)]
 
 
+def _counted(items: DataFrame) -> DataFrame:
+    """(``term``, ``n``, ``words``): pieces with each term; of the empty term, all pieces and their words."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            pieces = [p for row in batch.itertuples(index=False) for p in pieces_of(Item(*row).words)]
+            terms = Counter(t for p in pieces for t in set(p))
+            yield pd.DataFrame([(b"", len(pieces), sum(map(len, pieces))), *((t, n, 0) for t, n in terms.items())], columns=["term", "n", "words"])
+
+    rows = items.withColumn("item", F.lit(None).cast("string")).mapInPandas(count, "term binary, n long, words long")
+    return rows.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, *, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per text and test item found in it: ids, ``score``, ``item_overlap``, ``question_overlap``, ``answer_overlap``, ``first_word``.
 
@@ -249,13 +271,20 @@ def leaks(docs: DataFrame, items: DataFrame, *, id: str = "doc_id", text: str =
         items = items.select(F.col(item_id).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"), F.lit(None).cast("string").alias("question"), F.lit(None).cast("string").alias("answer"))
     kind = items.schema["item"].dataType.simpleString()
     kept = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
-    out = None
-    for part in _parts(items, "item"):
+    out, parts = None, _parts(items, "item")
+    every = materialise(_counted(items), name="item-terms") if len(parts) > 1 else None
+    for part in parts:
         rows = sorted(part.collect(), key=lambda r: (r.item is None, r.item, r.text or ""))
-        index = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+        counted = None
+        if every is not None:
+            # Only the part's own terms come to the driver; its bytes bound them.
+            terms = {bytes(r.term): (r.n, r.words) for r in every.join(_counted(part).select("term"), "term", "left_semi").collect()}
+            counted = (*terms.pop(b"", (0, 0)), {t: n for t, (n, _) in terms.items()})
+        index = docs.sparkSession.sparkContext.broadcast(([tuple(r) for r in rows], counted))
 
         def find(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            held = Index([x for x in (Item(*r) for r in index.value) if x.words])
+            given, counted = index.value
+            held = Index([x for x in (Item(*r) for r in given) if x.words], counted)
             names = ["doc", "item", "score", "item_overlap", "question_overlap", "answer_overlap", "first_word"]
             for batch in batches:
                 rows = [(d, *m) for d, t in zip(batch["doc"], batch["text"]) for m in held.matches(words_of(t))]

@@ -253,6 +253,19 @@ def test_index_in_parts_finds_the_same(spark, docs_of, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()} == whole
 
 
+def test_index_in_parts_scores_the_same(spark, docs_of, monkeypatch):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"t{int(x)}" for x in rng.random(n) ** 2 * 90) for n in rng.integers(20, 70, 60)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    # Copies without their last words, so that scores rest on the weights.
+    docs = docs_of([(k, " ".join(t.split()[:-3])) for k, t in enumerate(texts)])
+    scores = lambda: {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs, items).collect()}
+    whole = scores()
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 2000)
+    assert 2 < len(decontaminate._parts(items, "item_id")) < 20
+    assert len(whole) >= 60 and min(whole.values()) < 0.99 and scores() == pytest.approx(whole, abs=1e-6)
+
+
 # --- trained operators
 
 
