@@ -82,3 +82,23 @@ c as (select source, draw, sum(size) as n, sum(sum(size)) over (partition by sou
 b as (select q.source, arg_min(c.draw, c.draw) as cut, arg_min(rest - (upto - n), c.draw) as left_, arg_min(n, c.draw) as n from q join c on c.source is not distinct from q.source and upto > rest group by 1)
 select d.doc_id, d.size, source_size, target, size * (epochs + case when b.cut is not null and d.draw < b.cut + case when left_ > 0 and left_ * 2 >= b.n then 1 else 0 end then 1 else 0 end) as taken
 from d join q on d.source is not distinct from q.source left join b on b.source is not distinct from d.source"""
+
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of assignment and exact means, one common table expression after the other."""
+    steps = [
+        """k as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * x) as bigint)) as x from embeddings
+ where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"v as (select vec_id, label, p, list_slice(x, p * len(x) // {parts} + 1, (p + 1) * len(x) // {parts}) as x from k, (select unnest(range({parts})) as p))",
+        f"c0 as (select p, row_number() over (partition by p order by vec_id) - 1 as e, x from v qualify e < {entries})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as (select vec_id, label, p, any_value(x) as x, min((d, e)) as best from
+ (select v.vec_id, v.label, v.p, v.x, c.e, list_sum(list_transform(list_zip(v.x, c.x), lambda z: cast(z[1] - z[2] as hugeint) * (z[1] - z[2]))) as d from v join c{r} c on c.p = v.p) group by vec_id, label, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} as (select p, e, list((s - ((s % n) + n) % n) // n order by i) as x from (select p, best[2] as e, i, sum(x[i]) as s, count(*) as n from (select p, best, x, unnest(range(1, len(x) + 1)) as i from a{r}) group by 1, 2, 3) group by 1, 2),
+c{r + 1} as (select c.p, c.e, coalesce(list_transform(m.x, lambda y: cast(y as bigint)), c.x) as x from c{r} c left join m{r} m on m.p = c.p and m.e = c.e)""")
+    return f"""with {", ".join(steps)},
+f as (select vec_id, label, string_agg(lower(printf('%02x', cast(best[2] as integer))), '' order by p) as code, cast(sum(best[1]) as bigint) as error from a{rounds} group by vec_id, label),
+h as (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as codebooks_sha256 from c{rounds})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from f, h"""

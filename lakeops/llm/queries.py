@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontaminate, language_id, mixing, near_dedup, oracles, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity
+from lakeops.llm import decontaminate, language_id, mixing, near_dedup, oracles, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity, vector_codes
 from lakeops.llm.common import Tables, crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ def op9_token_files(t: Tables) -> DataFrame:
 def op10_source_mix(t: Tables) -> DataFrame:
     """How many words of each document the mix takes."""
     return mixing.mix(t.documents.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_vector_codes", oracles.vector_codes())
+def op13_vector_codes(t: Tables) -> DataFrame:
+    """Product code and errors of every vector."""
+    return vector_codes.compress(t.embeddings)
