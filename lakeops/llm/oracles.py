@@ -84,6 +84,25 @@ select d.doc_id, d.size, source_size, target, size * (epochs + case when b.cut i
 from d join q on d.source is not distinct from q.source left join b on b.source is not distinct from d.source"""
 
 
+def divergence() -> str:
+    """Terms of whole texts, document by document, and the complete table of groups and kept terms."""
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    return f"""with d as materialized (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+w as (select r, lang, source, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d),
+t as materialized (select r, lang, source, term, count(*) as n from w group by 1, 2, 3, 4),
+kept as materialized (select lang, term from t group by 1, 2 having count(*) >= 30),
+v as (select lang, count(*) as v from kept group by 1),
+g as (select distinct lang, source from d),
+c as (select t.lang, source, t.term, sum(n) as n from t join kept on kept.lang = t.lang and kept.term = t.term group by 1, 2, 3),
+f as materialized (select g.lang, g.source, kept.term, coalesce(c.n, 0) as n from g join kept on kept.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term),
+s as materialized (select f.*, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by f.lang, source) + 5 * v) as p, 1 + (1000000000::hugeint * (sum(n) over (partition by f.lang, term) + 5)) // (sum(n) over (partition by f.lang) + 5 * v) as q from f join v on v.lang = f.lang),
+pairs as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from s a join s b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+allp as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value from g a join g b on a.lang = b.lang and a.source <> b.source left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, cast(p - q as bigint) as value from s where n > 0 and p > q)
+select *, cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank from allp
+union all select * from (select *, cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank from terms) where rank <= 50"""
+
+
 def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Rounds of assignment and exact means, one common table expression after the other."""
     steps = [
