@@ -55,14 +55,23 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 def near_duplicates() -> str:
     """All pairs that share a shingle, and what links reach."""
+    return _linked_documents(75, ", w.doc_id = component_id as kept")
+
+
+def jaccard_components() -> str:
+    """The same at a higher similarity."""
+    return _linked_documents(80, "")
+
+
+def _linked_documents(percent: int, more: str) -> str:
     upper, lower = string.ascii_uppercase, string.ascii_lowercase
     return f"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
 s as (select distinct doc_id, array_to_string(ws[i:i+4], chr(31)) as k from (select doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) as i from w where len(ws) > 0)),
 n as (select doc_id, count(*) as n from s group by 1),
 pairs as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.k = b.k and a.doc_id <> b.doc_id group by 1, 2),
-links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= {percent} * (x.n + y.n - c)),
 reach as (select doc_id as a, doc_id as b from w union select reach.a, links.b from reach join links on reach.b = links.a)
-select w.doc_id, coalesce(n, 0) as n_shingles, component_id, w.doc_id = component_id as kept from w left join n on n.doc_id = w.doc_id join (select a, min(b) as component_id from reach group by 1) on a = w.doc_id"""
+select w.doc_id, coalesce(n, 0) as n_shingles, component_id{more} from w left join n on n.doc_id = w.doc_id join (select a, min(b) as component_id from reach group by 1) on a = w.doc_id"""
 
 
 def mix() -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontaminate, divergence, language_id, mixing, near_dedup, oracles, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity, vector_codes
+from lakeops.llm import decontaminate, divergence, jaccard_join, language_id, mixing, near_dedup, oracles, quality_pu, quality_rules, secret_scan, sharding, token_files, toxicity, vector_codes
 from lakeops.llm.common import Tables, crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,12 @@ def op10_source_mix(t: Tables) -> DataFrame:
     return mixing.mix(t.documents.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op11_jaccard_join", oracles.jaccard_components())
+def op11_jaccard_join(t: Tables) -> DataFrame:
+    """The component of every document under links at similarity 0.8."""
+    return jaccard_join.jaccard_components(t.documents)
+
+
 @query("op12_source_divergence", oracles.divergence())
 def op12_source_divergence(t: Tables) -> DataFrame:
     """How far each language's sources are from each other, and the terms that mark each source."""
