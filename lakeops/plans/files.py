@@ -17,6 +17,7 @@ from lakeops.registry import Tables, query
 from lakeops.session import fresh_path, materialise
 from lakeops.sources import files as R
 from lakeops.sources import sinks as W
+from lakeops.sources.layout import by_layout
 
 CUST = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
 CUST_TEXT = "cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment"
@@ -238,6 +239,12 @@ def _(t: Tables):
     return W.write_partitioned_append(_orders(t, "o_orderstatus = 'P'"), dest, keys=["o_orderstatus"], where="price > 100000")
 
 
+@query("write_by_layout", "select l_orderkey, l_linenumber, l_partkey, cast(l_shipdate as date) as day from lineitem")
+def _(t: Tables):
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("date").alias("day"))
+    return W.truncate_and_load(by_layout(lines, ["day", "l_partkey"]), fresh_path(t.spark, "laid_out"))
+
+
 @query("append_to_table", f"select {ORD_SQL} from orders")
 def _(t: Tables):
     dest = fresh_path(t.spark, "append")

@@ -1,4 +1,4 @@
-"""Recipes: an ordered list of steps over named views, written as plain dictionaries.
+"""Recipes: steps over named views, written as plain dictionaries, in list order or by what they depend on.
 
 Each step has a ``card_type`` and names its input and output views. Spark
 evaluates lazily, so the list only builds plans; writes and counts run them.
@@ -6,10 +6,13 @@ evaluates lazily, so the list only builds plans; writes and counts run them.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +24,10 @@ from lakeops.operators import loads as D
 from lakeops.operators import quality as Q
 from lakeops.operators import sets as S
 from lakeops.operators import windows as W
+from lakeops.plans import recipe_order as R_ORDER
 from lakeops.session import materialise
 from lakeops.sources import files as R
+from lakeops.sources import layout as L
 from lakeops.sources import sinks as O
 
 
@@ -34,6 +39,7 @@ class Run:
     frames: dict[str, DataFrame] = field(default_factory=dict)
     summary: list[tuple[str, str, int]] = field(default_factory=list)
     extra_filter: str | None = None
+    ledger: R_ORDER.Ledger | None = None
 
     def put(self, name: str, df: DataFrame) -> None:
         self.frames[name] = df
@@ -94,16 +100,26 @@ def _(run: Run, s: Mapping) -> None:
 
 @step("write_delta", "write_dataset")
 def _(run: Run, s: Mapping) -> None:
+    label, mark = s.get("label", s["data_path"]), s.get("_fingerprint")
+    if mark and mark in run.ledger.rows:
+        run.summary.append((label, "written", run.ledger.rows[mark]))
+        return
     df, keys = run.spark.sql(s["query"]), _list(s.get("partition_key_columns"))
+    if s.get("layout_columns"):
+        df = L.by_layout(df, _list(s["layout_columns"]))
     default = "overwrite" if s["card_type"] == "write_delta" else "append"
     if s.get("mode", default) == "overwrite":
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*keys) if keys else writer).parquet(s["data_path"])
         out = run.spark.read.schema(df.schema).parquet(s["data_path"])
+    elif mark:
+        out = O.append_once(df, s["data_path"], keys=keys, staged=run.ledger.staged(mark), tag=mark[:16])
     else:
         out = O.write_partitioned_append(df, s["data_path"], keys=keys) if keys else O.append_to_table(df, s["data_path"])
     # The written files are counted, not the plan a second time.
-    run.count(s.get("label", s["data_path"]), "written", out)
+    run.count(label, "written", out)
+    if mark:
+        run.ledger.record(mark, label, run.summary[-1][2])
 
 
 @step("delete_delta")
@@ -241,30 +257,60 @@ def _(run: Run, s: Mapping) -> None:
     run.put(s["output_table"], D.upsert_by_keys(run.spark.sql(s["query"]), run.get(s["target_table"]), keys=_list(s["key_columns"])))
 
 
-def run_recipe(spark: SparkSession, steps: Sequence[Mapping], frames: Mapping[str, DataFrame], *,
-               filter_condition: str | None = None) -> dict[str, DataFrame]:
-    """Run the steps in order and return all views plus ``run_summary`` (step, kind, rows).
+def run_recipe(spark: SparkSession, steps: Sequence[Mapping], frames: Mapping[str, DataFrame], *, filter_condition: str | None = None,
+               by_dependency: bool = False, at_once: int = 4, ledger: str | None = None, versions: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Run the steps and return all views plus ``run_summary`` (step, kind, rows).
 
-    An unknown step or a failing one raises; nothing is swallowed. The view
-    names last as long as the recipe runs.
+    Steps run in list order or, ``by_dependency``, level by level: a step runs
+    after those that make what it reads, and up to ``at_once`` steps of one
+    level run as concurrent jobs. An unknown step or a failing one raises;
+    nothing is swallowed. The view names last as long as the recipe runs.
+
+    With a ``ledger`` folder, a write that an earlier run of the same steps on
+    the same inputs has finished is not repeated. Inputs go by their files, or
+    by ``versions`` where given. Appends are staged and their files moved under
+    names of the step, so a run that dies while moving adds no row twice.
     """
     run = Run(spark, extra_filter=filter_condition or None)
+    plan = R_ORDER.levels(steps, _views(spark, steps, frames)) if by_dependency else [[k] for k in range(len(steps))]
+    todo = [{**s, "card_type": s.get("card_type", "").lower()} for s in steps]
+    for s in todo:
+        if s["card_type"] not in STEPS:
+            raise ValueError(f"unknown card_type {s['card_type']!r}")
+    if ledger:
+        run.ledger = R_ORDER.Ledger(spark, ledger)
+        known = {n: (versions or {}).get(n) or R_ORDER.version_of(df) for n, df in frames.items()}
+        marks = R_ORDER.fingerprints(steps, {**dict.fromkeys(_views(spark, steps, frames), ""), **known, "": json.dumps(filter_condition)})
+        todo = [{**s, "_fingerprint": m} for s, m in zip(todo, marks)]
     try:
         for name, df in frames.items():
             run.put(name, df)
-        for s in steps:
-            kind = s.get("card_type", "").lower()
-            if kind not in STEPS:
-                raise ValueError(f"unknown card_type {kind!r}")
-            STEPS[kind](run, {**s, "card_type": kind})
+        with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+            for level in plan:
+                if len(level) == 1:
+                    STEPS[todo[level[0]]["card_type"]](run, todo[level[0]])
+                    continue
+                jobs = [pool.submit(inheritable_thread_target(spark)(STEPS[todo[k]["card_type"]]), run, todo[k]) for k in level]
+                # All steps of a level end before the first error is raised.
+                for failed in [j.exception() for j in jobs]:
+                    if failed is not None:
+                        raise failed
     finally:
         # The frames are resolved; their view names are free for the next recipe.
         for name in run.frames:
             spark.catalog.dropTempView(name)
+    if by_dependency:
+        run.summary.sort()
     run.frames["run_summary"] = spark.createDataFrame(run.summary, "step string, kind string, row_count bigint")
     return run.frames
 
 
+def _views(spark: SparkSession, steps: Sequence[Mapping], frames: Mapping[str, DataFrame]) -> set[str]:
+    """Views that exist before the recipe runs: the frames given, and the catalog's tables among those that steps read."""
+    asked = set().union(*[set(_list(s.get(k))) for s in steps for k in R_ORDER.READS]) if steps else set()
+    return set(frames) | {n for n in asked if n not in frames and spark.catalog.tableExists(n)}
+
+
 def read_source(spark: SparkSession, source: Mapping) -> DataFrame:
     """The feed that a recipe names: ``{data_type, path or paths, schema?, options?}``."""
     return R.scan_by_type(spark, source.get("paths") or source["path"], kind=source.get("data_type", "CSV"), schema=source.get("schema"), options=source.get("options"))

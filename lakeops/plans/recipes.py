@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakeops.operators import sets as S
@@ -39,13 +40,14 @@ def etl_steps(path: str) -> list[dict]:
     ]
 
 
-def _run(t: Tables):
+def _run(t: Tables, backwards: bool = False):
     raw = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), money("o_totalprice").alias("price"))
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     known = cust.withColumns({"create_datetime": F.lit(RUN1).cast("timestamp_ntz"), "update_datetime": F.lit(None).cast("timestamp_ntz")})
-    return run_recipe(t.spark, etl_steps(fresh_path(t.spark, "recipe")), {
+    steps = etl_steps(fresh_path(t.spark, "recipe"))
+    return run_recipe(t.spark, steps[::-1] if backwards else steps, {
         "raw_orders": raw, "customers": t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), "known": known, "moved": customer_v2(t),
-        "nations": t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")})
+        "nations": t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")}, by_dependency=backwards)
 
 
 @query("recipe_etl", f"""
@@ -102,3 +104,32 @@ def recipe_cleanse(t: Tables):
     totals = out["counts"].unpivot([], ["total_rows", "bad_rows"], "a", "n").select(F.lit("total").alias("part"), F.regexp_replace("a", "_rows", "").alias("a"), F.lit("UK").alias("b"), F.lit("b1").alias("c"), "n")
     by = out[f"{base}/counts"].select(F.lit("by status").alias("part"), F.col("status").alias("a"), "n")
     return S.union_padded(rows, totals, by, keys, feed)
+
+
+@query("recipe_by_dependency", f"with {ETL_SQL} select o_orderkey, c_nationkey, c_mktsegment, place, ytd, nation from w")
+def recipe_by_dependency(t: Tables):
+    """The same recipe, its steps listed backwards and put in order by what they read."""
+    return _run(t, backwards=True)["sorted"].select("o_orderkey", "c_nationkey", "c_mktsegment", "place", F.col("ytd").cast("decimal(28,2)").alias("ytd"), "nation")
+
+
+@query("recipe_resume", """
+select 'table' as part, o_orderstatus as a, count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(28,2)) as price from orders group by 2
+union all select 'written', 'appended', count(*), null from orders union all select 'written', 'totals', count(distinct o_orderstatus), null from orders""")
+def recipe_resume(t: Tables):
+    """A recipe that fails after its first write and is run again: the append is in the table once."""
+    base = fresh_path(t.spark, "resume")
+    orders = t.orders.select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("price"))
+    steps = [
+        {"card_type": "write_dataset", "query": "select * from todays_orders", "data_path": f"{base}/orders", "partition_key_columns": "o_orderstatus", "label": "appended"},
+        {"card_type": "read_table", "query": "select o_orderstatus, cast(sum(price) as decimal(28,2)) as price, count(*) as n from todays_orders group by 1", "temp_table_name": "order_totals"},
+        {"card_type": "write_delta", "query": "select * from order_totals", "data_path": f"{base}/totals", "label": "totals"},
+    ]
+    broken = [*steps[:2], {**steps[2], "query": "select * from order_totals_of_nobody"}]
+    try:
+        run_recipe(t.spark, broken, {"todays_orders": orders}, ledger=f"{base}/ledger")
+    except AnalysisException:
+        pass
+    done = run_recipe(t.spark, steps, {"todays_orders": orders}, ledger=f"{base}/ledger")["run_summary"]
+    written = t.spark.read.schema("o_orderkey bigint, price decimal(18,2), o_orderstatus string").parquet(f"{base}/orders")
+    rows = written.groupBy(F.col("o_orderstatus").alias("a")).agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(28,2)").alias("price")).select(F.lit("table").alias("part"), "*")
+    return S.union_padded(rows, done.select(F.col("kind").alias("part"), F.col("step").alias("a"), F.col("row_count").alias("n")))

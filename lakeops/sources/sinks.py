@@ -64,6 +64,33 @@ def append_to_table(df: DataFrame, dest: str) -> DataFrame:
     return _back(df, dest, "parquet")
 
 
+def append_once(df: DataFrame, dest: str, *, keys: Sequence[str] = (), staged: str, tag: str) -> DataFrame:
+    """Append under a ``tag``; again under the same tag adds nothing that is there. Returns the table.
+
+    Rows are written to ``staged`` first. Their files are then moved to the
+    table, each under a name of the tag and its number, so a run that died
+    between two moves goes on with the files that are left.
+    """
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(dest).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(f"{staged}/_SUCCESS")):
+        writer = (_clustered(df, keys) if keys else df).write.mode("overwrite")
+        (writer.partitionBy(*keys) if keys else writer).parquet(staged)
+    root = fs.makeQualified(path(staged)).toUri().getPath()
+    found, listed = [], fs.listFiles(path(staged), True)
+    while listed.hasNext():
+        found.append(listed.next().getPath())
+    for source in found:
+        folder, name = source.toUri().getPath()[len(root) :].strip("/").rpartition("/")[::2]
+        if name.startswith("part-"):
+            target = path("/".join(x for x in (dest, folder, f"part-{tag}-{name[5:]}") if x))
+            fs.mkdirs(target.getParent())
+            if not fs.exists(target) and not fs.rename(source, target):
+                raise OSError(f"could not move {source} to {target}")
+    return _back(df, dest, "parquet").select(*df.columns)
+
+
 def truncate_and_load(df: DataFrame, dest: str) -> DataFrame:
     """Replace the whole table."""
     df.write.mode("overwrite").parquet(dest)
