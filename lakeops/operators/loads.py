@@ -16,7 +16,7 @@ from lakeops.operators.aggs import dedupe_by
 from lakeops.operators.clean import OPEN_END, OPEN_START
 from lakeops.operators.joins import anti_left_join_null
 from lakeops.session import materialise
-from lakeops.sources.sinks import drop_partition_folders, replace_partitions, truncate_and_load
+from lakeops.sources.sinks import drop_partition_folders, partition_rows, replace_partitions, truncate_and_load
 
 FLAG, START, END = "scd_active_flag", "record_start_date", "record_end_date"
 CREATED, UPDATED = "create_datetime", "update_datetime"
@@ -149,7 +149,9 @@ def scd1_folder(src: DataFrame, path: str, *, keys: Sequence[str], as_of: str, p
     With ``partition_keys`` the partitions that the source brings and those
     that hold any of its keys now are read and rewritten, so a key that moves
     leaves its old partition. Finding them reads keys and partition columns
-    only. The result is stored before its target is replaced.
+    only. The result is stored before its target is replaced. A load that dies
+    while it replaces partitions can be run again: a key that then stands in two
+    partitions counts with its newer row, and the older one goes.
     """
     spark = src.sparkSession
     cols = [c for c in src.columns if c not in keys]
@@ -166,11 +168,15 @@ def scd1_folder(src: DataFrame, path: str, *, keys: Sequence[str], as_of: str, p
         held = tgt.join(src.select(*[F.col(k).alias(f"_s_{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys], "left_semi").select(*parts)
         touched = materialise(held.union(src.select(*parts)).distinct(), name="touched").select(*[F.col(k).alias(f"_t_{k}") for k in parts])
         tgt = tgt.join(touched, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in parts], "left_semi")
+        # A load that died between its two steps left a moved key in both partitions: the newer row counts.
+        stamp = F.coalesce(F.col(UPDATED), F.col(CREATED))
+        tgt = one_per_key(tgt.withColumn("_stamp", stamp), keys, "_stamp").drop("_stamp")
     new = materialise(scd1_upsert(src, tgt, keys=keys, update_cols=cols, as_of=as_of, order_col=order_col), name="scd1")
     if partition_keys:
-        emptied = touched.join(new.select(*parts).distinct(), [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in parts], "left_anti").collect()
+        emptied = touched.join(new.select(*parts).distinct(), [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in parts], "left_anti")
+        gone = partition_rows(emptied)
         replace_partitions(new, path, parts)
-        drop_partition_folders(spark, path, parts, emptied)
+        drop_partition_folders(spark, path, parts, gone)
         return spark.read.schema(schema).parquet(path)
     return truncate_and_load(new, path)
 

@@ -119,12 +119,17 @@ def drop_partition_folders(spark: SparkSession, dest: str, keys: Sequence[str],
 def _partition_values(spark: SparkSession, dest: str, schema, key: str, keep: Column) -> list:
     """Partition values for which ``keep`` holds; read from folder names, so bounded by the folder count."""
     table = spark.read.schema(schema).parquet(dest)
-    return [r[0] for r in table.where(keep).select(key).distinct().collect()]
+    return _values(table.where(keep), key)
+
+
+def partition_rows(df: DataFrame) -> list:
+    """Rows of partition values: as many as the table has folders at most."""
+    return df.distinct().collect()
 
 
 def _values(df: DataFrame, key: str) -> list:
-    """Distinct partition values: as many as the table has folders."""
-    return [r[0] for r in df.select(key).distinct().collect()]
+    """Distinct partition values."""
+    return [r[0] for r in partition_rows(df.select(key))]
 
 
 def replace_recent_partitions(df: DataFrame, dest: str, *, key: str, cutoff, keep_from=None) -> DataFrame:

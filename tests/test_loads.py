@@ -2,11 +2,13 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import joins as J
 from lakeops.operators import loads as D
 from lakeops.session import fresh_path
+from lakeops.sources import sinks as O
 
 SCHEMA = "k int, a string, b int, ts int"
 
@@ -112,3 +114,49 @@ def test_two_loads_with_one_time_keep_both_histories(spark):
     load(src((2, "y2")), "2024-02-01 00:00:00")
     out = load(src((2, "y2")), "2024-02-01 00:00:00")
     assert sorted((r.k, r.a, r.scd_active_flag) for r in out.collect()) == [(1, "x", "N"), (1, "x2", "Y"), (2, "y", "N"), (2, "y2", "Y")]
+
+
+def test_scd1_folder_survives_a_crash_between_its_writes(spark, monkeypatch):
+    path = fresh_path(spark, "t_scd1_crash")
+    one = spark.createDataFrame([(1, "x", "a"), (2, "y", "a"), (3, "z", "c")], "k int, v string, p string")
+    D.scd1_folder(one, path, keys=["k"], as_of="2024-01-01 00:00:00", partition_keys=["p"])
+    two = spark.createDataFrame([(1, "x2", "b"), (3, "z2", "b")], "k int, v string, p string")
+
+    def stop(*args):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(D, "drop_partition_folders", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            D.scd1_folder(two, path, keys=["k"], as_of="2024-02-01 00:00:00", partition_keys=["p"])
+    for _ in range(2):
+        out = D.scd1_folder(two, path, keys=["k"], as_of="2024-02-01 00:00:00", partition_keys=["p"])
+        assert sorted((r.k, r.v, r.p) for r in out.collect()) == [(1, "x2", "b"), (2, "y", "a"), (3, "z2", "b")]
+    # A later delivery of other values after such a crash as well.
+    with monkeypatch.context() as m:
+        m.setattr(D, "drop_partition_folders", stop)
+        with pytest.raises(RuntimeError):
+            D.scd1_folder(spark.createDataFrame([(2, "y3", "d")], "k int, v string, p string"), path, keys=["k"], as_of="2024-03-01 00:00:00", partition_keys=["p"])
+    out = D.scd1_folder(spark.createDataFrame([(2, "y4", "e")], "k int, v string, p string"), path, keys=["k"], as_of="2024-04-01 00:00:00", partition_keys=["p"])
+    assert sorted((r.k, r.v, r.p) for r in out.collect()) == [(1, "x2", "b"), (2, "y4", "e"), (3, "z2", "b")]
+
+
+def test_partition_rewrites_survive_a_crash(spark, monkeypatch):
+    def stop(*args):
+        raise RuntimeError("stopped")
+
+    path = fresh_path(spark, "t_rewrite_crash")
+    spark.range(40).selectExpr("id", "cast(id % 4 as int) as p").write.partitionBy("p").parquet(path)
+    fresh = spark.range(100, 104).selectExpr("id", "2 as p")
+    with monkeypatch.context() as m:
+        m.setattr(O, "drop_partition_folders", stop)
+        with pytest.raises(RuntimeError):
+            O.replace_recent_partitions(fresh, path, key="p", cutoff=2)
+    out = O.replace_recent_partitions(fresh, path, key="p", cutoff=2)
+    assert sorted(r.id for r in out.collect()) == sorted([i for i in range(40) if i % 4 < 2] + list(range(100, 104)))
+    with monkeypatch.context() as m:
+        m.setattr(O, "drop_partition_folders", stop)
+        with pytest.raises(RuntimeError):
+            O.delete_where_from(spark, path, key="p", where="p = 1 or id < 9")
+    out = O.delete_where_from(spark, path, key="p", where="p = 1 or id < 9")
+    assert sorted(r.id for r in out.collect()) == sorted([i for i in range(9, 40) if i % 4 == 0] + list(range(100, 104)))

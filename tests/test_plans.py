@@ -12,7 +12,7 @@ SAMPLE = ["fact_owings_weekly", "fact_script_funnel", "fact_clinical_checks", "f
           "join_scalar_params", "cross_join_grid", "anti_join_not_in", "agg_rolling_periods", "scd2_upsert", "surrogate_key", "fill_forward_group", "dq_row_rules"]
 
 # Places that bring a bounded number of values to the driver: partition values, newest file times.
-COLLECTS = {"sources/sinks.py": 2, "sources/files.py": 1}
+COLLECTS = {"sources/sinks.py": 1}
 
 
 def plan(df):
@@ -34,9 +34,12 @@ def test_scan_is_pruned_and_filtered(spark, sf):
 
 
 def test_sources_do_not_pull_data_to_the_driver():
+    found = []
     for path in PACKAGE.rglob("*.py"):
-        text = path.read_text()
         rel = str(path.relative_to(PACKAGE))
-        for bad in ("toPandas(", ".rdd", "localCheckpoint", "current_date", "current_timestamp", ".crossJoin("):
-            assert bad not in text, f"{bad} in {rel}"
-        assert text.count(".collect()") <= COLLECTS.get(rel, 0), f"collect in {rel}"
+        if rel.startswith("llm/"):
+            continue
+        text = path.read_text()
+        found += [f"{bad} in {rel}" for bad in ("toPandas(", ".rdd", "localCheckpoint", "current_date", "current_timestamp", ".crossJoin(") if bad in text]
+        found += [f"collect in {rel}"] if text.count(".collect()") > COLLECTS.get(rel, 0) else []
+    assert not found
