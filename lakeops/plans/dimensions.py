@@ -172,14 +172,15 @@ def mart_dim_reason(t: Tables):
 
 SITE_COLS = ["s_name", "country", "region_no", "region_name", "company"]
 SITE_SQL = """select s_suppkey as site_code, s_name, n_name as country, coalesce(n_regionkey, -1) as region_no, coalesce(r_name, 'UNKNOWN') as region_name, coalesce(company, 'UNKNOWN') as company from supplier
- left join (select * replace (case when n_nationkey < 20 then n_nationkey end as n_nationkey) from nation) on n_nationkey = {} left join region on r_regionkey = n_regionkey left join (select distinct s_nationkey as k, 'Company ' || cast(s_nationkey % 4 as varchar) as company from supplier where s_nationkey < 18) on k = s_nationkey"""
+ left join (select * replace (case when n_nationkey < 20 then n_nationkey end as n_nationkey) from nation) on n_nationkey = {} left join region on r_regionkey = n_regionkey left join (select distinct case when s_nationkey % 6 = 5 then -1 - s_nationkey else s_nationkey end as k, 'Company ' || cast(s_nationkey % 4 as varchar) as company from supplier) on k = s_nationkey"""
 
 
 @query("mart_dim_site", "with " + scd2_sql(SITE_SQL.format("s_nationkey"), SITE_SQL.format("(case when s_suppkey % 4 = 1 then 24 - s_nationkey else s_nationkey end)"), ["site_code"], SITE_COLS, "sk_store") + " select * from dim")
 def mart_dim_site(t: Tables):
     """Sites with their country, region and company, the company from a CSV look-up, as SCD-2 on the site code."""
     path = fresh_path(t.spark, "companies")
-    company = t.supplier.where("s_nationkey < 18").select(F.col("s_nationkey").alias("k"), F.concat(F.lit("Company "), (F.col("s_nationkey") % 4).cast("string")).alias("company"))
+    # Renamed keys leave the suppliers of some nations without a company.
+    company = t.supplier.select(F.when(F.col("s_nationkey") % 6 == 5, -1 - F.col("s_nationkey")).otherwise(F.col("s_nationkey")).alias("k"), F.concat(F.lit("Company "), (F.col("s_nationkey") % 4).cast("string")).alias("company"))
     company.distinct().write.csv(path, header=True)
     lookup = R.scan_csv_header_glob(t.spark, f"{path}/*.csv", schema="k int, company string")
     nations = t.nation.withColumn("n_nationkey", F.when(F.col("n_nationkey") < 20, F.col("n_nationkey")))

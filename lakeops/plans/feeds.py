@@ -15,7 +15,7 @@ from lakeops.operators import sets as S
 from lakeops.operators.windows import Level, propagate_parent_keys
 from lakeops.plans.files import FEED, framed, named_feed, write_xml
 from lakeops.plans.relational import money
-from lakeops.plans.streams import ENTITIES, ENV_SQL, envelopes
+from lakeops.plans.streams import ENTITIES, ENV_SQL, SENT, envelopes, landed_entity
 from lakeops.registry import Tables, query
 from lakeops.session import fresh_path
 from lakeops.sources import files as R
@@ -290,14 +290,10 @@ def feed_change_events(t: Tables):
     """Change events drained from files, one folder per entity and batch, then summed up."""
     src, out = fresh_path(t.spark, "events_in"), fresh_path(t.spark, "events_out")
     # Copies of a message stay in one file and so in one batch, where they are removed.
-    envelopes(t).repartition(4, "body").write.parquet(src)
-    entities = {k: v for k, v in ENTITIES.items() if k != "refund"}
+    envelopes(t).repartition("body").write.parquet(src)
     sdf = X.stream_file_source(t.spark, src, schema="body binary", fmt="parquet", max_files=2)
-    X.stream_for_each_batch(sdf, X.land_entities(entities, out), checkpoint=fresh_path(t.spark, "events_state")).awaitTermination()
-    frames = []
-    for name, ddl in entities.items():
-        landed = t.spark.read.schema(ddl + ", message_operation string, message_sequence string, extraction_time string").parquet(f"{out}/{name}/batch=*")
-        frames.append(landed.select(F.lit(name).alias("entity"), "user_id", "message_operation", "extraction_time"))
+    X.stream_for_each_batch(sdf, X.land_entities({name: ENTITIES[name] for name in SENT}, out), checkpoint=fresh_path(t.spark, "events_state")).awaitTermination()
+    frames = [landed_entity(t, out, name).select(F.lit(name).alias("entity"), "user_id", "message_operation", "extraction_time") for name in SENT]
     rows = S.union_all_rows(*frames)
     return A.agg_two_level(rows, ["entity", "extraction_time"], ["user_id"], inner_aggs=[F.sum(F.expr("if(message_operation = 'DELETE', 1, 0)")).alias("d"), F.count(F.lit(1)).alias("n")],
                            outer_aggs=[F.sum("d").alias("deletes"), F.sum("n").alias("unique_rows"), F.count(F.lit(1)).alias("users")])

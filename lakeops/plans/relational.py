@@ -54,23 +54,25 @@ def _(t: Tables):
 
 @query("join_left_default", """
 select c_custkey, coalesce(n, 0) as n_urgent, coalesce(last_day, date '9999-12-31') as last_day
-from customer left join (select o_custkey, count(*) as n, cast(max(o_orderdate) as date) as last_day from orders
-  where o_orderpriority = '1-URGENT' and o_orderstatus = 'F' group by 1) on c_custkey = o_custkey""")
+from customer left join (select o_custkey, nullif(count(*) filter (o_orderpriority = '1-URGENT' and o_orderstatus = 'F'), 0) as n,
+  cast(max(o_orderdate) filter (o_orderpriority = '1-URGENT' and o_orderstatus = 'F') as date) as last_day from orders group by 1) on c_custkey = o_custkey""")
 def _(t: Tables):
-    urgent = t.orders.where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n_urgent"), F.max("o_orderdate").cast("date").alias("last_day"))
-    return J.join_left_default(t.customer.select("c_custkey"), urgent, "c_custkey", defaults={"n_urgent": 0, "last_day": "9999-12-31"})
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")
+    per = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.nullif(F.count_if(urgent), F.lit(0)).alias("n_urgent"), F.max(F.when(urgent, F.col("o_orderdate"))).cast("date").alias("last_day"))
+    return J.join_left_default(t.customer.select("c_custkey"), per, "c_custkey", defaults={"n_urgent": 0, "last_day": "9999-12-31"})
 
 
 @query("join_full_coalesce_keys", """
-with a as (select o_custkey as custkey, count(*) as n_open from orders where o_orderstatus = 'O' and o_orderpriority = '1-URGENT' group by 1),
-b as (select o_custkey as custkey, count(*) as n_low from orders where o_orderstatus = 'P' and o_orderpriority = '5-LOW' group by 1)
-select coalesce(a.custkey, b.custkey) as custkey, n_open, n_low from a full join b on a.custkey = b.custkey""")
-def _(t: Tables):
-    def seg(status, prio, name):
-        return t.orders.where((F.col("o_orderstatus") == status) & (F.col("o_orderpriority") == prio)).groupBy(
-            F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias(name))
-    return J.join_full_coalesce_keys(seg("O", "1-URGENT", "n_open"), seg("P", "5-LOW", "n_low"), ["custkey"])
+with a as (select case when o_orderpriority = '1-URGENT' then -o_custkey - 1 else o_custkey end as custkey, count(*) as n_orders, nullif(count(*) filter (o_orderstatus = 'O'), 0) as n_open from orders group by 1),
+b as (select case when c_mktsegment = 'BUILDING' then c_custkey + 1000000000 else c_custkey end as custkey, c_mktsegment as segment from customer)
+select coalesce(a.custkey, b.custkey) as custkey, n_orders, n_open, segment from a full join b on a.custkey = b.custkey""")
+def _(t: Tables):
+    # Renamed keys make rows without a partner on both sides.
+    a = t.orders.groupBy(F.expr("case when o_orderpriority = '1-URGENT' then -o_custkey - 1 else o_custkey end").alias("custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.nullif(F.count_if(F.col("o_orderstatus") == "O"), F.lit(0)).alias("n_open"))
+    b = t.customer.selectExpr("case when c_mktsegment = 'BUILDING' then c_custkey + 1000000000 else c_custkey end as custkey", "c_mktsegment as segment")
+    return J.join_full_coalesce_keys(a, b, ["custkey"])
 
 
 _ALL_JOINS = {"inner": "join", "left": "left join", "right": "right join", "full": "full join"}

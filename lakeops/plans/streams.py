@@ -10,22 +10,31 @@ from lakeops.registry import Tables, query
 from lakeops.session import fresh_path
 from lakeops.streaming import changes as C
 
+#: One entity per event type; refunds are known but never sent.
 ENTITIES = {
     "click": "event_id string, user_id string, value string",
     "purchase": "event_id string, user_id string, value string, k string",
+    "view": "event_id string, user_id string, k string",
+    "signup": "event_id string, user_id string",
+    "error": "event_id string, user_id string, value string, props string",
     "refund": "event_id string, reason string",
 }
+SENT = [name for name in ENTITIES if name != "refund"]
 EVENT = "event_id bigint, user_id bigint, event_type string, day string"
 
 
-def write_events(t: Tables, files: int = 6) -> str:
-    """Events as several Parquet files."""
+def write_events(t: Tables) -> str:
+    """Events as several Parquet files, one per range of ids that the session's shuffle makes."""
     path = fresh_path(t.spark, "stream_in")
-    e = t.events.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    e.repartition(files, "event_id").write.parquet(path)
+    t.events.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).repartition("event_id").write.parquet(path)
     return path
 
 
+def files_in(t: Tables, path: str) -> int:
+    """Number of files of a feed."""
+    return len(t.spark.read.schema(EVENT).parquet(path).inputFiles())
+
+
 def drain(t: Tables, sdf: DataFrame, checkpoint: str, out: str) -> int:
     """Write every batch to a folder of its own and return the number of batches."""
     seen = []
@@ -54,12 +63,12 @@ def _(t: Tables):
     return landed(t, out, EVENT)
 
 
-@query("stream_rate_limit", f"select *, cast(6 as int) as batches from ({EVENT_SQL})")
+@query("stream_rate_limit", f"select *, true as one_file_a_batch from ({EVENT_SQL})")
 def _(t: Tables):
-    out = fresh_path(t.spark, "stream_out")
-    sdf = C.stream_file_source(t.spark, write_events(t), schema=EVENT, fmt="parquet", max_files=1)
+    out, src = fresh_path(t.spark, "stream_out"), write_events(t)
+    sdf = C.stream_file_source(t.spark, src, schema=EVENT, fmt="parquet", max_files=1)
     n = drain(t, sdf, fresh_path(t.spark, "stream_state"), out)
-    return landed(t, out, EVENT).withColumn("batches", F.lit(n))
+    return landed(t, out, EVENT).withColumn("one_file_a_batch", F.lit(n == files_in(t, src)))
 
 
 @query("stream_drain", EVENT_SQL)
@@ -86,69 +95,74 @@ def _(t: Tables):
 
 
 def envelopes(t: Tables) -> DataFrame:
-    """Click and purchase events as JSON envelopes in a binary body, every seventh one delivered twice."""
-    common = [F.col(c).cast("string").alias(c) for c in ("event_id", "user_id")] + [money("value").cast("string").alias("value")]
-    k = F.get_json_object("props", "$.k").alias("k")
+    """All events as JSON envelopes in a binary body, each with the fields of its entity, every seventh one delivered twice."""
+    fields = {c: F.col(c).cast("string").alias(c) for c in ("event_id", "user_id", "props")}
+    fields |= {"value": money("value").cast("string").alias("value"), "k": F.get_json_object("props", "$.k").alias("k")}
     headers = F.struct(
         F.when(F.col("event_id") % 10 == 9, "DELETE").when(F.col("event_id") % 3 == 0, "INSERT").otherwise("UPDATE").alias("operation"),
         F.lpad(F.col("event_id").cast("string"), 20, "0").alias("changeSequence"),
         F.when(F.col("event_id") % 5 == 0, "").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")).alias("timestamp"))
-    click = F.when(F.col("event_type") == "click", F.struct(*common)).alias("click")
-    purchase = F.when(F.col("event_type") == "purchase", F.struct(*common, k)).alias("purchase")
-    body = F.to_json(F.struct(F.struct(click, purchase, headers.alias("headers")).alias("message"))).cast("binary").alias("body")
-    e = t.events.where("event_type in ('click', 'purchase')")
+    entities = [F.when(F.col("event_type") == name, F.struct(*[fields[f.split()[0]] for f in ENTITIES[name].split(", ")])).alias(name) for name in SENT]
+    body = F.to_json(F.struct(F.struct(*entities, headers.alias("headers")).alias("message"))).cast("binary").alias("body")
     times = F.when(F.col("event_id") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return e.select(body, F.explode(times).alias("copy")).select("body")
+    return t.events.select(body, F.explode(times).alias("copy")).select("body")
 
 
-ENV_SQL = """env as (select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id, cast(cast(value as decimal(18,2)) as varchar) as value, json_extract_string(props, '$.k') as k, event_type,
+ENV_SQL = """env as (select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id, case when event_type in ('click', 'purchase', 'error') then cast(cast(value as decimal(18,2)) as varchar) end as value,
+ case when event_type in ('purchase', 'view') then json_extract_string(props, '$.k') end as k, case when event_type = 'error' then props end as props, event_type,
  case when event_id % 10 = 9 then 'DELETE' when event_id % 3 = 0 then 'INSERT' else 'UPDATE' end as message_operation, lpad(cast(event_id as varchar), 20, '0') as message_sequence,
- case when event_id % 5 = 0 then '1900-01-01T00:00:00.000' else left(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 23) end as extraction_time, event_id % 7 = 0 as twice from events where event_type in ('click', 'purchase')),
+ case when event_id % 5 = 0 then '1900-01-01T00:00:00.000' else left(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 23) end as extraction_time, event_id % 7 = 0 as twice from events),
 sent as (select * from env union all select * from env where twice)"""
-ENV_COLS = "event_id, user_id, value, k, message_operation, message_sequence, extraction_time"
+ENV_COLS = "event_id, user_id, value, k, props, message_operation, message_sequence, extraction_time"
 
 
 def parsed(t: Tables) -> DataFrame:
     return envelopes(t).select(F.from_json(F.col("body").cast("string"), C.envelope_schema(ENTITIES)).alias("e")).select("e.*")
 
 
-@query("cdc_envelope_unpack", f"with {ENV_SQL} select {ENV_COLS} from sent where event_type = 'purchase'")
+def _united(frames: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all entities under their name, absent fields null."""
+    out = None
+    for name, frame in frames.items():
+        part = frame.select(F.lit(name).alias("entity"), "*")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+@query("cdc_envelope_unpack", f"with {ENV_SQL} select event_type as entity, {ENV_COLS} from sent")
 def _(t: Tables):
-    return C.cdc_envelope_unpack(parsed(t), "purchase")
+    events = parsed(t)
+    return _united({name: C.cdc_envelope_unpack(events, name) for name in SENT})
 
 
 @query("cdc_route_entities", f"""
 with {ENV_SQL} select event_type as entity, event_id, message_sequence from sent union all select 'absent: returns', null, null from region where r_regionkey = 0""")
 def _(t: Tables):
-    frames, absent = C.cdc_route_entities(parsed(t), ["click", "purchase", "refund", "returns"])
-    parts = [f.select(F.lit(n).alias("entity"), "event_id", "message_sequence") for n, f in frames.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    frames, absent = C.cdc_route_entities(parsed(t), [*ENTITIES, "returns"])
     missing = t.region.where("r_regionkey = 0").select(F.explode(F.array(*[F.lit(f"absent: {a}") for a in absent])).alias("entity"))
-    return out.unionByName(missing, allowMissingColumns=True)
+    return _united(frames).select("entity", "event_id", "message_sequence").unionByName(missing, allowMissingColumns=True)
 
 
-@query("stream_dedupe_batch", f"with {ENV_SQL} select distinct {ENV_COLS} from sent where event_type = 'purchase'")
+@query("stream_dedupe_batch", f"with {ENV_SQL} select distinct event_type as entity, {ENV_COLS} from sent")
 def _(t: Tables):
-    return C.stream_dedupe_batch(C.cdc_envelope_unpack(parsed(t), "purchase"))
+    events = parsed(t)
+    return _united({name: C.stream_dedupe_batch(C.cdc_envelope_unpack(events, name)) for name in SENT})
 
 
-@query("stream_for_each_batch", f"""
-with {ENV_SQL} select 'click' as entity, event_id, user_id, value, cast(null as varchar) as k, message_operation, message_sequence, extraction_time from env where event_type = 'click'
-union all select 'purchase', {ENV_COLS} from env where event_type = 'purchase'""")
+@query("stream_for_each_batch", f"with {ENV_SQL} select event_type as entity, {ENV_COLS} from env")
 def _(t: Tables):
     src, out = fresh_path(t.spark, "stream_in"), fresh_path(t.spark, "stream_out")
-    envelopes(t).repartition(3, "body").write.parquet(src)
+    # Copies of a message stay in one file and so in one batch, where they are removed.
+    envelopes(t).repartition("body").write.parquet(src)
     sdf = C.stream_file_source(t.spark, src, schema="body binary", fmt="parquet")
-    entities = {k: v for k, v in ENTITIES.items() if k != "refund"}
+    entities = {name: ENTITIES[name] for name in SENT}
     C.stream_for_each_batch(sdf, C.land_entities(entities, out), checkpoint=fresh_path(t.spark, "stream_state")).awaitTermination()
-    result = None
-    for name, ddl in entities.items():
-        schema = ddl + ", message_operation string, message_sequence string, extraction_time string"
-        part = t.spark.read.schema(schema).parquet(f"{out}/{name}/batch=*").select(F.lit(name).alias("entity"), "*")
-        result = part if result is None else result.unionByName(part, allowMissingColumns=True)
-    return result
+    return _united({name: landed_entity(t, out, name) for name in SENT})
+
+
+def landed_entity(t: Tables, out: str, name: str) -> DataFrame:
+    """What a drained stream wrote for one entity."""
+    return t.spark.read.schema(ENTITIES[name] + ", message_operation string, message_sequence string, extraction_time string").parquet(f"{out}/{name}/batch=*")
 
 
 @query("stream_rescue_column", """
@@ -166,3 +180,22 @@ def _(t: Tables):
     e = t.events.select("user_id", "event_type", money("value").alias("value"), F.col("event_id").alias("sequence"),
                         F.when(F.col("event_id") % 10 == 9, "DELETE").otherwise("UPDATE").alias("operation"))
     return C.cdc_latest_state(e, keys=["user_id", "event_type"], sequence="sequence", operation="operation")
+
+
+STATE = "user_id bigint, event_type string, value decimal(18,2), sequence bigint, operation string"
+
+
+@query("cdc_kept_state", """
+with e as (select user_id, event_type, cast(value as decimal(18,2)) as value, event_id as sequence, case when event_id % 10 = 9 then 'DELETE' else 'UPDATE' end as operation from events),
+r as (select *, row_number() over (partition by user_id, event_type order by sequence desc) as rn from e)
+select user_id, event_type, value, sequence, operation from r where rn = 1 and operation <> 'DELETE'""")
+def _(t: Tables):
+    """The same state from three drains that each see new files only; later files bring earlier sequences too."""
+    src, state, table = (fresh_path(t.spark, n) for n in ("state_in", "state_checkpoint", "state_table"))
+    e = t.events.select("user_id", "event_type", money("value").alias("value"), F.col("event_id").alias("sequence"),
+                        F.when(F.col("event_id") % 10 == 9, "DELETE").otherwise("UPDATE").alias("operation"))
+    for part in (1, 0, 2):
+        e.where(F.pmod(F.xxhash64("sequence"), F.lit(3)) == part).write.mode("append").parquet(src)
+        sdf = C.stream_file_source(t.spark, src, schema=STATE, fmt="parquet")
+        C.cdc_keep_state(sdf, table, keys=["user_id", "event_type"], sequence="sequence", operation="operation", checkpoint=state).awaitTermination()
+    return C.cdc_kept_state(t.spark, table, STATE, operation="operation")

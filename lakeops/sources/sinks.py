@@ -122,6 +122,12 @@ def _partition_values(spark: SparkSession, dest: str, schema, key: str, keep: Co
     return _values(table.where(keep), key)
 
 
+def table_exists(spark: SparkSession, dest: str) -> bool:
+    """Whether there is a folder at ``dest``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(dest)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def partition_rows(df: DataFrame) -> list:
     """Rows of partition values: as many as the table has folders at most."""
     return df.distinct().collect()

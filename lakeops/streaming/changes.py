@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeops.session import materialise
+from lakeops.sources.sinks import replace_partitions, table_exists
+
 # Extraction time where an event carries none, and the envelope's own columns.
 NO_TIME = "1900-01-01T00:00:00.000"
 ENVELOPE = ("message_operation", "message_sequence", "extraction_time")
@@ -112,3 +115,44 @@ def cdc_latest_state(df: DataFrame, *, keys: Sequence[str], sequence: str, opera
     deleted = (F.upper(F.col(operation)) == delete).alias("_deleted")
     last = df.groupBy(*keys).agg(F.max(F.struct(sequence, deleted, operation, *rest)).alias("_r"))
     return last.select(*keys, "_r.*").where(F.upper(F.col(operation)) != delete).select(*df.columns)
+
+
+def cdc_keep_state(sdf: DataFrame, table: str, *, keys: Sequence[str], sequence: str, operation: str, checkpoint: str,
+                   delete: str = "DELETE", buckets: int = 16, available_now: bool = True) -> StreamingQuery:
+    """Keep the newest row of each key of a change stream in ``table``, over all drains with one ``checkpoint``.
+
+    The state of a key is the row with the highest sequence seen in any batch,
+    kept by Spark's streaming aggregate; a later batch with a lower sequence
+    changes nothing, and on an equal one a delete wins. A deleted key stays as
+    a tombstone, in the state and in the table, so a late change cannot bring
+    it back. Keys are dealt over ``buckets`` partitions of the table by hash; a
+    batch rewrites the partitions of its own keys, in one commit, and gives the
+    same table if it is run again.
+    """
+    columns = sdf.columns
+    rest = [c for c in columns if c not in keys and c not in (sequence, operation)]
+    deleted = (F.upper(F.col(operation)) == delete).alias("_deleted")
+    newest = sdf.groupBy(*keys).agg(F.max(F.struct(sequence, deleted, operation, *rest)).alias("_r"))
+    changed = newest.select(*keys, "_r.*").drop("_deleted").select(*columns)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        new = materialise(batch.select(*columns, bucket), name="state-changes")
+        there = table_exists(batch.sparkSession, table)
+        if there:
+            old = batch.sparkSession.read.schema(new.schema).parquet(table).select(*new.columns)
+            touched = old.join(new.select("bucket").distinct(), "bucket", "left_semi").select(*new.columns)
+            same = [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys]
+            kept = touched.join(new.select(*[F.col(k).alias(f"_n_{k}") for k in keys]), same, "left_anti")
+            new = materialise(kept.unionByName(new), name="state-rows")
+        replace_partitions(new, table, ["bucket"])
+
+    writer = changed.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def cdc_kept_state(spark: SparkSession, table: str, schema, *, operation: str, delete: str = "DELETE") -> DataFrame:
+    """The current rows of a kept state: its table without tombstones."""
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    rows = spark.read.schema(T.StructType([*kind.fields, T.StructField("bucket", T.IntegerType())])).parquet(table)
+    return rows.where(F.upper(F.col(operation)) != delete).select(*kind.names)
