@@ -112,12 +112,35 @@ def agg_rolling_periods(df: DataFrame, periods: Sequence[tuple[str, int, int]],
     weekly sums are repeated for the windows they fall in.
     """
     weekly = df.groupBy(*keys, rank).agg(*[F.sum(v).alias(n) for n, v in aggs.items()])
-    windows = F.array(*[F.struct(F.lit(l).alias("label"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for l, lo, hi in periods])
-    inside = F.filter(windows, lambda p: F.col(rank).between(p["lo"], p["hi"]))
-    spread = weekly.select("*", F.explode(inside).alias("_p")).withColumn("time_period", F.col("_p.label"))
+    spread = weekly.select("*", F.explode(_inside(periods, rank)).alias("_p")).withColumn("time_period", F.col("_p.label"))
     return spread.groupBy("time_period", *keys).agg(*[F.sum(n).alias(n) for n in aggs])
 
 
+def agg_rolling_distinct(df: DataFrame, periods: Sequence[tuple[str, int, int]], *, rank: str, keys: Sequence[str], entities: Mapping[str, str]) -> DataFrame:
+    """Exact numbers of distinct entities over several, possibly overlapping, rank windows ``(label, from, to)``.
+
+    ``entities`` maps output names to columns of whole numbers above 0, best dense ones
+    (surrogate keys). One pass over the rows makes a bitmap per key, week and
+    32,768 entities, combined before the shuffle; a period unites the bitmaps of
+    its weeks, so rows are not repeated for the periods they fall in. Nulls are
+    not counted; a period in which a key has only nulls counts 0.
+    """
+    numbers = F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).cast("bigint").alias("id")) for i, c in enumerate(entities.values())])
+    flat = df.select(*keys, rank, F.explode(numbers).alias("_e")).select(*keys, rank, "_e.which", "_e.id")
+    flat = flat.withColumn("_slot", F.bitmap_bucket_number("id"))
+    weekly = flat.groupBy(*keys, rank, "which", "_slot").agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("_bits"))
+    spread = weekly.withColumn("_p", F.explode(_inside(periods, rank))).withColumn("time_period", F.col("_p.label"))
+    united = spread.groupBy("time_period", *keys, "which", "_slot").agg(F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_n"))
+    counts = [F.sum(F.when(F.col("which") == i, F.col("_n")).otherwise(0)).alias(name) for i, name in enumerate(entities)]
+    return united.groupBy("time_period", *keys).agg(*counts)
+
+
+def _inside(periods: Sequence[tuple[str, int, int]], rank: str) -> Column:
+    """The periods that hold a row's rank."""
+    windows = F.array(*[F.struct(F.lit(l).alias("label"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for l, lo, hi in periods])
+    return F.filter(windows, lambda p: F.col(rank).between(p["lo"], p["hi"]))
+
+
 def agg_annualise(df: DataFrame, keys: Sequence[str], measure: Column, week: str, *, name: str = "annualised") -> DataFrame:
     """Sum per distinct week seen, times 52."""
     weekly = df.groupBy(*keys, week).agg(F.sum(measure).alias("_m"))

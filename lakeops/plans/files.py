@@ -16,6 +16,7 @@ from lakeops.plans.relational import money
 from lakeops.registry import Tables, query
 from lakeops.session import fresh_path, materialise
 from lakeops.sources import files as R
+from lakeops.sources import json_split
 from lakeops.sources import sinks as W
 from lakeops.sources.layout import by_layout
 
@@ -144,6 +145,18 @@ def _(t: Tables):
     return N.flatten_structs(N.explode_rows(docs, "features"), ["properties"]).where("c_custkey is not null")
 
 
+@query("scan_json_elements", "select c_custkey, c_name, n_name as area from customer join nation on c_nationkey = n_nationkey")
+def _(t: Tables):
+    """All customers as one document in one file, read by as many tasks as it has splits."""
+    path = fresh_path(t.spark, "one_document")
+    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", F.col("n_name").alias("area"))
+    row = F.to_json(F.struct(F.struct(*c.columns).alias("properties")), {"pretty": "true"})
+    # The list is closed by an empty feature, which has no key. One file, as the feed comes.
+    framed(c.select(F.concat(row, F.lit(",")).alias("value")).coalesce(1), '{"type": "all", "features": [', '{}]}').write.text(path)
+    found = json_split.scan_json_elements(t.spark, path, field="features", schema="properties struct<c_custkey: bigint, c_name: string, area: string>")
+    return found.select("properties.*").where("c_custkey is not null")
+
+
 @query("parse_json_column", "select event_id, cast(json_extract(props, '$.k') as int) as k, cast(null as varchar) as bad from events")
 def _(t: Tables):
     return R.parse_json_column(t.events.select("event_id", "props"), "props", schema="k int", corrupt_col="bad")

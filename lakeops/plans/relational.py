@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeops.operators import aggs as A
@@ -148,6 +149,25 @@ def _(t: Tables):
     return priced.groupBy("valid_from", "valid_to").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(edge, 1).otherwise(0)).alias("on_boundary"))
 
 
+VERSIONS_SQL = """days as (select distinct o_orderpriority as p, cast(o_orderdate as date) as d from orders),
+ver as (select p, d as valid_from, coalesce(lead(d) over (partition by p order by d), date '9999-12-31') as valid_to from days)"""
+
+
+@query("join_validity_bucketed", f"""
+with {VERSIONS_SQL}, f as (select o_orderpriority as p, cast(l_shipdate as date) as day, l_quantity from lineitem join orders on o_orderkey = l_orderkey)
+select f.p, valid_from, count(*) as n, cast(sum(cast(l_quantity as decimal(18,2))) as decimal(38,2)) as quantity from f left join ver on ver.p = f.p and valid_from <= day and day < valid_to group by 1, 2""")
+def _(t: Tables):
+    """Lines look up one of the some 2,400 versions that each of five keys has."""
+    days = t.orders.select(F.col("o_orderpriority").alias("p"), F.col("o_orderdate").cast("date").alias("valid_from")).distinct()
+    # A key has a version a day at most, so one task can hold its days.
+    following = F.lead("valid_from").over(Window.partitionBy("p").orderBy("valid_from"))
+    versions = days.select("p", "valid_from", F.coalesce(following, F.lit("9999-12-31").cast("date")).alias("valid_to"))
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("p"))
+    lines = t.lineitem.select("l_orderkey", F.col("l_shipdate").cast("date").alias("day"), "l_quantity").join(orders, "l_orderkey")
+    priced = J.join_validity_bucketed(lines, versions, on=["p"], date="day", start="valid_from", end="valid_to", how="left")
+    return priced.groupBy("p", "valid_from").agg(F.count(F.lit(1)).alias("n"), F.sum(money("l_quantity")).cast("decimal(38,2)").alias("quantity"))
+
+
 @query("join_active_only", f"""
 with {HIST_SQL}
 select l_linestatus, count(*) as n, cast(sum(unit_price) as decimal(38,4)) as prices from lineitem join hist on l_partkey = h_partkey
@@ -388,6 +408,16 @@ def _(t: Tables):
     return out.withColumn("revenue", F.col("revenue").cast("decimal(28,2)"))
 
 
+@query("agg_rolling_distinct", f"""
+with w as (select dense_rank() over (order by date_trunc('week', l_shipdate) desc) as week_rank, * from lineitem)
+select time_period, l_returnflag, count(distinct l_partkey) as parts, count(distinct l_suppkey) as suppliers, count(distinct l_orderkey) as orders from w join {PERIODS_SQL} on week_rank between lo and hi group by 1, 2""")
+def _(t: Tables):
+    from lakeops.operators.windows import week_rank_desc
+    li = t.lineitem.select(F.date_trunc("week", "l_shipdate").cast("date").alias("week"), "l_returnflag", "l_partkey", "l_suppkey", "l_orderkey")
+    return A.agg_rolling_distinct(week_rank_desc(li, week="week", name="week_rank"), PERIODS, rank="week_rank", keys=["l_returnflag"],
+                                  entities={"parts": "l_partkey", "suppliers": "l_suppkey", "orders": "l_orderkey"})
+
+
 @query("agg_annualise", """
 select l_partkey, cast(sum(cast(l_quantity as decimal(18,2))) as double) / count(distinct date_trunc('week', l_shipdate)) * 52 as annualised from lineitem group by 1""")
 def _(t: Tables):
