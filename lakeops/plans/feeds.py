@@ -17,7 +17,7 @@ from lakeops.plans.files import FEED, framed, named_feed, write_xml
 from lakeops.plans.relational import money
 from lakeops.plans.streams import ENTITIES, ENV_SQL, SENT, envelopes, landed_entity
 from lakeops.registry import Tables, query
-from lakeops.session import fresh_path
+from lakeops.session import fresh_path, materialise
 from lakeops.sources import files as R
 from lakeops.sources import sinks as O
 from lakeops.streaming import changes as X
@@ -71,8 +71,10 @@ def read_pos(spark, path: str) -> DataFrame:
     raw = R.with_position(R.scan_delimited(spark, path, schema=POS_SCHEMA)).drop("Attribute0")
     keyed = propagate_parent_keys(raw, record_type="recordtype", levels=POS_LEVELS, file_col=R.FILE, position_col=R.POSITION, carried=POS_DATE)
     target = fresh_path(spark, "pos")
-    keyed.drop(R.FILE, R.POSITION).write.partitionBy("recordtype").parquet(target)
-    schema = keyed.drop(R.FILE, R.POSITION).schema
+    keyed = keyed.drop(R.FILE, R.POSITION)
+    # The records of one type in few tasks; adaptive execution splits a frequent type.
+    keyed.hint("rebalance", "recordtype").write.partitionBy("recordtype").parquet(target)
+    schema = keyed.schema
     return spark.read.schema(schema).parquet(target)
 
 
@@ -115,45 +117,55 @@ LINES1_SQL = "lines as (select * exclude (r) from (select *, row_number() over (
 
 
 def write_pos(t: Tables) -> str:
-    """Orders and their lines as point-of-sale files: whole transactions in order, each file led by an orphan line."""
+    """Orders and their lines as point-of-sale files: whole transactions in order, each file led by an orphan line.
+
+    One pass over orders and one over lines: a row makes an array of its records.
+    """
     o = t.orders.select("*", F.date_format("o_orderdate", "yyyyMMdd").alias("d"))
     rest = [c for c in t.lineitem.columns if c not in ("l_orderkey", "l_linenumber")]
     li = A.dedupe_by(t.lineitem, ["l_orderkey", "l_linenumber"], rest)
-    k = F.col("o_orderkey").alias("ok")
 
-    def rows(df, seq, kind, *fields):
+    def record_if(where, seq, kind, *fields):
         text = F.concat_ws("|", F.lit(""), F.lit(kind), *[F.coalesce(f.cast("string"), F.lit("")) if not isinstance(f, str) else F.lit(f) for f in fields])
-        return df.select(k if "o_orderkey" in df.columns else F.col("l_orderkey").alias("ok"), seq.alias("seq"), text.alias("value"))
+        made = F.struct(seq.alias("seq"), text.alias("value"))
+        return made if where is None else F.when(F.expr(where), made)
+
+    def exploded(df, key, records):
+        return df.select(F.col(key).alias("ok"), F.explode(F.array_compact(F.array(*records))).alias("r")).select("ok", "r.seq", "r.value")
 
     at = lambda n: F.lit(n).cast("bigint")
     line = F.col("l_linenumber").cast("bigint") * 10
     price, disc = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
     cust = F.col("o_custkey")
-    parts = [
-        rows(o, at(0), "H", cust, F.col("d"), F.col("o_orderstatus"), "1", F.col("o_orderkey"), F.concat("d", F.lit("0900")), F.concat("d", F.lit("0905")), "", "", "GBP"),
-        rows(o.where("o_orderpriority in ('2-HIGH', '3-MEDIUM')"), at(1), "LC", "1", F.concat(F.lit("card"), cust.cast("string")), "P", cust % 100, ""),
-        rows(o.where("o_orderpriority = '2-HIGH'"), at(2), "38", "2", "R1"),
-        rows(li, line + 10, "L", F.col("l_linenumber"), F.col("l_linestatus"), F.col("l_returnflag"), "SKU", F.col("l_partkey"), money("l_quantity"), "EA", price, price, "S"),
-        rows(li.where("l_quantity > 40"), line + 11, "55", price),
-        rows(li.where("l_discount > 0.05D"), line + 12, "LD", "1", "Z", "R", disc, "D1", "B1"),
-        rows(o.where("o_orderpriority = '1-URGENT'"), at(1000), "HD", "1", "Z", "R", "5.00", "D2", "B9"),
-        rows(o.where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'"), at(1001), "34", "7"),
-        rows(o.where("o_orderstatus = 'P'"), at(1002), "41", "P41", "spring"),
-        rows(o.where("o_orderstatus <> 'F'"), at(1003), "64", F.when(cust % 2 == 0, "P64"), "autumn"),
-        rows(o.where("o_orderpriority = '5-LOW'"), at(1004), "39", F.concat(F.lit("c"), cust.cast("string")), "1.50"),
-        rows(o, at(1005), "TR", "1", "CARD", money("o_totalprice"), "T1", ""),
-        rows(o.where("o_totalprice > 400000"), at(1006), "13", "Y"),
-        rows(li.where("l_quantity > 45"), line + 13, "46", F.concat(F.lit("g"), F.col("l_partkey").cast("string")), "1", "", "", F.when(F.col("l_returnflag") == "R", "Y"), F.when(F.col("l_returnflag") == "A", "Y"), "Y", price, "9.00"),
-        rows(li.where("l_quantity < 3"), line + 14, "45", F.concat(F.lit("t"), F.col("l_suppkey").cast("string")), "I", "10.00", "net", "prd", "S", "", "00", "077"),
-        rows(li.where("l_quantity = 5"), line + 15, "57", F.when(F.col("l_returnflag") != "N", F.concat(F.lit("v"), F.col("l_suppkey").cast("string"))), "I", "20.00", "net", "prd", "01"),
-        rows(o.where("o_orderstatus = 'P'"), at(1007), "86", F.concat(F.lit("g"), cust.cast("string")), "2", "", "", "", "", "", "3.00", "9.00"),
-        rows(o.where("o_orderpriority = '3-MEDIUM'"), at(1008), "24", F.col("o_orderkey"), F.col("d"), "", F.concat(F.lit("c"), cust.cast("string")), *[""] * 16, F.concat(F.lit("i"), cust.cast("string")), "EA", "1", money("o_totalprice")),
-        rows(o.where("o_orderpriority = '4-NOT SPECIFIED'"), at(1009), "25", F.col("o_orderkey"), F.col("d"), "", F.when(cust % 2 == 0, F.concat(F.lit("c"), cust.cast("string"))), *[""] * 4, F.concat(F.lit("j"), cust.cast("string")), "EA", "2", "1.25"),
-        rows(o.where("o_orderpriority = '5-LOW'"), at(1010), "26", F.col("o_orderkey"), F.col("d"), "", "u", "s", F.concat(F.lit("c"), cust.cast("string")), *[""] * 13, F.when(cust % 3 != 0, F.concat(F.lit("k"), cust.cast("string"))), "EA", "3", "2.50"),
-        rows(o.where("o_orderpriority = '1-URGENT'"), at(1011), "28", F.col("o_orderkey"), F.col("d"), "", "u", "s", F.concat(F.lit("c"), cust.cast("string")), "", F.concat(F.lit("m"), cust.cast("string")), "EA", "4", "3.75"),
+    of_order = [
+        record_if(None, at(0), "H", cust, F.col("d"), F.col("o_orderstatus"), "1", F.col("o_orderkey"), F.concat("d", F.lit("0900")), F.concat("d", F.lit("0905")), "", "", "GBP"),
+        record_if("o_orderpriority in ('2-HIGH', '3-MEDIUM')", at(1), "LC", "1", F.concat(F.lit("card"), cust.cast("string")), "P", cust % 100, ""),
+        record_if("o_orderpriority = '2-HIGH'", at(2), "38", "2", "R1"),
+        record_if("o_orderpriority = '1-URGENT'", at(1000), "HD", "1", "Z", "R", "5.00", "D2", "B9"),
+        record_if("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'", at(1001), "34", "7"),
+        record_if("o_orderstatus = 'P'", at(1002), "41", "P41", "spring"),
+        record_if("o_orderstatus <> 'F'", at(1003), "64", F.when(cust % 2 == 0, "P64"), "autumn"),
+        record_if("o_orderpriority = '5-LOW'", at(1004), "39", F.concat(F.lit("c"), cust.cast("string")), "1.50"),
+        record_if(None, at(1005), "TR", "1", "CARD", money("o_totalprice"), "T1", ""),
+        record_if("o_totalprice > 400000", at(1006), "13", "Y"),
+        record_if("o_orderstatus = 'P'", at(1007), "86", F.concat(F.lit("g"), cust.cast("string")), "2", "", "", "", "", "", "3.00", "9.00"),
+        record_if("o_orderpriority = '3-MEDIUM'", at(1008), "24", F.col("o_orderkey"), F.col("d"), "", F.concat(F.lit("c"), cust.cast("string")), *[""] * 16, F.concat(F.lit("i"), cust.cast("string")), "EA", "1", money("o_totalprice")),
+        record_if("o_orderpriority = '4-NOT SPECIFIED'", at(1009), "25", F.col("o_orderkey"), F.col("d"), "", F.when(cust % 2 == 0, F.concat(F.lit("c"), cust.cast("string"))), *[""] * 4, F.concat(F.lit("j"), cust.cast("string")), "EA", "2", "1.25"),
+        record_if("o_orderpriority = '5-LOW'", at(1010), "26", F.col("o_orderkey"), F.col("d"), "", "u", "s", F.concat(F.lit("c"), cust.cast("string")), *[""] * 13, F.when(cust % 3 != 0, F.concat(F.lit("k"), cust.cast("string"))), "EA", "3", "2.50"),
+        record_if("o_orderpriority = '1-URGENT'", at(1011), "28", F.col("o_orderkey"), F.col("d"), "", "u", "s", F.concat(F.lit("c"), cust.cast("string")), "", F.concat(F.lit("m"), cust.cast("string")), "EA", "4", "3.75"),
+    ]
+    of_line = [
+        record_if(None, line + 10, "L", F.col("l_linenumber"), F.col("l_linestatus"), F.col("l_returnflag"), "SKU", F.col("l_partkey"), money("l_quantity"), "EA", price, price, "S"),
+        record_if("l_quantity > 40", line + 11, "55", price),
+        record_if("l_discount > 0.05D", line + 12, "LD", "1", "Z", "R", disc, "D1", "B1"),
+        record_if("l_quantity > 45", line + 13, "46", F.concat(F.lit("g"), F.col("l_partkey").cast("string")), "1", "", "", F.when(F.col("l_returnflag") == "R", "Y"), F.when(F.col("l_returnflag") == "A", "Y"), "Y", price, "9.00"),
+        record_if("l_quantity < 3", line + 14, "45", F.concat(F.lit("t"), F.col("l_suppkey").cast("string")), "I", "10.00", "net", "prd", "S", "", "00", "077"),
+        record_if("l_quantity = 5", line + 15, "57", F.when(F.col("l_returnflag") != "N", F.concat(F.lit("v"), F.col("l_suppkey").cast("string"))), "I", "20.00", "net", "prd", "01"),
     ]
     path = fresh_path(t.spark, "pos_in")
-    ordered = S.union_all_rows(*parts).repartitionByRange("ok").sortWithinPartitions("ok", "seq").select("value")
+    # Stored, so that the sample of the ranges does not make the records again.
+    records = materialise(S.union_all_rows(exploded(o, "o_orderkey", of_order), exploded(li, "l_orderkey", of_line)), name="pos-records")
+    ordered = records.repartitionByRange("ok").sortWithinPartitions("ok", "seq").select("value")
     framed(ordered, "|L|99|orphan", None).write.text(path)
     return path
 

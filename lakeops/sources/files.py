@@ -214,9 +214,13 @@ def _snapshots(spark: SparkSession, base: str, fmt: str, schema, newest: int) ->
     A snapshot is one file or one run folder with all files in it, and as old
     as its newest file. Only these files are read.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    found = {p: listing.load(p).agg(F.max("modificationTime")).first()[0] for p in _children(spark, base)}
-    latest = sorted((p for p, t in found.items() if t is not None), key=lambda p: (found[p], p), reverse=True)[:newest]
+    # One listing of all files, grouped by what is directly below the base.
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path", "modificationTime")
+    child = F.concat(F.lit(f"{root}/"), F.substring_index(F.substring(F.col("path"), F.length(F.lit(root)) + 2, F.length("path")), "/", 1))
+    found = files.groupBy(child.alias("child")).agg(F.max("modificationTime").alias("newest"))
+    latest = [r["child"] for r in found.orderBy(F.desc("newest"), F.desc("child")).take(newest)]
     out = spark.createDataFrame([], schema).withColumn("snapshot", F.lit(1))
     for rank, path in enumerate(latest, 1):
         part = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true").load(path).withColumn("snapshot", F.lit(rank))
