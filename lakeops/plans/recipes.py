@@ -12,6 +12,7 @@ from lakeops.plans.recipe import run_cleanse, run_recipe
 from lakeops.plans.relational import CUSTOMER_V2_SQL, customer_v2, money
 from lakeops.registry import Tables, query
 from lakeops.session import fresh_path
+from lakeops.sources import sinks as O
 
 ETL_SQL = """o as (select o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') as day, cast(o_totalprice as decimal(18,2)) as price from orders where o_totalprice > 5000 and o_orderstatus <> 'P'),
 j as (select o.*, c_nationkey, c_mktsegment from o join customer on c_custkey = o_custkey),
@@ -133,3 +134,30 @@ def recipe_resume(t: Tables):
     written = t.spark.read.schema("o_orderkey bigint, price decimal(18,2), o_orderstatus string").parquet(f"{base}/orders")
     rows = written.groupBy(F.col("o_orderstatus").alias("a")).agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(28,2)").alias("price")).select(F.lit("table").alias("part"), "*")
     return S.union_padded(rows, done.select(F.col("kind").alias("part"), F.col("step").alias("a"), F.col("row_count").alias("n")))
+
+
+@query("recipe_storage", """
+with base as (select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as price, cast(year(o_orderdate) as int) as yr from orders),
+kept as (select * from base where not (o_orderstatus = 'P' or yr = 1995) and yr >= 1993), src as (select * from kept where o_orderkey % 2 = 0), tgt as (select o_orderkey, 'X' as o_orderstatus, -price as price, yr from base where yr >= 1997)
+select 'merged' as part, * from src union all select 'merged', * from tgt where o_orderkey not in (select o_orderkey from src)
+union all select 'dataset', c_custkey, c_mktsegment, cast(null as decimal(18,2)), cast(null as int) from customer union all select 'written', count(*), 'stored', null, null from base""")
+def recipe_storage(t: Tables):
+    """Write a partitioned table, delete rows and partitions, drop old ones, read it back, read run folders and merge by key."""
+    base = fresh_path(t.spark, "storage")
+    orders = t.orders.select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("price"), F.year("o_orderdate").alias("yr"))
+    O.write_run_folder(t.customer.select("c_custkey", "c_mktsegment"), f"{base}/runs", run_date="20010801", run_time="000000")
+    steps = [
+        {"card_type": "write_delta", "query": "select * from all_orders", "data_path": f"{base}/table", "partition_key_columns": "yr", "label": "stored"},
+        {"card_type": "delete_delta", "data_path": f"{base}/table", "partition_key": "yr", "query": "o_orderstatus = 'P' or yr = 1995"},
+        {"card_type": "clean_delta", "data_path": f"{base}/table", "partition_key": "yr", "cutoff": 1993},
+        {"card_type": "read_delta", "data_path": f"{base}/table", "output_table": "kept_orders"},
+        {"card_type": "read_table", "query": "select * from kept_orders where o_orderkey % 2 = 0", "temp_table_name": "even_orders"},
+        {"card_type": "read_dataset", "data_type": "PARQUET", "data_path": f"{base}/runs", "extraction_logic": ["20010801"], "schema": "c_custkey bigint, c_mktsegment string", "table_name": "run_customers"},
+        {"card_type": "upsert_table", "query": "select * from even_orders", "target_table": "late_orders", "key_columns": "o_orderkey", "output_table": "merged_orders"},
+    ]
+    late = orders.where("yr >= 1997").withColumns({"o_orderstatus": F.lit("X"), "price": (-F.col("price")).cast("decimal(18,2)")})
+    out = run_recipe(t.spark, steps, {"all_orders": orders, "late_orders": late})
+    merged = out["merged_orders"].select(F.lit("merged").alias("part"), "o_orderkey", "o_orderstatus", "price", "yr")
+    customers = out["run_customers"].select(F.lit("dataset").alias("part"), F.col("c_custkey").alias("o_orderkey"), F.col("c_mktsegment").alias("o_orderstatus"))
+    written = out["run_summary"].select(F.col("kind").alias("part"), F.col("row_count").alias("o_orderkey"), F.col("step").alias("o_orderstatus"))
+    return S.union_padded(merged, customers, written)

@@ -145,3 +145,18 @@ def test_layout_of_other_types_nulls_and_no_rows(spark):
     assert by_layout(df.where("false"), ["d"]).count() == 0
     with pytest.raises(ValueError):
         by_layout(df, [])
+
+
+def test_storage_steps_on_partitions_that_empty(spark):
+    base = fresh_path(spark, "t_storage")
+    df = spark.range(30).selectExpr("id", "cast(id % 3 as int) as p")
+    steps = [{"card_type": "write_delta", "query": "select * from t_rows", "data_path": base, "partition_key_columns": "p"},
+             {"card_type": "delete_delta", "data_path": base, "partition_key": "p", "query": "p = 1 or id = 2"},
+             {"card_type": "clean_delta", "data_path": base, "partition_key": "p", "cutoff": 1},
+             {"card_type": "read_delta", "data_path": base, "output_table": "t_left"}]
+    for by_dependency in (False, True):
+        out = P.run_recipe(spark, steps, {"t_rows": df}, by_dependency=by_dependency)
+        assert sorted(r.id for r in out["t_left"].collect()) == [i for i in range(30) if i % 3 == 2 and i != 2]
+        assert sorted(p.name for p in Path(base).glob("p=*")) == ["p=2"]
+    P.run_recipe(spark, [{"card_type": "delete_delta", "data_path": base, "partition_key": "p", "query": "true"}], {})
+    assert not list(Path(base).glob("p=*"))
