@@ -38,16 +38,27 @@ MAGIC = b"PFR1"
 HEADER = struct.Struct("<4sIQQ")  # magic, ids in a block, ids, documents
 BLOCK = 128
 PERCENTILE = 90
+#: Blocks that are packed or unpacked at once.
+SLICE = 2048
 FILE_IDS = 4_000_000
-CACHED_WORDS = 1 << 20
+#: Parts that a worker process keeps, about 150 bytes each.
+CACHED_WORDS = 1 << 19
 TEXTS_AT_ONCE = 500
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Blocks of ids as bytes, and where each block starts (one more entry for the end)."""
+    bodies, sizes = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+    for k in range(0, len(ids), SLICE * BLOCK):
+        body, size = _pack_slice(ids[k : k + SLICE * BLOCK])
+        bodies.append(body)
+        sizes.append(size)
+    return np.concatenate(bodies), np.cumsum(np.concatenate(sizes)).astype(np.uint64)
+
+
+def _pack_slice(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some blocks as bytes, and the size of each."""
     count = -(-len(ids) // BLOCK)
-    if not count:
-        return np.zeros(0, np.uint8), np.zeros(1, np.uint64)
     padded = np.concatenate([ids, np.repeat(ids[-1:], count * BLOCK - len(ids))]).astype(np.uint32).reshape(count, BLOCK)
     least = padded.min(axis=1)
     delta = padded - least[:, None]
@@ -56,40 +67,59 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     outlier = delta >> np.minimum(width, 31).astype(np.uint32)[:, None] > 0
     outlier &= (width < 32)[:, None]
     patches = outlier.sum(axis=1)
-    starts = np.concatenate([[0], np.cumsum(6 + width * (BLOCK // 8) + 5 * patches)])
-    out = np.zeros(starts[-1], np.uint8)
-    out[starts[:-1, None] + np.arange(4)] = least.astype("<u4").view(np.uint8).reshape(count, 4)
-    out[starts[:-1] + 4], out[starts[:-1] + 5] = width, patches
-    for w in np.unique(width[width > 0]):
+    sizes = 6 + width * (BLOCK // 8) + 5 * patches
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    out[starts[:, None] + np.arange(4)] = least.astype("<u4").view(np.uint8).reshape(count, 4)
+    out[starts + 4], out[starts + 5] = width, patches
+    for w in np.unique(width[width > 0]).tolist():
         at = np.flatnonzero(width == w)
-        bits = (delta[at, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
-        out[starts[at, None] + 6 + np.arange(packed.shape[1])] = packed
+        low = delta[at].T.astype(np.uint64) & np.uint64((1 << w) - 1)
+        words = np.zeros((2 * w, len(at)), np.uint64)
+        for i in range(BLOCK):
+            word, shift = divmod(i * w, 64)
+            words[word] |= low[i] << np.uint64(shift)
+            if shift + w > 64:
+                words[word + 1] |= low[i] >> np.uint64(64 - shift)
+        out[starts[at, None] + 6 + np.arange(16 * w)] = np.ascontiguousarray(words.T, "<u8").view(np.uint8)
     block, place = np.nonzero(outlier)
-    nth = np.arange(len(block)) - np.concatenate([[0], np.cumsum(patches)])[block]
+    nth = np.arange(len(block)) - (np.cumsum(patches) - patches)[block]
     tail = starts[block] + 6 + width[block] * (BLOCK // 8)
     out[tail + nth] = place
     out[(tail + patches[block] + 4 * nth)[:, None] + np.arange(4)] = delta[block, place].astype("<u4").view(np.uint8).reshape(-1, 4)
-    return out, starts.astype(np.uint64)
+    return out, sizes
 
 
 def unpack(body: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The values of the blocks that start at ``starts`` (the last entry is the end) in ``body``."""
     at = starts[:-1].astype(np.int64)
-    if not len(at):
-        return np.zeros(0, np.uint32)
+    out = np.zeros((len(at), BLOCK), np.uint32)
+    for k in range(0, len(at), SLICE):
+        _unpack_slice(body, at[k : k + SLICE], out[k : k + SLICE])
+    return out.reshape(-1)
+
+
+def _unpack_slice(body: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+    """Fill ``out`` with the values of the blocks ``at``."""
     least = body[at[:, None] + np.arange(4)].copy().view("<u4").reshape(-1)
     width, patches = body[at + 4].astype(np.int64), body[at + 5].astype(np.int64)
-    delta = np.zeros((len(at), BLOCK), np.uint32)
-    for w in np.unique(width[width > 0]):
+    for w in np.unique(width[width > 0]).tolist():
         k = np.flatnonzero(width == w)
-        bits = np.unpackbits(body[at[k, None] + 6 + np.arange(w * BLOCK // 8)], axis=1, bitorder="little").reshape(len(k), BLOCK, w)
-        delta[k] = (bits.astype(np.uint32) << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+        words = np.ascontiguousarray(body[at[k, None] + 6 + np.arange(16 * w)]).view("<u8").T.copy()
+        values = np.empty((BLOCK, len(k)), np.uint32)
+        mask = np.uint64((1 << w) - 1)
+        for i in range(BLOCK):
+            word, shift = divmod(i * w, 64)
+            value = words[word] >> np.uint64(shift)
+            if shift + w > 64:
+                value |= words[word + 1] << np.uint64(64 - shift)
+            values[i] = value & mask
+        out[k] = values.T
     block = np.repeat(np.arange(len(at)), patches)
-    nth = np.arange(len(block)) - np.repeat(np.concatenate([[0], np.cumsum(patches)[:-1]]).astype(np.int64), patches)
+    nth = np.arange(len(block)) - np.repeat(np.cumsum(patches) - patches, patches)
     tail = at[block] + 6 + width[block] * (BLOCK // 8)
-    delta[block, body[tail + nth]] = body[(tail + patches[block] + 4 * nth)[:, None] + np.arange(4)].copy().view("<u4").reshape(-1)
-    return (delta + least[:, None]).reshape(-1)
+    out[block, body[tail + nth]] = body[(tail + patches[block] + 4 * nth)[:, None] + np.arange(4)].copy().view("<u4").reshape(-1)
+    out += least[:, None]
 
 
 def file_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -139,13 +169,16 @@ class Encoder:
 
     PROBES = ("a b", "Word\tword, two", "it's\n<x> 12", " lead and  gap ", "é ſ́ ñ\r\nz", "One, two. Three. a., b.c d,", "x.\ny, z.")
     MARKS = re.compile(r"(?<=[A-Za-z])([.,]) ")
+    #: Marks that may stand between parts, so that one id tells the parts of a long text apart.
+    DIVIDERS = "|~^`"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
-        self.by_part = all(self.whole([p])[0] == list(itertools.chain(*self.whole(self._parts(p)))) for p in self.PROBES)
+        self.by_part = all(self.whole([p])[0] == list(itertools.chain(*self.whole(self._parts([p])[0]))) for p in self.PROBES)
+        self.divider = next(((d, ids[0]) for d in self.DIVIDERS if len(ids := self.whole([d])[0]) == 1), None)
 
     def _forget(self) -> None:
         self.place = _Places({"": 0})
@@ -154,42 +187,56 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _parts(self, text: str) -> list[str]:
-        for c in "\t\n\r\x0b\x0c":
-            text = text.replace(c, " ")
-        return self.MARKS.sub(r" \1 ", text).split(" ")
+    def _parts(self, texts: list[str]) -> list[list[str]]:
+        """The parts of each text; all texts are gone through as one, line by line."""
+        lines = "\n".join([t.replace("\n", " ") for t in texts])
+        for c in "\t\r\x0b\x0c":
+            lines = lines.replace(c, " ")
+        return [line.split(" ") for line in self.MARKS.sub(r" \1 ", lines).split("\n")]
+
+    def _divided(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Number of ids of each part, and all ids, by the dividers between parts; None if the parts have dividers of their own."""
+        if self.divider is None:
+            return None
+        mark, mark_id = self.divider
+        [found] = self.tokenizer.encode_batch_fast([f" {mark} ".join(parts)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        at = np.flatnonzero(ids == mark_id)
+        if len(at) != len(parts) - 1:
+            return None
+        return np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1, np.delete(ids, at)
+
+    def _offset(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by where each id's characters start."""
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        owner = np.searchsorted(ends, np.array([s for s, _ in found.offsets], np.int64), side="right")
+        return np.bincount(owner, minlength=len(parts)), np.array(found.ids, np.uint32)
 
     def _encoded(self, parts: list[str], at_once: int = 2000) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each part, and all ids: many parts are encoded as one text and told apart by where each id's characters start."""
-        lens, ids = [], []
-        for k in range(0, len(parts), at_once):
-            some = parts[k : k + at_once]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(p) + 1 for p in some])
-            owner = np.searchsorted(ends, np.array([s for s, _ in found.offsets], np.int64), side="right")
-            lens.append(np.bincount(owner, minlength=len(some)))
-            ids.append(np.array(found.ids, np.uint32))
-        return np.concatenate(lens), np.concatenate(ids)
+        """Number of ids of each part, and all ids: many parts are encoded as one text."""
+        found = [self._divided(some) or self._offset(some) for k in range(0, len(parts), at_once) if (some := parts[k : k + at_once])]
+        return np.concatenate([n for n, _ in found]), np.concatenate([ids for _, ids in found])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
         if not self.by_part:
             return [np.array(x, np.uint32) for x in self.whole(texts)]
         if len(self.place) > CACHED_WORDS:
             self._forget()
         known, place = len(self.place), self.place
-        places = []
-        for text in texts:
-            parts = self._parts(text)
-            places.append(np.fromiter(map(place.__getitem__, parts), np.int64, len(parts)))
+        parts = self._parts(texts)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        at = np.fromiter(map(place.__getitem__, itertools.chain.from_iterable(parts)), np.int64, int(sizes.sum()))
         if len(place) > known:
             more, ids = self._encoded(list(itertools.islice(reversed(place), len(place) - known))[::-1])
             self.lens, self.flat = np.concatenate([self.lens, more]), np.concatenate([self.flat, ids])
+        n = self.lens[at]
+        ends = np.cumsum(n)
         starts = np.cumsum(self.lens) - self.lens
-        out = []
-        for at in places:
-            n = self.lens[at]
-            out.append(self.flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
-        return out
+        ids = self.flat[np.repeat(starts[at] - (ends - n), n) + np.arange(int(ends[-1]))]
+        return np.split(ids, ends[np.cumsum(sizes) - 1][:-1])
 
 
 @functools.cache
@@ -215,7 +262,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, *, folder: str | None = N
 
         def flush() -> pd.DataFrame:
             path = f"{root}/{uuid.uuid4().hex}.pfor"
-            data = file_bytes([h[0] for h in held], np.array([len(h[3]) for h in held]), np.concatenate([h[3] for h in held]))
+            counts = np.array([len(h[3]) + 1 for h in held])
+            ids = np.full(counts.sum(), end_id, np.uint32)
+            ends = np.cumsum(counts)
+            ids[np.delete(np.arange(len(ids)), ends - 1)] = np.concatenate([h[3] for h in held])
+            data = file_bytes([h[0] for h in held], counts, ids)
             fs.create_dir(root, recursive=True)
             with fs.open_output_stream(path) as out:
                 out.write(data)
@@ -227,12 +278,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, *, folder: str | None = N
             # Few texts at once: the parts of all texts of a batch would be many small objects.
             encoded = (ids for k in range(0, len(texts), TEXTS_AT_ONCE) for ids in encode(texts[k : k + TEXTS_AT_ONCE]))
             for name, tie, row, ids in zip(batch["id"].tolist(), batch["tie"], batch["row"], encoded):
-                ids = np.append(ids, np.uint32(end_id)).astype(np.uint32)
-                if held and size + len(ids) > file_ids:
+                if held and size + len(ids) + 1 > file_ids:
                     yield flush()
                     held, size = [], 0
                 held.append((None if name is None or name != name else int(name), tie, row, ids))
-                size += len(ids)
+                size += len(ids) + 1
         if held:
             yield flush()
 
@@ -254,9 +304,10 @@ def read_documents(manifest: DataFrame, files: int | None = None) -> DataFrame:
             for folder, path, first in zip(batch["folder"], batch["path"], batch["first_id"]):
                 with _file_system(folder)[0].open_input_file(path) as source:
                     opened = TokenFile(source)
-                    ids = opened.ids().astype("<u4")
+                    ids = opened.ids().astype("<u4", copy=False)
                     ends = np.cumsum(opened.counts)
-                    crcs = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends, opened.counts)]
+                    view = memoryview(ids)
+                    crcs = [zlib.crc32(view[e - n : e]) for e, n in zip(ends.tolist(), opened.counts.tolist())]
                     yield pd.DataFrame({"doc_id": pd.array(opened.doc_ids, "Int64"), "start": first + ends - opened.counts, "n_tokens": opened.counts, "ids_crc32": crcs})
 
     manifest = manifest.repartition(max(1, files or manifest.count()))
