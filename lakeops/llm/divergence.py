@@ -7,9 +7,10 @@
 2. Every distinct chunk is tokenized once, and its terms are joined back to the
    rows of the chunk. As a term never crosses white space, a text's terms are
    those of its chunks.
-3. Rows of one term and block are merged: the union of their document numbers
-   gives distinct documents, the sums give occurrences. A term whose chunks
-   together do not reach enough documents is left out before that.
+3. Rows of one term and block are merged, in order of term and block: the union
+   of their document numbers gives distinct documents, the sums give occurrences.
+   A term whose chunks together do not reach enough documents is left out before
+   that, and a bitmap of fixed size keeps the rows of its chunks from the shuffle.
 4. Shares p and their differences are integers. The pairs of a language's sources
    are added up term bucket by term bucket, as a matrix over its sources.
 
@@ -29,11 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import materialise
+from lakeops.llm.common import fresh_path, materialise
+from lakeops.llm.wanted import drop_table, likely_rows, release_shuffles
 
 #: Fixed value: what a term is made of.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -43,10 +46,15 @@ PRIOR = 5
 TOP = 50
 BLOCK_WORDS, BLOCK_DOCS = 3_000_000, 65_536
 BUCKET_TERMS = 1000
-#: Up to so many rows the list of wanted chunks or terms, about 100 bytes a row, is sent to the scan; beyond, it is shuffled.
-SENT_ROWS = 400_000
+#: So many input partitions (a power of two) share the rows of a term in one task; a very frequent term is in several.
+PARTITION_BITS = 6
+#: A place is a language, an input partition and a block in it, in one number.
+BLOCK_BITS, LANG_SHIFT = 20, 44
 
-BLOCK_SCHEMA = "block long, lang_id int, chunk string, n_docs int, docs binary, groups binary, counts binary"
+#: Distinct chunks whose rows are made at once.
+CHUNKS_AT_ONCE = 40_000
+
+BLOCK_SCHEMA = "place long, chunk string, n_docs int, held binary"
 
 
 class _Places(dict):
@@ -57,10 +65,61 @@ class _Places(dict):
         return place
 
 
-def _slices(values: np.ndarray, starts: np.ndarray) -> pa.Array:
-    """Binary values that follow each other in ``values``; ``starts`` has one more entry for the end."""
-    offsets = np.ascontiguousarray(starts * values.itemsize, np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of ranges that begin at ``starts``, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def _gaps(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Differences inside each row of increasing values; the first one of a row stays."""
+    out = np.diff(values, prepend=0)
+    first = np.cumsum(lengths) - lengths
+    out[first] = values[first]
+    return out
+
+
+def _sums(gaps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The values again."""
+    total = np.cumsum(gaps)
+    first = np.cumsum(lengths) - lengths
+    return total - np.repeat(total[first] - gaps[first], lengths)
+
+
+def packed(docs: np.ndarray, n_docs: np.ndarray, groups: np.ndarray, counts: np.ndarray, n_groups: np.ndarray) -> pa.Array:
+    """One value a row, seven bits a byte: how many documents and groups, the documents, the groups, their counts."""
+    lengths = 2 + n_docs + 2 * n_groups
+    starts = np.cumsum(lengths) - lengths
+    numbers = np.empty(int(lengths.sum()), np.int64)
+    numbers[starts], numbers[starts + 1] = n_docs, n_groups
+    numbers[_ranges(starts + 2, n_docs)] = _gaps(docs, n_docs)
+    numbers[_ranges(starts + 2 + n_docs, n_groups)] = _gaps(groups, n_groups)
+    numbers[_ranges(starts + 2 + n_docs + n_groups, n_groups)] = counts
+    size = np.ones(len(numbers), np.int64)
+    while (more := numbers >> (7 * size) > 0).any():
+        size += more
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        here = size > k
+        out[at[here] + k] = (numbers[here] >> (7 * k)) & 127 | np.where(size[here] > k + 1, 128, 0)
+    offsets = np.append(at[starts], len(out)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def unpacked(held: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, groups and counts of all rows, and the number of documents and of groups of each row."""
+    ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1].astype(np.int64)
+    data = np.frombuffer(held.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    last = np.flatnonzero(data < 128)
+    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+    shift = 7 * (np.arange(len(data)) - np.repeat(first, last - first + 1))
+    numbers = np.add.reduceat((data & 127).astype(np.int64) << shift, first) if len(first) else np.zeros(0, np.int64)
+    starts = np.searchsorted(first, ends[:-1] - ends[0])
+    n_docs, n_groups = numbers[starts], numbers[starts + 1]
+    docs = _sums(numbers[_ranges(starts + 2, n_docs)], n_docs)
+    groups = _sums(numbers[_ranges(starts + 2 + n_docs, n_groups)], n_groups)
+    return docs, groups, numbers[_ranges(starts + 2 + n_docs + n_groups, n_groups)], n_docs, n_groups
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -73,46 +132,45 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(changed)
 
 
-def block_rows(number: int, langs: np.ndarray, groups: np.ndarray, chunks: list[bytes], words: list[np.ndarray]) -> pa.RecordBatch:
-    """The rows of one block: documents are numbered by group, so each row's documents and groups are sorted."""
+def block_rows(number: int, langs: np.ndarray, groups: np.ndarray, chunks: list[bytes], words: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The rows of one block, some chunks at a time: documents are numbered by group, so each row's documents and groups are sorted."""
     order = np.lexsort((np.arange(len(groups)), groups, langs))
     langs, groups = langs[order], groups[order]
-    sizes = np.array([len(w) for w in words], np.int64)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    key = np.concatenate(words).astype(np.int64) * BLOCK_DOCS + np.repeat(place, sizes)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    key = np.concatenate(words).astype(np.int64)
+    key *= BLOCK_DOCS
+    key += np.repeat(rank, [len(w) for w in words])
+    words.clear()
     key.sort()
-    chunk, doc = key // BLOCK_DOCS, (key % BLOCK_DOCS).astype(np.int64)
+    for first in range(0, len(chunks), CHUNKS_AT_ONCE):
+        some = chunks[first : first + CHUNKS_AT_ONCE]
+        lo, hi = np.searchsorted(key, (first * BLOCK_DOCS, (first + len(some)) * BLOCK_DOCS))
+        yield _chunk_rows(number, langs, groups, some, key[lo:hi] - first * BLOCK_DOCS)
+
+
+def _chunk_rows(number: int, langs: np.ndarray, groups: np.ndarray, chunks: list[bytes], key: np.ndarray) -> pa.RecordBatch:
+    """Rows of some chunks from sorted occurrences (chunk and document in one number)."""
     at = _runs(key)  # one document of one chunk
     occurrences = np.diff(np.append(at, len(key)))
-    chunk, doc = chunk[at], doc[at]
+    chunk, doc = np.divmod(key[at], BLOCK_DOCS)
     lang, group = langs[doc], groups[doc]
-    by_group = _runs(chunk, lang, group)
-    by_row = _runs(chunk, lang)
+    by_group, by_row = _runs(chunk, lang, group), _runs(chunk, lang)
     counts = np.add.reduceat(occurrences, by_group) if len(by_group) else np.zeros(0, np.int64)
     names = pa.array(chunks, pa.binary()).take(pa.array(chunk[by_row])).cast(pa.string())
-    ends = np.append(by_row, len(chunk))
-    columns = [
-        pa.array(np.full(len(by_row), number)),
-        pa.array(lang[by_row].astype(np.int32)),
-        names,
-        pa.array(np.diff(ends).astype(np.int32)),
-        _slices(doc.astype(np.uint16), ends),
-        _slices(group[by_group].astype(np.uint32), np.searchsorted(by_group, ends)),
-        _slices(counts.astype(np.int64), np.searchsorted(by_group, ends)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["block", "lang_id", "chunk", "n_docs", "docs", "groups", "counts"])
+    n_docs, n_groups = np.diff(np.append(by_row, len(chunk))), np.diff(np.append(np.searchsorted(by_group, by_row), len(by_group)))
+    held = packed(doc, n_docs, group[by_group], counts, n_groups)
+    place = (lang[by_row].astype(np.int64) << LANG_SHIFT) + number
+    return pa.RecordBatch.from_arrays([pa.array(place), names, pa.array(n_docs.astype(np.int32)), held], ["place", "chunk", "n_docs", "held"])
 
 
 def _factorized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << BLOCK_BITS
     places, words, langs, groups, held = _Places(), [], [], [], 0
 
     def block() -> Iterator[pa.RecordBatch]:
         if held:
-            rows = block_rows(number, np.array(langs), np.array(groups), list(places), words)
-            for k in range(0, len(rows), 50_000):
-                yield rows.slice(k, 50_000)
+            yield from block_rows(number, np.array(langs), np.array(groups), list(places), words)
 
     for batch in batches:
         for text, lang, group in zip(batch.column("text").cast(pa.binary()), batch.column("lang_id").to_pylist(), batch.column("group_id").to_pylist()):
@@ -130,7 +188,9 @@ def _factorized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
     """One row per block, language and chunk, from rows of ``lang_id``, ``group_id`` and ``text``."""
-    return materialise(docs.select("lang_id", "group_id", "text").mapInArrow(_factorized, BLOCK_SCHEMA), name="term-chunks")
+    path = fresh_path(docs.sparkSession, "term-chunks")
+    docs.select("lang_id", "group_id", "text").mapInArrow(_factorized, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(BLOCK_SCHEMA).parquet(path)
 
 
 def terms_of(chunk) -> F.Column:
@@ -138,58 +198,61 @@ def terms_of(chunk) -> F.Column:
     return F.regexp_extract_all(F.translate(chunk, string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
 
 
-def _sent(rows: DataFrame) -> DataFrame:
-    """A stored list, marked for sending where it is short."""
-    return F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
-
-
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one term, language and block each: union of documents, sums by group."""
-
-    def flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-        """All values of the row's parts, and the row of each."""
-        parts = column.flatten()
-        ends = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(parts) + 1] if len(parts) else np.zeros(1, np.int32)
-        data = np.frombuffer(parts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
-        row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False))
-        return data, np.repeat(row, np.diff(ends) // np.dtype(kind).itemsize)
-
+    """From rows sorted by term and place: ``n`` by language and group, and distinct documents as group -1. A place's rows of a term may span batches."""
+
+    def merge(rows: pa.Table) -> pa.RecordBatch:
+        batch = rows.combine_chunks().to_batches()[0]
+        place = batch.column("place").to_numpy()
+        lang, code = place >> LANG_SHIFT, batch.column("term").dictionary_encode().indices.to_numpy()
+        docs, groups, counts, n_docs, n_groups = unpacked(batch.column("held"))
+        by_term = _runs(code, lang)
+        term_of = np.repeat(np.arange(len(by_term)), np.diff(np.append(by_term, len(batch))))
+        merged = _runs(code, place)
+        unit_of = np.repeat(np.arange(len(merged)), np.diff(np.append(merged, len(batch))))
+        key = np.repeat(unit_of, n_docs) * BLOCK_DOCS + docs
+        key.sort()
+        distinct = np.bincount(term_of[merged][key[_runs(key)] // BLOCK_DOCS], minlength=len(by_term))
+        row = np.repeat(term_of, n_groups)
+        order = np.lexsort((groups, row))
+        row, groups, counts = row[order], groups[order], counts[order]
+        at = _runs(row, groups)
+        row = np.concatenate([row[at], np.arange(len(by_term))])
+        group_id = np.concatenate([groups[at], np.full(len(by_term), -1)]).astype(np.int32)
+        n = np.concatenate([np.add.reduceat(counts, at) if len(at) else counts, distinct])
+        return pa.RecordBatch.from_arrays([pa.array(lang[by_term[row]].astype(np.int32)), batch.column("term").take(pa.array(by_term[row])), pa.array(group_id), pa.array(n)], ["lang_id", "term", "group_id", "n"])
+
+    rest = None
     for batch in batches:
-        if not len(batch):
+        rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        if not len(rows):
             continue
-        doc, row = flat(batch.column("docs"), np.uint16)
-        key = row * BLOCK_DOCS + doc
-        key.sort()
-        n_docs = np.bincount(key[_runs(key)] // BLOCK_DOCS, minlength=len(batch))
-        group, row = flat(batch.column("groups"), np.uint32)
-        count, _ = flat(batch.column("counts"), np.int64)
-        order = np.lexsort((group, row))
-        group, row, count = group[order], row[order], count[order]
-        at = _runs(row, group)
-        total = np.add.reduceat(count, at)
-        ends = pa.array(np.searchsorted(row[at], np.arange(len(batch) + 1)).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("lang_id"), batch.column("term"), pa.array(n_docs), pa.ListArray.from_arrays(ends, pa.array(group[at].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(total))],
-            ["lang_id", "term", "n_docs", "groups", "counts"],
-        )
+        same = pc.and_(pc.equal(rows.column("place"), rows.column("place")[-1]), pc.equal(rows.column("term"), rows.column("term")[-1]))
+        cut = len(rows) - pc.sum(same).as_py()
+        if cut:
+            yield merge(rows.slice(0, cut))
+        rest = rows.slice(cut)
+    if rest is not None:
+        yield merge(rest)
 
 
 def kept_counts(rows: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
     """The kept terms (``lang_id``, ``term``), and the occurrences ``n`` of each in each group that has it."""
-    totals = materialise(rows.groupBy("lang_id", "chunk").agg(F.sum("n_docs").alias("n_docs")), name="term-totals")
-    tokens = materialise(totals.select("chunk").distinct().select("chunk", F.explode(terms_of("chunk")).alias("term")), name="term-tokens")
-    # A term has no more documents than its chunks together. A chunk that holds a term twice counts twice in both.
-    possible = totals.join(tokens, "chunk")
-    enough = possible.groupBy("lang_id", "term").agg(F.sum("n_docs").alias("_most")).where(F.col("_most") >= least_docs)
-    wanted = materialise(possible.join(enough, ["lang_id", "term"], "left_semi").select("lang_id", "chunk", "term"), name="term-wanted")
-    joined = rows.join(_sent(wanted), ["lang_id", "chunk"])
-    grouped = joined.groupBy("lang_id", "term", "block").agg(*[F.collect_list(c).alias(c) for c in ("docs", "groups", "counts")])
-    merged = grouped.select("lang_id", "term", "docs", "groups", "counts").mapInArrow(_merged, "lang_id int, term string, n_docs long, groups array<int>, counts array<long>")
-    merged = materialise(merged, name="term-merged")
-    kept = materialise(merged.groupBy("lang_id", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= least_docs).select("lang_id", "term"), name="term-kept")
-    pairs = merged.join(_sent(kept), ["lang_id", "term"]).select("lang_id", "term", F.explode(F.arrays_zip("groups", "counts")).alias("x"))
-    counts = pairs.groupBy("lang_id", "term", F.col("x.groups").alias("group_id")).agg(F.sum("x.counts").alias("n"))
-    return kept, materialise(counts, name="term-counts")
+    chunks = rows.groupBy("chunk").agg(F.sum("n_docs").alias("n_docs"))
+    path = fresh_path(rows.sparkSession, "term-tokens")
+    tokens = materialise(chunks.select("chunk", "n_docs", F.explode(terms_of("chunk")).alias("term")), path=path)
+    # A term has no more documents than its chunks together.
+    enough = tokens.groupBy("term").agg(F.sum("n_docs").alias("_most")).where(F.col("_most") >= least_docs).select("term")
+    wanted = materialise(tokens.select("chunk", "term").join(enough, "term", "left_semi"), name="term-wanted")
+    drop_table(rows.sparkSession, path)
+    release_shuffles(rows.sparkSession)
+    joined = likely_rows(rows.drop("n_docs"), wanted.select("chunk").distinct(), "chunk").join(wanted, "chunk").select("place", "term", "held")
+    salt = F.shiftright("place", BLOCK_BITS + PARTITION_BITS)
+    placed = joined.repartition("term", salt).sortWithinPartitions("term", "place")
+    merged = placed.mapInArrow(_merged, "lang_id int, term string, group_id int, n long")
+    counts = materialise(merged.groupBy("lang_id", "term", "group_id").agg(F.sum("n").alias("n")), name="term-counts")
+    kept = materialise(counts.where((F.col("group_id") == -1) & (F.col("n") >= least_docs)).select("lang_id", "term"), name="term-kept")
+    return kept, materialise(counts.where("group_id >= 0").join(kept, ["lang_id", "term"], "left_semi"), name="term-kept-counts")
 
 
 def share(n: str, total: str, terms: str) -> F.Column:
@@ -200,14 +263,15 @@ def share(n: str, total: str, terms: str) -> F.Column:
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of |p - q| over the terms of each bucket, for every ordered pair of a language's groups."""
     for batch in batches:
-        for row in batch.to_pylist():
-            groups, rest = np.array(row["groups"], np.int64), np.array(row["rests"], np.int64)
+        for k in range(len(batch)):
+            groups, rest, found = (batch.column(c)[k].values for c in ("groups", "rests", "found"))
+            groups, rest = groups.to_numpy(), rest.to_numpy()
             order = np.argsort(groups)
             groups, rest = groups[order], rest[order]
-            _, term = np.unique([x["term"] for x in row["found"]], return_inverse=True)
-            p = np.tile(rest, (term.max() + 1, 1))
-            p[term, np.searchsorted(groups, [x["group_id"] for x in row["found"]])] = [x["p"] for x in row["found"]]
-            sums = np.stack([np.abs(p - p[:, k : k + 1]).sum(axis=0) for k in range(len(groups))])
+            names = found.field("term").dictionary_encode()
+            p = np.tile(rest, (len(names.dictionary), 1))
+            p[names.indices.to_numpy(), np.searchsorted(groups, found.field("group_id").to_numpy())] = found.field("p").to_numpy()
+            sums = np.stack([np.abs(p - p[:, g : g + 1]).sum(axis=0) for g in range(len(groups))])
             a, b = np.divmod(np.arange(sums.size), len(groups))
             yield pa.RecordBatch.from_arrays([pa.array(groups[a].astype(np.int32)), pa.array(groups[b].astype(np.int32)), pa.array(sums.reshape(-1))], ["group_id", "other_id", "value"])
 

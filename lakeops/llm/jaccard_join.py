@@ -8,17 +8,20 @@ own l: it lengthens the prefix while the estimated cost of candidates falls
 faster than the cost of postings rises. A document of frequent n-grams so asks
 for many shared ones, in the end for its whole set, where counting is verifying.
 
-1. A table of fixed size counts n-grams by slot, over all documents. It gives the
-   order and the cost; any table gives the same result.
+1. A table of fixed size counts n-grams by slot, over all documents. Slots that
+   stand out give the order and the cost of frequent n-grams; the spread of the
+   others tells how many documents an ordinary n-gram has. Any table gives the
+   same result.
 2. Equal sets are one class. Prefixes of classes become postings; n-grams of one
    class only are dropped.
-3. The least class of a posting list is its hub. A class is compared with the hub
-   that it shares most with, and links give components.
-4. Pairs of different components are left. Classes that share much with one hub
-   form a cluster, and each cluster is compared once, in blocks, the largest
-   component never with itself. Pairs across clusters come from short posting
-   lists by counting, from long ones in blocks. So a group of near copies costs
-   blocks of sets, not pairs, and only what joins two components comes out.
+3. The least class of a posting list is its hub. Classes that share much with one
+   hub form a cluster, and a class is compared with the hub that it shares most
+   with. Pairs across clusters come from short posting lists by counting. Links
+   give components.
+4. What is left are pairs of one cluster, and of long posting lists across
+   clusters. Both are compared in blocks, but never the largest component (or
+   cluster) with itself. So a group of near copies costs blocks of sets, not
+   pairs, and only what joins two components comes out.
 
 Every comparison asks for the shared prefix elements first and for whole sets
 then, so the result is exact.
@@ -35,6 +38,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -45,7 +49,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import fresh_path, materialise
 from lakeops.llm.near_dedup import _Hashes, components, shingle_sets
-from lakeops.llm.wanted import drop_table, rows_of
+from lakeops.llm.wanted import drop_table, release_shuffles, rows_of
 
 #: A link has NUMERATOR / DENOMINATOR of the union in common, at least.
 NUMERATOR, DENOMINATOR = 80, 100
@@ -75,8 +79,15 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, shingle_sets(part.column("text").to_pylist(), hashes)
 
 
-def frequencies(docs: DataFrame) -> np.ndarray:
-    """For each slot of n-grams, how far its documents stand out from the usual slot: 0, or about 2 log2 of their number."""
+class Frequencies(NamedTuple):
+    """Of n-grams by slot: ``levels``, about 2 log2 of the documents by which a slot stands out, and ``others``, the other documents of an ordinary n-gram."""
+
+    levels: np.ndarray
+    others: float
+
+
+def frequencies(docs: DataFrame) -> Frequencies:
+    """Count the n-grams of all documents by slot."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
@@ -88,8 +99,20 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     found = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(1 << SLOT_BITS)
     total[found["slot"].to_numpy(np.int64)] = found["n"]
+    return estimated(total)
+
+
+def estimated(total: np.ndarray) -> Frequencies:
+    """Frequencies from documents counted by slot.
+
+    If every n-gram of a slot had one document, counts would spread as wide as
+    their mean; their variance grows with the sum of squared frequencies.
+    """
     usual = float(np.median(total))
-    return np.rint(2 * np.log2(1 + np.maximum(0, total - usual - 5 * np.sqrt(usual) - 1))).astype(np.uint8)
+    out = np.maximum(0, total - usual - 5 * np.sqrt(usual) - 1)
+    rest = total[out == 0]
+    others = max(0.0, rest.var() / rest.mean() - 1) if rest.sum() else 0.0
+    return Frequencies(np.rint(2 * np.log2(1 + out)).astype(np.uint8), others)
 
 
 def ordered(elements: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,25 +122,25 @@ def ordered(elements: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.nd
     return elements[order], level[order]
 
 
-def matches(level: np.ndarray) -> int:
+def matches(level: np.ndarray, ordinary: float = 0.0) -> int:
     """How many prefix elements a set of these levels asks for: the least estimated cost among powers of two."""
     n = len(level)
     most = least_common(n)
     choices = np.unique(np.minimum(1 << np.arange(most.bit_length() + 1), most))
     length = n - most + choices
-    others = np.cumsum(np.exp2(level / 2.0) - 1)[length - 1]
+    others = np.cumsum(np.exp2(level / 2.0) - 1 + ordinary)[length - 1]
     return int(choices[np.argmin(length + others / choices * (1 + VERIFY * n))])
 
 
-def described(docs: DataFrame, levels: np.ndarray) -> DataFrame:
+def described(docs: DataFrame, seen: Frequencies) -> DataFrame:
     """One row per row of ``id``, ``text``: ``id``, ``n``, class ``c`` (null if empty), ``ell``, ``first`` (prefix length at one match) and the prefix."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _texts(batches):
             prefixes, ells, firsts = [], [], []
             for s in sets:
-                tokens, level = ordered(s, levels)
-                ell = matches(level) if len(s) else 0
+                tokens, level = ordered(s, seen.levels)
+                ell = matches(level, seen.others) if len(s) else 0
                 first = len(s) - least_common(len(s)) + 1 if len(s) else 0
                 prefixes.append(tokens[: first + ell - 1 if ell else 0])
                 ells.append(ell)
@@ -135,18 +158,18 @@ def class_of(elements: np.ndarray) -> int | None:
     return int(np.array([xxhash.xxh3_64_intdigest(elements.tobytes())], U).view(np.int64)[0]) if len(elements) else None
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFrame:
+def whole_sets(docs: DataFrame, wanted: DataFrame, seen: Frequencies) -> DataFrame:
     """(``c``, ``n``, ``ell``, ``tokens``) of the wanted classes (``c``, ``rep``): their texts alone are read again."""
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _texts(batches):
-            found = [(class_of(s), len(s), *ordered(s, levels)) for s in sets if len(s)]
-            columns = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([matches(f[3]) for f in found], pa.int32()), pa.array([f[2].tobytes() for f in found], pa.binary())]
+            found = [(class_of(s), len(s), *ordered(s, seen.levels)) for s in sets if len(s)]
+            columns = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([matches(f[3], seen.others) for f in found], pa.int32()), pa.array([f[2].tobytes() for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["c", "n", "ell", "tokens"])
 
     texts = rows_of(docs, wanted.select(F.col("rep").alias("id")).distinct(), "id")
     sets = texts.select("text").mapInArrow(to_sets, "c long, n long, ell int, tokens binary").join(wanted.select("c"), "c", "left_semi")
-    return materialise(sets.groupBy("c").agg(*[F.first(k).alias(k) for k in ("n", "ell", "tokens")]), name="join-sets")
+    return materialise(sets.dropDuplicates(["c"]), name="join-sets")
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -244,16 +267,20 @@ def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def linked(members: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """Links within groups of members (``g``, ``b1``, ``b2``, ``side``, ``c``, ``own``, ``label``), which meet their sets."""
     rows = members.join(sets, "c").repartition("g", "b1", "b2").sortWithinPartitions("g", "b1", "b2")
-    return materialise(rows.select("g", "b1", "b2", "side", "c", "own", "label", "n", "ell", "tokens").mapInPandas(_linked, "a long, b long"), name=name)
+    found = materialise(rows.select("g", "b1", "b2", "side", "c", "own", "label", "n", "ell", "tokens").mapInPandas(_linked, "a long, b long"), name=name)
+    release_shuffles(members.sparkSession)
+    return found
 
 
 def star_members(edges: DataFrame) -> DataFrame:
-    """Groups for edges (``a``, ``b``, ``label_a``, ``label_b``): blocks of the other ends of each ``a``, which is in each block."""
+    """Groups for pairs (``a``, ``b``): blocks of the other ends of each ``a``, which is in each block."""
     degree = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
     rows = edges.join(degree, "a").withColumn("b1", F.pmod(F.xxhash64("b"), F.col("_blocks")))
-    ends = rows.select(F.col("a").alias("g"), "b1", F.lit(0).cast("long").alias("b2"), F.lit(1).alias("side"), F.col("b").alias("c"), F.lit(1).cast("long").alias("own"), F.col("label_b").alias("label"))
-    hubs = rows.select(F.col("a").alias("g"), "b1", F.lit(0).cast("long").alias("b2"), F.lit(0).alias("side"), F.col("a").alias("c"), F.lit(0).cast("long").alias("own"), F.col("label_a").alias("label"))
-    return ends.unionByName(hubs.distinct())
+
+    def end(c: str, side: int) -> DataFrame:
+        return rows.select(F.col("a").alias("g"), "b1", F.lit(0).cast("long").alias("b2"), F.lit(side).alias("side"), F.col(c).alias("c"), F.lit(side).cast("long").alias("own"), F.col(c).alias("label"))
+
+    return end("b", 1).unionByName(end("a", 0).distinct())
 
 
 def block_members(rows: DataFrame) -> DataFrame:
@@ -276,64 +303,74 @@ def similar_size(x: Column | str, y: Column | str) -> Column:
     return F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR
 
 
-def remaining(held: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components, from classes (``info``: ``c``, ``n``, ``ell``, ``label``, ``cluster``) and their postings."""
-    inner = block_members(info.select(F.col("cluster").alias("g"), "c", F.col("label").alias("own"), "label"))
-    links = linked(inner, sets, "join-inner")
-    known = held.select("token", "c", "m", "early").join(info, "c")
-    spread = known.groupBy("token").agg(*[f(k).alias(f"{k}_{f.__name__}") for k in ("label", "cluster") for f in (F.min, F.max)])
-    spread = spread.where("label_min <> label_max and cluster_min <> cluster_max").select("token")
-    across = materialise(known.join(spread, "token", "left_semi"), name="join-across")
-    long_lists = across.where((F.col("m") > SHORT_LIST) & F.col("early")).select(F.col("token").alias("g"), "c", F.col("cluster").alias("own"), "label")
-    links = links.unionByName(linked(block_members(long_lists), sets, "join-long"))
-    # What a pair shares is in short lists, which are counted, or in long ones: no more than either has there.
+def near_hubs(held: DataFrame) -> DataFrame:
+    """(``c``, ``hub``): the hub that a class shares most elements with, if it shares a quarter of its first prefix."""
+    met = held.where("c <> hub").groupBy("c", "hub").agg(F.count(F.lit(1)).alias("_shared"), F.min("n").alias("n"))
+    best = met.groupBy("c").agg(F.max_by("hub", "_shared").alias("hub"), F.max("_shared").alias("_shared"), F.min("n").alias("n"))
+    first = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
+    return materialise(best.where(F.col("_shared") * 4 >= first).select("c", "hub"), name="join-hubs")
+
+
+def short_list_pairs(across: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) of classes across clusters that share enough prefix elements.
+
+    What a pair shares is in short lists, which are counted, or in long ones: no
+    more than either has there.
+    """
     in_long = across.where(F.col("m") > SHORT_LIST).groupBy("c").agg(F.count(F.lit(1)).alias("_long"))
-    short = across.where(F.col("m") <= SHORT_LIST).select("token", "c", "n", "ell", "label", "cluster")
-    x, y = (short.select("token", *[F.col(k).alias(f"{k}_{s}") for k in ("c", "n", "ell", "label", "cluster")]) for s in "ab")
-    met = x.join(y, "token").where("c_a < c_b and label_a <> label_b and cluster_a <> cluster_b").where(similar_size("n_a", "n_b"))
-    counted = met.groupBy(F.col("c_a").alias("a"), F.col("c_b").alias("b")).agg(F.count(F.lit(1)).alias("_short"), *[F.min(k).alias(k) for k in ("ell_a", "ell_b", "label_a", "label_b")])
+    short = across.where(F.col("m") <= SHORT_LIST)
+    x, y = (short.select("token", *[F.col(k).alias(f"{k}_{s}") for k in ("c", "n", "ell", "cluster")]) for s in "ab")
+    met = x.join(y, "token").where("c_a < c_b and cluster_a <> cluster_b").where(similar_size("n_a", "n_b"))
+    counted = met.groupBy(F.col("c_a").alias("a"), F.col("c_b").alias("b")).agg(F.count(F.lit(1)).alias("_short"), F.least(F.min("ell_a"), F.min("ell_b")).alias("_least"))
     for s in "ab":
         counted = counted.join(in_long.select(F.col("c").alias(s), F.col("_long").alias(f"_long_{s}")), s, "left").na.fill(0, [f"_long_{s}"])
-    edges = counted.where(F.col("_short") + F.least("_long_a", "_long_b") >= F.least("ell_a", "ell_b")).select("a", "b", "label_a", "label_b")
-    return links.unionByName(linked(star_members(materialise(edges, name="join-short-pairs")), sets, "join-short"))
+    return counted.where(F.col("_short") + F.least("_long_a", "_long_b") >= F.col("_least")).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the least id that links reach."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    levels = frequencies(texts)
+    seen = frequencies(texts)
     wide = fresh_path(spark, "join-rows")
-    rows = materialise(described(texts, levels), path=wide)
+    rows = materialise(described(texts, seen), path=wide)
     classes = rows.where("c is not null and id is not null").groupBy("c").agg(F.min("id").alias("rep"), *[F.first(k).alias(k) for k in ("n", "ell", "first", "prefix")])
     prefixes = fresh_path(spark, "join-classes")
     classes = materialise(classes, path=prefixes)
     rows = materialise(rows.select("id", "n", "c"), name="join-documents")
     drop_table(spark, wide)
+    release_shuffles(spark)
 
     postings = classes.select("c", "n", "ell", "first", F.posexplode("prefix").alias("_at", "token"))
     postings = postings.select("token", "c", F.shiftleft("n", 1).bitwiseOR(F.when(F.col("_at") < F.col("first"), 1).otherwise(0)).alias("packed"), "ell").repartition("token")
+    # All columns in the aggregate: so it reads the same shuffle as the join.
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("hub"), F.min("packed").alias("_p"), F.min("ell").alias("_l")).where("m > 1")
     held = postings.join(lists.select("token", "m", "hub"), "token").select("token", "c", "m", "hub", (F.col("packed") % 2 == 1).alias("early"), F.shiftright("packed", 1).alias("n"), "ell")
     held = materialise(held, name="join-postings")
     classes = materialise(classes.select("c", "rep"), name="join-reps")
     drop_table(spark, prefixes)
+    release_shuffles(spark)
 
-    wanted = held.groupBy("c").agg(F.first("n").alias("n"), F.first("ell").alias("ell"))
-    wanted = materialise(wanted.join(classes, "c"), name="join-wanted")
-    sets = whole_sets(texts, wanted, levels)
-    met = held.where("c <> hub").groupBy("c", "hub").agg(F.count(F.lit(1)).alias("_shared"))
-    best = materialise(met.groupBy("c").agg(F.max_by("hub", "_shared").alias("hub"), F.max("_shared").alias("_shared")), name="join-hubs")
-    links = linked(star_members(best.select(F.col("hub").alias("a"), F.col("c").alias("b"), F.col("hub").alias("label_a"), F.col("c").alias("label_b"))), sets, "join-links")
-    labels = components(links)
-
-    info = wanted.select("c", "n", "ell").join(labels.withColumnRenamed("a", "c"), "c", "left").join(best, "c", "left")
-    near = F.col("_shared") * 4 >= F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
-    info = info.select("c", "n", "ell", F.coalesce("label", "c").alias("label"), F.when(near, F.col("hub")).otherwise(F.col("c")).alias("cluster"))
+    hubs = near_hubs(held)
+    info = held.groupBy("c").agg(F.min("n").alias("n"), F.min("ell").alias("ell")).join(hubs, "c", "left").select("c", "n", "ell", F.coalesce("hub", "c").alias("cluster"))
+    info = materialise(info, name="join-info")
     for _ in range(2):
         step = info.select(F.col("c").alias("cluster"), F.col("cluster").alias("_next"))
-        info = materialise(info.join(step, "cluster").select("c", "n", "ell", "label", F.col("_next").alias("cluster")), name="join-info")
-    more = remaining(held, info, sets)
+        info = materialise(info.join(step, "cluster").select("c", "n", "ell", F.col("_next").alias("cluster")), name="join-info")
+    known = held.select("token", "c", "m", "early").join(info, "c")
+    spread = known.groupBy("token").agg(F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi")).where("_lo <> _hi").select("token")
+    across = materialise(known.join(spread, "token", "left_semi"), name="join-across")
+    edges = materialise(hubs.select(F.col("hub").alias("a"), F.col("c").alias("b")).union(short_list_pairs(across)), name="join-pairs")
+    lists = materialise(across.where((F.col("m") > SHORT_LIST) & F.col("early")).select(F.col("token").alias("g"), "c", F.col("cluster").alias("own")), name="join-lists")
+
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("c")).union(lists.select("c")).distinct()
+    sets = whole_sets(texts, materialise(wanted.join(classes, "c"), name="join-wanted"), seen)
+    release_shuffles(spark)
+    links = linked(star_members(edges), sets, "join-links")
+    labels = components(links)
+    known = info.join(labels.withColumnRenamed("a", "c"), "c", "left").select("c", "cluster", F.coalesce("label", "c").alias("label"))
+    inner = known.join(hubs.select(F.explode(F.array("c", "hub")).alias("c")).distinct(), "c", "left_semi").select(F.col("cluster").alias("g"), "c", F.col("label").alias("own"), "label")
+    more = linked(block_members(inner), sets, "join-inner").union(linked(block_members(lists.join(known.select("c", "label"), "c").select("g", "c", "own", "label")), sets, "join-long"))
     if not more.isEmpty():
         labels = components(links.union(more))
 

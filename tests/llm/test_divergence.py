@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeops.llm import divergence as D
@@ -47,9 +48,9 @@ def audited(spark, docs_of, rows, least, parts=3, **options):
     return sorted(tuple(r) for r in D.audit(docs, least_docs=least, **options).collect())
 
 
-@pytest.mark.parametrize("sent", [D.SENT_ROWS, 0])
-def test_audit_equals_plain_python(spark, docs_of, sent, monkeypatch):
-    monkeypatch.setattr(D, "SENT_ROWS", sent)
+@pytest.mark.parametrize("bits", [D.PARTITION_BITS, 0])
+def test_audit_equals_plain_python(spark, docs_of, bits, monkeypatch):
+    monkeypatch.setattr(D, "PARTITION_BITS", bits)
     rng = np.random.default_rng(4)
     words = ["alpha", "Beta,", "(beta)", "gamma-delta", "delta", "über", "7up", "eps", "zeta."]
     rows = [(t, lang, source) for k, t in enumerate(TEXTS) for lang, source in ((None, "s1"), ("en", None), ("en", f"s{k % 3}"), ("", "s1"))]
@@ -75,7 +76,59 @@ def test_empty_tables_repeated_ids_and_clashing_columns(spark, docs_of):
 
 def test_rows_of_a_block():
     chunks, words = [b"a", b"b"], [np.array([0, 1, 0]), np.array([1]), np.array([], np.int32), np.array([0])]
-    rows = D.block_rows(7, np.array([1, 0, 1, 1]), np.array([5, 2, 3, 3]), chunks, words).to_pylist()
+    rows = [r for batch in D.block_rows(7, np.array([1, 0, 1, 1]), np.array([5, 2, 3, 3]), chunks, words) for r in batch.to_pylist()]
     # Documents in order of language and group: 1, 2, 3, 0.
-    found = {(r["lang_id"], r["chunk"]): (r["n_docs"], np.frombuffer(r["docs"], np.uint16).tolist(), np.frombuffer(r["groups"], np.uint32).tolist(), np.frombuffer(r["counts"], np.int64).tolist()) for r in rows}
-    assert found == {(1, "a"): (2, [2, 3], [3, 5], [1, 2]), (1, "b"): (1, [3], [5], [1]), (0, "b"): (1, [0], [2], [1])}
+    found = {}
+    for r in rows:
+        docs, groups, counts, n_docs, _ = D.unpacked(pa.array([r["held"]], pa.binary()))
+        assert r["n_docs"] == n_docs[0] and r["place"] & ((1 << D.LANG_SHIFT) - 1) == 7
+        found[r["place"] >> D.LANG_SHIFT, r["chunk"]] = (docs.tolist(), groups.tolist(), counts.tolist())
+    assert found == {(1, "a"): ([2, 3], [3, 5], [1, 2]), (1, "b"): ([3], [5], [1]), (0, "b"): ([0], [2], [1])}
+
+
+def test_rows_of_a_block_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    chunks, words = [b"w%d" % k for k in range(50)], [rng.integers(0, 50, rng.integers(0, 60)).astype(np.int32) for _ in range(30)]
+    langs, groups = np.sort(rng.integers(0, 2, 30)), np.arange(30) // 5
+
+    def rows():
+        return sorted(tuple(r.values()) for batch in D.block_rows(1, langs, groups, chunks, list(words)) for r in batch.to_pylist())
+
+    whole = rows()
+    monkeypatch.setattr(D, "CHUNKS_AT_ONCE", 7)
+    assert rows() == whole and len({r[1] for r in whole}) == 50
+
+
+def test_packing_of_many_rows():
+    rng = np.random.default_rng(8)
+    n_docs, n_groups = rng.integers(1, 9, 200), rng.integers(1, 5, 200)
+
+    def increasing(lengths, most):
+        return np.concatenate([np.sort(rng.choice(most, k, replace=False)) for k in lengths])
+
+    docs, groups, counts = increasing(n_docs, 65536), increasing(n_groups, 2**31), rng.integers(1, 2**40, n_groups.sum())
+    held = D.packed(docs, n_docs, groups, counts, n_groups)
+    for part, rows in ((held, slice(None)), (held.slice(50, 100), slice(50, 150))):
+        found = D.unpacked(part)
+        assert (found[3] == n_docs[rows]).all() and (found[4] == n_groups[rows]).all()
+        first = [0 if rows.start is None else a[: rows.start].sum() for a in (n_docs, n_groups)]
+        size = [a[rows].sum() for a in (n_docs, n_groups)]
+        for got, want, k in zip(found, (docs, groups, counts), (0, 1, 1)):
+            assert (got == want[first[k] : first[k] + size[k]]).all()
+
+
+def test_rows_of_a_term_that_span_batches():
+    def batch(rows):
+        lang, term, block, docs = zip(*rows)
+        n = np.array([len(d) for d in docs])
+        held = D.packed(np.concatenate(docs), n, np.full(len(rows), 4), n, np.ones(len(rows), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array([(la << D.LANG_SHIFT) + b for la, b in zip(lang, block)]), pa.array(term), held], ["place", "term", "held"])
+
+    rows = [(1, "a", 1, [0, 1]), (1, "a", 1, [1, 2]), (1, "a", 2, [1]), (1, "b", 2, [5]), (1, "b", 2, [5]), (2, "b", 2, [5, 6])]
+    for cuts in ([], [1], [1, 2], [2, 4], [1, 2, 3, 4, 5]):
+        parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        total = Counter()
+        for out in D._merged(batch(p) for p in parts):
+            for r in out.to_pylist():
+                total[r["lang_id"], r["term"], r["group_id"]] += r["n"]
+        assert total == {(1, "a", -1): 4, (1, "a", 4): 5, (1, "b", -1): 1, (1, "b", 4): 2, (2, "b", -1): 2, (2, "b", 4): 2}

@@ -80,7 +80,7 @@ def test_any_table_of_frequencies_gives_the_same(spark, docs_of, monkeypatch):
     want = brute(rows)
     rng = np.random.default_rng(3)
     for levels in (np.zeros(1 << J.SLOT_BITS, np.uint8), rng.integers(0, 24, 1 << J.SLOT_BITS).astype(np.uint8)):
-        monkeypatch.setattr(J, "frequencies", lambda docs, levels=levels: levels)
+        monkeypatch.setattr(J, "frequencies", lambda docs, levels=levels: J.Frequencies(levels, 0.3))
         assert joined(spark, docs_of, rows) == want
 
 
@@ -116,6 +116,20 @@ def test_frequent_elements_lengthen_the_prefix():
     assert J.matches(np.zeros(100, np.uint8)) == 1
     some, all_ = J.matches(np.full(100, 4, np.uint8)), J.matches(np.full(100, 20, np.uint8))
     assert 1 < some <= all_ == J.least_common(100)
+    assert 1 < J.matches(np.zeros(500, np.uint8), 0.25) < J.least_common(500)
+
+
+def test_frequencies_from_counts_by_slot():
+    rng = np.random.default_rng(7)
+    slots = 1 << J.SLOT_BITS
+    once = J.estimated(np.bincount(rng.integers(0, slots, 20 * slots), minlength=slots).astype(float))
+    assert once.others < 0.02 and (once.levels > 0).mean() < 1e-4
+    # Half of the occurrences belong to n-grams of three documents: 2 others for those, 1 on average.
+    counts = np.bincount(rng.integers(0, slots, 10 * slots), minlength=slots) + 3 * np.bincount(rng.integers(0, slots, 10 * slots // 3), minlength=slots)
+    counts[5] += 4000
+    more = J.estimated(counts.astype(float))
+    assert 0.8 < more.others < 1.2 and abs(int(more.levels[5]) - 24) < 2 and more.levels[5] == more.levels.max()
+    assert J.estimated(np.zeros(slots)).others == 0
 
 
 def test_shared_counts():
