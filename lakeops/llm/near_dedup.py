@@ -38,10 +38,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import materialise
+from lakeops.llm.common import fresh_path, materialise
+from lakeops.llm.wanted import drop_table, likely_and_other_rows, release_shuffles, rows_of
 
 WORDS = 5
 COORDS, BAND_ROWS = 240, 5
@@ -132,6 +133,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(
                 {
                     "id": part["id"],
+                    "t": part["t"],
                     "n": [len(s) for s in sets],
                     "c": pd.array([_class_of(s) for s in sets], "Int64"),
                     "bands": list(keys),
@@ -141,9 +143,14 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def describe(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``id``, ``n`` (set size), ``c`` (class, null if empty), band keys, and one byte of each coordinate."""
-    rows = docs.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(_describe, "id string, n long, c long, bands array<long>, sketch binary").withColumn("id", F.col("id").cast("long"))
+    """One row per document: ``id``, ``t`` (hash of the text), ``n`` (set size), ``c`` (class, null if empty), band keys, and one byte of each coordinate."""
+    rows = docs.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"), text_hash(text).alias("t"))
+    return rows.mapInPandas(_describe, "id string, t long, n long, c long, bands array<long>, sketch binary").withColumn("id", F.col("id").cast("long"))
+
+
+def text_hash(text: str) -> Column:
+    """64 bits of a text; a null text is the empty one."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _agreeing(rows: DataFrame) -> DataFrame:
@@ -187,7 +194,7 @@ def full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, *, id: str
             yield pd.DataFrame({"c": [_class_of(s) for s in sets], "set": [s.tobytes() for s in sets]})
 
     reps = classes.join(wanted, "c", "left_semi").select(F.col("rep").alias(id)).distinct()
-    texts = docs.select(id, F.col(text).alias("text")).join(reps, id, "left_semi").where("text is not null")
+    texts = rows_of(docs.select(id, F.col(text).alias("text")), reps, id).where("text is not null")
     return materialise(texts.select("text").mapInPandas(to_sets, "c long, set binary").dropDuplicates(["c"]), name="dedup-sets")
 
 
@@ -302,33 +309,64 @@ def components(links: DataFrame, name: str = "dedup-labels") -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (least id reachable) and ``kept`` (it is its own component id)."""
-    rows = materialise(describe(docs, id=id, text=text), name="dedup-sketches")
+def _grouped(docs: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (``id``, ``t``, ``n``, ``c``) of all documents, and the ``label`` and ``component_id`` of each class ``c``."""
+    spark = docs.sparkSession
+    wide = fresh_path(spark, "dedup-sketches")
+    rows = materialise(describe(docs, id=id, text=text), path=wide)
     named = rows.where("c is not null and id is not null")
     classes = named.groupBy("c").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = materialise(classes, name="dedup-classes")
+    rows = materialise(rows.select("id", "t", "n", "c"), name="dedup-rows")
+    drop_table(spark, wide)
+    release_shuffles(spark)
     postings = classes.select(F.explode("bands").alias("key"), "c")
     shared = materialise(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), name="dedup-shared")
     buckets = materialise(postings.join(shared, "key"), name="dedup-buckets")
+    release_shuffles(spark)
     links = confirmed(_hub_pairs(buckets, classes), docs, classes, id=id, text=text)
     labels = components(links)
+    release_shuffles(spark)
     more = _remaining_links(buckets, classes, labels, docs, id=id, text=text)
     if not more.isEmpty():
         labels = components(links.union(more))
-    joined = rows.select("id", "n", "c").join(labels.withColumnRenamed("a", "c"), "c", "left").select("id", "n", F.coalesce("label", "c").alias("label"))
-    least = joined.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
-    out = joined.join(least, "label", "left").withColumn("component_id", F.when(F.col("label").isNull() | F.col("id").isNull(), F.col("id")).otherwise(F.col("least")))
+    release_shuffles(spark)
+    # The least id of a label comes from its classes; rows are met once, by class.
+    held = labels.withColumnRenamed("a", "c").join(classes.select("c", "rep"), "c")
+    least = held.groupBy("label").agg(F.min("rep").alias("component_id"))
+    linked = held.join(least, "label").select("c", "label", "component_id")
+    found = classes.select("c", "rep").join(linked, "c", "left").select("c", F.coalesce("label", "c").alias("label"), F.coalesce("component_id", "rep").alias("component_id"))
+    return rows, materialise(found, name="dedup-components")
+
+
+def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (least id reachable) and ``kept`` (it is its own component id)."""
+    rows, found = _grouped(docs, id, text)
+    out = rows.join(found, "c", "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with its columns: one document of each component.
 
-    Rows that repeat an id and its text are one document, so one of them stays.
+    A document is an id and a text: of a component the least id stays, and of
+    its texts one. Rows that repeat both are one document, so one of them stays.
+    Texts without words link with nothing and stay, and so do rows with a null id.
+    Rows whose id loses no document are passed on without a shuffle.
     """
-    found = near_duplicates(docs, id=id, text=text)
-    kept = materialise(found.where(F.col("kept") & F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("_rows")), name="dedup-kept")
-    repeated = materialise(kept.where("_rows > 1").select(id), name="dedup-repeated")
-    once = docs.join(kept.where("_rows = 1").select(id), id, "left_semi")
-    return once.unionByName(docs.join(repeated, id, "left_semi").dropDuplicates([id, text])).unionByName(docs.where(F.col(id).isNull()))
+    rows, found = _grouped(docs, id, text)
+    known = rows.where("id is not null").join(found.select("c", "label"), "c", "left")
+    best = known.where("label is not null").groupBy("label").agg(F.min(F.struct("id", "t")).alias("_best")).select("_best.*")
+    kept = materialise(best.union(known.where("label is null").select("id", "t")).distinct(), name="dedup-kept")
+    per_row = rows.where("id is not null").groupBy("id", "t").agg(F.count(F.lit(1)).alias("_rows"))
+    lost = per_row.join(kept, ["id", "t"], "left_anti").select("id", "t", F.lit(0).alias("_keep"))
+    again = per_row.where("_rows > 1").join(kept, ["id", "t"], "left_semi").select("id", "t", F.lit(1).alias("_keep"))
+    cases = materialise(lost.union(again), name="dedup-cases")
+    release_shuffles(docs.sparkSession)
+    # Only ids with a lost or a repeated document are looked up.
+    some, others = likely_and_other_rows(docs.where(F.col(id).isNotNull()), cases.select(F.col("id").alias(id)).distinct(), id)
+    case = cases.select(F.col("id").alias("_id"), F.col("t").alias("_t"), "_keep")
+    met = some.join(case, (F.col(id) == F.col("_id")) & (text_hash(text) == F.col("_t")), "left")
+    single = met.where("_keep is null").select(*docs.columns)
+    repeated = met.where("_keep = 1").select(*docs.columns).dropDuplicates([id, text])
+    return others.unionByName(single).unionByName(repeated).unionByName(docs.where(F.col(id).isNull()))
