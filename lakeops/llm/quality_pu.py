@@ -6,7 +6,9 @@ text U, the risk of the negative class is estimated as R_U(-) - p R_P(-) and
 never let below 0; when a batch's estimate is, the step climbs back. The prior
 is estimated from the data: a first classifier separates P from U; among texts
 it was not fitted on, the least ratio of the share of U above a score to that
-of P, with a margin for small counts, bounds the share of positives in U.
+of P, with a margin for small counts, bounds the share of positives in U. Last,
+the bias is set so that the share of unseen unlabelled texts at the threshold or
+above equals the prior; no label of a bad text is needed for that.
 
 Defined results
 - a null or empty text has all features 0 and a score like any other text.
@@ -108,8 +110,11 @@ def fit(x: np.ndarray, positives: int) -> Model:
     w, b = _fit(p[::2], u[::2], None, epochs=30)
     seen_p, seen_u = (p[1::2], u[1::2]) if len(p) > 1 and len(u) > 1 else (p, u)
     prior = estimated_prior(_sigmoid(seen_p @ w + b), _sigmoid(seen_u @ w + b))
-    w, b = _fit(p, u, prior)
-    return Model(w, b, mean, scale, prior)
+    # A quarter of the unlabelled texts stays unseen and sets the bias.
+    unseen = np.arange(len(u)) % 4 == 0 if len(u) >= 8 else np.ones(len(u), bool)
+    w, b = _fit(p, u[~unseen] if len(u) >= 8 else u, prior)
+    cut = np.quantile(u[unseen] @ w + b, 1 - prior)
+    return Model(w, float(b + np.log(THRESHOLD / (1 - THRESHOLD)) - cut), mean, scale, prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "quality", positives: int = 2500, unlabelled: int = 5000) -> Model:
