@@ -2,27 +2,35 @@
 
 A word enters as a learned vector of its hash next to the mean of learned
 vectors of its character n-grams. A word of over 12 bytes is read as several
-overlapping pieces, each a word of its own, that hold all its n-grams. Two gated recurrent layers read a window of
-40 words forwards and backwards; attention weighs their states and pools them
-into one score. Windows start every 30 words, so they overlap, and a text's score is
-that of its worst window, mapped to a probability.
+overlapping pieces, each a word of its own, that hold all its n-grams. Two gated
+recurrent layers read a text forwards and backwards and give each word an
+attention and a value. Attention pools the values of every 40 words that follow
+each other: all overlapping windows of a text, one starting at each word. A
+text's score is that of its worst window, mapped to a probability.
+
+Long texts are read in segments; each layer starts ``RUN_IN`` words before the
+words it is asked for, from the empty state, so that a word's state hardly
+depends on where segments are cut.
 
 The network is trained here, in numpy, on texts that are labelled as a whole:
-a toxic text teaches with its worst windows, a clean one with its worst windows
-and one at random; which these are is found anew between rounds, at first by
-the log odds of words and n-grams, which also start the vectors.
+a toxic text teaches with its worst window, a clean one with its two worst
+windows and one at random; which these are is found anew between rounds among
+all windows, at first by the log odds of words and n-grams, which also start the
+vectors.
 
 Scoring folds vectors and input weights of each distinct word into one row of a
-table, so a step of the network is one product of the states.
+table, so a step of the network is one product of the states, and windows are
+sums of their words' weights.
 
 Defined results
 - words: ASCII letters in lower case, ASCII punctuation removed, separated by ASCII white space.
   A word of over 12 bytes, with its ends marked, gives pieces of 14 bytes, a new one every 8.
 - a null text and one without words have no window and get the least score of the model.
-- all windows of the whole text are scored, the last one padded.
+- all windows of the whole text are scored; a text of fewer than 40 words is one window.
 - labels of rows in ``fold`` alone are read; repeated ids repeat their labels. Without labels of
   both kinds the score is 0.5 everywhere. An empty table gives an empty result.
-- the fit reads about ``toxic`` and ``clean`` rows at most, of at most ``most_chars`` characters each.
+- the fit reads about ``toxic`` and ``clean`` rows at most, whole texts of any length; a text gives
+  three windows to a round at most.
 """
 
 from __future__ import annotations
@@ -38,7 +46,9 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.features import Adam, labelled_texts, sampled
 
-WINDOW, STEP = 40, 30
+WINDOW = 40
+#: Words that a layer is asked for at once, and words it reads before them.
+SEGMENT, RUN_IN = 256, 40
 HIDDEN = 8
 WORD_ROWS, WORD_SIZE = 1 << 13, 4
 GRAM_ROWS, GRAM_SIZE = 1 << 14, 6
@@ -46,7 +56,7 @@ GRAM_LENGTHS = (3, 5, 7)
 #: Bytes of a piece with its marks, new bytes in each, and its n-grams at most. Pieces share 6 bytes, so each 7-gram is in one.
 PIECE, PIECE_STEP = 14, 8
 GRAMS = sum(PIECE - n + 1 for n in GRAM_LENGTHS)
-AT_ONCE = 4096
+AT_ONCE = 2048
 KEPT_WORDS = 1 << 18
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -80,11 +90,6 @@ def gram_rows(word: bytes) -> list[int]:
     return [zlib.crc32(chars[i : i + n], 1) % GRAM_ROWS for n in GRAM_LENGTHS for i in range(max(n == 3, len(chars) - n + 1))]
 
 
-def starts(n: int) -> np.ndarray:
-    """First words of the windows of a text of ``n`` words; every word is in one."""
-    return np.arange(0, max(1, n - (WINDOW - STEP)), STEP) if n else np.zeros(0, np.int64)
-
-
 class Words:
     """Inputs of distinct words: their row, and the rows and number of their n-grams. Word 0 is padding; so is the last row of n-grams."""
 
@@ -104,17 +109,55 @@ class Words:
         self.rows, self.grams, self.counts = np.concatenate([self.rows, rows]), np.concatenate([self.grams, grams]), np.concatenate([self.counts, counts])
 
 
-def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(windows, 40) words of all windows of some texts, and the text of each."""
-    flat = np.concatenate([*ids, np.zeros(1, np.int32)])
-    ends = np.cumsum([len(x) for x in ids])
-    first = [starts(len(x)) for x in ids]
-    owner = np.repeat(np.arange(len(ids)), [len(x) for x in first])
-    if not len(owner):
-        return np.zeros((0, WINDOW), np.int32), owner
-    at = np.concatenate(first) + (ends - [len(x) for x in ids])[owner]
-    places = at[:, None] + np.arange(WINDOW)
-    return np.where(places < ends[owner][:, None], flat[np.minimum(places, len(flat) - 1)], 0), owner
+class Texts:
+    """Some texts as one array of word numbers; ``ends`` has the end of each."""
+
+    def __init__(self, ids: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in ids], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.begins = self.ends - self.sizes
+        self.flat = np.concatenate([*ids, np.zeros(1, np.int32)])
+
+    def at(self, places: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Words at places; padding outside of each row's text."""
+        inside = (places >= begins[:, None]) & (places < ends[:, None])
+        return np.where(inside, self.flat[np.clip(places, 0, len(self.flat) - 1)], 0)
+
+    def windows(self, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """(windows, 40) words of windows that start at places of texts."""
+        return self.at(start[:, None] + np.arange(WINDOW), self.begins[text], self.ends[text])
+
+    def starts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How many windows each text has, and where they start: one at each word that 39 others follow, or the whole of a shorter text."""
+        count = np.where(self.sizes > 0, np.maximum(1, self.sizes - WINDOW + 1), 0)
+        first = np.cumsum(count) - count
+        return count, np.repeat(self.begins - first, count) + np.arange(int(count.sum()))
+
+
+def window_sums(values: np.ndarray) -> np.ndarray:
+    """Sums of every 40 values that follow each other, one from each place on (fewer at the end), by doubling: nothing is subtracted."""
+    def later(x: np.ndarray, by: int) -> np.ndarray:
+        return np.concatenate([x[by:], np.zeros(min(by, len(x)), x.dtype)])
+
+    eight = values
+    for by in (1, 2, 4):
+        eight = eight + later(eight, by)
+    all_ = eight
+    for by in (8, 16):
+        all_ = all_ + later(all_, by)
+    return all_ + later(eight, 32)
+
+
+def of_windows(texts: Texts, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over all windows of all texts, the windows' starts, and the number of each text's."""
+    count, start = texts.starts()
+    # Texts of fewer than 40 words stand apart, or a window would run into the next text.
+    short = np.flatnonzero((texts.sizes > 0) & (texts.sizes < WINDOW))
+    sums = window_sums(values)[start] if len(start) else np.zeros(0, values.dtype)
+    where = (np.cumsum(count) - count)[short]
+    inside = np.arange(WINDOW) < texts.sizes[short][:, None]
+    sums[where] = np.where(inside, values[np.minimum(texts.begins[short][:, None] + np.arange(WINDOW), max(0, len(values) - 1))], 0).sum(axis=1)
+    return sums, start, count
 
 
 class Network:
@@ -146,17 +189,33 @@ class Network:
         out[pad, :, :HIDDEN] = 30
         return out
 
-    def logits(self, table: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Scores of windows of rows of ``table``; nothing is kept between steps but two numbers of each."""
-        n, h = len(ids), np.zeros((2, len(ids), HIDDEN), np.float32)
+    def heads(self, table: np.ndarray, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Attention and value of every word of some texts, from the rows of ``table``."""
+        segments = -(-texts.sizes // SEGMENT)
+        owner = np.repeat(np.arange(len(segments)), segments)
+        first = texts.begins[owner] + SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(segments) - segments, segments))
+        size = np.minimum(SEGMENT, texts.ends[owner] - first)
+        out = np.zeros((2, len(texts.flat) - 1), np.float32)
+        order = np.argsort(size, kind="stable")
         both = np.ascontiguousarray(table.transpose(1, 0, 2))
-        heads = np.stack([self.w["attend"], self.w["out"]], axis=2)
-        seen = np.empty((2, WINDOW, n, 2), np.float32)
-        x = np.empty((2, n, 3 * HIDDEN), np.float32)
-        order = np.ascontiguousarray(ids.T)
-        for t in range(WINDOW):
-            np.take(both[0], order[t], axis=0, out=x[0])
-            np.take(both[1], order[WINDOW - 1 - t], axis=0, out=x[1])
+        for k in range(0, len(order), AT_ONCE):
+            some = order[k : k + AT_ONCE]
+            self._read(both, texts, owner[some], first[some], size[some], out)
+        return out[0], out[1]
+
+    def _read(self, both: np.ndarray, texts: Texts, owner: np.ndarray, first: np.ndarray, size: np.ndarray, out: np.ndarray) -> None:
+        """Add what both layers give for the words of some segments to ``out``."""
+        n, longest = len(first), int(size.max())
+        begins, ends = texts.begins[owner], texts.ends[owner]
+        steps = np.arange(RUN_IN + longest)
+        ahead = np.ascontiguousarray(texts.at(first[:, None] - RUN_IN + steps, begins, ends).T)
+        back = np.ascontiguousarray(texts.at((first + size)[:, None] + RUN_IN - 1 - steps, begins, ends).T)
+        weights = np.stack([self.w["attend"], self.w["out"]], axis=2)
+        h, x = np.zeros((2, n, HIDDEN), np.float32), np.empty((2, n, 3 * HIDDEN), np.float32)
+        found = np.empty((2, longest, n, 2), np.float32)
+        for t in range(RUN_IN + longest):
+            np.take(both[0], ahead[t], axis=0, out=x[0])
+            np.take(both[1], back[t], axis=0, out=x[1])
             u = h @ self.w["u"]
             gates = x[..., : 2 * HIDDEN] + u[..., : 2 * HIDDEN]
             gates *= 0.5
@@ -169,12 +228,19 @@ class Network:
             h -= new
             h *= gates[..., :HIDDEN]
             h += new
-            found = h @ heads
-            seen[0, t], seen[1, WINDOW - 1 - t] = found[0], found[1]
-        total = seen[0] + seen[1]
-        weight = np.where(order > 0, total[..., 0], -1e9)
-        weight = np.exp(weight - weight.max(axis=0))
-        return (weight * total[..., 1]).sum(axis=0) / weight.sum(axis=0) + self.w["b"][0]
+            if t >= RUN_IN:
+                np.matmul(h, weights, out=found[:, t - RUN_IN])
+        step = np.arange(longest)[:, None]
+        inside = step < size
+        for layer, places in ((0, first + step), (1, first + size - 1 - step)):
+            out[:, places[inside]] += found[layer][inside].T
+
+    def windows(self, table: np.ndarray, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of all windows of some texts, where they start, and the number of each text's."""
+        attend, value = self.heads(table, texts)
+        weight = np.exp(np.clip(attend.astype(np.float64), -60, 60))
+        total, start, count = of_windows(texts, weight)
+        return of_windows(texts, weight * value)[0] / total + self.w["b"][0], start, count
 
     def gradients(self, words: Words, ids: np.ndarray, label: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the weighted log loss over some windows, by going back through time."""
@@ -249,9 +315,31 @@ def _log_odds(texts: Iterator[np.ndarray], label: np.ndarray, size: int) -> np.n
     return (np.log((seen[1] + 0.5) / (label.sum() + 1)) - np.log((seen[0] + 0.5) / ((1 - label).sum() + 1))).astype(np.float32)
 
 
-def _all_logits(network: Network, words: Words, ids: np.ndarray) -> np.ndarray:
-    table = np.concatenate([network.table(words, np.arange(k, min(k + AT_ONCE, len(words)))) for k in range(0, len(words), AT_ONCE)])
-    return np.concatenate([network.logits(table, ids[k : k + AT_ONCE]) for k in range(0, len(ids), AT_ONCE)])
+def _worst(scores: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The largest score of each text; ``NO_WINDOW`` without any."""
+    out = np.full(len(count), NO_WINDOW)
+    some = np.flatnonzero(count)
+    if len(some):
+        out[some] = np.maximum.reduceat(scores, (np.cumsum(count) - count)[some])
+    return out
+
+
+def _teaching(scores: np.ndarray, start: np.ndarray, count: np.ndarray, toxic: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and starts of the windows that teach: a toxic text's worst, a clean one's two worst, half a window apart, and one at random."""
+    texts, chosen = [], []
+    for k, end in enumerate(np.cumsum(count)):
+        s = scores[end - count[k] : end]
+        best = int(s.argmax())
+        picked = [best]
+        if not toxic[k]:
+            rest = s.copy()
+            rest[max(0, best - WINDOW // 2) : best + WINDOW // 2] = -np.inf
+            second = int(rest.argmax())
+            picked += [second] if rest[second] > -np.inf else []
+            picked.append(int(rng.integers(len(s))))
+        texts += [k] * len(picked)
+        chosen += [int(start[end - count[k] + p]) for p in picked]
+    return np.array(texts), np.array(chosen)
 
 
 def fit(texts: list[str], label: np.ndarray, rounds: int = 3, epochs: int = 5, batch: int = 256) -> Model:
@@ -265,35 +353,29 @@ def fit(texts: list[str], label: np.ndarray, rounds: int = 3, epochs: int = 5, b
     rng, words, network = np.random.default_rng(5), Words(), Network.new()
     words.add(list(dict.fromkeys(w for s in split for w in s)))
     numbers = [np.array([words.place[w] for w in s], np.int32) for s in split]
-    ids, owner = windows(numbers)
     del split
+    known = Texts(numbers)
     word_odds = _log_odds((words.rows[np.unique(x)] for x in numbers), label, WORD_ROWS)
     gram_odds = _log_odds((words.grams[np.unique(x)].reshape(-1) for x in numbers), label, GRAM_ROWS + 1)
     gram_odds[GRAM_ROWS] = 0
     network.w["word"][:, 0], network.w["gram"][:, 0] = word_odds / 4, gram_odds / 4
     hint = np.concatenate([word_odds[words.rows[k : k + AT_ONCE]] / 2 + gram_odds[words.grams[k : k + AT_ONCE]].sum(axis=1) / words.counts[k : k + AT_ONCE] for k in range(0, len(words), AT_ONCE)])
-    hint[0] = -9
-    worst = np.concatenate([np.sort(hint[ids[k : k + AT_ONCE]], axis=1)[:, -3:].sum(axis=1) for k in range(0, len(ids), AT_ONCE)])
+    scores, start, count = of_windows(known, np.square(np.maximum(0, hint))[known.flat[:-1]])
     steps = Adam(network.w, 0.01)
     for _ in range(rounds):
-        order = np.lexsort((-worst, owner))
-        nth = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
-        rank = np.empty(len(order), np.int64)
-        rank[order] = nth
-        toxic = label[owner] > 0
-        chosen = np.flatnonzero((toxic & (rank < 1)) | (~toxic & ((rank < 2) | (rng.random(len(rank)) < 0.06))))
-        y = label[owner[chosen]]
+        owner, chosen = _teaching(scores, start, count, label > 0, rng)
+        ids, y = known.windows(owner, chosen), label[owner]
         weigh = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(chosen)
         for _ in range(epochs):
             mixed = rng.permutation(len(chosen))
             for k in range(0, len(mixed), batch):
                 some = mixed[k : k + batch]
-                g = network.gradients(words, ids[chosen[some]], y[some], weigh[some] / len(some))
+                g = network.gradients(words, ids[some], y[some], weigh[some] / len(some))
                 size = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
                 steps.step({k2: x * min(1.0, 1 / (size + 1e-9)) for k2, x in g.items()})
-        worst = _all_logits(network, words, ids)
-    most = np.full(len(label), -1e9)
-    np.maximum.at(most, owner, worst)
+        table = np.concatenate([network.table(words, np.arange(k, min(k + AT_ONCE, len(words)))) for k in range(0, len(words), AT_ONCE)])
+        scores, start, count = network.windows(table, known)
+    most = _worst(scores, count)
     # Two numbers turn the worst window's score into a probability of the text.
     share = np.where(label > 0, 0.5 / label.sum(), 0.5 / (1 - label).sum())
     a, b = np.array([1.0]), np.array([0.0])
@@ -304,11 +386,11 @@ def fit(texts: list[str], label: np.ndarray, rounds: int = 3, epochs: int = 5, b
     return Model(network, float(max(a[0], 0.05)), float(b[0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "toxic", toxic: int = 2000, clean: int = 2500, most_chars: int = 12_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "text", label: str = "toxic", toxic: int = 2000, clean: int = 2500) -> Model:
     """Fit on labelled documents of the ``fold``."""
     known = labels.where(fold & F.col(label).isin(0, 1)).select(F.col(id), F.col(label).cast("int").alias("_toxic")).distinct()
     chosen = sampled(known.where("_toxic = 1"), toxic, id=id).union(sampled(known.where("_toxic = 0"), clean, id=id))
-    rows = labelled_texts(docs.where(F.length(text) <= most_chars), chosen, "_toxic", id=id, text=text).toPandas().sort_values([id, "_toxic", "text"])
+    rows = labelled_texts(docs, chosen, "_toxic", id=id, text=text).toPandas().sort_values([id, "_toxic", "text"])
     return fit(rows["text"].tolist(), rows["_toxic"].to_numpy())
 
 
@@ -340,11 +422,9 @@ class Scorer:
             return np.full(len(texts), 0.5)
         split = [words_of(t) for t in texts]
         self._learn(split)
-        ids, owner = windows([np.fromiter(map(self.place.__getitem__, s), np.int32, len(s)) for s in split])
-        worst = np.full(len(texts), NO_WINDOW)
-        for k in range(0, len(ids), AT_ONCE):
-            np.maximum.at(worst, owner[k : k + AT_ONCE], network.logits(self.table, ids[k : k + AT_ONCE]))
-        return self.model.score(worst)
+        known = Texts([np.fromiter(map(self.place.__getitem__, s), np.int32, len(s)) for s in split])
+        scores, _, count = network.windows(self.table, known)
+        return self.model.score(_worst(scores, count))
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

@@ -93,6 +93,17 @@ def test_near_duplicates_of_odd_and_planted_rows(spark, docs_of):
     assert near_dedup.near_duplicates(docs_of([])).count() == 0
 
 
+def test_one_of_each_decides_by_id_and_text(spark, docs_of):
+    words = [f"w{k}" for k in range(60)]
+    one, near, other, far = " ".join(words), " ".join([*words[:59], "x"]), " ".join(f"v{k}" for k in range(60)), " ".join(f"u{k}" for k in range(30))
+    rows = [(1, one), (2, near), (2, other), (3, other), (4, far), (4, far), (5, ""), (5, ""), (6, None), (None, one), (7, near), (7, one), (-8, far)]
+    # Of id 2 the near copy of id 1 goes, the other text stays; ids 3, 4 and 7 lose to 2, -8 and 1.
+    kept = near_dedup.one_of_each(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, one), (2, other), (5, ""), (6, None), (None, one), (-8, far)], key=str)
+    # Two texts of one id that are near copies of each other: one stays.
+    assert [r.doc_id for r in near_dedup.one_of_each(docs_of([(9, one), (9, near)])).collect()] == [9]
+
+
 def test_remaining_pairs_are_found_without_hubs(spark, docs_of, monkeypatch):
     """With no hub pairs and blocks of a few members, the second phase alone finds every link."""
     monkeypatch.setattr(near_dedup, "_hub_pairs", lambda buckets, classes: spark.createDataFrame([], "a long, b long"))
@@ -244,6 +255,20 @@ def test_every_place_of_an_item_is_verified():
         assert both[0] == 1 and both[2:5] == alone[2:5] and min(both[3:5]) >= decontaminate.OVERLAP > both[2]
 
 
+def test_bounds_of_a_long_text_come_in_parts(monkeypatch):
+    rng = np.random.default_rng(12)
+    index = decontaminate.Index.__new__(decontaminate.Index)
+    index.terms, index.most = {}, rng.random((50, decontaminate.GROUPS)).astype(np.float32) / 40
+    index.terms = {b"t%d" % k: k for k in range(49)}
+    for n in (1, 31, 32, 33, 64, 65, 96, 97, 1000, 3210):
+        ids = rng.integers(0, 50, n)
+        whole = {(int(p), int(g)) for p, g in zip(*np.nonzero(index.bounds(ids) >= decontaminate.THRESHOLD - 1e-5))}
+        for at_once in (1, 2, 7, 10_000):
+            monkeypatch.setattr(decontaminate, "PASSAGES_AT_ONCE", at_once)
+            assert set(index.hopeful(ids)) == whole, (n, at_once)
+    assert whole
+
+
 def test_index_in_parts_finds_the_same(spark, docs_of, monkeypatch):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
@@ -335,7 +360,8 @@ def test_network_gradients():
     ids = rng.integers(1, 31, (3, toxicity.WINDOW))
     ids[2, 20:] = 0
     label = np.array([1.0, 0, 1.0])
-    loss = lambda: (np.logaddexp(0, z := net.logits(net.table(words), ids).astype(np.float64)) - label * z).mean()
+    texts = toxicity.Texts([row[row > 0].astype(np.int32) for row in ids])
+    loss = lambda: (np.logaddexp(0, z := net.windows(net.table(words), texts)[0]) - label * z).mean()
     g = net.gradients(words, ids, label, np.ones(3) / 3)
     for k, slope in g.items():
         flat, at = net.w[k].reshape(-1), int(np.abs(slope.reshape(-1)).argmax())
@@ -348,10 +374,16 @@ def test_network_gradients():
         assert slope.reshape(-1)[at] == pytest.approx((up - down) / 2e-2, rel=0.02, abs=1e-6)
 
 
-def test_windows_cover_whole_texts():
-    for n in (0, 1, 39, 40, 41, 71, 400):
-        ids, owner = toxicity.windows([np.arange(1, n + 1)])
-        assert set(ids.reshape(-1)) - {0} == set(range(1, n + 1)) and len(owner) == len(toxicity.starts(n))
+def test_every_window_is_there():
+    sizes = [0, 1, 39, 40, 41, 0, 71, 400]
+    texts = toxicity.Texts([np.arange(1, n + 1, dtype=np.int32) for n in sizes])
+    sums, start, count = toxicity.of_windows(texts, texts.flat[:-1].astype(float))
+    assert count.tolist() == [0, 1, 1, 1, 2, 0, 32, 361]
+    want = [sum(range(i + 1, min(n, i + 40) + 1)) for n in sizes if n for i in range(max(1, n - 39))]
+    assert sums.tolist() == want
+    owner = np.repeat(np.arange(len(sizes)), count)
+    windows = texts.windows(owner, start)
+    assert windows.sum(axis=1).tolist() == want and (windows[0, 1:] == 0).all()
 
 
 def test_every_character_of_long_words_is_read():
