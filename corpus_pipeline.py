@@ -4,6 +4,13 @@ Each stage takes what the stage before kept, written as Parquet and read again,
 so a lost executor costs no earlier stage. All but the last return rows with the
 columns of ``documents``; the last writes the token files and returns the place
 and checksum of each row's ids in them. A row that the mix takes twice is there twice.
+
+Defined results
+- a null text counts as empty in every stage; texts of any length are read whole.
+- an id with several texts is several documents; rows that repeat both are one, of
+  which near-duplicate removal keeps one. Rows with a null id are never removed as copies.
+- ties are decided by id and text, so reruns agree.
+- other columns are carried as they are, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

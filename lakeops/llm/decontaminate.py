@@ -45,6 +45,8 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import key_text, materialise
 
 PASSAGE, STEP = 64, 32
+#: Passages of a long text whose bounds are held at once, 4 KB each.
+PASSAGES_AT_ONCE = 2048
 PIECE = 40
 SHINGLE = 5
 THRESHOLD = 0.55
@@ -159,6 +161,15 @@ class Index:
         tail = np.einsum("bt,btg->bg", (before < start - STEP).reshape(blocks, STEP).astype(np.float32), weights)
         return head if blocks == 1 else head[:-1] + tail[1:]
 
+    def hopeful(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(passage, group) pairs that may reach the threshold; the bounds of some passages of a long text at a time."""
+        passages = max(1, -(-len(ids) // STEP) - 1)
+        for first in range(0, passages, PASSAGES_AT_ONCE):
+            last = min(passages, first + PASSAGES_AT_ONCE)
+            some = self.bounds(ids[first * STEP : (last + 1) * STEP])
+            for passage, group in zip(*(x.tolist() for x in np.nonzero(some >= THRESHOLD - 1e-5))):
+                yield first + passage, group
+
     def search(self, terms: list[int], group: int, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """(piece, score) of all pieces of a group that reach the threshold, by block-max WAND over distinct terms."""
         found = []
@@ -217,9 +228,8 @@ class Index:
             return []
         none = len(self.terms)
         ids = np.fromiter((self.terms.get(w, none) for w in words), np.int64, n)
-        hopeful = self.bounds(ids) >= THRESHOLD - 1e-5
         places: dict[int, dict[int, float]] = defaultdict(dict)  # of an item: first words of passages and their best scores
-        for passage, group in zip(*(x.tolist() for x in np.nonzero(hopeful))):
+        for passage, group in self.hopeful(ids):
             s = passage * STEP
             for piece, score in self.search(list(set(ids[s : s + PASSAGE].tolist())), group):
                 found = places[self.item_of[piece]]

@@ -1,6 +1,7 @@
 """Each stage of the pipeline against plain Python on its own input, and the queries against their SQL."""
 
 import collections
+from pathlib import Path
 
 import pytest
 from test_learned import brute_components, check_files
@@ -12,6 +13,7 @@ from check_queries import compare
 from lakeops.llm import common, decontaminate, quality_pu, queries
 
 SF = "/root/testdata/sf0.001"
+ROOT = Path(__file__).resolve().parents[2]
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +91,32 @@ def test_stages_of_empty_tables(spark, docs_of):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, duck, sf, name):
     assert compare(queries.QUERIES[name](spark, sf).toArrow(), duck.sql(queries.ORACLES[name]).to_arrow_table()) == ""
+
+
+def test_odd_rows_through_all_stages(spark, docs_of):
+    """Null and repeated ids, null and very long texts, and clashing columns: no stage fails, and clean documents stay."""
+    clean = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id").limit(30).collect()]
+    rows = [(i, t, "en", "a") for i, t in enumerate(clean)] + [(None, clean[0], None, None), (3, clean[3], "en", "a"), (3, None, "en", "b"), (77, "", None, "b"), (78, None, None, None), (79, " ".join(clean * 20), "en", "a")]
+    docs = docs_of(rows).selectExpr("*", "1 as score", "2 as predicted", "3 as label", "4 as id")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        after = common.materialise(stage(spark, docs, SF))
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert after.columns == docs.columns, name
+            docs = after
+    assert after.count() == docs.count() > 10
+
+
+def test_stages_on_an_empty_table(spark, docs_of):
+    docs = docs_of([])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
+
+
+def test_collects_of_the_subpackage_are_the_bounded_ones():
+    """Samples, codebooks, slots of a fixed table, and items whose bytes are summed first."""
+    allowed = {"toxicity.py": ("toPandas(", 1), "quality_pu.py": ("toPandas(", 1), "language_id.py": ("toPandas(", 1), "vector_codes.py": ("toPandas(", 3), "jaccard_join.py": ("toPandas(", 1), "decontaminate.py": (".collect()", 2)}
+    for path in sorted((ROOT / "lakeops" / "llm").glob("*.py")):
+        text = path.read_text().replace("gc.collect()", "")
+        for bad in ("toPandas(", ".collect()", ".rdd", "localCheckpoint", ".crossJoin("):
+            name, most = allowed.get(path.name, ("", 0))
+            assert text.count(bad) <= (most if bad == name else 0), (path.name, bad)
