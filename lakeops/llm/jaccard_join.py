@@ -311,6 +311,29 @@ def near_hubs(held: DataFrame) -> DataFrame:
     return materialise(best.where(F.col("_shared") * 4 >= first).select("c", "hub"), name="join-hubs")
 
 
+def postings_across(held: DataFrame, info: DataFrame) -> DataFrame:
+    """Postings (``token``, ``c``, ``m``, ``early``, ``n``, ``ell``, ``cluster``) of lists that hold several clusters; ``m`` is the length of what is left.
+
+    A class that has fewer of them than it asks for, and than any class of a size
+    that it may link with asks for, has no partner in other clusters and is left
+    out. So texts that share one passage and little else do not meet in its lists.
+    """
+    known = held.select("token", "c", "early").join(info, "c")
+
+    def spread(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi"))
+        return rows.join(lists.where("_lo <> _hi").select("token", "m"), "token")
+
+    met = materialise(spread(known).drop("m"), name="join-met")
+    # Sizes of a link differ by one step of this scale at most; two steps leave room for rounding.
+    step = F.floor(F.log("n") / F.log(F.lit(DENOMINATOR / NUMERATOR)))
+    asked = info.groupBy(step.alias("_size")).agg(F.min("ell").alias("ell"))
+    asked = asked.select(F.explode(F.sequence(F.col("_size") - 2, F.col("_size") + 2)).alias("_size"), "ell").groupBy("_size").agg(F.min("ell").alias("_asked"))
+    count = met.groupBy("c").agg(F.count(F.lit(1)).alias("_n"), F.min("ell").alias("ell"), F.min("n").alias("n"))
+    able = count.withColumn("_size", step).join(asked, "_size").where(F.col("_n") >= F.least("ell", "_asked")).select("c")
+    return materialise(spread(met.join(able, "c")), name="join-across")
+
+
 def short_list_pairs(across: DataFrame) -> DataFrame:
     """Pairs (``a``, ``b``) of classes across clusters that share enough prefix elements.
 
@@ -357,9 +380,7 @@ def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     for _ in range(2):
         step = info.select(F.col("c").alias("cluster"), F.col("cluster").alias("_next"))
         info = materialise(info.join(step, "cluster").select("c", "n", "ell", F.col("_next").alias("cluster")), name="join-info")
-    known = held.select("token", "c", "m", "early").join(info, "c")
-    spread = known.groupBy("token").agg(F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi")).where("_lo <> _hi").select("token")
-    across = materialise(known.join(spread, "token", "left_semi"), name="join-across")
+    across = postings_across(held, info)
     edges = materialise(hubs.select(F.col("hub").alias("a"), F.col("c").alias("b")).union(short_list_pairs(across)), name="join-pairs")
     lists = materialise(across.where((F.col("m") > SHORT_LIST) & F.col("early")).select(F.col("token").alias("g"), "c", F.col("cluster").alias("own")), name="join-lists")
 
