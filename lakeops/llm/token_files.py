@@ -43,7 +43,7 @@ SLICE = 2048
 FILE_IDS = 4_000_000
 #: Parts that a worker process keeps, about 150 bytes each.
 CACHED_WORDS = 1 << 19
-TEXTS_AT_ONCE = 500
+TEXTS_AT_ONCE = 200
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,8 +264,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, *, folder: str | None = N
             path = f"{root}/{uuid.uuid4().hex}.pfor"
             counts = np.array([len(h[3]) + 1 for h in held])
             ids = np.full(counts.sum(), end_id, np.uint32)
-            ends = np.cumsum(counts)
-            ids[np.delete(np.arange(len(ids)), ends - 1)] = np.concatenate([h[3] for h in held])
+            inside = np.ones(len(ids), bool)
+            inside[np.cumsum(counts) - 1] = False
+            ids[inside] = np.concatenate([h[3] for h in held])
             data = file_bytes([h[0] for h in held], counts, ids)
             fs.create_dir(root, recursive=True)
             with fs.open_output_stream(path) as out:
