@@ -51,3 +51,13 @@ def test_latest_state_drops_deleted_keys(spark):
     df = spark.createDataFrame([(1, 1, "INSERT", "a"), (1, 2, "UPDATE", "b"), (2, 1, "INSERT", "c"), (2, 3, "delete", "c")], "k int, s int, op string, v string")
     out = C.cdc_latest_state(df, keys=["k"], sequence="s", operation="op").collect()
     assert [(r["k"], r["v"]) for r in out] == [(1, "b")]
+
+
+def test_a_rate_limited_feed_takes_six_batches(spark, tmp_path):
+    import __spark_entry__
+
+    rows = spark.range(600).selectExpr("id as event_id", "id % 7 as user_id", "'click' as event_type", "timestamp_ntz '2024-01-01 00:00:00' as ts")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    out = __spark_entry__.queries()["stream_rate_limit"](spark, str(tmp_path)).collect()
+    assert sorted(r["event_id"] for r in out) == list(range(600))
+    assert {r["batches"] for r in out} == {6}
