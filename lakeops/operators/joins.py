@@ -153,9 +153,14 @@ def join_previous_day_self(df: DataFrame, *, keys: Sequence[str], date: str, cou
         counter, (F.coalesce(F.col("_prev"), F.lit(0)) + 1).cast(df.schema[counter].dataType)).drop("_prev")
 
 
-def join_latest_snapshot(df: DataFrame, snap: DataFrame, *, key: Sequence[str], by: str) -> DataFrame:
-    """Rows of ``df`` that belong to the newest ``by`` value in ``snap`` per key."""
-    return df.join(snap.groupBy(*key).agg(F.max(by).alias(by)), [*key, by], "left_semi")
+def join_latest_snapshot(df: DataFrame, snap: DataFrame, *, key: Sequence[str], by: str, few_keys: bool = False) -> DataFrame:
+    """Rows of ``df`` that belong to the newest ``by`` value in ``snap`` per key.
+
+    With ``few_keys`` the newest values go to all tasks: rows are not shuffled
+    by so few values, which would put each snapshot in one task.
+    """
+    newest = snap.groupBy(*key).agg(F.max(by).alias(by))
+    return df.join(F.broadcast(newest) if few_keys else newest, [*key, by], "left_semi")
 
 
 def semi_join_in(df: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame:

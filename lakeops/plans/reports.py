@@ -149,7 +149,7 @@ def mart_switching(t: Tables):
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("grp"), F.col("p_brand").alias("brand1"))
     li = t.lineitem.select("l_partkey", "l_returnflag", F.year("l_shipdate").alias("run"), F.concat(F.lit("Brand#"), (F.col("l_suppkey") % 25 + 1).cast("string")).alias("brand2"))
     rows = li.join(parts, "l_partkey").withColumn("country", F.when(F.col("l_returnflag") == "R", "IE").otherwise("UK"))
-    latest = J.join_latest_snapshot(rows, rows.where("run <> 2001").select("country", "run"), key=["country"], by="run")
+    latest = J.join_latest_snapshot(rows, rows.where("run <> 2001").select("country", "run"), key=["country"], by="run", few_keys=True)
     keys = ["country", "run", "grp", "brand1", "brand2"]
     shares = A.agg_two_level(latest, keys, ["l_partkey"], inner_aggs=[F.count(F.lit(1)).alias("n")],
                              outer_aggs=[F.sum("n").cast("decimal(30,3)").alias("cann_percent"), F.count(F.lit(1)).alias("product_count")])

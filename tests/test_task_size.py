@@ -29,3 +29,16 @@ def test_a_scan_reads_small_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256m")
     tune(spark)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(16 * 1024 * 1024)
+
+
+def test_newest_snapshots_of_few_keys_do_not_shuffle_the_rows(spark):
+    from lakeops.operators import joins as J
+
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 3 = 0, 'a', 'b') as c", "cast(id % 4 as int) as run", "id", "cast(id as string) as h")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = J.join_latest_snapshot(rows, rows.where("run <> 3").select("c", "run"), key=["c"], by="run", few_keys=True)
+        assert tasks(out) == 8 and out.where("run <> 2").isEmpty() and out.count() == 10_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
