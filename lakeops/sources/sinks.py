@@ -19,6 +19,8 @@ from lakeops.session import materialise
 DEFAULT_EXTRACT_BYTES = 1024 ** 3
 DEFAULT_EXTRACT_ROWS = 100_000
 SINGLE_FILE_BYTES = 3 * 1024 ** 3
+# Fixed value: text that one task writes where a table may have several files.
+PART_BYTES = 256 * 1024 ** 2
 
 
 # One set of options for every CSV file written or read back here: a null is the text \\N and an empty text is a
@@ -254,8 +256,16 @@ def split_by_size(df: DataFrame, dest: str, *, max_bytes: int = DEFAULT_EXTRACT_
 
 def _in_files(stored: DataFrame, max_bytes: float, more_per_row: int = 0) -> DataFrame:
     """Rows dealt out to one task for each ``max_bytes`` of text, at any size."""
-    size = stored.agg(F.sum(row_bytes(stored) + more_per_row)).first()[0] or 0
-    return stored.repartition(max(1, math.ceil(int(size) / max_bytes)))
+    return _dealt(stored, _text_bytes(stored, more_per_row), max_bytes)
+
+
+def _text_bytes(stored: DataFrame, more_per_row: int = 0) -> int:
+    """Bytes of all rows as delimited text."""
+    return int(stored.agg(F.sum(row_bytes(stored) + more_per_row)).first()[0] or 0)
+
+
+def _dealt(stored: DataFrame, size: int, max_bytes: float) -> DataFrame:
+    return stored.repartition(max(1, math.ceil(size / max_bytes)))
 
 
 def _stored_bytes(spark: SparkSession, glob: str) -> tuple[int, int]:
@@ -278,8 +288,15 @@ def compact_small_files(spark: SparkSession, glob: str, dest: str, *, target_byt
 
 
 def size_guarded_parquet(df: DataFrame, dest: str, *, max_bytes: int = SINGLE_FILE_BYTES) -> DataFrame:
-    """One file for each ``max_bytes`` of text, written in parallel; the frame is computed once."""
-    _in_files(materialise(df, name="guarded"), max_bytes).write.mode("overwrite").parquet(dest)
+    """One file up to ``max_bytes`` of text, above it files of a task's share, written in parallel; the frame is computed once.
+
+    The one file is written from the stored columns without a shuffle of rows,
+    which are several times larger.
+    """
+    stored = materialise(df, name="guarded", compression="zstd")
+    size = _text_bytes(stored)
+    out = stored.coalesce(1) if size <= max_bytes else _dealt(stored, size, min(max_bytes, PART_BYTES))
+    out.write.mode("overwrite").parquet(dest)
     return _back(df, dest, "parquet")
 
 
