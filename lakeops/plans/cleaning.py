@@ -166,13 +166,18 @@ def _(t: Tables):
 
 # ---- nested
 
+def order_heads(t: Tables):
+    """Orders with a customer and a meta struct."""
+    return t.orders.select("o_orderkey", F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status")).alias("customer"),
+                           F.struct(F.col("o_orderpriority").alias("priority")).alias("meta"))
+
+
 def nested_orders(t: Tables):
     """Orders with a customer struct and the array of their lines; orders without lines have none."""
     lines = N.array_from_rows(
         t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", money("l_quantity").alias("qty")), keys=["l_orderkey"],
         fields={"l_linenumber": "line", "l_partkey": "part", "qty": "qty"}, name="lines")
-    head = t.orders.select("o_orderkey", F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status")).alias("customer"),
-                           F.struct(F.col("o_orderpriority").alias("priority")).alias("meta"))
+    head = order_heads(t)
     return head.join(lines, head.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
 
 

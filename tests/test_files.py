@@ -164,3 +164,26 @@ def test_a_snapshot_of_several_files_is_read_whole(spark):
     two = R.scan_latest_two_files(spark, base, fmt="parquet", schema="id bigint, version int").groupBy("version", "snapshot").count().collect()
     assert {(r.version, r.snapshot, r["count"]) for r in two} == {(3, 1, 300), (2, 2, 200)}
     assert R.scan_latest_file(spark, str(Path(base).parent / Path(base).name / "v1"), fmt="parquet", schema="id bigint, version int").count() < 100
+
+
+def test_a_guarded_file_is_written_without_a_shuffle_and_large_frames_in_task_shares(spark, monkeypatch):
+    df = spark.range(0, 5000, 1, 6).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    dealt = []
+    monkeypatch.setattr(W, "_dealt", lambda stored, size, most: dealt.append(most) or stored.repartition(max(1, -(-size // int(most)))))
+    monkeypatch.setattr(W, "PART_BYTES", 50_000)
+    one, many = local(spark, "t_guard_one"), local(spark, "t_guard_many")
+    assert W.size_guarded_parquet(df, one).count() == 5000
+    assert dealt == [] and len(sizes(one, "parquet")) == 1
+    assert W.size_guarded_parquet(df, many, max_bytes=200_000).count() == 5000
+    assert dealt == [50_000] and len(sizes(many, "parquet")) >= 6
+
+
+def test_xml_files_hold_a_bounded_number_of_documents(spark, tmp_path, monkeypatch):
+    from lakeops.plans import files as P
+    from lakeops.registry import Tables
+
+    monkeypatch.setattr(P, "XML_FILE_ROWS", 100)
+    path = P.write_xml(spark.range(950).coalesce(1).selectExpr("cast(id as string) as k"), Tables(spark, str(tmp_path)), "row", "rows")
+    files = list(Path(path.removeprefix("file:")).glob("part-*"))
+    assert len(files) == 10
+    assert R.scan_xml_rows(spark, path, row_tag="row", schema="k string").distinct().count() == 950
