@@ -128,3 +128,37 @@ def test_running_sums_of_floating_numbers_are_refused(spark):
     df = spark.range(5).selectExpr("id", "double(id) as v")
     with pytest.raises(ValueError):
         running(df, keys=[], order=["id"], outputs=[Running("s", "sum", "v")])
+
+
+def test_parent_keys_of_files_read_in_pieces(spark, tmp_path):
+    from lakeops.sources import files as R
+
+    rng = random.Random(5)
+    want, conf = {}, {"spark.sql.files.maxPartitionBytes": "400", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    for file in range(3):
+        head = line = disc = day = None
+        lines = []
+        for n, kind in enumerate(["L", "LD"] + rng.choices(["H", "L", "LD", "X", "X", "X"], k=150)):
+            attr = str(rng.randint(1, 99))
+            if kind == "H":
+                head, day = attr, f"d{attr}"
+            elif kind == "L" and head is not None:
+                line = f"{head}L{attr}"
+            elif kind == "LD" and line is not None:
+                disc = f"{line}LD{attr}"
+            lines.append(f"{file}-{n}|{kind}|{attr}|d{attr}")
+            want[f"{file}-{n}"] = (head, line, disc, day)
+        (tmp_path / f"f{file}.txt").write_text("\n".join(lines) + "\n")
+    levels = [W.Level("h", "H", ("attr",)), W.Level("l", "L", ("attr",), "h"), W.Level("d", "LD", ("attr",), "l")]
+    kept = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = R.with_position(R.scan_delimited(spark, str(tmp_path), schema=R.text_schema(["id", "kind", "attr", "day"])))
+        assert rows.select(R.FILE, R.split_start()).distinct().count() > 6
+        out = W.propagate_parent_keys(rows, record_type="kind", levels=levels, file_col=R.FILE, position_col=R.POSITION, carried={"of": ("H", "day")}, block=R.split_start())
+        assert "Exchange rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {r["id"]: (r["h"], r["l"], r["d"], r["of"]) for r in out.collect()} == want
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

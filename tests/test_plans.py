@@ -43,3 +43,23 @@ def test_sources_do_not_pull_data_to_the_driver():
         found += [f"{bad} in {rel}" for bad in ("toPandas(", ".rdd", "localCheckpoint", "current_date", "current_timestamp", ".crossJoin(") if bad in text]
         found += [f"collect in {rel}"] if text.count(".collect()") > COLLECTS.get(rel, 0) else []
     assert not found
+
+
+def test_the_point_of_sale_feed_is_made_and_stored_with_one_shuffle(spark, tmp_path, monkeypatch):
+    from lakeops.plans import feeds
+    from lakeops.registry import Tables
+
+    spark.sql("""select id as o_orderkey, id % 7 as o_custkey, 'O' as o_orderstatus, 9.5D as o_totalprice, timestamp_ntz'2001-02-03' as o_orderdate, '5-LOW' as o_orderpriority
+              from (select explode(array(4L, 4L, 9L, null)) as id)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""select k as l_orderkey, 3L as l_partkey, 5L as l_suppkey, n as l_linenumber, 1D as l_quantity, p as l_extendedprice, 0.01D as l_discount, 0D as l_tax,
+              'N' as l_returnflag, 'O' as l_linestatus, timestamp_ntz'2001-02-03' as l_shipdate from values (4L, 1, 2D), (4L, 1, 1D), (4L, 2, 3D), (9L, 1, 4D) as t(k, n, p)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans = []
+    made = feeds.framed
+    monkeypatch.setattr(feeds, "framed", lambda lines, *a: (plans.append(plan(lines)), made(lines, *a))[1])
+    path = feeds.write_pos(Tables(spark, str(tmp_path)))
+    assert len(plans) == 1 and plans[0].count("Exchange ") == 1
+    assert list(Path(path).glob("part-*")) and all(p.suffix == ".gz" for p in Path(path).glob("part-*"))
+    pos = feeds.read_pos(spark, path)
+    kinds = {r["recordtype"]: r["count"] for r in pos.where("TRANSACTIONID is not null").groupBy("recordtype").count().collect()}
+    assert kinds["H"] == kinds["TR"] == 4 and kinds["L"] == 3
+    assert {r.Attribute8 for r in pos.where("recordtype = 'L' and TRANSACTIONID is not null").collect()} == {"1.00", "3.00", "4.00"}
