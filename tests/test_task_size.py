@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lakeops.registry import Tables
 from lakeops.session import tune
 
 
@@ -42,3 +43,24 @@ def test_newest_snapshots_of_few_keys_do_not_shuffle_the_rows(spark):
         assert tasks(out) == 8 and out.where("run <> 2").isEmpty() and out.count() == 10_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_shuffles_start_from_more_partitions_on_larger_tables(spark, tmp_path, monkeypatch):
+    from lakeops import session
+
+    hashed = F.sha2(F.col("id").cast("string"), 512).alias("h")
+    for name, n in (("small", 1_000), ("large", 100_000)):
+        spark.range(n).select("id", hashed).write.parquet(f"{tmp_path}/{name}/rows.parquet")
+    monkeypatch.setattr(session, "TABLE_BYTES_PER_PARTITION", 256 * 1024)
+    monkeypatch.setitem(session.RUNTIME_SETTINGS, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024))
+    started = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        wide = Tables(spark, f"{tmp_path}/large").rows
+        assert tasks(wide.repartition("id")) > int(started)
+        Tables(spark, f"{tmp_path}/small")
+        assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+        assert spark.conf.get("spark.sql.shuffle.partitions") == started
+    finally:
+        monkeypatch.undo()
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+        tune(spark)
