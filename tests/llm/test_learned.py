@@ -191,6 +191,24 @@ def test_parts_encode_like_whole_texts(tokenizer):
     assert [x.tolist() for x in encode(texts)] == encode.whole(texts)
 
 
+def test_capitals_and_marks_share_one_encoding(tokenizer):
+    encode = token_files.Encoder(tokenizer[0])
+    texts = ["Tree tree, TREE!! tree###", "élan. ÉLAN Élan;"]
+    assert [x.tolist() for x in encode(texts)] == encode.whole(texts)
+    assert set(encode.place) == {"", "tree", ",", "!!", "###", ".", ";", "élan", "Élan"}
+
+
+def test_random_texts_encode_like_whole_texts(tokenizer, monkeypatch):
+    rng = np.random.default_rng(3)
+    pieces = ["a", "Ab", "é", "É", "e\u0301", "ñ.", "'s", "'S", "'", "!", "?!", ".", ",", "|", "~^`", "<|startoftext|>", "<|STARTOFTEXT|>", "<|", "7", "x9", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "漢", "ß", "ǅ", "Ѡ", "=\u0338", "İ", "\U0001f600", "###"]
+    texts = ["".join(rng.choice(pieces, n)) for n in rng.integers(0, 30, 3000)]
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 500)
+    monkeypatch.setattr(token_files, "CHUNKS_AT_ONCE", 100)
+    encode = token_files.Encoder(tokenizer[0])
+    for k in range(0, len(texts), 700):
+        assert [x.tolist() for x in encode(texts[k : k + 700])] == encode.whole(texts[k : k + 700])
+
+
 # --- benchmark decontamination
 
 
