@@ -10,19 +10,30 @@ from lakeops.llm.common import draw60, key_text, materialise
 
 HASHED = 2048
 STATS = 28
+#: Texts whose features a task holds at once, and bytes of a text that are counted at once.
+TEXTS_AT_ONCE = 512
+BYTES_AT_ONCE = 1 << 20
 
 
 def gram_counts(raw: bytes, size: int = HASHED) -> np.ndarray:
     """Counts of hashed byte trigrams, on a log scale and of length 1; zeros for texts under 3 bytes."""
-    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    if len(b) < 3:
+    if len(raw) < 3:
         return np.zeros(size, np.float32)
-    h = b[:-2] * np.uint32(0x9E3779B1) + b[1:-1] * np.uint32(0x85EBCA77) + b[2:] * np.uint32(0xC2B2AE3D)
-    h ^= h >> np.uint32(15)
-    out = np.log1p(np.bincount((h * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - (size - 1).bit_length()), minlength=size)).astype(np.float32)
+    counts = np.zeros(size, np.int64)
+    for k in range(0, len(raw) - 2, BYTES_AT_ONCE):
+        b = np.frombuffer(raw, np.uint8, min(len(raw) - k, BYTES_AT_ONCE + 2), k).astype(np.uint32)
+        h = b[:-2] * np.uint32(0x9E3779B1) + b[1:-1] * np.uint32(0x85EBCA77) + b[2:] * np.uint32(0xC2B2AE3D)
+        h ^= h >> np.uint32(15)
+        counts += np.bincount((h * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - (size - 1).bit_length()), minlength=size)
+    out = np.log1p(counts).astype(np.float32)
     return out / (np.sqrt((out * out).sum()) + np.float32(1e-9))
 
 
+def slices(rows):
+    """A batch of rows in pieces of ``TEXTS_AT_ONCE``; an empty batch is one piece."""
+    return (rows[k : k + TEXTS_AT_ONCE] for k in range(0, max(1, len(rows)), TEXTS_AT_ONCE))
+
+
 _KIND = np.zeros(256, np.uint8)  # of a byte: 1 space, 2 digit, 3 capital, 4 small letter or part of a non-ASCII one, 5 sentence mark, 6 other
 _KIND[33:127] = 6
 _KIND[[9, 10, 11, 12, 13, 32]] = 1

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.features import HASHED, Adam, gram_counts, labelled_texts, sampled
+from lakeops.llm.features import HASHED, Adam, gram_counts, sampled, slices
 
 UNKNOWN = "und"
 AMBIGUOUS_BELOW = 0.75
@@ -60,7 +60,10 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
 
 
 def features(texts: list[str]) -> np.ndarray:
-    return np.stack([gram_counts(t.lower().encode()) for t in texts]) if texts else np.zeros((0, HASHED), np.float32)
+    out = np.zeros((len(texts), HASHED), np.float32)
+    for row, text in zip(out, texts):
+        row[:] = gram_counts(text.lower().encode())
+    return out
 
 
 def _with_one(x: np.ndarray) -> np.ndarray:
@@ -97,7 +100,7 @@ def train(docs: DataFrame, fold: Column, *, id: str = "doc_id", text: str = "tex
     """Fit on documents of the ``fold`` whose language is known."""
 
     def to_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (some for whole in batches for some in slices(whole)):
             x = features(batch["text"].tolist()).astype(np.float16)
             yield pd.DataFrame({"lang": batch["lang"], "draw": batch["draw"], "x": [r.tobytes() for r in x]})
 
@@ -114,12 +117,14 @@ def identified(docs: DataFrame, model: Model, *, text: str = "text") -> DataFram
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch.tolist()
-            some = [bool(model.languages) and any(map(str.isalpha, t)) for t in texts]
-            place, share = decode(model, features(texts)) if model.languages and texts else (np.zeros(len(texts), int), np.zeros(len(texts)))
-            names = [model.languages[k] if s else UNKNOWN for k, s in zip(place, some)]
-            score = np.where(some, share, 0.0).astype(np.float64)
-            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": score, "ambiguous": score < AMBIGUOUS_BELOW})
+            yield pd.concat([named(texts) for texts in slices(batch.tolist())], ignore_index=True)
+
+    def named(texts: list[str]) -> pd.DataFrame:
+        some = [bool(model.languages) and any(map(str.isalpha, t)) for t in texts]
+        place, share = decode(model, features(texts)) if model.languages and texts else (np.zeros(len(texts), int), np.zeros(len(texts)))
+        names = [model.languages[k] if s else UNKNOWN for k, s in zip(place, some)]
+        score = np.where(some, share, 0.0).astype(np.float64)
+        return pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": score, "ambiguous": score < AMBIGUOUS_BELOW})
 
     udf = F.pandas_udf(predict, "lang_pred string, score double, ambiguous boolean")
     out = docs.drop("lang_pred", "score", "ambiguous").withColumn("_found", udf(F.coalesce(F.col(text), F.lit(""))))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.features import HASHED, STATS, Adam, gram_counts, labelled_texts, sampled, style
+from lakeops.llm.features import HASHED, STATS, Adam, gram_counts, labelled_texts, sampled, slices, style
 
 THRESHOLD = 0.7
 
@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, *, id: str = "doc_id
     """Fit on documents of the ``fold``: those labelled 1, and text without a look at labels."""
 
     def to_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (some for whole in batches for some in slices(whole)):
             x = features(batch["text"].tolist()).astype(np.float16)
             yield pd.DataFrame({"kind": batch["kind"], "draw": batch["draw"], "x": [r.tobytes() for r in x]})
 
@@ -140,7 +140,7 @@ def scored(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(model.score(features(batch.tolist())).astype(np.float64)) if len(batch) else pd.Series([], dtype=np.float64)
+            yield pd.Series(np.concatenate([model.score(features(texts)) for texts in slices(batch.tolist())]).astype(np.float64))
 
     udf = F.pandas_udf(score, "double")
     return kept.withColumn("score", udf(F.coalesce(F.col(text), F.lit("")))).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

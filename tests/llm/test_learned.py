@@ -4,9 +4,12 @@ import collections
 import io
 import itertools
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from lakeops.llm import common, decontaminate, features, language_id, near_dedup, quality_pu, queries, token_files, toxicity
@@ -209,6 +212,49 @@ def test_random_texts_encode_like_whole_texts(tokenizer, monkeypatch):
         assert [x.tolist() for x in encode(texts[k : k + 700])] == encode.whole(texts[k : k + 700])
 
 
+# --- memory of workers
+
+
+@pytest.mark.parametrize("module", [language_id, quality_pu])
+def test_features_are_held_for_few_texts(spark, docs_of, monkeypatch, module):
+    width = features.HASHED + features.STATS
+    model = language_id.Model(["aa", "bb"], language_id.codewords(2), np.zeros((features.HASHED + 1, 1), np.float32), np.ones((2, 1), np.float32))
+    if module is quality_pu:
+        model = quality_pu.Model(np.zeros(width, np.float32), 0.0, np.zeros(width, np.float32), np.ones(width, np.float32), 0.5)
+    caught = []
+
+    def catch(fn, kind):
+        caught.append(fn)
+        return lambda column: common.F.struct(common.F.lit("aa").alias("lang_pred"), common.F.lit(1.0).alias("score"), common.F.lit(False).alias("ambiguous")) if module is language_id else common.F.lit(1.0)
+
+    monkeypatch.setattr(module.F, "pandas_udf", catch)
+    getattr(module, "identified" if module is language_id else "scored")(docs_of([(1, "a")]), model)
+    texts = pd.Series([f"text number {k}" for k in range(8000)])
+    tracemalloc.start()
+    [out] = caught[0](iter([texts]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 8000 and peak < 4 * features.TEXTS_AT_ONCE * 4 * width + 4_000_000
+    assert [len(x) for x in caught[0](iter([texts[:0]]))] == [0]
+
+
+def test_trigrams_of_a_long_text_are_counted_in_pieces(monkeypatch):
+    raw = np.random.default_rng(1).integers(0, 256, 1000, dtype=np.uint8).tobytes()
+    want = features.gram_counts(raw)
+    for n in (1, 2, 7, 998, 999):
+        monkeypatch.setattr(features, "BYTES_AT_ONCE", n)
+        assert (features.gram_counts(raw) == want).all() and features.gram_counts(b"ab").sum() == 0
+
+
+def test_workers_get_long_texts_a_few_at_a_time(spark):
+    from lakeops.session import tune
+
+    tune(spark)
+    rows = spark.range(3000, numPartitions=1).selectExpr("repeat('x', 10000) as text")
+    sizes = rows.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
+    assert len(sizes) > 5 and max(r.n for r in sizes) < 6_000_000
+
+
 # --- benchmark decontamination
 
 
