@@ -46,7 +46,7 @@ FILE_IDS = 4_000_000
 #: Parts that a worker process keeps, about 150 bytes each.
 CACHED_WORDS = 1 << 19
 #: Chunks whose ids are put in place at once.
-CHUNKS_AT_ONCE = 1 << 18
+CHUNKS_AT_ONCE = 1 << 16
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,11 +126,16 @@ def _unpack_slice(body: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
 
 
 def file_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
-    """A whole file: header, documents (has an id, id, number of ids), block starts, blocks."""
+    """A whole file."""
+    return b"".join(file_parts(doc_ids, counts, ids))
+
+
+def file_parts(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> list:
+    """A file in parts: header, documents (has an id, id, number of ids), block starts, blocks."""
     body, starts = pack(ids)
     known = np.array([d is not None for d in doc_ids], np.uint8)
     names = np.array([0 if d is None else d for d in doc_ids], "<i8")
-    return b"".join([HEADER.pack(MAGIC, BLOCK, len(ids), len(doc_ids)), known.tobytes(), names.tobytes(), counts.astype("<u8").tobytes(), starts.astype("<u8").tobytes(), body.tobytes()])
+    return [HEADER.pack(MAGIC, BLOCK, len(ids), len(doc_ids)), known, names, counts.astype("<u8"), starts.astype("<u8"), body]
 
 
 class TokenFile:
@@ -338,10 +343,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, *, folder: str | None = N
             counts = np.array([len(ids) + 1 for ids in held])
             ids = np.concatenate([x for ids in held for x in (ids, end)])
             held.clear()
-            data = file_bytes([r["id"] for r in rows], counts, ids)
+            parts = file_parts([r["id"] for r in rows], counts, ids)
             fs.create_dir(root, recursive=True)
             with fs.open_output_stream(path) as out:
-                out.write(data)
+                for part in parts:
+                    out.write(part)
             return pa.RecordBatch.from_pylist([{"path": path, "n_docs": len(rows), "n_ids": size} | rows[0]], manifest_schema)
 
         manifest_schema = pa.schema([("path", pa.string()), *((k, pa.int64()) for k in ("n_docs", "n_ids", "id", "tie", "row"))])
