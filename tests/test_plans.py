@@ -63,3 +63,31 @@ def test_the_point_of_sale_feed_is_made_and_stored_with_one_shuffle(spark, tmp_p
     kinds = {r["recordtype"]: r["count"] for r in pos.where("TRANSACTIONID is not null").groupBy("recordtype").count().collect()}
     assert kinds["H"] == kinds["TR"] == 4 and kinds["L"] == 3
     assert {r.Attribute8 for r in pos.where("recordtype = 'L' and TRANSACTIONID is not null").collect()} == {"1.00", "3.00", "4.00"}
+
+
+def test_the_point_of_sale_feed_has_code_that_the_jvm_compiles(spark, tmp_path, monkeypatch, capsys):
+    """Methods of more than 8,000 bytes stay interpreted, and so does a row generator over a function with a lambda."""
+    from lakeops.plans import feeds
+    from lakeops.registry import Tables
+
+    spark.sql("select id as o_orderkey, id % 7 as o_custkey, 'O' as o_orderstatus, 9.5D as o_totalprice, timestamp_ntz'2001-02-03' as o_orderdate, '5-LOW' as o_orderpriority from range(5)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""select id as l_orderkey, 3L as l_partkey, 5L as l_suppkey, 1 as l_linenumber, 1D as l_quantity, 2D as l_extendedprice, 0.01D as l_discount, 0D as l_tax,
+              'N' as l_returnflag, 'O' as l_linestatus, timestamp_ntz'2001-02-03' as l_shipdate from range(5)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    code = {}
+
+    def explained(df, name):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df.explain("codegen")
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        code[name] = capsys.readouterr().out
+        return df
+
+    made, keyed = feeds.framed, feeds.propagate_parent_keys
+    monkeypatch.setattr(feeds, "framed", lambda lines, *a: made(explained(lines, "lines"), *a))
+    monkeypatch.setattr(feeds, "propagate_parent_keys", lambda *a, **b: explained(keyed(*a, **b), "keys"))
+    feeds.read_pos(spark, feeds.write_pos(Tables(spark, str(tmp_path))))
+    assert re.search(r"\*\(\d+\) Generate explode", code["lines"])
+    sizes = {name: [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)] for name, text in code.items()}
+    assert sizes["lines"] and sizes["keys"] and max(sizes["lines"] + sizes["keys"]) < 8000
