@@ -187,3 +187,11 @@ def test_xml_files_hold_a_bounded_number_of_documents(spark, tmp_path, monkeypat
     files = list(Path(path.removeprefix("file:")).glob("part-*"))
     assert len(files) == 10
     assert R.scan_xml_rows(spark, path, row_tag="row", schema="k string").distinct().count() == 950
+
+
+@pytest.mark.parametrize("value", ["concat('x', id)", "if(id = 1, null, concat('x', id))"])
+def test_first_and_last_lines_around_values_with_and_without_nulls(spark, value):
+    from lakeops.plans.files import framed
+
+    lines = spark.range(3).coalesce(1).selectExpr(f"{value} as text")
+    assert [r["value"] for r in framed(lines, "head", "tail").collect()] == ["head", "x0", "x1" if value.startswith("concat") else None, "x2", "tail"]
